@@ -15,10 +15,8 @@ def parse_call(text: Column) -> Column:
 
 def call_text(call: Column) -> Column:
     """The VCF text of a call; a missing one is ``./.``."""
-    text = F.array_join(
-        F.transform(call["alleles"], lambda a: a.cast("string")),
-        F.when(call["phased"], F.lit("|")).otherwise(F.lit("/")),
-    )
+    alleles = F.transform(call["alleles"], lambda a: a.cast("string"))
+    text = F.when(call["phased"], F.array_join(alleles, "|")).otherwise(F.array_join(alleles, "/"))
     return F.when(call.isNull(), F.lit("./.")).otherwise(text)
 
 

@@ -73,15 +73,23 @@ def info_names(df: DataFrame) -> list[str]:
     return df.schema["info"].dataType.names if "info" in df.columns else []
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
+def with_scan_row_id(df: DataFrame) -> DataFrame:
     """Number rows straight above a file scan.
 
     The number depends only on the file split and the place in it, so a re-run task yields the same
-    ids.  Call it before any shuffle; after one, row order within a task is not stable.
+    ids.  After a shuffle use ``with_row_id``.
     """
     return df.withColumn("row_id", F.monotonically_increasing_id())
 
 
-def row_key(df: DataFrame) -> list[str]:
-    """Columns that identify one row: the scan-time ``row_id`` if present, else the variant key."""
-    return ["row_id"] if "row_id" in df.columns else VARIANT_KEY
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Number rows of any sites DataFrame, unless they are numbered already.
+
+    A task that is run again may receive its rows in another order.  They are sorted within the
+    task first, so the ids stay the same (only exact copies can swap theirs).
+    """
+    if "row_id" in df.columns:
+        return df
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    ordered = df.sortWithinPartitions("contig", "pos", content)
+    return ordered.withColumn("row_id", F.monotonically_increasing_id())

@@ -81,9 +81,20 @@ def prefer_allele_specific(df: DataFrame, coalesce: bool = False) -> DataFrame:
     return df.withColumn("info", info)
 
 
-def split_keep_sum(df: DataFrame) -> DataFrame:
-    """Split without trimming or dropping star alternates; AD keeps its total."""
-    return split_multiallelic(df, trim=False, keep_star=True)
+def split_keep_sum(df: DataFrame, per_alt: tuple[str, ...] = ("AC", "AF")) -> DataFrame:
+    """Split without trimming or dropping star alternates; AD keeps its total.
+
+    INFO arrays with one element per alternate (``per_alt``) keep this allele's element only.
+    """
+    split = split_multiallelic(df, trim=False, keep_star=True)
+    present = [f for f in per_alt if f in info_names(df)]
+    if not present:
+        return split
+    info = F.col("info")
+    for name in present:
+        own = F.array(F.get(F.col("info")[name], F.col("a_index") - 1))
+        info = info.withField(name, F.when(F.col("info")[name].isNotNull(), own))
+    return split.withColumn("info", info)
 
 
 def major_minor_calls(df: DataFrame) -> DataFrame:

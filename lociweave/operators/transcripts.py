@@ -14,7 +14,7 @@ from lociweave.functions.csq import (
     splice_tokens,
     splice_values,
 )
-from lociweave.model import VARIANT_KEY
+from lociweave.model import VARIANT_KEY, with_row_id
 from lociweave.operators.lookup import Lookup, lookup_left
 
 
@@ -35,23 +35,25 @@ def regroup_transcripts(exploded: DataFrame, keys: list[str], column: str = "csq
 
 
 def enrich_transcripts(
-    df: DataFrame, keys: list[str], enrich: Callable[[DataFrame], DataFrame], column: str = "csq"
+    df: DataFrame, enrich: Callable[[DataFrame], DataFrame], column: str = "csq"
 ) -> DataFrame:
-    """Apply ``enrich`` to the exploded rows and put the transcripts back into their row.
+    """Apply ``enrich`` to the exploded rows and put the transcripts back into their own row.
 
-    ``keys`` identify a row.  All other columns travel with the first transcript only, so a wide
-    row is not copied once per transcript, and each task combines its rows before the shuffle.
-    Rows without transcripts keep their missing or empty array as missing.
+    Rows are told apart by ``row_id``, not by variant, so copies of one variant never meet in one
+    group.  The other columns travel with the first transcript only: a wide row is not copied once
+    per transcript, and each task combines its rows before the shuffle.  A row without transcripts
+    stays and its array is missing.
     """
-    others = [c for c in df.columns if c != column and c not in keys]
-    exploded = df.select(
-        *keys,
-        F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row") if others else F.lit(1).alias("_row"),
+    numbered = with_row_id(df)
+    others = [c for c in numbered.columns if c not in (column, "row_id")]
+    exploded = numbered.select(
+        "row_id",
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"),
         F.posexplode_outer(column).alias("tx_idx", "tc"),
     ).withColumn("_row", F.when(F.coalesce("tx_idx", F.lit(0)) == 0, F.col("_row")))
     grouped = (
         enrich(exploded)
-        .groupBy(*keys)
+        .groupBy("row_id")
         .agg(
             F.first("_row", ignorenulls=True).alias("_row"),
             F.collect_list(F.when(F.col("tc").isNotNull(), F.struct("tx_idx", "tc"))).alias("_tx"),
@@ -59,7 +61,7 @@ def enrich_transcripts(
     )
     transcripts = F.transform(F.array_sort("_tx"), lambda x: x["tc"])
     return grouped.select(
-        *keys,
+        "row_id",
         *[F.col("_row")[c].alias(c) for c in others],
         F.when(F.size("_tx") > 0, transcripts).alias(column),
     ).select(*df.columns)

@@ -38,7 +38,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for a plan (no job is run; unknown sizes come out huge)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame) -> bool:

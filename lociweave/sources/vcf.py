@@ -173,15 +173,28 @@ def read_vcf(
     lines = vcf_lines(spark, paths, force_bgz)
     if row_id:
         lines = lines.withColumn("row_id", F.monotonically_increasing_id())
-    lines = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
     if n_partitions:
         lines = lines.repartition(n_partitions)
+    sites = parse_sites(lines, definitions, len(names) if genotypes else 0, genotypes, find_replace)
+    sites = check_loci(sites, build, invalid)
+    return Vcf(sites, headers_table(spark, definitions), samples_table(spark, names), names)
+
+
+def parse_sites(
+    lines: DataFrame,
+    definitions: list[tuple],
+    n_samples: int = 0,
+    genotypes: bool = False,
+    find_replace: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Record lines (column ``value``; others are carried) to sites, typed by the definitions."""
+    lines = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
     text = F.col("value")
     if find_replace:
         text = F.regexp_replace(text, find_replace[0], find_replace[1])
+    carried = [c for c in lines.columns if c != "value"]
     cells = lines.select(
-        F.split(text, "\t", -1 if genotypes else FIXED_COLUMNS).alias("_c"),
-        *(["row_id"] if row_id else []),
+        F.split(text, "\t", -1 if genotypes else FIXED_COLUMNS).alias("_c"), *carried
     )
 
     def cell(i: int) -> Column:
@@ -201,11 +214,7 @@ def read_vcf(
         parse_info(cell(7), [d for d in definitions if d[0] == "INFO"]).alias("info"),
     ]
     if genotypes:
-        sample_cells = F.slice("_c", FIXED_COLUMNS + 1, max(len(names), 1))
+        sample_cells = F.slice("_c", FIXED_COLUMNS + 1, max(n_samples, 1))
         formats = [d for d in definitions if d[0] == "FORMAT"]
-        keys = F.split(cell(8), ":")
-        columns.append(parse_entries(sample_cells, keys, formats).alias("entries"))
-    if row_id:
-        columns.append(F.col("row_id"))
-    sites = check_loci(cells.select(*columns), build, invalid)
-    return Vcf(sites, headers_table(spark, definitions), samples_table(spark, names), names)
+        columns.append(parse_entries(sample_cells, F.split(cell(8), ":"), formats).alias("entries"))
+    return cells.select(*columns, *carried)
