@@ -8,9 +8,11 @@ from pyspark.sql import Column, functions as F
 def parse_call(text: Column) -> Column:
     """``0/1``, ``1|0``, ``1`` to a call struct; a call with any ``.`` allele is missing."""
     phased = F.contains(text, F.lit("|"))
-    alleles = F.transform(F.split(text, r"[/|]"), lambda a: a.try_cast("int"))
+    # a one-letter separator keeps the split off the pattern matcher
+    parts = F.split(F.translate(text, "|", "/"), "/")
+    alleles = F.transform(parts, lambda a: a.try_cast("int"))
     call = F.struct(unphased_order(alleles, phased).alias("alleles"), phased.alias("phased"))
-    return F.when(F.forall(alleles, lambda a: a.isNotNull()), call)
+    return F.when(~F.contains(text, F.lit(".")), call)
 
 
 def call_text(call: Column) -> Column:
@@ -22,7 +24,7 @@ def call_text(call: Column) -> Column:
 
 def unphased_order(alleles: Column, phased: Column) -> Column:
     """Unphased calls carry no allele order, so they are kept sorted."""
-    return F.when(phased, alleles).otherwise(F.array_sort(alleles))
+    return F.when(phased, alleles).otherwise(F.sort_array(alleles))
 
 
 def downcode(call: Column, a_index: Column) -> Column:

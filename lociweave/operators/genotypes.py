@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lociweave.functions.genotypes import allele_calls, allele_counts, diploid
 from lociweave.model import info_names
@@ -103,18 +103,14 @@ def major_minor_calls(df: DataFrame) -> DataFrame:
     Ties go to the smaller allele index.  Only rows with at least one call change.
     """
     df = call_stats(df)
-    # order by (-count, index) without a lambda comparator
-    ranked = F.array_sort(
+    ranked = F.sort_array(
         F.transform("AC", lambda n, i: F.struct((-n).alias("down"), i.alias("allele")))
     )
     pair = F.transform(F.slice(ranked, 1, 2), lambda r: r["allele"])
     call = F.struct(pair.alias("alleles"), F.lit(False).alias("phased"))
-
-    def recall(e: Column) -> Column:
-        return e.withField("GT", F.when(F.col("AN") > 0, F.col("_call")).otherwise(e["GT"]))
-
-    return (
-        df.withColumn("_call", call)
-        .withColumn("entries", F.transform("entries", recall))
-        .drop("_call", "AC", "AN", "AF")
-    )
+    # repeated rather than captured by the lambda, which would work it out for every sample
+    calls = F.array_repeat(call, F.size("entries"))
+    forced = F.zip_with("entries", calls, lambda e, c: e.withField("GT", c))
+    return df.withColumn(
+        "entries", F.when(F.col("AN") > 0, forced).otherwise(F.col("entries"))
+    ).drop("AC", "AN", "AF")

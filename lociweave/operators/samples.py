@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lociweave.functions.genotypes import allele_calls
 from lociweave.model import VARIANT_KEY
@@ -28,28 +28,37 @@ def _renumbered(samples: DataFrame, places: list[int]) -> DataFrame:
     return samples.join(order, "idx").select(F.col("new_idx").alias("idx"), "s")
 
 
+def _picked(places: list[int]) -> Column:
+    index = F.array(*[F.lit(i) for i in places]) if places else F.array().cast("array<int>")
+    return F.transform(index, lambda i: F.get(F.col("entries"), i))
+
+
 def select_samples(
     df: DataFrame, samples: DataFrame, wanted: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Keep the entries of the wanted samples, in file order; row-local."""
     places = _kept_places(samples, wanted)
-    index = F.array(*[F.lit(i) for i in places]) if places else F.array().cast("array<int>")
-    kept = F.transform(index, lambda i: F.get(F.col("entries"), i))
-    return df.withColumn("entries", kept), _renumbered(samples, places)
+    return df.withColumn("entries", _picked(places)), _renumbered(samples, places)
 
 
-def carried_rows(df: DataFrame, any_alt: bool = False) -> DataFrame:
-    """Rows whose first alternate (or any alternate) is carried by a sample."""
-    calls = allele_calls(F.col("entries"))
-    return df.where(F.exists(calls, (lambda a: a > 0) if any_alt else (lambda a: a == 1)))
+def is_carried(entries: Column, any_alt: bool = False) -> Column:
+    """True if a sample carries the first alternate (or any alternate)."""
+    alt = (lambda a: a > 0) if any_alt else (lambda a: a == 1)
+    return F.exists(allele_calls(entries), alt)
 
 
 def subset_samples(
     df: DataFrame, samples: DataFrame, wanted: DataFrame, any_alt: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Haploid fix, sample subset, then only rows still carrying the alternate."""
-    kept, kept_samples = select_samples(fix_haploid(df), samples, wanted)
-    return carried_rows(kept, any_alt), kept_samples
+    """Haploid fix and sample subset of the rows in which a wanted sample carries the alternate.
+
+    Doubling a haploid call does not change which alleles are carried, so rows are dropped before
+    any entry is rewritten.
+    """
+    places = _kept_places(samples, wanted)
+    carried = df.where(is_carried(_picked(places), any_alt))
+    picked = carried.withColumn("entries", _picked(places))
+    return fix_haploid(picked), _renumbered(samples, places)
 
 
 def drop_first_sample(df: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:

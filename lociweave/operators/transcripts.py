@@ -21,12 +21,14 @@ from lociweave.operators.lookup import Lookup, lookup_left
 def explode_transcripts(df: DataFrame, column: str = "csq") -> DataFrame:
     """One row per transcript with its place ``tx_idx`` and its struct ``tc``; empty arrays vanish."""
     others = [c for c in df.columns if c != column]
-    return df.select(*others, F.posexplode(column).alias("tx_idx", "tc"))
+    # the outer form: for the inner one Spark derives a filter that works the array out twice
+    rows = df.select(*others, F.posexplode_outer(column).alias("tx_idx", "tc"))
+    return rows.where(F.col("tx_idx").isNotNull())
 
 
 def regroup_transcripts(exploded: DataFrame, keys: list[str], column: str = "csq") -> DataFrame:
     """Collect the transcript structs of each key, in their original order."""
-    ordered = F.array_sort(F.collect_list(F.struct("tx_idx", "tc")))
+    ordered = F.sort_array(F.collect_list(F.struct("tx_idx", "tc")))
     return (
         exploded.groupBy(*keys)
         .agg(ordered.alias("_tx"))
@@ -59,7 +61,7 @@ def enrich_transcripts(
             F.collect_list(F.when(F.col("tc").isNotNull(), F.struct("tx_idx", "tc"))).alias("_tx"),
         )
     )
-    transcripts = F.transform(F.array_sort("_tx"), lambda x: x["tc"])
+    transcripts = F.transform(F.sort_array("_tx"), lambda x: x["tc"])
     return grouped.select(
         "row_id",
         *[F.col("_row")[c].alias(c) for c in others],
@@ -135,7 +137,7 @@ def joined_gene_lists(gene_lists: DataFrame) -> DataFrame:
     The group is the set of lists that name one symbol, deduplicated first, so it is bounded by
     the number of lists.
     """
-    names = F.array_sort(F.collect_list(F.struct("list_order", "list_name")))
+    names = F.sort_array(F.collect_list(F.struct("list_order", "list_name")))
     return (
         gene_lists.select("symbol", "list_order", "list_name")
         .distinct()
@@ -158,7 +160,7 @@ def splice_by_variant(splice: DataFrame) -> Lookup:
     join on exploded transcripts.
     """
     per_gene = splice.groupBy(*VARIANT_KEY, "SYMBOL").agg(F.min("SpliceAI").alias("raw"))
-    records = F.array_sort(F.collect_list(F.struct("SYMBOL", "raw"))).alias("_splice")
+    records = F.sort_array(F.collect_list(F.struct("SYMBOL", "raw"))).alias("_splice")
     return Lookup(per_gene.groupBy(*VARIANT_KEY).agg(records), {"_splice": "_splice"})
 
 

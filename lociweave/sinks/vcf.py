@@ -163,7 +163,7 @@ def export_vcf_shards(
         "_o0 int, _o1 string, _o2 int, _o3 array<string>, value string",
     )
     # every shard repeats the header: its few lines are nested in one row per shard
-    nested = lines.agg(F.array_sort(F.collect_list(F.struct("_o0", "_o1", "_o2", "_o3", "value"))).alias("h"))
+    nested = lines.agg(F.sort_array(F.collect_list(F.struct("_o0", "_o1", "_o2", "_o3", "value"))).alias("h"))
     head = (
         records.select("shard").distinct().withColumn("_one", F.lit(1))
         .join(F.broadcast(nested.withColumn("_one", F.lit(1))), "_one")

@@ -113,19 +113,28 @@ def parse_info(text: Column, definitions: list[tuple]) -> Column:
     return F.struct(*fields) if fields else F.struct(F.lit(None).cast("string").alias("_none"))
 
 
-def parse_entries(cells: Column, format_keys: Column, definitions: list[tuple]) -> Column:
-    """``array<struct>`` of genotype fields; the key places are found once per row."""
+def parse_entries(cells: Column, places: Column, definitions: list[tuple]) -> Column:
+    """``array<struct>`` of genotype fields.
 
-    def entry(tokens: Column) -> Column:
-        fields = []
-        for _, name, number, kind, _ in definitions:
-            place = F.array_position(format_keys, name).cast("int") - 1
-            token = F.get(tokens, place)
-            value = parse_call(token) if name == "GT" else _typed(token, number, kind)
-            fields.append(value.alias(name))
-        return F.struct(*fields)
+    ``places`` is a column (found once per row) with the place of each field in the row's FORMAT,
+    or -1.  Each step is its own transform because a lambda shares nothing between its fields.
+    """
+
+    def picked(tokens: Column) -> Column:
+        return F.struct(
+            *[F.get(tokens, F.get(places, F.lit(i))).alias(d[1]) for i, d in enumerate(definitions)]
+        )
+
+    def typed(texts: Column) -> Column:
+        return F.struct(
+            *[
+                (parse_call(texts[name]) if name == "GT" else _typed(texts[name], number, kind)).alias(name)
+                for _, name, number, kind, _ in definitions
+            ]
+        )
 
-    return F.transform(F.transform(cells, lambda s: F.split(s, ":")), entry)
+    tokens = F.transform(cells, lambda s: F.split(s, ":"))
+    return F.transform(F.transform(tokens, picked), typed)
 
 
 def valid_locus(build: str) -> Column:
@@ -188,7 +197,7 @@ def parse_sites(
     find_replace: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Record lines (column ``value``; others are carried) to sites, typed by the definitions."""
-    lines = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0))
+    lines = lines.where(~F.col("value").rlike("^(#|$)"))
     text = F.col("value")
     if find_replace:
         text = F.regexp_replace(text, find_replace[0], find_replace[1])
@@ -216,5 +225,8 @@ def parse_sites(
     if genotypes:
         sample_cells = F.slice("_c", FIXED_COLUMNS + 1, max(n_samples, 1))
         formats = [d for d in definitions if d[0] == "FORMAT"]
-        columns.append(parse_entries(sample_cells, F.split(cell(8), ":"), formats).alias("entries"))
+        cells = cells.withColumn("_keys", F.split(cell(8), ":"))
+        places = [F.array_position("_keys", d[1]).cast("int") - 1 for d in formats]
+        cells = cells.withColumn("_places", F.array(*places))
+        columns.append(parse_entries(sample_cells, F.col("_places"), formats).alias("entries"))
     return cells.select(*columns, *carried)

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BASE_TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "region"]
 
+MATRIX_SAMPLES = range(1, 8)
+
 SPARK_SERIES = (
     "explode(if(pk % 4 > 0, sequence(1, cast(pk % 4 as int)), cast(array() as array<int>)))"
 )
@@ -224,7 +226,7 @@ class Inputs:
 
     def consequences(self) -> DataFrame:
         """``csq``: packed strings per variant, in transcript order."""
-        packed = F.array_sort(F.collect_list(F.struct("tx_idx", "csq")))
+        packed = F.sort_array(F.collect_list(F.struct("tx_idx", "csq")))
         return (
             self.keyed("fx_csq")
             .groupBy("contig", "pos", "alleles")
@@ -239,9 +241,10 @@ class Inputs:
 
     def matrix(self) -> DataFrame:
         """Genotypes: a site per order, seven samples, haploid on chrY, holes in every field."""
-        cells = self.view("fx_cells")
-        per_site = cells.groupBy("o").agg(
-            F.map_from_entries(F.collect_list(F.struct("smp", F.struct("pk", "sk")))).alias("cell")
+        line = F.col("l_linenumber")
+        per_site = self.table("lineitem").groupBy(F.col("l_orderkey").alias("o")).agg(
+            *[F.min(F.when(line == i, F.col("l_partkey"))).alias(f"pk{i}") for i in MATRIX_SAMPLES],
+            *[F.max(F.when(line == i, F.col("l_suppkey"))).alias(f"sk{i}") for i in MATRIX_SAMPLES],
         )
         n = (F.col("o") % 3 + 1).cast("int")
         base = F.col("o") % 4
@@ -250,11 +253,10 @@ class Inputs:
             return F.substring(F.lit("ACGT"), ((base + k) % 4 + 1).cast("int"), F.lit(1))
 
         def entry(i):
-            cell = F.try_element_at(F.col("cell"), i)
-            pk, sk = cell["pk"], cell["sk"]
+            pk, sk = F.col(f"pk{i}"), F.col(f"sk{i}")
             a1 = (pk % (F.col("n_alt") + 1)).cast("int")
             a2 = (sk % (F.col("n_alt") + 1)).cast("int")
-            diploid = F.array_sort(F.array(a1, a2))
+            diploid = F.array(F.least(a1, a2), F.greatest(a1, a2))
             alleles = F.when(F.col("contig") == "chrY", F.array(a1)).otherwise(diploid)
             call = F.struct(alleles.alias("alleles"), F.lit(False).alias("phased"))
             depths = F.transform(
@@ -285,7 +287,7 @@ class Inputs:
             .withColumn(
                 "alleles", F.transform(F.sequence(F.lit(0), F.col("n_alt")), letter)
             )
-            .withColumn("entries", F.transform(F.sequence(F.lit(1), F.lit(7)), entry))
+            .withColumn("entries", F.array(*[entry(i) for i in MATRIX_SAMPLES]))
             .select("contig", "pos", "alleles", "entries")
         )
 

@@ -37,7 +37,7 @@ def text_list(values: Column) -> Column:
 
 def long_entries(df: DataFrame, *carried: str) -> DataFrame:
     """One row per site and sample with the entry ``e`` and the 1-based sample place ``smp``."""
-    rows = df.select("contig", "pos", joined(), *carried, F.posexplode("entries").alias("i", "e"))
+    rows = df.select("contig", "pos", joined(), *carried, F.posexplode_outer("entries").alias("i", "e"))
     return rows.withColumn("smp", F.col("i") + 1).drop("i")
 
 
