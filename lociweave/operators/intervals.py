@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lociweave.session import fits_broadcast
 
-BIN = 16384
+BIN_BITS = 14
 
 
 def _bin(position):
-    return F.floor(position / F.lit(BIN)).cast("int")
+    return F.shiftright(position, BIN_BITS)
 
 
 def _swept(intervals: DataFrame, values: list[str]) -> DataFrame:

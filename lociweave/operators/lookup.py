@@ -15,6 +15,9 @@ from lociweave.model import VARIANT_KEY
 from lociweave.session import fits_broadcast
 
 
+HASH = "_hash"
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A right side: its table and the columns to bring over, as ``{output: source column}``."""
@@ -52,18 +55,25 @@ def _reduced(right: DataFrame, pairs: list[tuple], values: dict[str, str], uniqu
 
 
 def _join_reduced(
-    left: DataFrame, right: DataFrame, left_keys: list[Column], keys: list[str], unique: bool
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: list[Column],
+    keys: list[str],
+    unique: bool = False,
+    measure: bool = False,
 ) -> DataFrame:
+    """Left join to a reduced right side; a sort-merge join leaves its ``HASH`` column behind."""
     condition = [lk == F.col(k) for lk, k in zip(left_keys, keys)]
-    if fits_broadcast(right):
+    if fits_broadcast(right, measure):
         right = F.broadcast(right)
     elif not unique:
         # The reduction leaves the right side partitioned by the key, and Spark can split a hot
         # left partition only where both join inputs come straight from an exchange.  Joining on
         # a hash of the key as well asks for that exchange; it moves reduced rows only.
-        right = right.withColumn("_hash", F.xxhash64(*keys))
-        condition.append(F.xxhash64(*left_keys) == F.col("_hash"))
-    return left.join(right, condition, "left").drop(*keys, "_hash")
+        left = left.withColumn(HASH, F.xxhash64(*left_keys))
+        right = right.withColumn("_right_hash", F.xxhash64(*keys))
+        condition = [F.col(HASH) == F.col("_right_hash"), *condition]
+    return left.join(right, condition, "left").drop(*keys, "_right_hash")
 
 
 def lookup_left(
@@ -73,49 +83,53 @@ def lookup_left(
     values: dict[str, str],
     default: str | None = None,
     unique: bool = False,
+    measure: bool = False,
 ) -> DataFrame:
     """Add ``values`` from the matching right row.
 
     ``on`` pairs left expressions with right columns.  ``default`` fills rows without a match; a
     matched row whose value is missing stays missing.  ``unique`` promises one right row per key.
-    A right side within Spark's broadcast threshold is broadcast, a larger one is sort-merged.
+    A right side within Spark's broadcast threshold is broadcast, a larger one is sort-merged;
+    ``measure`` goes by its true size where the estimate is too high.
     """
     pairs = [(p, p) if isinstance(p, str) else p for p in on]
     reduced, keys = _reduced(right, pairs, values, unique)
     left_keys = [F.col(lk) if isinstance(lk, str) else lk for lk, _ in pairs]
-    joined = _join_reduced(left, reduced, left_keys, keys, unique)
+    joined = _join_reduced(left.drop(HASH), reduced, left_keys, keys, unique, measure)
     outputs = {}
     for out in values:
         value = F.col("_match")[out]
         if default is not None:
             value = F.when(F.col("_match").isNull(), F.lit(default)).otherwise(value)
         outputs[out] = value
-    return joined.withColumns(outputs).drop("_match")
+    return joined.withColumns(outputs).drop("_match", HASH)
 
 
-def lookup_variants(sites: DataFrame, lookups: list[Lookup]) -> DataFrame:
+def lookup_variants(
+    sites: DataFrame, lookups: list[Lookup], keep_hash: bool = False
+) -> DataFrame:
     """Add the values of several variant-keyed lookups with a single join.
 
     The right sides are stacked and reduced together, so the wide left rows move once however many
-    lookups there are, and each right side moves in its reduced form only.
+    lookups there are, and each right side moves in its reduced form only.  ``keep_hash`` keeps
+    the hash column of a sort-merge join, so a later grouping can reuse its partitioning.
     """
     if not lookups:
         return sites
-    if len(lookups) == 1:
-        return lookup_left(sites, lookups[0].table, VARIANT_KEY, lookups[0].values)
     stacked = []
     for i, lookup in enumerate(lookups):
         match = F.struct(*[_source(v).alias(out) for out, v in lookup.values.items()])
         stacked.append(lookup.table.select(*VARIANT_KEY, match.alias(f"_m{i}")))
     right = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
+    drop = [f"_m{i}" for i in range(len(lookups))] + ([] if keep_hash else [HASH])
     keys = [f"_k{i}" for i in range(len(VARIANT_KEY))]
     right = right.select(
         *[F.col(c).alias(k) for c, k in zip(VARIANT_KEY, keys)],
         *[f"_m{i}" for i in range(len(lookups))],
     ).where("_k0 is not null and _k1 is not null and _k2 is not null")
     right = right.groupBy(*keys).agg(*[F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(lookups))])
-    joined = _join_reduced(sites, right, [F.col(c) for c in VARIANT_KEY], keys, unique=False)
+    joined = _join_reduced(sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys)
     outputs = {
         out: F.col(f"_m{i}")[out] for i, lookup in enumerate(lookups) for out in lookup.values
     }
-    return joined.withColumns(outputs).drop(*[f"_m{i}" for i in range(len(lookups))])
+    return joined.withColumns(outputs).drop(*drop)

@@ -15,7 +15,7 @@ from lociweave.functions.csq import (
     splice_values,
 )
 from lociweave.model import VARIANT_KEY, with_row_id
-from lociweave.operators.lookup import Lookup, lookup_left
+from lociweave.operators.lookup import HASH, Lookup, lookup_left
 
 
 def explode_transcripts(df: DataFrame, column: str = "csq") -> DataFrame:
@@ -45,17 +45,21 @@ def enrich_transcripts(
     group.  The other columns travel with the first transcript only: a wide row is not copied once
     per transcript, and each task combines its rows before the shuffle.  A row without transcripts
     stays and its array is missing.
+
+    Rows that come from a sort-merge variant lookup are grouped by its keys too.  They are
+    partitioned by those already, so the regroup needs no shuffle of its own.
     """
     numbered = with_row_id(df)
-    others = [c for c in numbered.columns if c not in (column, "row_id")]
+    keys = ["row_id", *([HASH, *VARIANT_KEY] if HASH in df.columns else [])]
+    others = [c for c in numbered.columns if c != column and c not in keys]
     exploded = numbered.select(
-        "row_id",
+        *keys,
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"),
         F.posexplode_outer(column).alias("tx_idx", "tc"),
     ).withColumn("_row", F.when(F.coalesce("tx_idx", F.lit(0)) == 0, F.col("_row")))
     grouped = (
         enrich(exploded)
-        .groupBy("row_id")
+        .groupBy(*keys)
         .agg(
             F.first("_row", ignorenulls=True).alias("_row"),
             F.collect_list(F.when(F.col("tc").isNotNull(), F.struct("tx_idx", "tc"))).alias("_tx"),
@@ -63,7 +67,7 @@ def enrich_transcripts(
     )
     transcripts = F.transform(F.sort_array("_tx"), lambda x: x["tc"])
     return grouped.select(
-        "row_id",
+        *keys,
         *[F.col("_row")[c].alias(c) for c in others],
         F.when(F.size("_tx") > 0, transcripts).alias(column),
     ).select(*df.columns)
@@ -80,7 +84,8 @@ def with_tc_fields(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
 def _lookup_into_tc(exploded: DataFrame, field: str, right: DataFrame, key: str, values: dict):
     """Look up one transcript field and store the values in ``tc``, ``''`` if unmatched."""
     names = {f"_t_{out}": source for out, source in values.items()}
-    joined = lookup_left(exploded, right, [(F.col("tc")[field], key)], names, default="")
+    on = [(F.col("tc")[field], key)]
+    joined = lookup_left(exploded, right, on, names, default="", measure=True)
     fields = {out: F.col(f"_t_{out}") for out in values}
     return with_tc_fields(joined, fields).drop(*names)
 

@@ -20,7 +20,7 @@ from lociweave.operators.genotypes import (
     split_keep_sum,
 )
 from lociweave.operators.intervals import annotate_intervals
-from lociweave.operators.lookup import Lookup, lookup_left, lookup_variants
+from lociweave.operators.lookup import HASH, Lookup, lookup_left, lookup_variants
 from lociweave.operators.normalize import score_table_key, split_multiallelic
 from lociweave.operators.samples import drop_first_sample
 from lociweave.operators.transcripts import (
@@ -146,13 +146,13 @@ def _annotated(
 ) -> tuple[DataFrame, list[str]]:
     """Add variant lookups as top-level columns and the enriched ``csq``; return the new names.
 
-    The variant join comes after the regroup: it then meets each variant once, and the values it
-    brings do not travel through the regroup.
+    The variant join comes first: the regroup of transcripts then reuses its partitioning, so the
+    wide rows are shuffled once in the whole run.
     """
-    df = df.withColumn("csq", parse_csq(packed, columns))
-    df = enrich_transcripts(df, lambda x: enrich_exploded(x, res))
     lookups = variant_lookups(res, build, clinvar_fields)
-    df = lookup_variants(df, lookups)
+    df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True)
+    df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
+    df = enrich_transcripts(df, lambda x: enrich_exploded(x, res)).drop(HASH)
     if res.splice is not None:
         df = add_splice_scores(df, gate, overall)
     return df, [out for lookup in lookups for out in lookup.values if out != "_splice"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def recommended_conf() -> dict[str, str]:
@@ -41,8 +41,25 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True if the plan's estimated size is within Spark's own broadcast threshold."""
+def broadcast_limit(spark: SparkSession) -> int:
+    """Spark's broadcast threshold in bytes; negative if broadcasts are off."""
     # the conf accepts sizes such as 10MB, so ask Spark for the parsed value
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= estimated_bytes(df) <= limit
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table as text, from one aggregate that returns a single row."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    return df.agg(F.coalesce(size, F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def fits_broadcast(df: DataFrame, measure: bool = False) -> bool:
+    """True if the table is within Spark's own broadcast threshold.
+
+    The optimizer's estimate decides.  It can be far too high for derived tables, so ``measure``
+    runs the table once where the estimate is over the threshold and goes by its true size.
+    """
+    limit = broadcast_limit(df.sparkSession)
+    if limit < 0:
+        return False
+    return estimated_bytes(df) <= limit or (measure and measured_bytes(df) <= limit)
