@@ -61,8 +61,9 @@ def _join_reduced(
     keys: list[str],
     unique: bool = False,
     measure: bool = False,
+    hash_name: str = "_left_hash",
 ) -> DataFrame:
-    """Left join to a reduced right side; a sort-merge join leaves its ``HASH`` column behind."""
+    """Left join to a reduced right side; a sort-merge join leaves its hash column behind."""
     condition = [lk == F.col(k) for lk, k in zip(left_keys, keys)]
     if fits_broadcast(right, measure):
         right = F.broadcast(right)
@@ -70,9 +71,9 @@ def _join_reduced(
         # The reduction leaves the right side partitioned by the key, and Spark can split a hot
         # left partition only where both join inputs come straight from an exchange.  Joining on
         # a hash of the key as well asks for that exchange; it moves reduced rows only.
-        left = left.withColumn(HASH, F.xxhash64(*left_keys))
+        left = left.withColumn(hash_name, F.xxhash64(*left_keys))
         right = right.withColumn("_right_hash", F.xxhash64(*keys))
-        condition = [F.col(HASH) == F.col("_right_hash"), *condition]
+        condition = [F.col(hash_name) == F.col("_right_hash"), *condition]
     return left.join(right, condition, "left").drop(*keys, "_right_hash")
 
 
@@ -95,14 +96,14 @@ def lookup_left(
     pairs = [(p, p) if isinstance(p, str) else p for p in on]
     reduced, keys = _reduced(right, pairs, values, unique)
     left_keys = [F.col(lk) if isinstance(lk, str) else lk for lk, _ in pairs]
-    joined = _join_reduced(left.drop(HASH), reduced, left_keys, keys, unique, measure)
+    joined = _join_reduced(left, reduced, left_keys, keys, unique, measure)
     outputs = {}
     for out in values:
         value = F.col("_match")[out]
         if default is not None:
             value = F.when(F.col("_match").isNull(), F.lit(default)).otherwise(value)
         outputs[out] = value
-    return joined.withColumns(outputs).drop("_match", HASH)
+    return joined.withColumns(outputs).drop("_match", "_left_hash")
 
 
 def lookup_variants(
@@ -128,7 +129,9 @@ def lookup_variants(
         *[f"_m{i}" for i in range(len(lookups))],
     ).where("_k0 is not null and _k1 is not null and _k2 is not null")
     right = right.groupBy(*keys).agg(*[F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(lookups))])
-    joined = _join_reduced(sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys)
+    joined = _join_reduced(
+        sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys, hash_name=HASH
+    )
     outputs = {
         out: F.col(f"_m{i}")[out] for i, lookup in enumerate(lookups) for out in lookup.values
     }

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.csq import SPLICE_TERMS, pack_csq, parse_csq
-from lociweave.model import VARIANT_KEY, with_info
+from lociweave.model import VARIANT_KEY, with_info, with_row_id
 from lociweave.operators.genotypes import (
     cohort_counts,
     major_minor_calls,
@@ -149,10 +149,14 @@ def _annotated(
     The variant join comes first: the regroup of transcripts then reuses its partitioning, so the
     wide rows are shuffled once in the whole run.
     """
+    numbered = "row_id" in df.columns
     lookups = variant_lookups(res, build, clinvar_fields)
     df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True)
+    df = with_row_id(df)
     df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
     df = enrich_transcripts(df, lambda x: enrich_exploded(x, res)).drop(HASH)
+    if not numbered:
+        df = df.drop("row_id")
     if res.splice is not None:
         df = add_splice_scores(df, gate, overall)
     return df, [out for lookup in lookups for out in lookup.values if out != "_splice"]

@@ -1,7 +1,11 @@
-"""Compare registered queries with their oracles: ``python -m suite.check <data folder> [names]``."""
+"""Compare registered queries with their oracles: ``python -m suite.check <data folder> [names]``.
+
+``CHECK_BROADCAST=-1`` turns broadcasts off, so the paths for large tables are checked too.
+"""
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -19,6 +23,8 @@ def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").config("spark.ui.enabled", "false")
     builder = builder.config("spark.sql.shuffle.partitions", partitions)
     builder = builder.config("spark.driver.memory", "8g")
+    if "CHECK_BROADCAST" in os.environ:
+        builder = builder.config("spark.sql.autoBroadcastJoinThreshold", os.environ["CHECK_BROADCAST"])
     for key, value in recommended_conf().items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
