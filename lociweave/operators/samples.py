@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lociweave.functions.genotypes import allele_calls
 from lociweave.model import VARIANT_KEY
 from lociweave.operators.genotypes import fix_haploid
+from lociweave.operators.lookup import lookup_left
 from lociweave.operators.normalize import entry_names
 from lociweave.operators.shards import number_rows
 
@@ -76,19 +77,20 @@ def strip_format(df: DataFrame, keep: list[str] = MERGE_FIELDS) -> DataFrame:
     return df.withColumn("entries", slim)
 
 
-def attach_genotypes(annotated: DataFrame, genotyped: DataFrame) -> DataFrame:
-    """Inner join on the variant: row fields from the left, entries of both sides in order."""
-    keys = [f"_g{i}" for i in range(len(VARIANT_KEY))]
-    right = genotyped.select(
-        *[F.col(c).alias(k) for c, k in zip(VARIANT_KEY, keys)], F.col("entries").alias("_right")
-    )
-    condition = [F.col(c) == F.col(k) for c, k in zip(VARIANT_KEY, keys)]
+def attach_genotypes(
+    annotated: DataFrame, genotyped: DataFrame, unique: bool = False
+) -> DataFrame:
+    """Rows of the left whose variant has genotypes on the right, entries of both sides in order.
+
+    Row fields come from the left.  A variant repeated on the right counts once (its smallest
+    entries), so copies on both sides never form pairs; ``unique`` promises there are none.
+    """
+    right = genotyped.select(*VARIANT_KEY, "entries")
+    joined = lookup_left(annotated, right, VARIANT_KEY, {"_right": "entries"}, unique=unique)
     entries = F.col("_right")
     if "entries" in annotated.columns:
         entries = F.concat("entries", "_right")
-    return (
-        annotated.join(right, condition).withColumn("entries", entries).drop("_right", *keys)
-    )
+    return joined.where(F.col("_right").isNotNull()).withColumn("entries", entries).drop("_right")
 
 
 def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:

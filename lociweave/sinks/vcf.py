@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lociweave.functions.genotypes import call_text
 from lociweave.model import CONTIG_LENGTHS, genome_order
 from lociweave.operators.normalize import entry_names
-from lociweave.operators.shards import into_shards
+from lociweave.operators.shards import contig_shards, into_shards
 
 VCF_TYPES = {"int": "Integer", "bigint": "Integer", "double": "Float", "float": "Float"}
 
@@ -148,31 +148,41 @@ def export_vcf_shards(
     samples: list[str] = (),
     build: str = "GRCh38",
     compression: str = "gzip",
+    by_contig: bool = False,
 ) -> str | None:
-    """Write ``path/shard=N/``, each with its own header; nothing is written without rows."""
+    """Write ``path/shard=N/`` (or ``path/contig=C/shard=N/``), each with its own header.
+
+    Nothing is written for an input without rows.
+    """
     if df.isEmpty():
         return None
-    sharded = into_shards(df, per_shard, build)
+    split = contig_shards if by_contig else into_shards
+    parts = ["contig", "shard"] if by_contig else ["shard"]
     order = genome_order(build)
     names = [f"_o{i}" for i in range(len(order))]
-    records = sharded.select(
-        "shard", *[o.alias(n) for o, n in zip(order, names)], record_lines(df).alias("value")
-    )
-    lines = df.sparkSession.createDataFrame(
-        [(-1, "", i, [], line) for i, line in enumerate(header_lines(df, headers, samples, build))],
-        "_o0 int, _o1 string, _o2 int, _o3 array<string>, value string",
-    )
-    # every shard repeats the header: its few lines are nested in one row per shard
-    nested = lines.agg(F.sort_array(F.collect_list(F.struct("_o0", "_o1", "_o2", "_o3", "value"))).alias("h"))
-    head = (
-        records.select("shard").distinct().withColumn("_one", F.lit(1))
-        .join(F.broadcast(nested.withColumn("_one", F.lit(1))), "_one")
-        .select("shard", F.explode("h").alias("h"))
-        .select("shard", "h.*")
+    records = split(df, per_shard, build).select(
+        *parts, *[o.alias(n) for o, n in zip(order, names)], record_lines(df).alias("value")
     )
+    lines = [
+        F.struct(
+            F.lit(-1).alias("_o0"),
+            F.lit("").alias("_o1"),
+            F.lit(i).alias("_o2"),
+            F.array().cast("array<string>").alias("_o3"),
+            F.lit(line).alias("value"),
+        )
+        for i, line in enumerate(header_lines(df, headers, samples, build))
+    ]
+    # every shard repeats the header
+    head = records.select(*parts).distinct().select(*parts, F.explode(F.array(*lines)).alias("h"))
+    head = head.select(*parts, "h.*")
     # a shard is bounded by per_shard rows, so it fits one sorted task
-    ordered = head.unionByName(records).repartition("shard").sortWithinPartitions("shard", *names, "value")
-    ordered.select("shard", "value").write.mode("overwrite").partitionBy("shard").text(
+    ordered = (
+        head.unionByName(records)
+        .repartition(*parts)
+        .sortWithinPartitions(*parts, *names, "value")
+    )
+    ordered.select(*parts, "value").write.mode("overwrite").partitionBy(*parts).text(
         path, compression=compression
     )
     return path
