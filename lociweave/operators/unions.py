@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lociweave.operators.shards import natural_key, sort_genome
 
@@ -25,28 +25,29 @@ def union_by_position(tables: list[DataFrame]) -> DataFrame:
 
 
 def concat_shards(
-    shards: dict[str, tuple[DataFrame, list[str]]],
+    shards: list[tuple[str, DataFrame, list[str]]],
     naive: bool = True,
     allow_overlaps: bool = False,
     build: str = "GRCh38",
 ) -> DataFrame:
-    """Concatenate sharded sites in natural file-name order, ``{path: (sites, sample names)}``.
+    """Concatenate ``(path, sites, sample names)`` shards in natural file-name order.
 
     All shards must list the same samples.  ``allow_overlaps`` sorts the result, which plain
     concatenation (``naive``) never does, so the two exclude each other.
     """
     if naive and allow_overlaps:
         raise ValueError("naive and allow_overlaps exclude each other")
-    lists = {tuple(names) for _, names in shards.values()}
+    lists = {tuple(names) for _, _, names in shards}
     if len(lists) > 1:
         raise ValueError("the shards list different samples")
-    stacked = union_rows([shards[path][0] for path in natural_order(list(shards), shards)])
+    paths = [path for path, _, _ in shards]
+    places = natural_order(shards[0][1].sparkSession, paths)
+    stacked = union_rows([shards[i][1] for i in places])
     return sort_genome(stacked, build) if allow_overlaps else stacked
 
 
-def natural_order(paths: list[str], shards: dict[str, tuple[DataFrame, list[str]]]) -> list[str]:
-    """File paths ordered by base name with digit runs compared as numbers."""
-    spark = next(iter(shards.values()))[0].sparkSession
-    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+def natural_order(spark: SparkSession, paths: list[str]) -> list[int]:
+    """Places of the paths when ordered by base name, digit runs compared as numbers."""
+    listed = spark.createDataFrame(list(enumerate(paths)), "i int, path string")
     name = F.element_at(F.split("path", "/"), -1)
-    return [r["path"] for r in listed.orderBy(natural_key(name), "path").collect()]
+    return [r["i"] for r in listed.orderBy(natural_key(name), "path", "i").collect()]

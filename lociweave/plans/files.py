@@ -245,9 +245,9 @@ def scatter_store(spark: SparkSession, sites: str, out: str, records_per_shard:
 def merge_shards(
     spark: SparkSession, vcfs: list[str], out: str, sort: bool = False, build: str = "GRCh38"
 ) -> str:
-    opened = {path: read_vcf(spark, path, build, genotypes=True) for path in vcfs}
-    df = concat_shards({p: (v.sites, v.sample_names) for p, v in opened.items()})
-    first = opened[vcfs[0]]
+    opened = [read_vcf(spark, path, build, genotypes=True) for path in vcfs]
+    df = concat_shards([(p, v.sites, v.sample_names) for p, v in zip(vcfs, opened)])
+    first = opened[0]
     return export_vcf(sort_genome(df, build) if sort else df, first.headers, out, first.sample_names, build)
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.genotypes import call_text
 from lociweave.model import CONTIG_LENGTHS, genome_order
-from lociweave.operators.normalize import entry_names
 from lociweave.operators.shards import contig_shards, into_shards
 
 VCF_TYPES = {"int": "Integer", "bigint": "Integer", "double": "Float", "float": "Float"}
@@ -39,8 +38,14 @@ def info_text(df: DataFrame) -> Column:
     return F.when(text == "", F.lit(".")).otherwise(text)
 
 
-def entry_text(df: DataFrame) -> Column:
+def format_fields(df: DataFrame) -> list:
+    """Genotype fields in text order: GT has to come first."""
     fields = df.schema["entries"].dataType.elementType.fields
+    return sorted(fields, key=lambda f: f.name != "GT")
+
+
+def entry_text(df: DataFrame) -> Column:
+    fields = format_fields(df)
 
     def text(e: Column) -> Column:
         cells = [
@@ -75,7 +80,7 @@ def record_lines(df: DataFrame) -> Column:
         info_text(df) if "info" in df.columns else F.lit("."),
     ]
     if "entries" in df.columns:
-        cells += [F.lit(":".join(entry_names(df))), entry_text(df)]
+        cells += [F.lit(":".join(f.name for f in format_fields(df))), entry_text(df)]
     return F.concat_ws("\t", *cells)
 
 

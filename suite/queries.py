@@ -419,7 +419,7 @@ def union_by_position(x: Inputs) -> DataFrame:
 def concat_sorted(x: Inputs) -> DataFrame:
     first = x.variants().select(*VARIANT_KEY)
     second = order_sites(x).select(*VARIANT_KEY)
-    shards = {"in/c.shard_10.vcf": (first, ["s"]), "in/c.shard_2.vcf": (second, ["s"])}
+    shards = [("in/c.shard_10.vcf", first, ["s"]), ("in/c.shard_2.vcf", second, ["s"])]
     out = un.concat_shards(shards, naive=False, allow_overlaps=True)
     return out.select("contig", "pos", joined())
 
