@@ -92,8 +92,9 @@ def lookup_segment(
 ) -> DataFrame:
     """Join each 1-based ``pos`` to the disjoint segment with ``start0 < pos <= end0``.
 
-    Segments within the broadcast threshold are broadcast as they are, joined on the contig and
-    the bin; larger ones are hash-partitioned by both.
+    The join is on the contig and the bin.  Segments whose measured size is within the broadcast
+    threshold are broadcast; larger ones are hash-partitioned, straight from an exchange on both
+    sides, so adaptive execution can split a crowded bin.
     """
     right = segments.select(
         F.col("contig").alias("_c"),
@@ -102,7 +103,7 @@ def lookup_segment(
         F.explode(F.sequence(_bin(F.col("start0") + 1), _bin(F.col("end0")))).alias("_b"),
         *[F.col(v).alias(f"_v_{out}") for out, v in values.items()],
     )
-    if fits_broadcast(right):
+    if fits_broadcast(right, measure=True):
         right = F.broadcast(right)
     pos = F.col("pos")
     condition = [

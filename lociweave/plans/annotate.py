@@ -136,22 +136,30 @@ def enrich_exploded(exploded: DataFrame, res: Resources) -> DataFrame:
 
 def _annotated(
     df: DataFrame,
-    packed: Column,
+    packed: Column | None,
     columns: list[str],
     res: Resources,
     build: str,
     clinvar_fields: list[str],
     gate: list[str] | None,
     overall: bool,
+    consequences: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Add variant lookups as top-level columns and the enriched ``csq``; return the new names.
 
+    ``packed`` gives the packed consequences; with ``consequences`` they come from that table, in
+    the same join as the other variant lookups.
+
     The variant join comes first: the regroup of transcripts then reuses its partitioning, so the
     wide rows are shuffled once in the whole run.
     """
     numbered = "row_id" in df.columns
     lookups = variant_lookups(res, build, clinvar_fields)
-    df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True)
+    if consequences is not None:
+        found = lookups + [Lookup(consequences, {"_packed": "csq"})]
+        df = lookup_variants(df, found, keep_hash=True)
+    else:
+        df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True)
     df = with_row_id(df)
     df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
     df = enrich_transcripts(df, lambda x: enrich_exploded(x, res)).drop(HASH)
@@ -200,10 +208,9 @@ def annotate_table(
     clinvar_fields: list[str] = CLINVAR_FIELDS[:2],
 ) -> tuple[DataFrame, list[str]]:
     """Table form: values stay top-level columns and ``csq`` stays an array of structs."""
-    if consequences is not None:
-        table = attach_consequences(table, consequences, into_info=False)
+    packed = csq_strings(table, "vep") if consequences is None else None
     df, _ = _annotated(
-        table, csq_strings(table, "vep"), columns, res, build, clinvar_fields, None, False
+        table, packed, columns, res, build, clinvar_fields, None, False, consequences
     )
     return df.drop("vep"), transcript_fields(df)
 

@@ -282,7 +282,7 @@ def subset_intervals_vcf(
 
 def normalise_clinvar(spark: SparkSession, vcf: str, out_folder: str) -> str:
     """``chr`` names for a clinical release; the output is named after the release date."""
-    day = hd.file_date(vcf_lines(spark, vcf).limit(2)).first()["release"]
+    day = hd.file_date(vcf_lines(spark, vcf, head=True).limit(2)).first()["release"]
     v = read_vcf(spark, vcf, invalid="keep")
     headers = v.headers.where("section <> 'contig'")
     out = f"{out_folder}/clinvar_{day}_chr_rename_GRCh38.vcf.gz"

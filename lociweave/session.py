@@ -7,6 +7,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+COMPRESSION_ALLOWANCE = 8
+
+
 def recommended_conf() -> dict[str, str]:
     """Settings the operators are designed for.
 
@@ -56,10 +59,13 @@ def measured_bytes(df: DataFrame) -> int:
 def fits_broadcast(df: DataFrame, measure: bool = False) -> bool:
     """True if the table is within Spark's own broadcast threshold.
 
-    The optimizer's estimate decides.  It can be far too high for derived tables, so ``measure``
-    runs the table once where the estimate is over the threshold and goes by its true size.
+    The optimizer's estimate decides, with an allowance because it goes by compressed file sizes.
+    It can also be far too high for derived tables.  So where it does not settle the matter,
+    ``measure`` runs the table once and goes by its true size.
     """
     limit = broadcast_limit(df.sparkSession)
     if limit < 0:
         return False
-    return estimated_bytes(df) <= limit or (measure and measured_bytes(df) <= limit)
+    if estimated_bytes(df) * COMPRESSION_ALLOWANCE <= limit:
+        return True
+    return measure and measured_bytes(df) <= limit

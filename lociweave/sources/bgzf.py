@@ -13,29 +13,52 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SPLIT_BYTES = 64 << 20
 READ_BYTES = 4 << 20
 BATCH_LINES = 8192
 # Fixed value: the first bytes of every block (gzip magic, deflate, extra field present).
 MAGIC = b"\x1f\x8b\x08\x04"
 
 
-def bgzf_lines(spark: SparkSession, paths: list[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """One row ``value`` per line of all files."""
+def bgzf_lines(
+    spark: SparkSession, paths: list[str], split_bytes: int | None = None, head: bool = False
+) -> DataFrame:
+    """One row ``value`` per line of all files, or of their first ranges only (``head``).
+
+    Ranges are as large as the file splits of Spark's own readers unless ``split_bytes`` is given.
+    """
+    if split_bytes is None:
+        # the conf accepts sizes such as 128MB, so ask Spark for the parsed value
+        split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    # only names and lengths are read here, not the contents
     files = spark.read.format("binaryFile").load(paths).select("path", "length")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
+    if head:
+        starts = F.array(F.lit(0).cast("long"))
     ranges = files.where("length > 0").select("path", F.explode(starts).alias("start"))
     ranges = ranges.withColumn("stop", F.col("start") + split_bytes)
-    # a range each, so that one task never reads a whole file
-    return ranges.repartitionByRange("path", "start").mapInPandas(_range_lines, "value string")
+    # One range per task.  The number is explicit: adaptive execution would otherwise merge the
+    # tiny range rows, and with them all the reading, into one task.
+    ranges = ranges.repartition(max(1, ranges.count()))
+    return ranges.mapInPandas(_range_lines, "value string")
+
+
+def is_block_gzip(path: str) -> bool:
+    """True if a file starts with a block header; False if it cannot be opened from here."""
+    try:
+        with _open(path) as file:
+            return _block_size(file.read(64), 0) is not None
+    except Exception:
+        return False
 
 
 def _open(path: str):
     from pyarrow import fs
 
-    uri = path if "://" in path else path.replace("file:/", "file:///", 1)
-    uri = uri.replace("s3a://", "s3://", 1)
-    system, name = fs.FileSystem.from_uri(uri)
+    if path.startswith("/"):
+        path = "file://" + path
+    elif path.startswith("file:/") and not path.startswith("file://"):
+        path = path.replace("file:/", "file:///", 1)
+    system, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return system.open_input_file(name)
 
 
@@ -120,14 +143,15 @@ def _split_lines(file, start: int, stop: int) -> Iterator[bytes]:
 
 
 def _range_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, start, stop in zip(batch["path"], batch["start"], batch["stop"]):
-            with _open(path) as file:
-                lines: list[str] = []
-                for line in _split_lines(file, int(start), int(stop)):
-                    lines.append(line.decode())
-                    if len(lines) == BATCH_LINES:
-                        yield pd.DataFrame({"value": lines})
-                        lines = []
-                if lines:
+    # in a fixed order, so that a re-run task numbers its lines the same way
+    ranges = sorted(r for b in batches for r in zip(b["path"], b["start"], b["stop"]))
+    for path, start, stop in ranges:
+        with _open(path) as file:
+            lines: list[str] = []
+            for line in _split_lines(file, int(start), int(stop)):
+                lines.append(line.decode())
+                if len(lines) == BATCH_LINES:
                     yield pd.DataFrame({"value": lines})
+                    lines = []
+            if lines:
+                yield pd.DataFrame({"value": lines})

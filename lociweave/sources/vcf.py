@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lociweave.functions.genotypes import parse_call
 from lociweave.model import CONTIG_LENGTHS
 from lociweave.operators.headers import HEADER_COLUMNS
-from lociweave.sources.bgzf import bgzf_lines
+from lociweave.sources.bgzf import bgzf_lines, is_block_gzip
 
 TYPES = {"Integer": "int", "Float": "double", "String": "string", "Character": "string"}
 FIXED_COLUMNS = 9
@@ -32,22 +32,31 @@ def _as_list(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def vcf_lines(spark: SparkSession, paths: str | list[str], force_bgz: bool = False) -> DataFrame:
-    """Raw lines.  ``force_bgz`` reads ``.gz`` files as block-gzipped, in many tasks per file."""
+def vcf_lines(
+    spark: SparkSession, paths: str | list[str], force_bgz: bool = False, head: bool = False
+) -> DataFrame:
+    """Raw lines; block-gzipped files are read in many tasks each.
+
+    A ``.gz`` file counts as block-gzipped if it starts like one, or without a look if
+    ``force_bgz`` is set.  ``head`` needs the start of each file only.
+    """
     paths = _as_list(paths)
-    blocked = [p for p in paths if p.endswith(".bgz") or (force_bgz and p.endswith(".gz"))]
+    blocked = [
+        p for p in paths
+        if p.endswith(".bgz") or (p.endswith(".gz") and (force_bgz or is_block_gzip(p)))
+    ]
     plain = [p for p in paths if p not in blocked]
     parts = []
     if plain:
         parts.append(spark.read.text(plain))
     if blocked:
-        parts.append(bgzf_lines(spark, blocked))
+        parts.append(bgzf_lines(spark, blocked, head=head))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_header_lines(spark: SparkSession, path: str, force_bgz: bool = False) -> list[str]:
     """The ``#`` lines at the top of one file; reads the head of the file only."""
-    lines = vcf_lines(spark, path, force_bgz)
+    lines = vcf_lines(spark, path, force_bgz, head=True)
     n = 512
     while True:
         head = [row["value"] for row in lines.take(n)]

@@ -307,3 +307,16 @@ def test_copies_get_distinct_numbers(spark):
     assert sorted(r["row_number"] for r in got) == list(range(1, 9001))
     assert [r["k"] for r in sorted(got, key=lambda r: r["row_number"])] == sorted(r["k"] for r in got)
     assert VARIANT_KEY == ["contig", "pos", "alleles"]
+
+
+def test_block_gzip_is_recognised_and_read_in_ranges(spark, vcf, tmp_path):
+    from lociweave.sources.bgzf import is_block_gzip
+
+    blocked, plain = tmp_path / "b.vcf.gz", tmp_path / "p.vcf.gz"
+    blocked.write_bytes(block_gzip(Path(vcf).read_bytes(), 100))
+    plain.write_bytes(gzip.compress(Path(vcf).read_bytes()))
+    assert is_block_gzip(str(blocked)) and not is_block_gzip(str(plain)) and not is_block_gzip("/none.gz")
+    assert bgzf_lines(spark, [str(blocked)], 300).rdd.getNumPartitions() > 3
+    want = sorted(read_vcf(spark, vcf).sites.collect(), key=repr)
+    for path in (blocked, plain):
+        assert sorted(read_vcf(spark, str(path)).sites.collect(), key=repr) == want
