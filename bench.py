@@ -1,8 +1,8 @@
-"""Time the registered queries and print one JSON line.
+"""Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` is the data folder, ``BENCH_CPUS`` the number of local cores, ``BENCH_RUNS`` the
-number of timed runs (the median counts), ``BENCH_QUERIES`` an optional comma-separated selection.
-Every run produces all rows of all columns and discards them.
+number of timed runs (the median counts), ``BENCH_QUERIES`` another comma-separated selection, or
+``all``.  Every run produces all rows of all columns and discards them.
 """
 
 from __future__ import annotations
@@ -17,6 +17,15 @@ from suite.check import local_session
 from suite.queries import QUERIES, run
 
 
+HEADLINE = [
+    "split_multiallelic", "lookup_mpc", "lookup_many", "lookup_cadd",
+    "csq_parse", "csq_repack", "lookup_loeuf", "gene_list_many", "hgvsc_symbol", "spliceai_gated",
+    "interval_annotate", "region_overlap", "pl_collapse", "call_stats", "merge_samples",
+    "contig_shards", "vcf_text_genotypes",
+    "annotate_vcf", "annotate_extra_dev",
+]
+
+
 def timed(name: str, spark, sf_dir: str) -> float:
     start = time.perf_counter()
     run(name, spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -27,7 +36,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "4"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
+    chosen = os.environ.get("BENCH_QUERIES", "")
+    names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
     spark = local_session(cores, partitions=2 * cores)
     times = {}
     for name in names:

@@ -364,6 +364,25 @@ select {VARIANT}, m.mpc as "MPC", c.clnsig as "CLNSIG", r.revel as "REVEL", t.tx
 from fx_alts v join tx t on {_on('v', 't')} left join fx_loeuf l on t.feature = l.transcript
 left join {SCORE} m on {_on('v', 'm')}
 left join {_clinvar('clnsig, clnrevstat')} c on {_on('v', 'c')} left join {REVEL} r on {_on('v', 'r')}""",
+    "annotate_matrix": f"""with {SPLIT}
+select {VARIANT.replace('v.pos', 'cast(v.pos as int) as pos')}, v.k as a_index, cast(cast(pos0 as bigint) * k % 200 as int) as "cohort_AC",
+  'old' as original, c.csq
+from split v left join (select {KEY}, string_agg(csq, ',' order by tx_idx) as csq from fx_csq group by {KEY}) c
+on {_on('v', 'c')}""",
+    "annotate_family": f"""with {CELLS}, {PER_ALT}
+select contig, pos, pair as alleles, concat('s', smp) as s, cast(cast(pos as bigint) * k % 200 as int) as ac,
+  case when k = 1 then concat(split_part(pair, ',', 2), '|stop_gained|G|T|T:c.', pos, '||G:c.', pos) end as csq,
+  case when not called then './.' when haploid then cast(cast(a1 = k as int) as varchar)
+    else concat(least(cast(a1 = k as int), cast(a2 = k as int)), '/', greatest(cast(a1 = k as int), cast(a2 = k as int))) end as gt
+from alt where smp > 1""",
+    "annotate_somatic": f"""with {CELLS}, {PER_ALT},
+ones as (select o, k, cast(coalesce(sum(case when called then cast(a1 = k as int) + case when haploid then 0 else cast(a2 = k as int) end end), 0) as int) as hits,
+    cast(coalesce(sum(case when called then case when haploid then 1 else 2 end end), 0) as int) as total
+  from alt group by o, k)
+select contig, pos, pair as alleles, cast(smp as int) as smp, cast(cast(pos as bigint) * k % 200 as int) as ac,
+  case when k = 1 then concat(split_part(pair, ',', 2), '|stop_gained|G|T|T:c.', pos, '||G:c.', pos) end as csq,
+  case when total = 0 then './.' else '0/1' end as gt
+from alt join ones using (o, k)""",
 }
 
 ORACLES = {name: with_inputs(sql) for name, sql in _ORACLES.items()}

@@ -576,6 +576,50 @@ def annotate_hgvs(x: Inputs) -> DataFrame:
     return out.select("contig", "pos", joined(), F.col("info.CSQ").alias("csq"))
 
 
+def annotate_matrix(x: Inputs) -> DataFrame:
+    earlier = x.info_sites().withColumn("vep", F.array(F.lit("old")))
+    out = an.annotate_matrix(earlier, x.consequences())
+    return out.select(
+        "contig",
+        "pos",
+        joined(),
+        "a_index",
+        "info.cohort_AC",
+        F.get("original_vep", F.lit(0)).alias("original"),
+        F.array_join("vep", ",").alias("csq"),
+    )
+
+
+def matrix_with_info(x: Inputs) -> DataFrame:
+    index = F.sequence(F.lit(1), F.size("alleles") - 1)
+    counts = F.transform(index, lambda k: ((F.col("pos").cast("bigint") * k) % 200).cast("int"))
+    shares = F.transform(counts, lambda n: n.cast("double") / 400)
+    return x.matrix().withColumn("info", F.struct(counts.alias("AC"), shares.alias("AF")))
+
+
+def matrix_consequences(x: Inputs) -> DataFrame:
+    """One packed transcript for the first alternate of every genotyped site."""
+    first = x.matrix().select("contig", "pos", F.slice("alleles", 1, 2).alias("alleles"))
+    alt = F.get("alleles", F.lit(1))
+    packed = F.concat(alt, F.lit("|stop_gained|G|T|T:c."), F.col("pos").cast("string"), F.lit("|"))
+    return first.withColumn("csq", F.array(packed))
+
+
+def annotate_family(x: Inputs) -> DataFrame:
+    df, samples, _ = an.annotate_family(
+        matrix_with_info(x), x.matrix_samples(), matrix_consequences(x), CSQ_COLUMNS
+    )
+    rows = long_entries(df.withColumns({"csq": F.col("info.CSQ"), "ac": F.col("info.cohort_AC")}), "csq", "ac")
+    rows = rows.withColumn("idx", F.col("smp") - 1).join(F.broadcast(samples), "idx")
+    return rows.select("contig", "pos", "alleles", "s", "ac", "csq", call_text(F.col("e.GT")).alias("gt"))
+
+
+def annotate_somatic(x: Inputs) -> DataFrame:
+    df, _ = an.annotate_somatic(matrix_with_info(x), matrix_consequences(x), CSQ_COLUMNS)
+    rows = long_entries(df.withColumns({"csq": F.col("info.CSQ"), "ac": F.col("info.cohort_AC")}), "csq", "ac")
+    return rows.select("contig", "pos", "alleles", "smp", "ac", "csq", call_text(F.col("e.GT")).alias("gt"))
+
+
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -592,7 +636,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         shard_plan, chunk_rows, contig_shards,
         vcf_text_sites, vcf_text_genotypes,
         annotate_vcf, annotate_extra, annotate_extra_dev, annotate_table, annotate_inheritance,
-        annotate_hgvs,
+        annotate_hgvs, annotate_matrix, annotate_family, annotate_somatic,
     ]
 }
 QUERIES |= {

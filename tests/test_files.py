@@ -320,3 +320,66 @@ def test_block_gzip_is_recognised_and_read_in_ranges(spark, vcf, tmp_path):
     want = sorted(read_vcf(spark, vcf).sites.collect(), key=repr)
     for path in (blocked, plain):
         assert sorted(read_vcf(spark, str(path)).sites.collect(), key=repr) == want
+
+
+def test_stores_and_lists(spark, vcf, tmp_path):
+    found, store = consequences(spark, tmp_path), str(tmp_path / "sites")
+    v = read_vcf(spark, vcf, genotypes=True)
+    v.sites.write.parquet(store)
+    matrix = spark.read.parquet(files.annotate_matrix(spark, store, found, str(tmp_path / "mx")))
+    assert {(r["pos"], r["info"]["cohort_AC"]) for r in matrix.collect()} == {(5, 1), (9, 1), (10, 2), (3, 1)}
+    again = files.annotate_matrix(spark, str(tmp_path / "mx"), found, str(tmp_path / "mx2"))
+    assert spark.read.parquet(again).count() == 4 and "original_vep" in spark.read.parquet(again).columns
+    res = files.load_resources(spark, **{k: p for k, p in resources(spark, tmp_path).items() if k in ("mpc", "loeuf_v2", "inheritance", "clinvar")})
+    split = str(tmp_path / "split")
+    matrix.select("contig", "pos", "alleles").write.parquet(split)
+    table = spark.read.parquet(files.annotate_table(spark, split, COLUMNS, res, str(tmp_path / "t"), found))
+    got = {r["pos"]: r for r in table.collect()}
+    assert got[5]["MPC"] == 1.5 and got[5]["CLNSIG"] == ["Pathogenic"] and got[3]["csq"] is None
+    assert [(t["Feature"], t["LOEUF_v2"], t["inheritance_code"]) for t in got[5]["csq"]] == [("T1", "0.3", "AD")]
+    assert got[5]["vep_csq_header"].endswith("|inheritance_code|genCC_classification")
+    text = tb.read_tsv(spark, files.merge_tables_to_tsv(spark, [split, store], str(tmp_path / "tsv")))
+    assert text.count() == 8 and "info" in text.columns
+    shards = Path(files.scatter_store(spark, store, str(tmp_path / "sh"), 3))
+    assert sorted(p.name for p in shards.glob("shard=*")) == ["shard=0", "shard=1"]
+    rest = files.drop_first(spark, vcf, str(tmp_path / "d"))
+    assert [x.split("\t")[9:] for x in records(rest)][2] == ["0|0:.:.", "./.:1,2:3"]
+    (tmp_path / "paths").write_text("".join(f"f{i}.vcf\n" for i in range(5)))
+    listed = Path(files.chunk_file_list(spark, str(tmp_path / "paths"), str(tmp_path / "cl"), 2))
+    assert {p.parent.name: p.read_text().split() for p in listed.glob("chunk=*/*.txt")} == {"chunk=0000": ["f0.vcf", "f1.vcf"], "chunk=0001": ["f2.vcf", "f3.vcf"], "chunk=0002": ["f4.vcf"]}
+
+
+def test_names_and_given():
+    from datetime import datetime
+
+    from lociweave.sinks.tables import stamped_path
+
+    assert stamped_path("b/hail", "x/y.ht", ".vep.ht", datetime(2025, 6, 1, 9, 5)) == "b/hail/2025-06-01_09-05/y.vep.ht"
+    assert files.given(None, "", "NA", "x") == "x" and files.given("NA") is None
+
+
+def test_skewed_copies_survive_a_whole_run(spark, tmp_path):
+    """A third of the rows are copies of one variant; all come out, annotated alike, in both join modes."""
+    from lociweave.plans import annotate as an
+
+    packed = F.array(F.lit("C|x|G1|T1||"), F.lit("C|y|G2|T2||"))
+    df = spark.range(3000).select(
+        F.lit("chr1").alias("contig"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 10).cast("int").alias("pos"),
+        F.array(F.lit("A"), F.lit("C")).alias("alleles"),
+        F.struct(packed.alias("CSQ")).alias("info"),
+    ).repartition(6)
+    mpc = spark.createDataFrame([("chr1", 7, ["A", "C"], 1.5)] * 50, "contig string, pos int, alleles array<string>, mpc double")
+    bed = spark.createDataFrame([("chr1", 0, 9, "t")] * 50, "contig string, start0 int, end0 int, target string")
+    omim = spark.createDataFrame([("G1", "1", "AD")], "approvedGeneSymbol string, mimNumber string, inheritance_code string")
+    res = an.Resources(mpc=mpc, noncoding=bed, omim=omim)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            out, _ = an.annotate_extra(df, COLUMNS, res)
+            got = {tuple(r) for r in out.groupBy("pos", "info.MPC", "info.PREDICTED_NONCODING", "info.CSQ").count().where("pos = 7").collect()}
+            assert got == {(7, 1.5, "t", "C|x|G1|T1|||1|AD,C|y|G2|T2||||", 1000)}
+            assert out.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
