@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from lociweave.model import VARIANT_KEY
 from lociweave.session import fits_broadcast
@@ -43,6 +43,15 @@ def write_lookup(table: DataFrame, keys: list[str], values: list[str], path: str
     return path
 
 
+def _grouped(right: DataFrame, keys: list[str]) -> GroupedData:
+    """Group by the keys with a hash of them in front.
+
+    Taking the smallest tuple is a sorting aggregate, and sorting on a number first spares most
+    comparisons of strings and arrays.  The seed keeps this hash apart from the join's.
+    """
+    return right.withColumn("_sort", F.xxhash64(F.lit("reduce"), *keys)).groupBy("_sort", *keys)
+
+
 def _reduced(right: DataFrame, pairs: list[tuple], values: dict[str, str], unique: bool):
     keys = [f"_k{i}" for i in range(len(pairs))]
     right = right.select(
@@ -50,7 +59,7 @@ def _reduced(right: DataFrame, pairs: list[tuple], values: dict[str, str], uniqu
         F.struct(*[_source(v).alias(out) for out, v in values.items()]).alias("_match"),
     ).where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     if not unique:
-        right = right.groupBy(*keys).agg(F.min("_match").alias("_match"))
+        right = _grouped(right, keys).agg(F.min("_match").alias("_match")).drop("_sort")
     return right, keys
 
 
@@ -128,7 +137,8 @@ def lookup_variants(
         *[F.col(c).alias(k) for c, k in zip(VARIANT_KEY, keys)],
         *[f"_m{i}" for i in range(len(lookups))],
     ).where("_k0 is not null and _k1 is not null and _k2 is not null")
-    right = right.groupBy(*keys).agg(*[F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(lookups))])
+    best = [F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(lookups))]
+    right = _grouped(right, keys).agg(*best).drop("_sort")
     joined = _join_reduced(
         sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys, hash_name=HASH
     )
