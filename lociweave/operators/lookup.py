@@ -33,7 +33,7 @@ def _source(name: str) -> Column:
 def one_row_per_key(table: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Reduce to one row per key: the smallest value tuple, combined on the map side."""
     best = F.min(F.struct(*[_source(v).alias(v) for v in values])).alias("_best")
-    reduced = table.groupBy(*keys).agg(best)
+    reduced = grouped_by_hash(table, keys).agg(best)
     return reduced.select(*keys, *[F.col("_best")[v].alias(v) for v in values])
 
 
@@ -43,7 +43,7 @@ def write_lookup(table: DataFrame, keys: list[str], values: list[str], path: str
     return path
 
 
-def _grouped(right: DataFrame, keys: list[str]) -> GroupedData:
+def grouped_by_hash(right: DataFrame, keys: list[str]) -> GroupedData:
     """Group by the keys with a hash of them in front.
 
     Taking the smallest tuple is a sorting aggregate, and sorting on a number first spares most
@@ -59,7 +59,7 @@ def _reduced(right: DataFrame, pairs: list[tuple], values: dict[str, str], uniqu
         F.struct(*[_source(v).alias(out) for out, v in values.items()]).alias("_match"),
     ).where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     if not unique:
-        right = _grouped(right, keys).agg(F.min("_match").alias("_match")).drop("_sort")
+        right = grouped_by_hash(right, keys).agg(F.min("_match").alias("_match")).drop("_sort")
     return right, keys
 
 
@@ -138,7 +138,7 @@ def lookup_variants(
         *[f"_m{i}" for i in range(len(lookups))],
     ).where("_k0 is not null and _k1 is not null and _k2 is not null")
     best = [F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(lookups))]
-    right = _grouped(right, keys).agg(*best).drop("_sort")
+    right = grouped_by_hash(right, keys).agg(*best).drop("_sort")
     joined = _join_reduced(
         sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys, hash_name=HASH
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lociweave.functions.genotypes import allele_calls
 from lociweave.model import VARIANT_KEY
 from lociweave.operators.genotypes import fix_haploid
-from lociweave.operators.lookup import lookup_left
+from lociweave.operators.lookup import grouped_by_hash, lookup_left
 from lociweave.operators.normalize import entry_names
 from lociweave.operators.shards import number_rows
 
@@ -129,7 +129,7 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
             df.select(*VARIANT_KEY, uniform(df).alias(f"_f{i}")) for i, (df, _) in enumerate(files)
         ],
     )
-    grouped = stacked.groupBy(*VARIANT_KEY).agg(
+    grouped = grouped_by_hash(stacked, VARIANT_KEY).agg(
         *[F.min(f"_f{i}").alias(f"_f{i}") for i in range(len(files))]
     )
     missing = F.lit(None).cast("struct<" + ",".join(f"{n}:{types[n]}" for n in names) + ">")

@@ -1,9 +1,9 @@
 """Sorting, numbering, chunking and sharding.
 
 An unpartitioned window would pull every row into one task.  Numbers are given in two steps
-instead: rows are range-partitioned in order and written once to the shared checkpoint folder,
-each partition counts itself, and the small table of running offsets (one row per partition) is
-joined back.
+instead: rows are range-partitioned, sorted and numbered within their partition, and written once
+to the shared checkpoint folder.  The small table of running offsets (one row per partition) is
+then broadcast to them.
 """
 
 from __future__ import annotations
@@ -48,19 +48,24 @@ def number_rows(df: DataFrame, order: list[Column]) -> DataFrame:
     )
     placed = (
         keyed.repartitionByRange(*names, "_tie", "_copy")
-        .withColumn("_part", F.spark_partition_id())
+        .sortWithinPartitions(*names, "_tie")
+        .withColumn("_id", F.monotonically_increasing_id())
+        .drop("_tie", "_copy", *names)
         # fixed from here on: both uses below must see the same placement
         .checkpoint()
     )
+    # the id is the partition in its upper bits and the place within it in the lower 33
+    part = F.shiftright("_id", 33).cast("int")
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    offsets = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     offsets = offsets.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_part").orderBy(*names, "_tie")
+    # one row per partition, and the big side stays where it is
     return (
-        placed.withColumn("_i", F.row_number().over(within))
+        placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn("row_number", F.col("_i") + F.col("_offset"))
-        .drop("_part", "_tie", "_copy", "_i", "_offset", *names)
+        .withColumn("row_number", place + F.col("_offset") + 1)
+        .drop("_part", "_id", "_offset")
     )
 
 
