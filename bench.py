@@ -18,8 +18,8 @@ from suite.queries import QUERIES, run
 
 
 HEADLINE = [
-    "split_multiallelic", "lookup_mpc", "lookup_many", "lookup_cadd",
-    "csq_parse", "csq_repack", "lookup_loeuf", "gene_list_many", "hgvsc_symbol", "spliceai_gated",
+    "split_multiallelic", "lookup_mpc", "lookup_many",
+    "csq_repack", "lookup_loeuf", "gene_list_many", "spliceai_gated",
     "interval_annotate", "region_overlap", "pl_collapse", "call_stats", "merge_samples",
     "contig_shards", "vcf_text_genotypes",
     "annotate_vcf", "annotate_extra_dev",
