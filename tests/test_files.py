@@ -354,7 +354,7 @@ def test_names_and_given():
 
     from lociweave.sinks.tables import stamped_path
 
-    assert stamped_path("b/hail", "x/y.ht", ".vep.ht", datetime(2025, 6, 1, 9, 5)) == "b/hail/2025-06-01_09-05/y.vep.ht"
+    assert stamped_path("b/out", "x/y.ht", ".vep.ht", datetime(2025, 6, 1, 9, 5)) == "b/out/2025-06-01_09-05/y.vep.ht"
     assert files.given(None, "", "NA", "x") == "x" and files.given("NA") is None
 
 
