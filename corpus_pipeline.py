@@ -2,17 +2,44 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociweave.llm import bpe
+from lociweave.llm import bpe, decontaminate, quality, simhash, toxicity
 from lociweave.llm.common import table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold; learned from the labelled documents of the input."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality; learned from the labelled documents of the input."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-copies."""
+    return simhash.keep_one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, and the text decoded from them as digests."""
+    """Number of tokens and digests of the ids and of the text decoded from them."""
     return bpe.digests(docs)
 
 
-STAGES = [("bpe", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_good),
+    ("simhash", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
 
+# Trained models, 64-bit fingerprints and merges are beyond SQL; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 

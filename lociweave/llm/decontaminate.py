@@ -16,12 +16,11 @@ Other columns are left out of the search.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lociweave.llm.common import cut_lineage
+from lociweave.llm.common import cut_lineage, small_side
 
 WORDS = 5
 PERCENT = 80
 SPARE = 3
-BROADCAST_ROWS = 500_000
 
 
 def words_of(text: Column | str) -> Column:
@@ -43,14 +42,6 @@ def shingle_text() -> Column:
     return F.concat_ws(" ", F.slice("words", F.col("at") + 1, WORDS))
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if it has at most ``BROADCAST_ROWS`` rows; else left to a shuffled join.
-
-    The rows are counted, and have to be narrow (a few numbers) and already written.
-    """
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def item_shingles(benchmark: DataFrame) -> DataFrame:
     """``item_id``, ``hash``, ``shingle`` of each distinct shingle, ``n`` of them in the item."""
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)

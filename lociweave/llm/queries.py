@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociweave.llm import bpe, tokencount
+from lociweave.llm import bpe, decontaminate, quality, simhash, tokencount, toxicity
 from lociweave.llm.common import table
 
 
@@ -14,9 +14,31 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_table(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_decontamination": op4_decontamination,
+    "op7_toxicity": op7_toxicity,
+    "op8_simhash": op8_simhash,
+    "op9_quality": op9_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_decontamination": decontaminate.ORACLE,
+}

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lociweave.llm.common import cut_lineage, slices, utf8
+from lociweave.llm.common import cut_lineage, slices, small_side, utf8
 
 SEED = 42
 WORDS = 4
@@ -160,12 +160,36 @@ def near_duplicates(
     """``id_col``, ``fp`` and ``component_id``: the smallest id among all rows reachable over links."""
     rows = cut_lineage(fingerprints(docs, id_col, text_col, words))
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min(id_col).alias("smallest")))
-    roots = connected(fingerprint_links(nodes.select("fp"), max_bits, long_list))
-    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left")
-    placed = placed.select("fp", F.coalesce("root", "fp").alias("root"), "smallest")
+    placed = with_roots(nodes, max_bits, long_list)
     heads = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    members = placed.join(heads, "root").select("fp", "component_id")
-    return rows.join(members, "fp").select(id_col, "fp", "component_id")
+    return rows.join(placed.join(heads, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+
+
+def with_roots(nodes: DataFrame, max_bits: int, long_list: int) -> DataFrame:
+    """Adds to distinct fingerprints ``fp`` the smallest one of their component as ``root``."""
+    roots = connected(fingerprint_links(nodes.select("fp"), max_bits, long_list))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
+def keep_one_of_each(
+    docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, long_list: int = LONG_LIST
+) -> DataFrame:
+    """The row with the smallest id of each component, with all its columns; of repeated rows one stays.
+
+    Rows are told apart by their place in the table, so ``docs`` has to come in the same order whenever it is
+    read: from files, with or without narrow steps in between.
+    """
+    place = next(n for n in (f"row_place_{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    placed_docs = docs.withColumn(place, F.monotonically_increasing_id())
+    keyed = placed_docs.select(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.col(place).alias("at")).alias("row"), "text")
+    rows = cut_lineage(fingerprints(keyed, "row", "text", words))
+    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("row").alias("first")))
+    placed = with_roots(nodes, max_bits, long_list)
+    heads = placed.groupBy("root").agg(F.min("first").alias("head"))
+    members = placed.join(heads, "root").select("fp", "head")
+    gone = rows.join(members, "fp").where("row.at <> head.at").select(F.col("row.at").alias("gone_at"))
+    gone = small_side(cut_lineage(gone))
+    return placed_docs.join(gone, F.col(place) == F.col("gone_at"), "left_anti").drop(place)
 
 
 def fingerprint_table(docs: DataFrame) -> DataFrame:

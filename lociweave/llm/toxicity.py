@@ -3,8 +3,9 @@
 Words get log-odds between toxic and other documents with Dirichlet priors: a word's prior comes from its beginning,
 the prior of a beginning from the shares of the classes.  In a text every word without evidence costs a
 little, and one linear scan finds all maximal segments.  Their scores follow an extreme-value law over
-texts without toxic passages; its parameters turn the best segment into an expected number of such
-segments by chance, and a logistic curve over that number's logarithm gives the score.
+texts without toxic passages.  Its parameters turn each segment into an expected number of such segments by
+chance and the best ones together (at most ``BEST_SEGMENTS``) into one chance; a logistic curve over its
+logarithm gives the score.
 
 Training uses at most ``SAMPLE_ROWS`` labelled rows of each class; four fifths of them give the log-odds, the rest the
 calibration.  Defined results: null and empty texts have no segments and get the score of a text of
@@ -16,6 +17,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import lgamma, log
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +32,12 @@ WORD = re.compile(r"\w+")
 BEGINNING = 4
 PRIOR_DOCS = 10.0
 LEXICON_TERMS = 50_000
-EVIDENCE = 1.0
+EVIDENCE = 2.5
+REPEAT_WITHIN = 64
 DRIFT = 0.25
 RATES = np.linspace(0.02, 3.0, 150)
 NO_MODEL = 0.05
+BEST_SEGMENTS = 200
 CACHED_WORDS = 400_000
 
 
@@ -80,15 +85,22 @@ class Lexicon:
         return value if value >= EVIDENCE else 0.0
 
     def scan(self, words: list[str]) -> tuple[list[tuple[int, int, float]], list[float]]:
-        """Maximal segments in word places, and the scores of the words with evidence."""
+        """Maximal segments in word places, and the scores of the words with evidence.
+
+        A word counts again only after ``REPEAT_WITHIN`` words without it.
+        """
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
-        cache, items, last = self.cache, [], 0
+        cache, items, last, seen = self.cache, [], 0, {}
         values = list(map(cache.get, words))
         for i, value in enumerate(values):
             if value is None:
                 value = values[i] = cache[words[i]] = self.score(words[i])
             if value:
+                again = i - seen.get(words[i], -REPEAT_WITHIN) < REPEAT_WITHIN
+                seen[words[i]] = i
+                if again:  # saying a word over and over is no new evidence
+                    continue
                 if i > last:
                     items.append((last, i, -DRIFT * (i - last)))
                 items.append((i, i + 1, value))
@@ -107,14 +119,28 @@ class ToxicityModel:
     slope: float = 0.0
     constant: float | None = None
 
-    def surprise(self, best: float, n_words: int) -> float:
-        """Minus the logarithm of the number of such segments expected by chance."""
-        return self.rate * best - float(np.log(self.size * max(n_words, 1)))
+    def surprise(self, score: float, n_words: int) -> float:
+        """Minus the logarithm of the number of segments of this score expected by chance."""
+        return self.rate * score - log(self.size * max(n_words, 1))
+
+    def evidence(self, scores: list[float], n_words: int) -> float:
+        """Minus the logarithm of the chance of the best r segments together, for the r that makes it largest.
 
-    def probability(self, best: float, n_words: int) -> float:
+        The law of the sum of the r highest scores: exp(-t) t^(r-1) / (r! (r-1)!) for the sum t of surprises.
+        """
+        best, total = self.surprise(max(scores, default=0.0), n_words), 0.0
+        for r, score in enumerate(sorted(scores, reverse=True), 1):
+            gain = self.surprise(score, n_words)
+            if gain <= 0:
+                break
+            total += gain
+            best = max(best, total + lgamma(r + 1) + lgamma(r) - (r - 1) * log(max(total, 1.0)))
+        return best
+
+    def probability(self, scores: list[float], n_words: int) -> float:
         if self.constant is not None:
             return self.constant
-        x = np.clip(self.intercept + self.slope * self.surprise(best, n_words), -500, 500)
+        x = np.clip(self.intercept + self.slope * self.evidence(scores, n_words), -500, 500)
         return float(1 / (1 + np.exp(-x)))
 
 
@@ -124,21 +150,41 @@ def lexicon_part() -> Column:
 
 
 def count_terms(labelled: DataFrame) -> DataFrame:
-    """``term``, ``n0``, ``n1``: documents of each class with a word or (marked by a space) a beginning."""
+    """``term``, ``n0``, ``n1``: documents of each class with a word or (marked by a space) a beginning.
+
+    Copies of a document must not pass for evidence.  So the words found before a term are kept as bits of a
+    64-bit sketch, and a term counts for no more documents than it has different neighbours.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 4 << 20):
-            counts = (Counter(), Counter())
+            counts: tuple[Counter, Counter] = (Counter(), Counter())
+            sketch: tuple[dict, dict] = ({}, {})
             for data, label in zip(part["text"].to_pylist(), part["label"].to_pylist()):
-                found = set(words_of(data))
-                counts[label].update(found)
-                counts[label].update({" " + w[:BEGINNING] for w in found if len(w) > BEGINNING})
+                words = words_of(data)
+                before = dict(zip(words[:0:-1], words[-2::-1])) | dict.fromkeys(words[:1], "")
+                bits = {w: 1 << (crc32(v.encode()) & 63) for w, v in before.items()}
+                starts = {" " + w[:BEGINNING]: b for w, b in bits.items() if len(w) > BEGINNING}
+                own = sketch[label]
+                for term, bit in (bits | starts).items():
+                    own[term] = own.get(term, 0) | bit
+                counts[label].update(bits.keys())
+                counts[label].update(starts.keys())
             terms = list(counts[0].keys() | counts[1].keys())
             arrays = [pa.array(terms, pa.string())] + [pa.array([c[t] for t in terms], pa.int64()) for c in counts]
-            yield pa.RecordBatch.from_arrays(arrays, ["term", "n0", "n1"])
+            arrays += [pa.array(np.array([m.get(t, 0) for t in terms], np.uint64).view(np.int64)) for m in sketch]
+            yield pa.RecordBatch.from_arrays(arrays, ["term", "n0", "n1", "m0", "m1"])
+
+    schema = "term string, n0 long, n1 long, m0 long, m1 long"
+    rows = labelled.select(utf8("text").alias("text"), "label").mapInArrow(work, schema)
+    sums = [F.sum(c).alias(c) for c in ("n0", "n1")] + [F.bit_or(c).alias(c) for c in ("m0", "m1")]
+    merged = rows.groupBy("term").agg(*sums)
+
+    def distinct(n: str, m: str) -> Column:
+        empty = F.lit(64.0) - F.bit_count(m)
+        return F.when(empty < 1, F.col(n)).otherwise(F.least(F.col(n), F.lit(-64.0) * F.log(empty / 64))).alias(n)
 
-    rows = labelled.select(utf8("text").alias("text"), "label").mapInArrow(work, "term string, n0 long, n1 long")
-    return rows.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return merged.select("term", distinct("n0", "m0"), distinct("n1", "m1"))
 
 
 def log_odds(n0: float, n1: float, d0: int, d1: int, prior: float = 0.0) -> float:
@@ -160,7 +206,7 @@ def build_lexicon(counts: DataFrame, d0: int, d1: int) -> Lexicon:
         prior = max(0.0, beginnings.get(r["term"][:BEGINNING], 0.0)) if len(r["term"]) > BEGINNING else 0.0
         words[r["term"]] = log_odds(r["n0"], r["n1"], d0, d1, prior)
     return Lexicon(
-        {w: s for w, s in words.items() if s >= EVIDENCE or beginnings.get(w[:BEGINNING], 0) >= EVIDENCE},
+        {w: s for w, s in words.items() if s >= EVIDENCE or beginnings.get(w[:BEGINNING], 0.0) >= EVIDENCE},
         {b: s for b, s in beginnings.items() if s >= EVIDENCE},
     )
 
@@ -178,19 +224,19 @@ def calibrate(labelled: DataFrame, lexicon: Lexicon) -> ToxicityModel:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 4 << 20):
-            n_words, best, sums = [], [], []
+            n_words, scores, sums = [], [], []
             for data in part["text"].to_pylist():
                 words = words_of(data)
                 segments, hits = shared.value.scan(words)
                 n_words.append(len(words))
-                best.append(max((s for *_, s in segments), default=0.0))
+                scores.append(sorted((s for *_, s in segments), reverse=True)[:BEST_SEGMENTS])
                 neutral = (len(words) - len(hits)) * np.exp(-DRIFT * RATES)
                 sums.append((neutral + np.exp(np.outer(RATES, hits)).sum(axis=1)).tolist())
-            arrays = [part["label"], part["weight"], pa.array(n_words, pa.int64()), pa.array(best, pa.float64())]
-            arrays.append(pa.array(sums, pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays(arrays, ["label", "weight", "n_words", "best", "sums"])
+            arrays = [part["label"], part["weight"], pa.array(n_words, pa.int64())]
+            arrays += [pa.array(x, pa.list_(pa.float64())) for x in (scores, sums)]
+            yield pa.RecordBatch.from_arrays(arrays, ["label", "weight", "n_words", "scores", "sums"])
 
-    schema = "label int, weight double, n_words long, best double, sums array<double>"
+    schema = "label int, weight double, n_words long, scores array<double>, sums array<double>"
     rows = labelled.select(utf8("text").alias("text"), "label", "weight").mapInArrow(work, schema).toPandas()
     y = rows["label"].to_numpy()
     if len(set(y.tolist())) < 2:
@@ -198,11 +244,11 @@ def calibrate(labelled: DataFrame, lexicon: Lexicon) -> ToxicityModel:
     other = rows[y == 0]
     rate = background_rate(np.array(other["sums"].tolist()).sum(axis=0), float(other["n_words"].sum()))
     n_words = np.maximum(rows["n_words"].to_numpy(float), 1)
-    best = rows["best"].to_numpy(float)
+    best = np.array([max(x, default=0.0) for x in rows["scores"]])
     chance = (n_words * np.exp(-rate * best))[y == 0]
     model = ToxicityModel(lexicon, rate, len(chance) / max(chance.sum(), 1e-300))
-    surprise = rate * best - np.log(model.size * n_words)
-    model.intercept, model.slope = fit_logistic(surprise[:, None], y, rows["weight"].to_numpy()).tolist()
+    evidence = np.array([model.evidence(list(x), n) for x, n in zip(rows["scores"], rows["n_words"])])
+    model.intercept, model.slope = fit_logistic(evidence[:, None], y, rows["weight"].to_numpy()).tolist()
     return model
 
 
@@ -233,8 +279,8 @@ def find_passages(docs: DataFrame, model: ToxicityModel, keep: list[str], at_mos
             for data in part["text"].to_pylist():
                 words = words_of(data)
                 segments, _ = model.lexicon.scan(words)
-                best = max((s for *_, s in segments), default=0.0)
-                scores.append(model.probability(best, len(words)))
+                top = sorted((s for *_, s in segments), reverse=True)[:BEST_SEGMENTS]
+                scores.append(model.probability(top, len(words)))
                 sure = [x for x in segments if model.surprise(x[2], len(words)) > 0]
                 if sure:
                     spans = [m.span() for m in WORD.finditer(data.decode("utf-8", "replace").lower())]
