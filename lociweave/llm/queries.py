@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociweave.llm import bpe, decontaminate, quality, simhash, tokencount, toxicity
+from lociweave.llm import bpe, decontaminate, lm, quality, simhash, tokencount, topk, toxicity
 from lociweave.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,15 +34,22 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
+    "op6_top_k": op6_top_k,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
+    "op10_lm": op10_lm,
 }
 
 ORACLES: dict[str, str] = {
     "op4_decontamination": decontaminate.ORACLE,
+    "op6_top_k": topk.ORACLE,
 }
