@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociweave.llm import bpe, decontaminate, lm, quality, simhash, tokencount, topk, toxicity
+from lociweave.llm import bpe, decontaminate, lm, quality, shards, simhash, tokencount, topk, toxicity, urlfilter
 from lociweave.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.filtered_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_table(table(spark, sf_dir, "documents"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -40,8 +48,10 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_url_filter": op2_url_filter,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
+    "op5_sharding": op5_sharding,
     "op6_top_k": op6_top_k,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
@@ -50,6 +60,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_url_filter": urlfilter.ORACLE,
     "op4_decontamination": decontaminate.ORACLE,
+    "op5_sharding": shards.ORACLE,
     "op6_top_k": topk.ORACLE,
 }
