@@ -175,7 +175,7 @@ def decode_documents(
 def unpacked(ids: Column | str) -> Column:
     """Packed ids as an array of numbers."""
     text = F.hex(ids)
-    at = F.sequence(F.lit(0), F.length(text) / 8 - 1).cast("array<int>")
+    at = F.sequence(F.lit(0), (F.length(text) / 8 - 1).cast("int"))
     swapped = F.transform(
         at, lambda i: F.concat(*[F.substring(text, i * 8 + 7 - 2 * k, F.lit(2)) for k in range(4)])
     )
