@@ -5,8 +5,6 @@ number of timed runs (the median counts), ``BENCH_QUERIES`` another comma-separa
 ``all``.  Every run produces all rows of all columns and discards them.
 """
 
-from __future__ import annotations
-
 import json
 import os
 import statistics

@@ -1,7 +1,5 @@
 """Allele arithmetic."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, functions as F
 
 # Longest common prefix of two space-separated words that leaves at least one letter of each.

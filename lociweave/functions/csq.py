@@ -1,7 +1,5 @@
 """The packed per-transcript consequence codec and the fields derived from it."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, functions as F
 
 # Consequence terms that open the splice score gate.

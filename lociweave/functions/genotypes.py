@@ -1,7 +1,5 @@
 """Genotype arithmetic on ``GT: struct<alleles: array<int>, phased: boolean>`` and its companions."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, functions as F
 
 

@@ -8,8 +8,6 @@ A *sites* DataFrame has one row per variant::
 ``entries`` is aligned with a small ``samples(idx, s)`` DataFrame, so genotype work is row-local.
 """
 
-from __future__ import annotations
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 VARIANT_KEY = ["contig", "pos", "alleles"]

@@ -1,7 +1,5 @@
 """Genotype and cohort-count operators; all but the field choice are row-local."""
 
-from __future__ import annotations
-
 from pyspark.sql import DataFrame, functions as F
 
 from lociweave.functions.genotypes import allele_calls, allele_counts, diploid

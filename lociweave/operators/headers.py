@@ -3,8 +3,6 @@
 Its size is set by the file header and not by the records.
 """
 
-from __future__ import annotations
-
 from pyspark.sql import DataFrame, functions as F
 
 HEADER_COLUMNS = ["section", "id", "number", "type", "description"]
@@ -22,7 +20,10 @@ def csq_columns(headers: DataFrame) -> list[str]:
 
 
 def csq_columns_of(description: str) -> list[str]:
-    return ("Allele" + description.split("Allele")[-1]).split("|")
+    at = description.rfind("Allele")
+    if at < 0:
+        raise ValueError("the description of CSQ names no Allele column")
+    return description[at:].split("|")
 
 
 def csq_description(columns: list[str]) -> str:
@@ -39,6 +40,11 @@ def replace_definitions(headers: DataFrame, new: DataFrame) -> DataFrame:
     return headers.join(new, ["section", "id"], "left_anti").unionByName(new)
 
 
+def add_missing(headers: DataFrame, more: DataFrame) -> DataFrame:
+    """Add the definitions that are not there yet."""
+    return headers.unionByName(more.join(headers, ["section", "id"], "left_anti"))
+
+
 def upsert_info(headers: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
     """Upsert INFO fields given as ``{id: (type, description)}`` with number ``.``."""
     return upsert(headers, [("INFO", n, ".", t, d) for n, (t, d) in fields.items()])
@@ -53,7 +59,10 @@ def copy_info(headers: DataFrame, source: DataFrame, fields: list[str], suffix:
 
 
 def release_stamp(path):
-    """`` [ClinVar build: MM-dd-yyyy]`` from a path whose file name is ``name_yyyyMMdd_...``."""
+    """`` [ClinVar build: MM-dd-yyyy]`` from a path whose file name is ``name_yyyyMMdd_...``.
+
+    The wording is a fixed value.
+    """
     name = F.element_at(F.split(path, "/"), -1)
     token = F.get(F.split(name, "_"), F.lit(1))
     day = F.date_format(F.to_date(token, "yyyyMMdd"), "MM-dd-yyyy")

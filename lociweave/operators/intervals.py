@@ -5,8 +5,6 @@ by the interval that wins there (smallest start, then end, then value).  A posit
 into at most one segment, so no join ever produces all site-interval pairs.
 """
 
-from __future__ import annotations
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -92,9 +90,9 @@ def lookup_segment(
 ) -> DataFrame:
     """Join each 1-based ``pos`` to the disjoint segment with ``start0 < pos <= end0``.
 
-    The join is on the contig and the bin.  Segments whose measured size is within the broadcast
-    threshold are broadcast; larger ones are hash-partitioned, straight from an exchange on both
-    sides, so adaptive execution can split a crowded bin.
+    The join is on the contig and the bin.  Segments estimated to be within the broadcast threshold are
+    broadcast; larger ones are hash-partitioned, straight from an exchange on both sides, so adaptive
+    execution can split a crowded bin.
     """
     right = segments.select(
         F.col("contig").alias("_c"),
@@ -103,7 +101,7 @@ def lookup_segment(
         F.explode(F.sequence(_bin(F.col("start0") + 1), _bin(F.col("end0")))).alias("_b"),
         *[F.col(v).alias(f"_v_{out}") for out, v in values.items()],
     )
-    if fits_broadcast(right, measure=True):
+    if fits_broadcast(right):
         right = F.broadcast(right)
     pos = F.col("pos")
     condition = [

@@ -1,7 +1,5 @@
 """Splitting multiallelic sites, renaming contigs and building variant keys."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.alleles import min_rep

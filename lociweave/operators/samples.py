@@ -1,7 +1,6 @@
 """Sample columns: subsetting, attaching, merging and chunking."""
 
-from __future__ import annotations
-
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -30,7 +29,8 @@ def _renumbered(samples: DataFrame, places: list[int]) -> DataFrame:
 
 
 def _picked(places: list[int]) -> Column:
-    index = F.array(*[F.lit(i) for i in places]) if places else F.array().cast("array<int>")
+    # one literal however many samples there are
+    index = F.from_json(F.lit(json.dumps(places)), "array<int>")
     return F.transform(index, lambda i: F.get(F.col("entries"), i))
 
 

@@ -6,8 +6,6 @@ to the shared checkpoint folder.  The small table of running offsets (one row pe
 then broadcast to them.
 """
 
-from __future__ import annotations
-
 import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F

@@ -1,7 +1,5 @@
 """Transcript-level enrichment of the consequence array ``csq``."""
 
-from __future__ import annotations
-
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -85,7 +83,7 @@ def _lookup_into_tc(exploded: DataFrame, field: str, right: DataFrame, key: str,
     """Look up one transcript field and store the values in ``tc``, ``''`` if unmatched."""
     names = {f"_t_{out}": source for out, source in values.items()}
     on = [(F.col("tc")[field], key)]
-    joined = lookup_left(exploded, right, on, names, default="", measure=True)
+    joined = lookup_left(exploded, right, on, names, default="")
     fields = {out: F.col(f"_t_{out}") for out in values}
     return with_tc_fields(joined, fields).drop(*names)
 

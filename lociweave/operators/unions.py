@@ -1,7 +1,5 @@
 """Stacking of shards and tables."""
 
-from __future__ import annotations
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F

@@ -4,8 +4,6 @@ Each run is one lazy plan.  All variant-keyed lookups share one join and all tra
 lookups share one explode and regroup.
 """
 
-from __future__ import annotations
-
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -180,7 +178,7 @@ def annotate_extra(
     overall: bool = True,
     only_noncoding: bool = False,
 ) -> tuple[DataFrame, list[str]]:
-    """Extra annotations; returns the sites and the column names of the re-packed ``info.CSQ``.
+    """The extra lookups; returns the sites and the column names of the re-packed ``info.CSQ``.
 
     The older form takes ``clinvar_fields`` without the third field, OMIM instead of inheritance,
     one gene list, ``gate=None`` and ``overall=False``.

@@ -4,7 +4,7 @@ A path that is ``None``, empty or ``"NA"`` is not given.  Genotypes stay with th
 whole run, so they need no join at the end.  Every function returns the path it wrote.
 """
 
-from __future__ import annotations
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,8 +21,8 @@ from lociweave.operators.samples import (
     strip_format,
     subset_samples,
 )
-from lociweave.operators.shards import chunk_files, chunk_rows, contig_shards, into_shards, sort_genome
-from lociweave.operators.unions import concat_shards, union_by_position, union_outer, union_rows
+from lociweave.operators.shards import chunk_files, chunk_rows, contig_shards, into_shards
+from lociweave.operators.unions import concat_shards, natural_order, union_by_position, union_outer, union_rows
 from lociweave.plans import annotate as an
 from lociweave.sinks.tables import write_lists, write_store, write_tsv, write_tsv_chunks
 from lociweave.sinks.vcf import export_vcf, export_vcf_shards
@@ -33,9 +33,10 @@ from lociweave.sources.vcf import (
     read_vcf,
     sample_names,
     samples_table,
-    vcf_lines,
 )
 
+# The descriptions of added INFO fields.
+REVEL_TEXT = "REVEL scores."
 NONCODING_TEXT = "Class(es) of noncoding elements disrupted by SNV/Indel."
 
 
@@ -70,12 +71,9 @@ def load_resources(spark: SparkSession, build: str = "GRCh38", **paths: str | No
     return an.Resources(**tables)
 
 
-def _open(spark: SparkSession, path: str, build: str) -> Vcf:
-    """A VCF with genotypes if it has samples, rows numbered at the scan."""
-    has_samples = any(
-        line.startswith("#CHROM") and line.count("\t") > 8 for line in read_header_lines(spark, path)
-    )
-    return read_vcf(spark, path, build, genotypes=has_samples, row_id=True)
+def _open(spark: SparkSession, path: str, build: str, edit: bool = False) -> Vcf:
+    """A VCF with rows numbered at the scan; genotypes are parsed only if they will be edited."""
+    return read_vcf(spark, path, build, genotypes=True if edit else "text", row_id=True)
 
 
 def _with_csq(headers: DataFrame, columns: list[str]) -> DataFrame:
@@ -91,7 +89,7 @@ def annotate_vcf(
     build: str = "GRCh38",
     recount: bool = False,
 ) -> str:
-    v = _open(spark, vcf, build)
+    v = _open(spark, vcf, build, edit=True)
     df = an.annotate_vcf(fix_haploid(v.sites), tb.read_store(spark, consequences), recount)
     return export_vcf(df, _with_csq(v.headers, csq_columns), out, v.sample_names, build)
 
@@ -132,7 +130,7 @@ def annotate_extra(
     df, columns = an.annotate_extra(v.sites, hd.csq_columns(v.headers), resources, build, **options)
     headers = _with_csq(v.headers, columns)
     if resources.revel is not None:
-        headers = hd.upsert_info(headers, {"REVEL": ("String", "REVEL scores.")})
+        headers = hd.upsert_info(headers, {"REVEL": ("String", REVEL_TEXT)})
     if resources.noncoding is not None:
         headers = hd.upsert_info(headers, {"PREDICTED_NONCODING": ("String", NONCODING_TEXT)})
     if given(clinvar) and build == "GRCh38":
@@ -197,7 +195,7 @@ def annotate_cadd_vcf(spark: SparkSession, vcf: str, cadd: str, out: str, build:
 def annotate_family(
     spark: SparkSession, vcf: str, consequences: str, csq_columns: list[str], out: str, build: str = "GRCh38"
 ) -> str:
-    v = _open(spark, vcf, build)
+    v = _open(spark, vcf, build, edit=True)
     found = tb.read_store(spark, consequences)
     df, samples, columns = an.annotate_family(v.sites, v.samples, found, csq_columns)
     return export_vcf(df, _with_csq(v.headers, columns), out, names_of(samples), build)
@@ -206,7 +204,7 @@ def annotate_family(
 def annotate_somatic(
     spark: SparkSession, vcf: str, consequences: str, csq_columns: list[str], out: str, build: str = "GRCh38"
 ) -> str:
-    v = _open(spark, vcf, build)
+    v = _open(spark, vcf, build, edit=True)
     df, columns = an.annotate_somatic(v.sites, tb.read_store(spark, consequences), csq_columns)
     return export_vcf(df, _with_csq(v.headers, columns), out, v.sample_names, build)
 
@@ -242,19 +240,33 @@ def scatter_store(spark: SparkSession, sites: str, out: str, records_per_shard:
     return out
 
 
+def united_headers(opened: list[Vcf]) -> DataFrame:
+    """Definitions of all files; of a repeated one the first file's counts."""
+    return reduce(lambda known, more: hd.add_missing(known, more.headers), opened[1:], opened[0].headers)
+
+
 def merge_shards(
-    spark: SparkSession, vcfs: list[str], out: str, sort: bool = False, build: str = "GRCh38"
+    spark: SparkSession,
+    vcfs: list[str],
+    out: str,
+    sort: bool = False,
+    build: str = "GRCh38",
+    allow_overlaps: bool = False,
 ) -> str:
-    opened = [read_vcf(spark, path, build, genotypes=True) for path in vcfs]
-    df = concat_shards([(p, v.sites, v.sample_names) for p, v in zip(vcfs, opened)])
-    first = opened[0]
-    return export_vcf(sort_genome(df, build) if sort else df, first.headers, out, first.sample_names, build)
+    """Concatenate in natural file order, as the rows come; sorted only if asked, or for overlapping shards."""
+    opened = [read_vcf(spark, path, build, genotypes="text", invalid="keep") for path in vcfs]
+    df = concat_shards(
+        [(p, v.sites, v.sample_names) for p, v in zip(vcfs, opened)], naive=not allow_overlaps, allow_overlaps=allow_overlaps, build=build
+    )
+    return export_vcf(df, united_headers(opened), out, opened[0].sample_names, build, sort=sort or allow_overlaps)
 
 
 def merge_sample_files(spark: SparkSession, vcfs: list[str], out: str, build: str = "GRCh38") -> str:
+    """Merge files with different samples, in natural order of their names."""
+    vcfs = [vcfs[i] for i in natural_order(spark, vcfs)]
     opened = [read_vcf(spark, path, build, genotypes=True) for path in vcfs]
     df, samples = merge_samples([(strip_format(v.sites), v.samples) for v in opened])
-    return export_vcf(df, opened[0].headers, out, names_of(samples), build)
+    return export_vcf(df, united_headers(opened), out, names_of(samples), build)
 
 
 def subset_sample_file(
@@ -274,7 +286,7 @@ def subset_intervals_vcf(
     spark: SparkSession, vcf: str, bed: str, out: str, overlap: bool = False, build: str = "GRCh38"
 ) -> str:
     """By position, or with ``overlap`` by the span of the reference allele."""
-    v = read_vcf(spark, vcf, build, genotypes=True)
+    v = read_vcf(spark, vcf, build, genotypes="text", invalid="keep")
     keep = filter_overlapping if overlap else filter_intervals
     df = keep(v.sites, tb.read_intervals(spark, bed))
     return export_vcf(df, v.headers, out, v.sample_names, build)
@@ -282,7 +294,11 @@ def subset_intervals_vcf(
 
 def normalise_clinvar(spark: SparkSession, vcf: str, out_folder: str) -> str:
     """``chr`` names for a clinical release; the output is named after the release date."""
-    day = hd.file_date(vcf_lines(spark, vcf, head=True).limit(2)).first()["release"]
+    lines = spark.createDataFrame([(line,) for line in read_header_lines(spark, vcf)], "value string")
+    found = hd.file_date(lines).first()
+    if found is None or found["release"] is None:
+        raise ValueError(f"the header of {vcf} has no file date")
+    day = found["release"]
     v = read_vcf(spark, vcf, invalid="keep")
     headers = v.headers.where("section <> 'contig'")
     out = f"{out_folder}/clinvar_{day}_chr_rename_GRCh38.vcf.gz"

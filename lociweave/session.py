@@ -1,7 +1,5 @@
 """Session settings and the shared scratch folder."""
 
-from __future__ import annotations
-
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,33 +37,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lociweave-"))
 
 
+def conf_bytes(spark: SparkSession, key: str) -> int:
+    """A size setting in bytes; it may be written as ``128MB``, ``16m`` or a plain number."""
+    text = spark.conf.get(key).strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40, "p": 50}.get(text[-1:], 0)
+    return int(text[:-1] if unit else text) << unit
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for a plan (no job is run; unknown sizes come out huge)."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """Spark's broadcast threshold in bytes; negative if broadcasts are off."""
-    # the conf accepts sizes such as 10MB, so ask Spark for the parsed value
-    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a table as text, from one aggregate that returns a single row."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    return df.agg(F.coalesce(size, F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def fits_broadcast(df: DataFrame, measure: bool = False) -> bool:
-    """True if the table is within Spark's own broadcast threshold.
+def fits_broadcast(df: DataFrame) -> bool:
+    """True if the optimizer's estimate is within Spark's own broadcast threshold.
 
-    The optimizer's estimate decides, with an allowance because it goes by compressed file sizes.
-    It can also be far too high for derived tables.  So where it does not settle the matter,
-    ``measure`` runs the table once and goes by its true size.
+    The estimate goes by compressed file sizes, hence the allowance.  Nothing is run to find out more:
+    where the estimate is too high, adaptive execution still turns the join into a broadcast once it has
+    seen the true size.
     """
-    limit = broadcast_limit(df.sparkSession)
-    if limit < 0:
-        return False
-    if estimated_bytes(df) * COMPRESSION_ALLOWANCE <= limit:
-        return True
-    return measure and measured_bytes(df) <= limit
+    limit = conf_bytes(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
+    return limit >= 0 and estimated_bytes(df) * COMPRESSION_ALLOWANCE <= limit

@@ -1,7 +1,5 @@
 """Parquet stores, delimited tables and lists."""
 
-from __future__ import annotations
-
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F

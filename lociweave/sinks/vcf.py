@@ -4,38 +4,81 @@ Parts are written in order, so the part files joined by name are one valid VCF;
 whole output.
 """
 
-from __future__ import annotations
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.genotypes import call_text
 from lociweave.model import CONTIG_LENGTHS, genome_order
 from lociweave.operators.shards import contig_shards, into_shards
+from lociweave.sources.vcf import info_pairs
 
 VCF_TYPES = {"int": "Integer", "bigint": "Integer", "double": "Float", "float": "Float"}
 
 
+def _number(value: Column) -> Column:
+    """Text of a number the way VCF files have it: no needless point, a short exponent."""
+    text = value.cast("string")
+    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
+    short = F.lower(F.regexp_replace(text, r"\.0(E|$)", "$1"))
+    # "$10" is group 1 and a zero: an exponent has two digits
+    short = F.regexp_replace(short, r"e(-?)(?=\d$)", "e$10")
+    return F.when(whole, value.cast("bigint").cast("string")).otherwise(short)
+
+
+def _scalar(value: Column, kind: str) -> Column:
+    return _number(value) if kind in ("double", "float") else value.cast("string")
+
+
 def _cell(value: Column, data_type) -> Column:
     """Text of a value; missing elements are ``.``, a missing value is missing."""
     if data_type.typeName() == "array":
-        texts = F.transform(value, lambda x: F.coalesce(x.cast("string"), F.lit(".")))
+        kind = data_type.elementType.typeName()
+        texts = F.transform(value, lambda x: F.coalesce(_scalar(x, kind), F.lit(".")))
         return F.when(F.size(value) > 0, F.array_join(texts, ","))
-    return value.cast("string")
+    return _scalar(value, data_type.typeName())
+
+
+def _read_back(text: Column, data_type) -> Column:
+    """What the reader makes of a cell of this type."""
+    if data_type.typeName() == "array":
+        kind = data_type.elementType.simpleString()
+        return F.when(text != ".", F.transform(F.split(text, ","), lambda x: F.nullif(x, F.lit(".")).try_cast(kind)))
+    return F.nullif(text, F.lit(".")).try_cast(data_type.simpleString())
 
 
 def info_text(df: DataFrame) -> Column:
-    parts = []
-    for field in df.schema["info"].dataType.fields:
+    """The INFO cell.
+
+    With the cell that was read (``raw``), a field whose value is still what that cell says is printed as it was,
+    fields the header does not define follow, and if nothing has changed the cell is printed as a whole.
+    """
+    fields = [f for f in df.schema["info"].dataType.fields if f.dataType.typeName() != "void"]
+    kept = F.col("raw.info") if "raw" in df.columns else None
+    cells = info_pairs(kept) if kept is not None else None
+    parts, same = [], F.lit(True)
+    for field in fields:
         value = F.col("info")[field.name]
         if field.dataType.typeName() == "boolean":
             parts.append(F.when(value, F.lit(field.name)))
-        elif field.dataType.typeName() != "void":
-            # a missing value makes the whole part missing, and missing parts are skipped
-            parts.append(F.concat(F.lit(field.name + "="), _cell(value, field.dataType)))
+            if cells is not None:
+                same &= value.eqNullSafe(F.map_contains_key(cells, field.name))
+            continue
+        text = _cell(value, field.dataType)
+        if cells is not None:
+            given = F.try_element_at(cells, F.lit(field.name))
+            unchanged = _read_back(given, field.dataType).eqNullSafe(value)
+            text = F.when(unchanged, given).otherwise(text)
+            same &= unchanged
+        # a missing value makes the whole part missing, and missing parts are skipped
+        parts.append(F.concat(F.lit(field.name + "="), text))
+    if cells is not None:
+        known = F.array(*[F.lit(f.name) for f in fields]) if fields else F.array().cast("array<string>")
+        others = F.filter(F.split(kept, ";"), lambda p: ~F.array_contains(known, F.substring_index(p, "=", 1)) & (p != "."))
+        parts.append(F.nullif(F.array_join(others, ";"), F.lit("")))
     if not parts:
         return F.lit(".")
     text = F.concat_ws(";", *parts)
-    return F.when(text == "", F.lit(".")).otherwise(text)
+    text = F.when(text == "", F.lit(".")).otherwise(text)
+    return text if kept is None else F.when(same & kept.isNotNull(), kept).otherwise(text)
 
 
 def format_fields(df: DataFrame) -> list:
@@ -75,15 +118,26 @@ def record_lines(df: DataFrame) -> Column:
         optional("rsid"),
         F.get("alleles", F.lit(0)),
         F.when(F.size(alts) > 0, F.array_join(alts, ",")).otherwise(F.lit(".")),
-        optional("qual"),
+        qual_text(df),
         optional("filters", filters) if "filters" in df.columns else F.lit("."),
         info_text(df) if "info" in df.columns else F.lit("."),
     ]
     if "entries" in df.columns:
         cells += [F.lit(":".join(f.name for f in format_fields(df))), entry_text(df)]
+    elif "calls" in df.columns:
+        cells.append(F.coalesce("calls", F.lit(".")))
     return F.concat_ws("\t", *cells)
 
 
+def qual_text(df: DataFrame) -> Column:
+    if "qual" not in df.columns:
+        return F.lit(".")
+    text = F.coalesce(_number(F.col("qual")), F.lit("."))
+    if "raw" not in df.columns:
+        return text
+    return F.when(F.col("raw.qual").try_cast("double").eqNullSafe(F.col("qual")), F.coalesce("raw.qual", text)).otherwise(text)
+
+
 def default_definitions(df: DataFrame, headers: DataFrame) -> list[tuple]:
     """Definitions for INFO and FORMAT fields the header table does not have."""
     known = {(r["section"], r["id"]) for r in headers.select("section", "id").collect()}
@@ -119,11 +173,33 @@ def header_lines(df: DataFrame, headers: DataFrame, samples: list[str], build: s
     contigs = {r[1]: r[4] for r in rows if r[0] == "contig"} or CONTIG_LENGTHS[build]
     lines += [f"##contig=<ID={c}" + (f",length={n}>" if n else ">") for c, n in contigs.items()]
     columns = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
-    if "entries" in df.columns:
+    if "entries" in df.columns or "calls" in df.columns:
         columns += ["FORMAT", *samples]
     return [*lines, "#" + "\t".join(columns)]
 
 
+def ordered_lines(df: DataFrame, headers: DataFrame, samples: list[str] = (), build: str = "GRCh38", sort: bool = True) -> DataFrame:
+    """All lines of a VCF in order, header first.
+
+    Rows are sorted by locus, alleles and a hash of their line: the line itself takes no part in the range exchange,
+    whose samples and bounds would otherwise hold whole records.  ``sort=False`` keeps the rows' own order, for
+    rows that come in order.
+    """
+    head = header_lines(df, headers, samples, build)
+    if not sort:
+        top = df.sparkSession.createDataFrame([(line,) for line in head], "value string").coalesce(1)
+        return top.unionByName(df.select(record_lines(df).alias("value")))
+    order = genome_order(build)
+    names = [f"_o{i}" for i in range(len(order))]
+    records = df.select(*[o.alias(n) for o, n in zip(order, names)], record_lines(df).alias("value"))
+    top = df.sparkSession.createDataFrame(
+        [(-1, "", i, [], line) for i, line in enumerate(head)],
+        "_o0 int, _o1 string, _o2 int, _o3 array<string>, value string",
+    )
+    lines = top.unionByName(records).withColumn("_hash", F.xxhash64("value"))
+    return lines.orderBy(*names, "_hash").select("value")
+
+
 def export_vcf(
     df: DataFrame,
     headers: DataFrame,
@@ -131,17 +207,11 @@ def export_vcf(
     samples: list[str] = (),
     build: str = "GRCh38",
     compression: str = "gzip",
+    sort: bool = True,
 ) -> str:
-    """Write sorted VCF text; the header is in the first part."""
-    order = genome_order(build)
-    names = [f"_o{i}" for i in range(len(order))]
-    records = df.select(*[o.alias(n) for o, n in zip(order, names)], record_lines(df).alias("value"))
-    head = df.sparkSession.createDataFrame(
-        [(-1, "", i, [], line) for i, line in enumerate(header_lines(df, headers, samples, build))],
-        "_o0 int, _o1 string, _o2 int, _o3 array<string>, value string",
-    )
-    ordered = head.unionByName(records).orderBy(*names, "value")
-    ordered.select("value").write.mode("overwrite").text(path, compression=compression)
+    """Write VCF text; the header is in the first part."""
+    lines = ordered_lines(df, headers, samples, build, sort)
+    lines.write.mode("overwrite").text(path, compression=compression)
     return path
 
 
@@ -185,7 +255,7 @@ def export_vcf_shards(
     ordered = (
         head.unionByName(records)
         .repartition(*parts)
-        .sortWithinPartitions(*parts, *names, "value")
+        .sortWithinPartitions(*parts, *names, F.xxhash64("value"))
     )
     ordered.select(*parts, "value").write.mode("overwrite").partitionBy(*parts).text(
         path, compression=compression

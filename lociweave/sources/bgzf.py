@@ -5,50 +5,54 @@ Block-gzipped files can be cut at any block, so Spark spreads byte ranges over t
 inflates the blocks that start in its range.
 """
 
-from __future__ import annotations
-
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lociweave.session import conf_bytes
+
 READ_BYTES = 4 << 20
-BATCH_LINES = 8192
+BATCH_BYTES = 16 << 20
 # Fixed value: the first bytes of every block (gzip magic, deflate, extra field present).
 MAGIC = b"\x1f\x8b\x08\x04"
 
 
-def bgzf_lines(
-    spark: SparkSession, paths: list[str], split_bytes: int | None = None, head: bool = False
-) -> DataFrame:
-    """One row ``value`` per line of all files, or of their first ranges only (``head``).
+def bgzf_lines(spark: SparkSession, paths: list[str], split_bytes: int | None = None) -> DataFrame:
+    """One row ``value`` per line of all files.
 
     Ranges are as large as the file splits of Spark's own readers unless ``split_bytes`` is given.
     """
     if split_bytes is None:
-        # the conf accepts sizes such as 128MB, so ask Spark for the parsed value
-        split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        split_bytes = conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
     # only names and lengths are read here, not the contents
     files = spark.read.format("binaryFile").load(paths).select("path", "length")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
-    if head:
-        starts = F.array(F.lit(0).cast("long"))
     ranges = files.where("length > 0").select("path", F.explode(starts).alias("start"))
     ranges = ranges.withColumn("stop", F.col("start") + split_bytes)
     # One range per task.  The number is explicit: adaptive execution would otherwise merge the
     # tiny range rows, and with them all the reading, into one task.
     ranges = ranges.repartition(max(1, ranges.count()))
-    return ranges.mapInPandas(_range_lines, "value string")
+    return ranges.mapInArrow(_range_lines, "value string")
+
+
+def head_lines(path: str, mark: str = "#") -> list[str]:
+    """The lines at the top of a block-gzipped file that begin with ``mark``, however many there are."""
+    lines = []
+    with _open(path) as file:
+        for line in _split_lines(file, 0, None):
+            text = _text(line)
+            if not text.startswith(mark):
+                break
+            lines.append(text)
+    return lines
 
 
 def is_block_gzip(path: str) -> bool:
-    """True if a file starts with a block header; False if it cannot be opened from here."""
-    try:
-        with _open(path) as file:
-            return _block_size(file.read(64), 0) is not None
-    except Exception:
-        return False
+    """True if a file starts with a block header."""
+    with _open(path) as file:
+        return _block_size(file.read(64), 0) is not None
 
 
 def _open(path: str):
@@ -115,43 +119,52 @@ def _blocks(file, start: int) -> Iterator[tuple[int, bytes]]:
         at += size
 
 
-def _split_lines(file, start: int, stop: int) -> Iterator[bytes]:
+def _split_lines(file, start: int, stop: int | None) -> Iterator[bytes]:
     """Lines of a range: a line belongs to the range before the boundary it crosses or touches."""
-    rest, skipping = b"", start > 0
+    pieces: list[bytes] = []  # of a line that goes on in the next block
+    skipping = start > 0
     for offset, text in _blocks(file, start):
-        last = offset >= stop
-        rest += text
+        last = stop is not None and offset >= stop
         if skipping:
-            cut = rest.find(b"\n")
-            if cut < 0:
-                if last:
-                    return
-                continue
             if last:
                 return
-            rest, skipping = rest[cut + 1 :], False
+            cut = text.find(b"\n")
+            if cut < 0:
+                continue
+            text, skipping = text[cut + 1 :], False
         if last:
-            cut = rest.find(b"\n")
-            if cut >= 0:
-                yield rest[:cut]
-                return
-            continue
-        *lines, rest = rest.split(b"\n")
-        yield from lines
-    if rest and not skipping:
-        yield rest
+            cut = text.find(b"\n")
+            if cut < 0:
+                pieces.append(text)
+                continue
+            yield b"".join([*pieces, text[:cut]])
+            return
+        first, *lines = text.split(b"\n")
+        pieces.append(first)
+        if lines:
+            yield b"".join(pieces)
+            yield from lines[:-1]
+            pieces = [lines[-1]]
+    if any(pieces) and not skipping:
+        yield b"".join(pieces)
+
+
+def _text(line: bytes) -> str:
+    return line.removesuffix(b"\r").decode()
 
 
-def _range_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _range_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # in a fixed order, so that a re-run task numbers its lines the same way
-    ranges = sorted(r for b in batches for r in zip(b["path"], b["start"], b["stop"]))
+    ranges = sorted((r["path"], r["start"], r["stop"]) for b in batches for r in b.to_pylist())
     for path, start, stop in ranges:
         with _open(path) as file:
             lines: list[str] = []
-            for line in _split_lines(file, int(start), int(stop)):
-                lines.append(line.decode())
-                if len(lines) == BATCH_LINES:
-                    yield pd.DataFrame({"value": lines})
-                    lines = []
+            held = 0
+            for line in _split_lines(file, start, stop):
+                lines.append(_text(line))
+                held += len(line)
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+                    lines, held = [], 0
             if lines:
-                yield pd.DataFrame({"value": lines})
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])

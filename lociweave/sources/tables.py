@@ -1,7 +1,5 @@
 """Delimited tables, intervals, gene lists, sample lists and pedigrees."""
 
-from __future__ import annotations
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,36 +17,54 @@ def read_store(spark: SparkSession, path: str | list[str], n_partitions: int = 0
 
 
 def read_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A tab-separated table with a header; all columns are strings and ``NA`` is missing."""
-    return spark.read.csv(path, sep="\t", header=True, inferSchema=False, nullValue="NA")
+    """A tab-separated table with a header; all columns are strings and ``NA`` is missing.
+
+    A quote is a character like any other.
+    """
+    return _quoted_tsv(spark, path, "")
+
+
+def _quoted_tsv(spark: SparkSession, path: str | list[str], quote: str) -> DataFrame:
+    return spark.read.csv(path, sep="\t", header=True, inferSchema=False, nullValue="NA", quote=quote)
 
 
 def read_tsv_shards(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
-    """Table shards that may differ in their columns, one DataFrame each."""
-    return [read_tsv(spark, p) for p in paths]
+    """Table shards that may differ in their columns, one DataFrame each; quoted cells are unquoted."""
+    return [_quoted_tsv(spark, p, '"') for p in paths]
 
 
 def _headerless(spark: SparkSession, path: str | list[str], n_columns: int) -> DataFrame:
     schema = ", ".join(f"c{i} string" for i in range(n_columns))
-    return spark.read.csv(path, sep="\t", header=False, schema=schema)
+    return spark.read.csv(path, sep="\t", header=False, schema=schema, quote="")
 
 
 def read_intervals(
-    spark: SparkSession, path: str, build: str = "GRCh38", skip_invalid: bool = False
+    spark: SparkSession,
+    path: str,
+    build: str = "GRCh38",
+    skip_invalid: bool = False,
+    contigs: list[str] | None = None,
 ) -> DataFrame:
     """``contig, start0, end0, target`` of a BED file, with or without a header line.
 
     A line whose second and third cells are not numbers is a header, track or comment line.
-    ``skip_invalid`` drops empty intervals and those outside the build's contigs.
+    ``skip_invalid`` drops empty intervals and those outside the given contigs, or else the build's.
     """
-    df = _headerless(spark, path, 4).select(
+    return intervals_of(_headerless(spark, path, 4), build, skip_invalid, contigs)
+
+
+def intervals_of(
+    cells: DataFrame, build: str = "GRCh38", skip_invalid: bool = False, contigs: list[str] | None = None
+) -> DataFrame:
+    """Intervals from the cells ``c0`` to ``c3`` of each line."""
+    df = cells.select(
         F.col("c0").alias("contig"),
         F.col("c1").try_cast("int").alias("start0"),
         F.col("c2").try_cast("int").alias("end0"),
         F.col("c3").alias("target"),
     ).where("start0 is not null and end0 is not null")
     if skip_invalid:
-        known = list(CONTIG_LENGTHS[build])
+        known = list(contigs or CONTIG_LENGTHS[build])
         df = df.where((F.col("end0") > F.col("start0")) & F.col("contig").isin(known))
     return df
 
@@ -84,7 +100,7 @@ def read_sample_list(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pedigree(spark: SparkSession, path: str) -> DataFrame:
     """The first six columns under fixed names, with ``row_idx`` in file order."""
-    df = read_tsv(spark, path)
+    df = _quoted_tsv(spark, path, '"')
     df = df.select(*[F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, PEDIGREE_COLUMNS)])
     return df.withColumn("row_idx", F.monotonically_increasing_id())
 

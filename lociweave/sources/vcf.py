@@ -1,7 +1,10 @@
-"""VCF text to sites, header definitions and samples."""
+"""VCF text to sites, header definitions and samples.
 
-from __future__ import annotations
+Cells that no operator edits can travel as text: ``raw`` holds the quality and INFO cells of a line, ``calls``
+its FORMAT and sample cells.  The sink prints them as they were wherever the values still say the same.
+"""
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -10,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lociweave.functions.genotypes import parse_call
 from lociweave.model import CONTIG_LENGTHS
 from lociweave.operators.headers import HEADER_COLUMNS
-from lociweave.sources.bgzf import bgzf_lines, is_block_gzip
+from lociweave.sources.bgzf import bgzf_lines, head_lines, is_block_gzip
 
 TYPES = {"Integer": "int", "Float": "double", "String": "string", "Character": "string"}
 FIXED_COLUMNS = 9
@@ -32,31 +35,31 @@ def _as_list(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def vcf_lines(
-    spark: SparkSession, paths: str | list[str], force_bgz: bool = False, head: bool = False
-) -> DataFrame:
+def _is_blocked(path: str, force_bgz: bool) -> bool:
+    return path.endswith(".bgz") or (path.endswith(".gz") and (force_bgz or is_block_gzip(path)))
+
+
+def vcf_lines(spark: SparkSession, paths: str | list[str], force_bgz: bool = False) -> DataFrame:
     """Raw lines; block-gzipped files are read in many tasks each.
 
-    A ``.gz`` file counts as block-gzipped if it starts like one, or without a look if
-    ``force_bgz`` is set.  ``head`` needs the start of each file only.
+    A ``.gz`` file counts as block-gzipped if it starts like one, or without a look if ``force_bgz`` is set.
     """
     paths = _as_list(paths)
-    blocked = [
-        p for p in paths
-        if p.endswith(".bgz") or (p.endswith(".gz") and (force_bgz or is_block_gzip(p)))
-    ]
+    blocked = [p for p in paths if _is_blocked(p, force_bgz)]
     plain = [p for p in paths if p not in blocked]
     parts = []
     if plain:
         parts.append(spark.read.text(plain))
     if blocked:
-        parts.append(bgzf_lines(spark, blocked, head=head))
+        parts.append(bgzf_lines(spark, blocked))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_header_lines(spark: SparkSession, path: str, force_bgz: bool = False) -> list[str]:
-    """The ``#`` lines at the top of one file; reads the head of the file only."""
-    lines = vcf_lines(spark, path, force_bgz, head=True)
+    """The ``#`` lines at the top of one file, to the last of them; reads no further than that."""
+    if _is_blocked(path, force_bgz):
+        return head_lines(path)
+    lines = spark.read.text(path)
     n = 512
     while True:
         head = [row["value"] for row in lines.take(n)]
@@ -78,11 +81,22 @@ def parse_header(lines: list[str]) -> list[tuple[str, str, str | None, str | Non
     return rows
 
 
-def sample_names(lines: list[str]) -> list[str]:
+def column_line(lines: list[str]) -> str:
+    """The ``#CHROM`` line; a file without one is not read as if it had no samples."""
     for line in lines:
         if line.startswith("#CHROM"):
-            return line.split("\t")[FIXED_COLUMNS:]
-    return []
+            return line
+    raise ValueError("the header has no #CHROM line")
+
+
+def sample_names(lines: list[str]) -> list[str]:
+    return column_line(lines).split("\t")[FIXED_COLUMNS:]
+
+
+def contig_lengths(definitions: list[tuple], build: str) -> dict[str, int | None]:
+    """Contigs with their lengths (missing if not given) from the header, or those of the build."""
+    declared = {d[1]: int(d[4]) if (d[4] or "").isdigit() else None for d in definitions if d[0] == "contig"}
+    return declared or CONTIG_LENGTHS[build]
 
 
 def headers_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -110,9 +124,26 @@ def _typed(text: Column, number: str | None, kind: str | None) -> Column:
     return F.when(text != ".", F.transform(F.split(text, ","), one))
 
 
+def info_pairs(text: Column) -> Column:
+    """INFO cells by name."""
+    parts = F.split(text, ";")
+
+    def name(part: Column) -> Column:
+        return F.substring_index(part, "=", 1)
+
+    names = F.transform(parts, name)
+    firsts = F.filter(parts, lambda part, i: F.array_position(names, name(part)) == i + 1)
+    repeated = F.size(F.array_distinct(names)) < F.size(names)
+    once = F.when(repeated, F.array_join(firsts, ";")).otherwise(text)
+    return F.str_to_map(once, F.lit(";"), F.lit("="))
+
+
 def parse_info(text: Column, definitions: list[tuple]) -> Column:
-    """The ``info`` struct; flags are booleans, fields the header does not define are not read."""
-    pairs = F.str_to_map(text, F.lit(";"), F.lit("="))
+    """The ``info`` struct; flags are booleans, fields the header does not define are not read.
+
+    Of a field that is given more than once the first counts.
+    """
+    pairs = info_pairs(text)
     fields = []
     for _, name, number, kind, _ in definitions:
         if kind == "Flag" or number == "0":
@@ -146,25 +177,25 @@ def parse_entries(cells: Column, places: Column, definitions: list[tuple]) -> Co
     return F.transform(F.transform(tokens, picked), typed)
 
 
-def valid_locus(build: str) -> Column:
-    lengths = F.create_map(
-        *[F.lit(x) for name_length in CONTIG_LENGTHS[build].items() for x in name_length]
-    )
-    length = F.try_element_at(lengths, F.col("contig"))
+def valid_locus(lengths: dict[str, int | None]) -> Column:
+    """Is the contig one of these and the position on it?  A contig without a length has no end."""
+    # one literal: a header may declare thousands of contigs
+    known = F.from_json(F.lit(json.dumps({c: n if n is not None else 2**31 - 1 for c, n in lengths.items()})), "map<string,int>")
+    length = F.try_element_at(known, F.col("contig"))
     return F.coalesce(F.col("pos").between(1, length), F.lit(False))
 
 
-def check_loci(sites: DataFrame, build: str, invalid: str) -> DataFrame:
-    """``invalid``: ``error`` fails on a contig or position outside the build, ``skip`` drops the
+def check_loci(sites: DataFrame, lengths: dict[str, int | None], invalid: str) -> DataFrame:
+    """``invalid``: ``error`` fails on a contig or position outside those given, ``skip`` drops the
     row, ``keep`` does not look."""
     if invalid == "keep":
         return sites
     if invalid == "skip":
-        return sites.where(valid_locus(build))
+        return sites.where(valid_locus(lengths))
     message = F.concat(
         F.lit("invalid locus "), F.coalesce("contig", F.lit("")), F.lit(":"), F.col("pos").cast("string")
     )
-    checked = F.when(valid_locus(build), F.col("contig")).otherwise(F.raise_error(message))
+    checked = F.when(valid_locus(lengths), F.col("contig")).otherwise(F.raise_error(message))
     return sites.withColumn("contig", checked)
 
 
@@ -172,29 +203,38 @@ def read_vcf(
     spark: SparkSession,
     paths: str | list[str],
     build: str = "GRCh38",
-    genotypes: bool = False,
+    genotypes: bool | str = False,
     find_replace: tuple[str, str] | None = None,
     n_partitions: int = 0,
     invalid: str = "error",
     force_bgz: bool = False,
     row_id: bool = False,
 ) -> Vcf:
-    """Read VCF files that share one header (the first file's).
+    """Read VCF files that share one header: with other definitions or samples in one of them it fails.
 
-    Without ``genotypes`` the tail of each line is never split.  ``find_replace`` is a pattern and
-    its replacement, applied to the raw data lines.  ``row_id`` numbers the lines at the scan.
+    ``genotypes`` parses the sample cells into ``entries``; as ``"text"`` they travel as one text, ``calls``; without
+    it they are left out.  The tail of a line is split only for entries.  ``find_replace`` is a pattern and its
+    replacement, applied to the raw data lines.  Valid contigs are those the header declares, or else the build's.
+    ``row_id`` numbers the lines at the scan.
     """
     paths = _as_list(paths)
     header_lines = read_header_lines(spark, paths[0], force_bgz)
     definitions = parse_header(header_lines)
     names = sample_names(header_lines)
+    for path in paths[1:]:
+        other = read_header_lines(spark, path, force_bgz)
+        if sample_names(other) != names:
+            raise ValueError(f"{path} lists other samples than {paths[0]}")
+        if sorted(map(str, parse_header(other))) != sorted(map(str, definitions)):
+            raise ValueError(f"{path} has other definitions than {paths[0]}")
     lines = vcf_lines(spark, paths, force_bgz)
     if row_id:
         lines = lines.withColumn("row_id", F.monotonically_increasing_id())
     if n_partitions:
         lines = lines.repartition(n_partitions)
-    sites = parse_sites(lines, definitions, len(names) if genotypes else 0, genotypes, find_replace)
-    sites = check_loci(sites, build, invalid)
+    genotypes = genotypes if names else False
+    sites = parse_sites(lines, definitions, len(names) if genotypes else 0, genotypes, find_replace, raw=True)
+    sites = check_loci(sites, contig_lengths(definitions, build), invalid)
     return Vcf(sites, headers_table(spark, definitions), samples_table(spark, names), names)
 
 
@@ -202,18 +242,21 @@ def parse_sites(
     lines: DataFrame,
     definitions: list[tuple],
     n_samples: int = 0,
-    genotypes: bool = False,
+    genotypes: bool | str = False,
     find_replace: tuple[str, str] | None = None,
+    raw: bool = False,
 ) -> DataFrame:
-    """Record lines (column ``value``; others are carried) to sites, typed by the definitions."""
+    """Record lines (column ``value``; others are carried) to sites, typed by the definitions.
+
+    ``raw`` keeps the quality and INFO cells as text too.
+    """
     lines = lines.where(~F.col("value").rlike("^(#|$)"))
     text = F.col("value")
     if find_replace:
         text = F.regexp_replace(text, find_replace[0], find_replace[1])
     carried = [c for c in lines.columns if c != "value"]
-    cells = lines.select(
-        F.split(text, "\t", -1 if genotypes else FIXED_COLUMNS).alias("_c"), *carried
-    )
+    # the ninth piece is all that follows the eight fixed cells, as one text
+    cells = lines.select(F.split(text, "\t", FIXED_COLUMNS).alias("_c"), *carried)
 
     def cell(i: int) -> Column:
         return F.get("_c", F.lit(i))
@@ -231,10 +274,15 @@ def parse_sites(
         filters.alias("filters"),
         parse_info(cell(7), [d for d in definitions if d[0] == "INFO"]).alias("info"),
     ]
-    if genotypes:
-        sample_cells = F.slice("_c", FIXED_COLUMNS + 1, max(n_samples, 1))
+    if raw:
+        columns.append(F.struct(cell(5).alias("qual"), cell(7).alias("info")).alias("raw"))
+    if genotypes == "text":
+        columns.append(cell(8).alias("calls"))
+    elif genotypes:
+        cells = cells.withColumn("_s", F.split(cell(8), "\t"))
+        sample_cells = F.slice("_s", 2, max(n_samples, 1))
         formats = [d for d in definitions if d[0] == "FORMAT"]
-        cells = cells.withColumn("_keys", F.split(cell(8), ":"))
+        cells = cells.withColumn("_keys", F.split(F.get("_s", F.lit(0)), ":"))
         places = [F.array_position("_keys", d[1]).cast("int") - 1 for d in formats]
         cells = cells.withColumn("_places", F.array(*places))
         columns.append(parse_entries(sample_cells, F.col("_places"), formats).alias("entries"))

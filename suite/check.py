@@ -3,8 +3,6 @@
 ``CHECK_BROADCAST=-1`` turns broadcasts off, so the paths for large tables are checked too.
 """
 
-from __future__ import annotations
-
 import os
 import sys
 import time

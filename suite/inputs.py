@@ -5,8 +5,6 @@ difference: a per-row series).  All of them read their whole tables.  In Spark t
 DataFrames; in DuckDB they become common table expressions in front of an oracle query.
 """
 
-from __future__ import annotations
-
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F

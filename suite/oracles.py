@@ -1,7 +1,5 @@
 """DuckDB SQL with the expected result of each registered query, written on long tables."""
 
-from __future__ import annotations
-
 from suite.inputs import _contig, with_inputs
 
 VARIANT = "v.contig, v.pos, concat(v.ref, ',', v.alt) as alleles"

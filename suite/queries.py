@@ -1,7 +1,5 @@
 """One query per operator and run; each takes the inputs and returns scalar columns."""
 
-from __future__ import annotations
-
 from collections.abc import Callable
 from functools import partial
 

@@ -315,7 +315,9 @@ def test_block_gzip_is_recognised_and_read_in_ranges(spark, vcf, tmp_path):
     blocked, plain = tmp_path / "b.vcf.gz", tmp_path / "p.vcf.gz"
     blocked.write_bytes(block_gzip(Path(vcf).read_bytes(), 100))
     plain.write_bytes(gzip.compress(Path(vcf).read_bytes()))
-    assert is_block_gzip(str(blocked)) and not is_block_gzip(str(plain)) and not is_block_gzip("/none.gz")
+    assert is_block_gzip(str(blocked)) and not is_block_gzip(str(plain))
+    with pytest.raises(FileNotFoundError):
+        is_block_gzip("/none.gz")
     assert bgzf_lines(spark, [str(blocked)], 300).rdd.getNumPartitions() > 3
     want = sorted(read_vcf(spark, vcf).sites.collect(), key=repr)
     for path in (blocked, plain):
@@ -383,3 +385,120 @@ def test_skewed_copies_survive_a_whole_run(spark, tmp_path):
             assert out.count() == 3000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def plain_vcf(tmp_path, name, rows, more="", samples="s1\ts2"):
+    head = "##fileformat=VCFv4.2\n" + more + "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + samples + "\n"
+    path = tmp_path / name
+    path.write_text(head + "\n".join(rows) + "\n")
+    return str(path)
+
+
+DECLARED = """##INFO=<ID=AC,Number=A,Type=Integer,Description="">
+##INFO=<ID=SC,Number=1,Type=Float,Description="">
+##INFO=<ID=DB,Number=0,Type=Flag,Description="">
+##contig=<ID=chr1,length=1000>
+##contig=<ID=chr1_KI270706v1_random,length=175055>
+##contig=<ID=chrUn_x>
+"""
+ODD_ROWS = [
+    "chr1\t5\trs1\tA\tC\t50\tPASS\tZZ=q;AC=1;SC=1e-05;FREE;DB\tGT:XX\t./1:7\t1|.:.",
+    "chr1\t6\t.\tA\tC\t0.50\tq10;s50\tAC=1;AC=2;SC=0.10\tGT\t0/0\t./.",
+    "chr1_KI270706v1_random\t9\t.\tG\tT\t.\t.\t.\tGT:YY\t0/1:a,b\t0/0:c",
+    "chrUn_x\t900\t.\tG\t.\t3.0\tPASS\tSC=2.50e3\tGT\t0\t1",
+]
+
+
+def test_untouched_cells_come_out_as_they_went_in(spark, tmp_path):
+    path = plain_vcf(tmp_path, "odd.vcf", ODD_ROWS, DECLARED)
+    out = files.merge_shards(spark, [path], str(tmp_path / "out"))
+    assert records(out) == ODD_ROWS
+    assert sorted(records(files.merge_shards(spark, [path], str(tmp_path / "sorted"), sort=True))) == sorted(ODD_ROWS)
+    bed = tmp_path / "all.bed"
+    bed.write_text("chr1\t0\t1000\nchrUn_x\t0\t1000\n")
+    kept = records(files.subset_intervals_vcf(spark, path, str(bed), str(tmp_path / "sub")))
+    assert sorted(kept) == sorted(r for r in ODD_ROWS if "random" not in r)
+
+
+def test_edited_and_added_fields_join_untouched_ones(spark, tmp_path):
+    path = plain_vcf(tmp_path, "odd.vcf", ODD_ROWS[:1], DECLARED)
+    v = read_vcf(spark, path, genotypes="text")
+    info = F.col("info").withField("AC", F.array(F.lit(4))).withField("NEW", F.lit(2.0)).withField("TINY", F.lit(0.00002))
+    out = export_vcf(v.sites.withColumn("info", info), v.headers, str(tmp_path / "out"), v.sample_names)
+    assert records(out)[0].split("\t")[7] == "AC=4;SC=1e-05;DB;NEW=2;TINY=2e-05;ZZ=q;FREE"
+
+
+def test_contigs_are_those_of_the_header(spark, tmp_path):
+    bad = [*ODD_ROWS, "chrNo\t1\t.\tA\tC\t.\t.\t.\tGT\t0\t0", "chr1\t1001\t.\tA\tC\t.\t.\t.\tGT\t0\t0"]
+    path = plain_vcf(tmp_path, "bad.vcf", bad, DECLARED)
+    assert read_vcf(spark, path, invalid="skip").sites.count() == 4
+    assert read_vcf(spark, path, invalid="keep").sites.count() == 6
+    with pytest.raises(Exception, match="invalid locus chr"):
+        read_vcf(spark, path).sites.collect()
+    assert read_vcf(spark, plain_vcf(tmp_path, "odd.vcf", ODD_ROWS, DECLARED)).sites.count() == 4
+
+
+def test_a_header_longer_than_one_range_is_read_to_its_end(spark, tmp_path):
+    filler = "".join(f'##INFO=<ID=F{i},Number=1,Type=String,Description="{"x" * 90}{i}">\n' for i in range(3000))
+    text = Path(plain_vcf(tmp_path, "long.vcf", ODD_ROWS, DECLARED + filler)).read_bytes()
+    path = tmp_path / "long.vcf.bgz"
+    path.write_bytes(block_gzip(text, 5000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4KB")
+    try:
+        v = read_vcf(spark, str(path), genotypes="text")
+        assert v.sample_names == ["s1", "s2"] and v.headers.count() == 3006
+        assert v.sites.where("calls is not null").count() == 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    (tmp_path / "none.vcf").write_text("##fileformat=VCFv4.2\nchr1\t1\t.\tA\tC\t.\t.\t.\n")
+    with pytest.raises(ValueError, match="CHROM"):
+        read_vcf(spark, str(tmp_path / "none.vcf"))
+
+
+def test_lines_over_many_blocks(spark, tmp_path):
+    wide = [f"chr1\t{i}\t.\tA\tC\t.\t.\tSC={i}\tGT\t" + "0/1:" + "z" * 30000 + "\t0/0" for i in range(1, 40)]
+    text = Path(plain_vcf(tmp_path, "wide.vcf", wide, DECLARED)).read_bytes().replace(b"\n", b"\r\n")
+    path = tmp_path / "wide.vcf.bgz"
+    path.write_bytes(block_gzip(text, 700))
+    got = [r["value"] for r in bgzf_lines(spark, [str(path)], 1500).collect() if not r["value"].startswith("#")]
+    assert sorted(got) == sorted(wide)
+
+
+def test_files_read_together_need_one_header(spark, tmp_path):
+    a = plain_vcf(tmp_path, "a.vcf", ODD_ROWS[:1], DECLARED)
+    b = plain_vcf(tmp_path, "b.vcf", ODD_ROWS[1:2], DECLARED)
+    assert read_vcf(spark, [a, b]).sites.count() == 2
+    with pytest.raises(ValueError, match="other samples"):
+        read_vcf(spark, [a, plain_vcf(tmp_path, "c.vcf", ODD_ROWS[1:2], DECLARED, "s2\ts1")])
+    with pytest.raises(ValueError, match="other definitions"):
+        read_vcf(spark, [a, plain_vcf(tmp_path, "d.vcf", ODD_ROWS[1:2])])
+
+
+def test_quotes_are_plain_characters(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text('a\tb\tc\nA\t"x\tAD\nB\t"y"\tNA\n')
+    assert [tuple(r) for r in tb.read_tsv(spark, str(tmp_path / "t.tsv")).collect()] == [("A", '"x', "AD"), ("B", '"y"', None)]
+    assert tb.read_tsv_shards(spark, [str(tmp_path / "t.tsv")])[0].columns == ["a", "b", "c"]
+
+
+def test_file_date_may_stand_anywhere_in_the_header(spark, tmp_path):
+    row = "1\t5\t.\tA\tC\t.\t.\t.\tGT\t0\t0"
+    more = "##source=x\n##more=y\n##fileDate=2025-06-19\n"
+    out = files.normalise_clinvar(spark, plain_vcf(tmp_path, "r.vcf", [row], more), str(tmp_path))
+    assert out.endswith("clinvar_20250619_chr_rename_GRCh38.vcf.gz") and records(out)[0].startswith("chr1\t5\t")
+    with pytest.raises(ValueError, match="file date"):
+        files.normalise_clinvar(spark, plain_vcf(tmp_path, "n.vcf", [row]), str(tmp_path))
+
+
+def test_nothing_runs_while_a_plan_is_made(spark):
+    from lociweave.plans import annotate as an
+    from suite.inputs import Inputs
+    from suite.queries import resources as derived
+
+    x = Inputs(spark, "/root/testdata/sf0.001")
+    sites, res = x.annotated(), derived(x, dev=True)
+    spark.sparkContext.setJobGroup("planning", "planning")
+    an.annotate_extra(sites, COLUMNS, res)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
