@@ -96,49 +96,77 @@ def attach_genotypes(
 def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
     """Merge ``(sites, samples)`` files with different samples on the variant, full outer.
 
-    The files are stacked and grouped once.  A group holds at most one entry array per file
-    (a repeated variant within a file keeps its smallest one), and samples absent from a row
-    have missing entries.  A sample name seen before is prefixed by its file's number.
+    The files are stacked in long form, one row for each record, and brought together by variant in one
+    exchange.  Records that repeat a variant within a file are numbered (by content) and merge with the
+    records of the same number.  A merged record has one entry array for each file, missing entries for samples
+    of files that lack it, all ids, the largest quality, all filters, and each INFO field of the first file that
+    has it; ``AC`` and ``AN`` are added up, ``DP`` too.  A sample name seen before is prefixed by its file's number.
     """
-    spark = files[0][0].sparkSession
     sizes = [samples.count() for _, samples in files]
-    names = [
-        n for n in MERGE_FIELDS if any(n in entry_names(df) for df, _ in files)
-    ]
-    types = {
-        f.name: f.dataType.simpleString()
-        for df, _ in files
-        for f in df.schema["entries"].dataType.elementType.fields
-    }
+    entry_types = _field_types([df.schema["entries"].dataType.elementType for df, _ in files])
+    names = [n for n in MERGE_FIELDS if n in entry_types]
+    info_types = _field_types([df.schema["info"].dataType for df, _ in files if "info" in df.columns])
+    info_types.pop("_none", None)
 
-    def uniform(df: DataFrame):
+    def long_rows(i: int, df: DataFrame) -> DataFrame:
         have = entry_names(df)
-        return F.transform(
-            "entries",
-            lambda e: F.struct(
-                *[
-                    (e[n] if n in have else F.lit(None).cast(types[n])).alias(n)
-                    for n in names
-                ]
-            ),
+
+        def slim(e: Column) -> Column:
+            return F.struct(*[(e[n] if n in have else F.lit(None)).cast(entry_types[n]).alias(n) for n in names])
+
+        def optional(name: str, kind: str) -> Column:
+            return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
+
+        given = df.schema["info"].dataType.names if "info" in df.columns else []
+        info = [(F.col("info")[n] if n in given else F.lit(None)).cast(t).alias(n) for n, t in info_types.items()]
+        return df.select(
+            *VARIANT_KEY,
+            F.lit(i).alias("_file"),
+            optional("rsid", "string"),
+            optional("qual", "double"),
+            optional("filters", "array<string>"),
+            (F.struct(*info) if info else F.lit(None).cast("string")).alias("_info"),
+            F.transform("entries", slim).alias("_entries"),
         )
 
-    stacked = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [
-            df.select(*VARIANT_KEY, uniform(df).alias(f"_f{i}")) for i, (df, _) in enumerate(files)
-        ],
-    )
-    grouped = grouped_by_hash(stacked, VARIANT_KEY).agg(
-        *[F.min(f"_f{i}").alias(f"_f{i}") for i in range(len(files))]
-    )
-    missing = F.lit(None).cast("struct<" + ",".join(f"{n}:{types[n]}" for n in names) + ">")
+    stacked = reduce(lambda a, b: a.unionByName(b), [long_rows(i, df) for i, (df, _) in enumerate(files)])
+    stacked = stacked.repartition(*VARIANT_KEY)
+    content = F.xxhash64("rsid", "qual", "filters", F.to_json("_info") if info_types else F.lit(0), "_entries")
+    repeats = Window.partitionBy(*VARIANT_KEY, "_file").orderBy(content)
+    grouped = stacked.withColumn("_repeat", F.row_number().over(repeats)).groupBy(*VARIANT_KEY, "_repeat")
+
+    def in_order(value: Column) -> Column:
+        """Values of the files that have one, in file order: at most one for each file."""
+        pairs = F.sort_array(F.collect_list(F.when(value.isNotNull(), F.struct("_file", value.alias("v")))))
+        return F.transform(pairs, lambda p: p["v"])
+
+    def merged_field(name: str, kind: str) -> Column:
+        values = in_order(F.col("_info")[name])
+        if name in ("AN", "DP") and kind == "int":
+            return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0), lambda a, x: a + x))
+        if name == "AC" and kind == "array<int>":
+            add = lambda a, x: F.zip_with(a, x, lambda m, n: F.coalesce(m, F.lit(0)) + F.coalesce(n, F.lit(0)))
+            return F.when(F.size(values) > 0, F.aggregate(values, F.array().cast("array<int>"), add))
+        return F.get(values, F.lit(0))
+
+    missing = F.lit(None).cast("struct<" + ",".join(f"`{n}`:{entry_types[n]}" for n in names) + ">")
+    by_file = F.map_from_entries(F.collect_list(F.struct("_file", "_entries")))
+    columns = {
+        "rsid": F.nullif(F.array_join(F.array_distinct(F.flatten(F.transform(in_order(F.col("rsid")), lambda x: F.split(x, ";")))), ";"), F.lit("")),
+        "qual": F.max("qual"),
+        "filters": _united_filters(in_order(F.col("filters"))),
+        "_by_file": by_file,
+    }
+    if info_types:
+        columns["info"] = F.struct(*[merged_field(n, t).alias(n) for n, t in info_types.items()])
+    merged = grouped.agg(*[c.alias(n) for n, c in columns.items()])
     entries = F.concat(
         *[
-            F.coalesce(f"_f{i}", F.array_repeat(missing, size)) for i, size in enumerate(sizes)
+            F.coalesce(F.try_element_at("_by_file", F.lit(i)), F.array_repeat(missing, size))
+            for i, size in enumerate(sizes)
         ]
     )
-    merged = grouped.select(*VARIANT_KEY, entries.alias("entries"))
+    merged = merged.withColumn("entries", entries).drop("_by_file", "_repeat")
 
     offsets = [sum(sizes[:i]) for i in range(len(sizes))]
     listed = reduce(
@@ -155,6 +183,21 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
     return merged, listed.join(first, "s").select("idx", label.alias("s"))
 
 
+def _field_types(structs: list) -> dict[str, str]:
+    """Types of all fields by name; the first struct that has a field decides."""
+    types: dict[str, str] = {}
+    for struct in structs:
+        for f in struct.fields:
+            types.setdefault(f.name, f.dataType.simpleString())
+    return types
+
+
+def _united_filters(lists: Column) -> Column:
+    """All filters that failed in some file; passed if one file says so and none fails; else missing."""
+    failed = F.array_distinct(F.flatten(lists))
+    return F.when(F.size(lists) > 0, failed)
+
+
 def sample_chunks(samples: DataFrame, per_chunk: int) -> DataFrame:
     """``chunk, s``: samples in name order, ``per_chunk`` to a chunk."""
     numbered = number_rows(samples.select("s"), [F.col("s")])

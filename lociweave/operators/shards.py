@@ -1,19 +1,21 @@
 """Sorting, numbering, chunking and sharding.
 
-An unpartitioned window would pull every row into one task.  Numbers are given in two steps
-instead: rows are range-partitioned, sorted and numbered within their partition, and written once
-to the shared checkpoint folder.  The small table of running offsets (one row per partition) is
-then broadcast to them.
+An unpartitioned window would pull every row into one task.  In genome order rows are counted by variant
+first; running sums over variants, bins of positions and contigs are the offsets to which each row's place
+among the copies of its variant is added, so the rows themselves move once.  In any other order rows are
+range-partitioned, sorted and numbered within their partition, and written once to the shared checkpoint
+folder; the small table of running offsets (one row per partition) is then broadcast to them.
 """
 
 import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lociweave.model import SCATTER_CONTIGS, genome_order
+from lociweave.model import SCATTER_CONTIGS, VARIANT_KEY, contig_rank, genome_order
 from lociweave.session import ensure_checkpoint_dir
 
 COPY_SPREAD = 1024
+BIN_BITS = 14
 
 
 def sort_genome(df: DataFrame, build: str = "GRCh38") -> DataFrame:
@@ -67,6 +69,50 @@ def number_rows(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
+def number_genome(df: DataFrame, build: str = "GRCh38") -> DataFrame:
+    """Add a global, gap-free, 1-based ``row_number`` in genome order and ``contig_row``, the same by contig.
+
+    Copies of one variant are spread over ``COPY_SPREAD`` buckets by a hash of the row, so no task ranks them all;
+    they are numbered in the order of that hash.
+    """
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.withColumn("_tie", tie).withColumn("_part", F.shiftright("_tie", 54).cast("int"))
+    keys = [*VARIANT_KEY, "_part"]
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_bin", F.shiftright("pos", BIN_BITS)).withColumn("_rank", contig_rank("contig", build))
+
+    def before(*by: str) -> Window:
+        return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+
+    bins = counts.groupBy("_rank", "contig", "_bin").agg(F.sum("_n").alias("_n"))
+    contigs = bins.groupBy("_rank", "contig").agg(F.sum("_n").alias("_n"))
+    # one row for each contig
+    contigs = contigs.select("contig", _running("_n", before().orderBy("_rank", "contig")).alias("_contig_before"))
+    # one row for each bin of a contig
+    bins = bins.select("contig", "_bin", _running("_n", before("contig").orderBy("_bin")).alias("_bin_before"))
+    # one row for each variant (and bucket of copies) of a bin
+    within = _running("_n", before("contig", "_bin").orderBy("pos", "alleles", "_part"))
+    offsets = counts.select(*keys, "_bin", within.alias("_before"))
+    offsets = offsets.join(bins, ["contig", "_bin"]).join(contigs, "contig")
+    offsets = offsets.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], "_contig_before", (F.col("_bin_before") + F.col("_before")).alias("_offset")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_tie"))
+    numbered = rows.join(offsets, same).withColumn("contig_row", F.col("_offset") + place)
+    numbered = numbered.withColumn("row_number", F.col("_contig_before") + F.col("contig_row"))
+    return numbered.select(*df.columns, "row_number", "contig_row")
+
+
+def _running(column: str, window: Window) -> Column:
+    return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+
+def _positive(per_shard: int) -> None:
+    if per_shard <= 0:
+        raise ValueError("per_shard must be positive")
+
+
 def chunk_rows(df: DataFrame, per_chunk: int, order: list[Column]) -> DataFrame:
     """Add ``chunk``: 0-based blocks of ``per_chunk`` consecutive rows."""
     if per_chunk <= 0:
@@ -91,9 +137,9 @@ def shard_count(n_rows: int, per_shard: int) -> int:
 
 def into_shards(df: DataFrame, per_shard: int, build: str = "GRCh38") -> DataFrame:
     """Genome-ordered shards of exactly ``per_shard`` rows (the last may be smaller)."""
-    if per_shard <= 0:
-        raise ValueError("per_shard must be positive")
-    return chunk_rows(df, per_shard, genome_order(build)).withColumnRenamed("chunk", "shard")
+    _positive(per_shard)
+    shard = F.expr(f"(row_number - 1) div {per_shard}").cast("int")
+    return number_genome(df, build).withColumn("shard", shard).drop("row_number", "contig_row")
 
 
 def into_partitions(df: DataFrame, n: int) -> DataFrame:
@@ -126,19 +172,8 @@ def shard_plan(df: DataFrame, per_shard: int, build: str = "GRCh38") -> DataFram
 
 
 def contig_shards(df: DataFrame, per_shard: int, build: str = "GRCh38") -> DataFrame:
-    """Scatter by chromosome, then by row count within it: adds the 0-based ``shard``.
-
-    One global numbering gives every contig's block; no window holds a whole contig.
-    """
-    if per_shard <= 0:
-        raise ValueError("per_shard must be positive")
+    """Scatter by chromosome, then by row count within it: adds the 0-based ``shard``."""
+    _positive(per_shard)
     covered = df.where(F.col("contig").isin(SCATTER_CONTIGS[build]))
-    numbered = number_rows(covered, genome_order(build))
-    starts = numbered.groupBy("contig").agg(F.min("row_number").alias("_start"))
-    place = F.col("row_number") - F.col("_start")
-    # one row per contig of the build
-    return (
-        numbered.join(F.broadcast(starts), "contig")
-        .withColumn("shard", F.floor(place / per_shard).cast("int"))
-        .drop("row_number", "_start")
-    )
+    shard = F.expr(f"(contig_row - 1) div {per_shard}").cast("int")
+    return number_genome(covered, build).withColumn("shard", shard).drop("row_number", "contig_row")

@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BASE_TABLES = ["lineitem", "orders", "part", "supplier", "customer", "nation", "region"]
 
-MATRIX_SAMPLES = range(1, 8)
-
 SPARK_SERIES = (
     "explode(if(pk % 4 > 0, sequence(1, cast(pk % 4 as int)), cast(array() as array<int>)))"
 )
@@ -238,11 +236,12 @@ class Inputs:
         return joined.withColumn("info", F.struct("CSQ")).drop("CSQ")
 
     def matrix(self) -> DataFrame:
-        """Genotypes: a site per order, seven samples, haploid on chrY, holes in every field."""
+        """Genotypes: a site per order, a sample per line number, haploid on chrY, holes in every field."""
+        places = self.sample_places()
         line = F.col("l_linenumber")
         per_site = self.table("lineitem").groupBy(F.col("l_orderkey").alias("o")).agg(
-            *[F.min(F.when(line == i, F.col("l_partkey"))).alias(f"pk{i}") for i in MATRIX_SAMPLES],
-            *[F.max(F.when(line == i, F.col("l_suppkey"))).alias(f"sk{i}") for i in MATRIX_SAMPLES],
+            *[F.min(F.when(line == i, F.col("l_partkey"))).alias(f"pk{i}") for i in places],
+            *[F.max(F.when(line == i, F.col("l_suppkey"))).alias(f"sk{i}") for i in places],
         )
         n = (F.col("o") % 3 + 1).cast("int")
         base = F.col("o") % 4
@@ -285,14 +284,15 @@ class Inputs:
             .withColumn(
                 "alleles", F.transform(F.sequence(F.lit(0), F.col("n_alt")), letter)
             )
-            .withColumn("entries", F.array(*[entry(i) for i in MATRIX_SAMPLES]))
+            .withColumn("entries", F.array(*[entry(i) for i in places]))
             .select("contig", "pos", "alleles", "entries")
         )
 
+    def sample_places(self) -> list[int]:
+        """The line numbers from 1 to the largest one; a sample list is on the driver anyway."""
+        return list(range(1, self.table("lineitem").agg(F.max("l_linenumber").alias("n")).first()["n"] + 1))
+
     def matrix_samples(self) -> DataFrame:
-        """The sample list of ``matrix``: the distinct line numbers."""
-        line = self.table("lineitem").select("l_linenumber").distinct()
-        return line.select(
-            (F.col("l_linenumber") - 1).cast("int").alias("idx"),
-            F.concat(F.lit("s"), F.col("l_linenumber").cast("string")).alias("s"),
-        )
+        """The sample list of ``matrix``."""
+        rows = [(i - 1, f"s{i}") for i in self.sample_places()]
+        return self.spark.createDataFrame(rows, "idx int, s string")

@@ -74,8 +74,8 @@ sites as (select o, {_contig('o')} as contig, cast((o % 200000000) * 10 + 1 as i
 named as (select *, concat({LETTER.format(k=0)}, ',', {LETTER.format(k=1)},
     case when n > 1 then concat(',', {LETTER.format(k=2)}) else '' end,
     case when n > 2 then concat(',', {LETTER.format(k=3)}) else '' end) as alleles from sites),
-places as (select *, unnest(range(1, 8)) as smp from named),
-cells as (select p.*, c.pk, c.sk, c.pk is not null and c.pk % 11 > 0 as called,
+places as (select *, unnest(range(1, (select max(l_linenumber) from lineitem) + 1)) as smp from named),
+cells as materialized (select p.*, c.pk, c.sk, c.pk is not null and c.pk % 11 > 0 as called,
     c.pk % (p.n + 1) as a1, c.sk % (p.n + 1) as a2, p.contig = 'chrY' as haploid
   from places p left join fx_cells c on p.o = c.o and p.smp = c.smp)"""
 CALL = """case when not called then './.' when haploid then cast(a1 as varchar)
@@ -84,11 +84,11 @@ FIXED_CALL = CALL.replace("cast(a1 as varchar)", "concat(a1, '/', a1)")
 ALLELES = """
 calls as (select o, a1 as allele from cells where called
   union all select o, a2 as allele from cells where called and not haploid),
-counted as (select s.o, s.contig, s.pos, s.alleles, s.n, s.k, count(c.allele) as ac
-  from (select *, unnest(range(0, n + 1)) as k from named) s
-  left join calls c on s.o = c.o and s.k = c.allele group by all)"""
+found as (select o, allele, count(*) as ac from calls group by o, allele),
+counted as materialized (select s.o, s.contig, s.pos, s.alleles, s.n, s.k, coalesce(c.ac, 0) as ac
+  from (select *, unnest(range(0, n + 1)) as k from named) s left join found c on s.o = c.o and s.k = c.allele)"""
 PER_ALT = f"""
-alt as (select *, concat({LETTER.format(k=0)}, ',', {LETTER.format(k='k')}) as pair
+alt as materialized (select *, concat({LETTER.format(k=0)}, ',', {LETTER.format(k='k')}) as pair
   from (select *, unnest(range(1, n + 1)) as k from cells) q)"""
 SPLIT_KEY = "contig, pos, pair as alleles, cast(k as int) as a_index, cast(smp as int) as smp"
 
@@ -236,12 +236,10 @@ from alt""",
 select {SPLIT_KEY}, case when pk % 10 <> 3 then concat(
   list_sum([(pk + 3 * i) % 30 for i in range(0, n + 1)]) - (pk + 3 * k) % 30, ',', (pk + 3 * k) % 30) end as ad from alt""",
     "pl_collapse": f"""with {CELLS}, {PER_ALT},
-pls as (select o, smp, k, cast(g1 = k as int) + cast(g2 = k as int) as copies,
-    min((pk + 17 * (g2 * (g2 + 1) // 2 + g1)) % 99) as best
-  from (select *, unnest(range(0, g2 + 1)) as g1 from (select *, unnest(range(0, n + 1)) as g2 from alt) q) q
-  group by all)
-select {SPLIT_KEY}, case when pk % 10 <> 7 then pl end as pl from alt join (
-  select o, smp, k, string_agg(cast(best as varchar), ',' order by copies) as pl from pls group by all) using (o, smp, k)""",
+lists as (select *, list_transform(range(0, 3), lambda copies: list_min(flatten(list_transform(range(0, n + 1), lambda g2:
+    list_transform(list_filter(range(0, g2 + 1), lambda g1: cast(g1 = k as int) + cast(g2 = k as int) = copies),
+                   lambda g1: (pk + 17 * (g2 * (g2 + 1) // 2 + g1)) % 99))))) as pls from alt)
+select {SPLIT_KEY}, case when pk % 10 <> 7 then array_to_string(pls, ',') end as pl from lists""",
     "haploid_fix": f"with {CELLS} select contig, pos, alleles, cast(smp as int) as smp, {FIXED_CALL} as gt from cells",
     "call_stats": f"""with {CELLS}, {ALLELES}
 select contig, pos, alleles, string_agg(cast(ac as varchar), ',' order by k) as ac, cast(sum(ac) as int) as "AN",
@@ -281,8 +279,8 @@ from cells c join second s on c.contig = s.contig and c.pos = s.pos and c.allele
     "merge_samples": f"""with {CELLS}, {ORDER_SITES},
 every as (select contig, pos, alleles from named union select contig, pos, alleles from second),
 first_file as (select e.*, p.s, coalesce(c.gt, './.') as gt, c.dp
-  from (select *, unnest(range(1, 8)) as smp from every) e
-  join (select unnest(range(1, 8)) as smp, concat('s', smp) as s) p using (smp)
+  from (select *, unnest(range(1, (select max(l_linenumber) from lineitem) + 1)) as smp from every) e
+  join (select unnest(range(1, (select max(l_linenumber) from lineitem) + 1)) as smp, concat('s', smp) as s) p using (smp)
   left join (select contig, pos, alleles, smp, {CALL} as gt, cast(sk % 60 as int) as dp from cells) c
     using (contig, pos, alleles, smp)),
 second_file as (select e.contig, e.pos, e.alleles, '2:s1' as s,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lociweave.functions.csq import SPLICE_FIELDS, pack_csq, parse_csq
 from lociweave.functions.genotypes import call_text
-from lociweave.model import VARIANT_KEY, contig_rank
+from lociweave.model import VARIANT_KEY
 from lociweave.operators import genotypes as gt
 from lociweave.operators import intervals as iv
 from lociweave.operators import lookup as lk
@@ -423,8 +423,7 @@ def concat_sorted(x: Inputs) -> DataFrame:
 
 
 def genome_order(x: Inputs) -> DataFrame:
-    order = [contig_rank("contig"), F.col("pos"), F.col("alleles")]
-    out = sh.number_rows(x.variants().select(*VARIANT_KEY), order)
+    out = sh.number_genome(x.variants().select(*VARIANT_KEY))
     return out.select("contig", "pos", joined(), F.col("row_number").cast("bigint").alias("row_number"))
 
 
@@ -481,7 +480,7 @@ def vcf_text_sites(x: Inputs) -> DataFrame:
 def vcf_text_genotypes(x: Inputs) -> DataFrame:
     df = x.matrix()
     lines = df.select(record_lines(df).alias("value"))
-    back = parse_sites(lines, FORMAT_DEFINITIONS, n_samples=7, genotypes=True)
+    back = parse_sites(lines, FORMAT_DEFINITIONS, n_samples=len(x.sample_places()), genotypes=True)
     return long_entries(back).select(
         "contig",
         "pos",
