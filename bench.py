@@ -12,7 +12,7 @@ import sys
 import time
 
 from suite.check import local_session
-from suite.queries import QUERIES, run
+from suite.registry import QUERIES, run
 
 
 HEADLINE = [

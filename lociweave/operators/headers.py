@@ -73,5 +73,5 @@ def file_date(lines: DataFrame):
     """``yyyyMMdd`` of the ``##fileDate=yyyy-MM-dd`` header line, as a one-row DataFrame."""
     day = F.regexp_extract("value", r"^##fileDate=(\d{4}-\d{2}-\d{2})", 1)
     return lines.where("value like '##fileDate=%'").select(
-        F.date_format(F.to_date(day), "yyyyMMdd").alias("release")
+        F.date_format(day.try_cast("date"), "yyyyMMdd").alias("release")
     )

@@ -87,6 +87,7 @@ def lookup_segment(
     segments: DataFrame,
     values: dict[str, str],
     how: str = "left",
+    merge: bool = False,
 ) -> DataFrame:
     """Join each 1-based ``pos`` to the disjoint segment with ``start0 < pos <= end0``.
 
@@ -101,7 +102,9 @@ def lookup_segment(
         F.explode(F.sequence(_bin(F.col("start0") + 1), _bin(F.col("end0")))).alias("_b"),
         *[F.col(v).alias(f"_v_{out}") for out, v in values.items()],
     )
-    if fits_broadcast(right):
+    if merge:
+        right = right.hint("merge")
+    elif fits_broadcast(right):
         right = F.broadcast(right)
     pos = F.col("pos")
     condition = [
@@ -119,11 +122,15 @@ def lookup_segment(
 
 
 def annotate_intervals(
-    sites: DataFrame, intervals: DataFrame, values: dict[str, str], keep_unmatched: bool = True
+    sites: DataFrame,
+    intervals: DataFrame,
+    values: dict[str, str],
+    keep_unmatched: bool = True,
+    merge: bool = False,
 ) -> DataFrame:
     """Interval values at each position, missing if none covers it (or such rows dropped)."""
     segments = disjoint_segments(intervals, list(dict.fromkeys(values.values())))
-    return lookup_segment(sites, segments, values, "left" if keep_unmatched else "inner")
+    return lookup_segment(sites, segments, values, "left" if keep_unmatched else "inner", merge)
 
 
 def filter_intervals(sites: DataFrame, intervals: DataFrame) -> DataFrame:

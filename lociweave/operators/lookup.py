@@ -18,10 +18,14 @@ HASH = "_hash"
 
 @dataclass(frozen=True)
 class Lookup:
-    """A right side: its table and the columns to bring over, as ``{output: source column}``."""
+    """A right side: its table and the columns to bring over, as ``{output: source column}``.
+
+    ``unique`` promises one row for each variant, as ``write_lookup`` stores it.
+    """
 
     table: DataFrame
     values: dict[str, str]
+    unique: bool = False
 
 
 def _source(name: str) -> Column:
@@ -68,10 +72,16 @@ def _join_reduced(
     keys: list[str],
     unique: bool = False,
     hash_name: str = "_left_hash",
+    merge: bool = False,
 ) -> DataFrame:
-    """Left join to a reduced right side; a sort-merge join leaves its hash column behind."""
+    """Left join to a reduced right side; a sort-merge join leaves its hash column behind.
+
+    ``merge`` asks for a sort-merge join whatever the sizes.
+    """
     condition = [lk == F.col(k) for lk, k in zip(left_keys, keys)]
-    if fits_broadcast(right):
+    if merge:
+        right = right.hint("merge")
+    if not merge and fits_broadcast(right):
         right = F.broadcast(right)
     elif not unique:
         # The reduction leaves the right side partitioned by the key, and Spark can split a hot
@@ -90,6 +100,7 @@ def lookup_left(
     values: dict[str, str],
     default: str | None = None,
     unique: bool = False,
+    merge: bool = False,
 ) -> DataFrame:
     """Add ``values`` from the matching right row.
 
@@ -100,7 +111,7 @@ def lookup_left(
     pairs = [(p, p) if isinstance(p, str) else p for p in on]
     reduced, keys = _reduced(right, pairs, values, unique)
     left_keys = [F.col(lk) if isinstance(lk, str) else lk for lk, _ in pairs]
-    joined = _join_reduced(left, reduced, left_keys, keys, unique)
+    joined = _join_reduced(left, reduced, left_keys, keys, unique, merge=merge)
     outputs = {}
     for out in values:
         value = F.col("_match")[out]
@@ -111,16 +122,19 @@ def lookup_left(
 
 
 def lookup_variants(
-    sites: DataFrame, lookups: list[Lookup], keep_hash: bool = False
+    sites: DataFrame, lookups: list[Lookup], keep_hash: bool = False, merge: bool = False
 ) -> DataFrame:
     """Add the values of several variant-keyed lookups with a single join.
 
     The right sides are stacked and reduced together, so the wide left rows move once however many
     lookups there are, and each right side moves in its reduced form only.  ``keep_hash`` keeps
     the hash column of a sort-merge join, so a later grouping can reuse its partitioning.
+    A single lookup that is ``unique`` is joined as it is, without a reduction.
     """
     if not lookups:
         return sites
+    if len(lookups) == 1 and lookups[0].unique:
+        return _unique_lookup(sites, lookups[0], keep_hash, merge)
     stacked = []
     for i, lookup in enumerate(lookups):
         match = F.struct(*[_source(v).alias(out) for out, v in lookup.values.items()])
@@ -135,9 +149,28 @@ def lookup_variants(
     best = [F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(lookups))]
     right = grouped_by_hash(right, keys).agg(*best).drop("_sort")
     joined = _join_reduced(
-        sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys, hash_name=HASH
+        sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys, hash_name=HASH, merge=merge
     )
     outputs = {
         out: F.col(f"_m{i}")[out] for i, lookup in enumerate(lookups) for out in lookup.values
     }
     return joined.withColumns(outputs).drop(*drop)
+
+
+def _unique_lookup(sites: DataFrame, lookup: Lookup, keep_hash: bool, merge: bool) -> DataFrame:
+    """Join a table with one row for each variant: one exchange on its side, no aggregate."""
+    right, keys = _reduced(lookup.table, [(c, c) for c in VARIANT_KEY], lookup.values, unique=True)
+    left = sites.drop(HASH)
+    own = [F.col(c) for c in VARIANT_KEY]
+    condition = [lk == F.col(k) for lk, k in zip(own, keys)]
+    if merge or not fits_broadcast(right):
+        # both sides carry the hash, so a later grouping finds the rows partitioned by it
+        left = left.withColumn(HASH, F.xxhash64(*own))
+        right = right.withColumn("_right_hash", F.xxhash64(*keys))
+        condition = [F.col(HASH) == F.col("_right_hash"), *condition]
+        right = right.hint("merge") if merge else right
+    else:
+        right = F.broadcast(right)
+    joined = left.join(right, condition, "left").drop(*keys, "_right_hash")
+    found = joined.withColumns({out: F.col("_match")[out] for out in lookup.values})
+    return found.drop("_match", *([] if keep_hash else [HASH]))

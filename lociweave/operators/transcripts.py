@@ -156,15 +156,25 @@ def add_gene_lists(exploded: DataFrame, gene_lists: DataFrame) -> DataFrame:
     )
 
 
+def splice_records(splice: DataFrame) -> DataFrame:
+    """``splice``: the list of ``(SYMBOL, raw)`` records of each variant, one for each gene.
+
+    Equal records go in the map-side step already (their set is kept), and of several records of one gene the
+    smallest stays, so the table is grouped once.
+    """
+    records = F.sort_array(F.collect_set(F.struct("SYMBOL", F.col("SpliceAI").alias("raw"))))
+    grouped = splice.groupBy(*VARIANT_KEY).agg(records.alias("_all"))
+    first = F.filter("_all", lambda r, i: (i == 0) | ~r["SYMBOL"].eqNullSafe(F.get(F.col("_all"), i - 1)["SYMBOL"]))
+    return grouped.select(*VARIANT_KEY, first.alias("splice"))
+
+
 def splice_by_variant(splice: DataFrame) -> Lookup:
-    """Reshape ``(variant, SYMBOL) -> SpliceAI`` to one row per variant.
+    """As a variant-keyed lookup the scores need no join on exploded transcripts.
 
-    The list holds one record per gene at the variant.  As a variant-keyed lookup it needs no
-    join on exploded transcripts.
+    A table that ``splice_records`` has prepared is taken as it is.
     """
-    per_gene = splice.groupBy(*VARIANT_KEY, "SYMBOL").agg(F.min("SpliceAI").alias("raw"))
-    records = F.sort_array(F.collect_list(F.struct("SYMBOL", "raw"))).alias("_splice")
-    return Lookup(per_gene.groupBy(*VARIANT_KEY).agg(records), {"_splice": "_splice"})
+    prepared = "splice" in splice.columns
+    return Lookup(splice if prepared else splice_records(splice), {"_splice": "splice"}, unique=True)
 
 
 def add_splice_scores(

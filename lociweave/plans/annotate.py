@@ -46,6 +46,7 @@ class Resources:
     ``mpc(contig, pos, alleles, mpc)``; ``clinvar`` are unsplit sites with ``info``; ``revel`` is the
     raw score table; ``splice(contig, pos, alleles, SYMBOL, SpliceAI)``; ``noncoding`` are intervals
     with ``target``; ``gene_list(list_name, symbol)``; ``gene_lists(list_name, list_order, symbol)``.
+    ``unique`` names tables with one row for each variant.  ``merge`` asks for sort-merge joins whatever the sizes.
     """
 
     mpc: DataFrame | None = None
@@ -59,6 +60,8 @@ class Resources:
     gene_list: tuple[DataFrame, str] | None = None
     gene_lists: DataFrame | None = None
     noncoding: DataFrame | None = None
+    unique: tuple[str, ...] = ()
+    merge: bool = False
 
 
 def csq_strings(df: DataFrame, value: str = "info.CSQ") -> Column:
@@ -105,7 +108,7 @@ def variant_lookups(res: Resources, build: str, clinvar_fields: list[str]) -> li
     """The given variant-keyed tables; the clinical one exists for one build only."""
     lookups = []
     if res.mpc is not None:
-        lookups.append(Lookup(res.mpc, {"MPC": "mpc"}))
+        lookups.append(Lookup(res.mpc, {"MPC": "mpc"}, unique="mpc" in res.unique))
     if res.clinvar is not None and build == "GRCh38":
         lookups.append(clinvar_lookup(res.clinvar, clinvar_fields))
     if res.revel is not None:
@@ -155,9 +158,9 @@ def _annotated(
     lookups = variant_lookups(res, build, clinvar_fields)
     if consequences is not None:
         found = lookups + [Lookup(consequences, {"_packed": "csq"})]
-        df = lookup_variants(df, found, keep_hash=True)
+        df = lookup_variants(df, found, keep_hash=True, merge=res.merge)
     else:
-        df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True)
+        df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True, merge=res.merge)
     df = with_row_id(df)
     df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
     df = enrich_transcripts(df, lambda x: enrich_exploded(x, res)).drop(HASH)
@@ -185,7 +188,7 @@ def annotate_extra(
     """
     if res.noncoding is not None:
         sites = annotate_intervals(
-            sites, res.noncoding, {"PREDICTED_NONCODING": "target"}, keep_unmatched=not only_noncoding
+            sites, res.noncoding, {"PREDICTED_NONCODING": "target"}, not only_noncoding, res.merge
         )
         sites = with_info(sites, ["PREDICTED_NONCODING"])
     df, names = _annotated(

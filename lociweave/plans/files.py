@@ -22,6 +22,7 @@ from lociweave.operators.samples import (
     subset_samples,
 )
 from lociweave.operators.shards import chunk_files, chunk_rows, contig_shards, into_shards
+from lociweave.operators.transcripts import splice_records
 from lociweave.operators.unions import concat_shards, natural_order, union_by_position, union_outer, union_rows
 from lociweave.plans import annotate as an
 from lociweave.sinks.tables import write_lists, write_store, write_tsv, write_tsv_chunks
@@ -71,6 +72,11 @@ def load_resources(spark: SparkSession, build: str = "GRCh38", **paths: str | No
     return an.Resources(**tables)
 
 
+def prepare_splice(spark: SparkSession, table: str, out: str) -> str:
+    """Store the splice scores as one row for each variant, so that runs need not group them again."""
+    return write_store(splice_records(tb.read_store(spark, table)), out)
+
+
 def _open(spark: SparkSession, path: str, build: str, edit: bool = False) -> Vcf:
     """A VCF with rows numbered at the scan; genotypes are parsed only if they will be edited."""
     return read_vcf(spark, path, build, genotypes=True if edit else "text", row_id=True)
@@ -212,7 +218,7 @@ def annotate_somatic(
 def drop_first(spark: SparkSession, vcf: str, out: str, build: str = "GRCh38") -> str:
     v = read_vcf(spark, vcf, build, genotypes=True)
     df, samples = drop_first_sample(v.sites, v.samples)
-    return export_vcf(df, v.headers, out, names_of(samples), build)
+    return export_vcf(df, v.headers, out, names_of(samples), build, sort=False)
 
 
 def scatter(
@@ -274,7 +280,7 @@ def subset_sample_file(
 ) -> str:
     v = read_vcf(spark, vcf, build, genotypes=True)
     df, kept = subset_samples(v.sites, v.samples, tb.read_sample_list(spark, samples), any_alt)
-    return export_vcf(df, v.headers, out, names_of(kept), build)
+    return export_vcf(df, v.headers, out, names_of(kept), build, sort=False)
 
 
 def subset_intervals_store(spark: SparkSession, sites: str, bed: str, out: str) -> str:

@@ -13,8 +13,7 @@ from pyspark.sql import SparkSession
 
 from lociweave.session import recommended_conf
 from suite.inputs import BASE_TABLES
-from suite.oracles import ORACLES
-from suite.queries import QUERIES, run
+from suite.registry import ORACLES, QUERIES, run
 
 
 def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:

@@ -1,9 +1,10 @@
 """One query per operator and run; each takes the inputs and returns scalar columns."""
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.csq import SPLICE_FIELDS, pack_csq, parse_csq
 from lociweave.functions.genotypes import call_text
@@ -518,8 +519,8 @@ def annotate_extra(x: Inputs) -> DataFrame:
     )
 
 
-def annotate_extra_dev(x: Inputs) -> DataFrame:
-    out, _ = an.annotate_extra(x.annotated(), CSQ_COLUMNS, resources(x, dev=True))
+def annotate_extra_dev(x: Inputs, merge: bool = False) -> DataFrame:
+    out, _ = an.annotate_extra(x.annotated(), CSQ_COLUMNS, replace(resources(x, dev=True), merge=merge))
     return out.select(
         "contig",
         "pos",
@@ -661,7 +662,3 @@ QUERIES |= {
     "spliceai_gated": partial(spliceai, True),
     "spliceai_ungated": partial(spliceai, False),
 }
-
-
-def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](Inputs(spark, sf_dir))
