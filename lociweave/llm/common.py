@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fold(doc_id: Column | str, n: int) -> Column:
     """``crc32(doc_id as text) mod n``; a null id counts as the empty text."""
-    key = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None))
+    key = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 

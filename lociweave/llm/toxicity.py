@@ -30,11 +30,11 @@ from lociweave.llm.labelled import SAMPLE_ROWS, fit_logistic, labelled_documents
 FOLDS, HELD_OUT = 5, 0
 WORD = re.compile(r"\w+")
 BEGINNING = 4
-PRIOR_DOCS = 10.0
+PRIOR_DOCS = 5.0
 LEXICON_TERMS = 50_000
 EVIDENCE = 2.5
 REPEAT_WITHIN = 64
-DRIFT = 0.25
+DRIFT = 0.1
 RATES = np.linspace(0.02, 3.0, 150)
 NO_MODEL = 0.05
 BEST_SEGMENTS = 200
@@ -224,16 +224,18 @@ def calibrate(labelled: DataFrame, lexicon: Lexicon) -> ToxicityModel:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 4 << 20):
-            n_words, scores, sums = [], [], []
-            for data in part["text"].to_pylist():
+            n_words, scores, sums = [], [], np.zeros(len(RATES))
+            for data, label in zip(part["text"].to_pylist(), part["label"].to_pylist()):
                 words = words_of(data)
                 segments, hits = shared.value.scan(words)
                 n_words.append(len(words))
                 scores.append(sorted((s for *_, s in segments), reverse=True)[:BEST_SEGMENTS])
-                neutral = (len(words) - len(hits)) * np.exp(-DRIFT * RATES)
-                sums.append((neutral + np.exp(np.outer(RATES, hits)).sum(axis=1)).tolist())
+                if label == 0:
+                    sums += (len(words) - len(hits)) * np.exp(-DRIFT * RATES) + np.exp(np.outer(RATES, hits)).sum(axis=1)
             arrays = [part["label"], part["weight"], pa.array(n_words, pa.int64())]
-            arrays += [pa.array(x, pa.list_(pa.float64())) for x in (scores, sums)]
+            arrays.append(pa.array(scores, pa.list_(pa.float64())))
+            # the sums of the batch's other documents go with its first row
+            arrays.append(pa.array([sums.tolist()] + [None] * (part.num_rows - 1), pa.list_(pa.float64())))
             yield pa.RecordBatch.from_arrays(arrays, ["label", "weight", "n_words", "scores", "sums"])
 
     schema = "label int, weight double, n_words long, scores array<double>, sums array<double>"
@@ -241,8 +243,8 @@ def calibrate(labelled: DataFrame, lexicon: Lexicon) -> ToxicityModel:
     y = rows["label"].to_numpy()
     if len(set(y.tolist())) < 2:
         return ToxicityModel(lexicon, constant=NO_MODEL)
-    other = rows[y == 0]
-    rate = background_rate(np.array(other["sums"].tolist()).sum(axis=0), float(other["n_words"].sum()))
+    sums = np.array([x for x in rows["sums"] if x is not None]).sum(axis=0)
+    rate = background_rate(sums, float(rows["n_words"][y == 0].sum()))
     n_words = np.maximum(rows["n_words"].to_numpy(float), 1)
     best = np.array([max(x, default=0.0) for x in rows["scores"]])
     chance = (n_words * np.exp(-rate * best))[y == 0]
