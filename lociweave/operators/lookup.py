@@ -124,53 +124,53 @@ def lookup_left(
 def lookup_variants(
     sites: DataFrame, lookups: list[Lookup], keep_hash: bool = False, merge: bool = False
 ) -> DataFrame:
-    """Add the values of several variant-keyed lookups with a single join.
+    """Add the values of several variant-keyed lookups; the wide left rows move once however many there are.
 
-    The right sides are stacked and reduced together, so the wide left rows move once however many
-    lookups there are, and each right side moves in its reduced form only.  ``keep_hash`` keeps
-    the hash column of a sort-merge join, so a later grouping can reuse its partitioning.
-    A single lookup that is ``unique`` is joined as it is, without a reduction.
+    The right sides that may repeat a variant are stacked, reduced together and joined at once.  Those that are
+    ``unique`` are then joined one by one as they are: the rows are partitioned and sorted by the variant
+    already, so that takes no further exchange of them.  ``keep_hash`` keeps the hash column of a sort-merge
+    join, so a later grouping can reuse its partitioning.
     """
+    df = _stacked_lookup(sites, [x for x in lookups if not x.unique], merge)
+    for lookup in lookups:
+        if lookup.unique:
+            df = _unique_lookup(df, lookup, merge)
+    return df if keep_hash else df.drop(HASH)
+
+
+def _stacked_lookup(sites: DataFrame, lookups: list[Lookup], merge: bool) -> DataFrame:
+    sites = sites.drop(HASH)
     if not lookups:
         return sites
-    if len(lookups) == 1 and lookups[0].unique:
-        return _unique_lookup(sites, lookups[0], keep_hash, merge)
     stacked = []
     for i, lookup in enumerate(lookups):
         match = F.struct(*[_source(v).alias(out) for out, v in lookup.values.items()])
         stacked.append(lookup.table.select(*VARIANT_KEY, match.alias(f"_m{i}")))
     right = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    drop = [f"_m{i}" for i in range(len(lookups))] + ([] if keep_hash else [HASH])
+    matches = [f"_m{i}" for i in range(len(lookups))]
     keys = [f"_k{i}" for i in range(len(VARIANT_KEY))]
-    right = right.select(
-        *[F.col(c).alias(k) for c, k in zip(VARIANT_KEY, keys)],
-        *[f"_m{i}" for i in range(len(lookups))],
-    ).where("_k0 is not null and _k1 is not null and _k2 is not null")
-    best = [F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(lookups))]
-    right = grouped_by_hash(right, keys).agg(*best).drop("_sort")
-    joined = _join_reduced(
-        sites.drop(HASH), right, [F.col(c) for c in VARIANT_KEY], keys, hash_name=HASH, merge=merge
-    )
-    outputs = {
-        out: F.col(f"_m{i}")[out] for i, lookup in enumerate(lookups) for out in lookup.values
-    }
-    return joined.withColumns(outputs).drop(*drop)
-
-
-def _unique_lookup(sites: DataFrame, lookup: Lookup, keep_hash: bool, merge: bool) -> DataFrame:
+    right = right.select(*[F.col(c).alias(k) for c, k in zip(VARIANT_KEY, keys)], *matches)
+    right = right.where("_k0 is not null and _k1 is not null and _k2 is not null")
+    right = grouped_by_hash(right, keys).agg(*[F.min(m).alias(m) for m in matches]).drop("_sort")
+    own = [F.col(c) for c in VARIANT_KEY]
+    joined = _join_reduced(sites, right, own, keys, hash_name=HASH, merge=merge)
+    outputs = {out: F.col(m)[out] for m, lookup in zip(matches, lookups) for out in lookup.values}
+    return joined.withColumns(outputs).drop(*matches)
+
+
+def _unique_lookup(left: DataFrame, lookup: Lookup, merge: bool) -> DataFrame:
     """Join a table with one row for each variant: one exchange on its side, no aggregate."""
     right, keys = _reduced(lookup.table, [(c, c) for c in VARIANT_KEY], lookup.values, unique=True)
-    left = sites.drop(HASH)
     own = [F.col(c) for c in VARIANT_KEY]
     condition = [lk == F.col(k) for lk, k in zip(own, keys)]
     if merge or not fits_broadcast(right):
-        # both sides carry the hash, so a later grouping finds the rows partitioned by it
-        left = left.withColumn(HASH, F.xxhash64(*own))
+        # both sides carry the hash, so further lookups and groupings find the rows partitioned by it
+        if HASH not in left.columns:
+            left = left.withColumn(HASH, F.xxhash64(*own))
         right = right.withColumn("_right_hash", F.xxhash64(*keys))
         condition = [F.col(HASH) == F.col("_right_hash"), *condition]
         right = right.hint("merge") if merge else right
     else:
         right = F.broadcast(right)
     joined = left.join(right, condition, "left").drop(*keys, "_right_hash")
-    found = joined.withColumns({out: F.col("_match")[out] for out in lookup.values})
-    return found.drop("_match", *([] if keep_hash else [HASH]))
+    return joined.withColumns({out: F.col("_match")[out] for out in lookup.values}).drop("_match")

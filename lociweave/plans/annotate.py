@@ -232,15 +232,15 @@ def annotate_inheritance(
     return annotate_extra(sites, columns, res)
 
 
-def annotate_cadd(df: DataFrame, cadd: DataFrame) -> DataFrame:
-    """Both scores as top-level columns."""
+def annotate_cadd(df: DataFrame, cadd: DataFrame, unique: bool = False) -> DataFrame:
+    """Both scores as top-level columns; ``unique`` promises one row for each variant."""
     values = {"CADD_raw_score": "raw_score", "CADD_PHRED_score": "PHRED_score"}
-    return lookup_left(df, cadd, VARIANT_KEY, values)
+    return lookup_left(df, cadd, VARIANT_KEY, values, unique=unique)
 
 
-def annotate_cadd_vcf(sites: DataFrame, cadd: DataFrame) -> DataFrame:
+def annotate_cadd_vcf(sites: DataFrame, cadd: DataFrame, unique: bool = False) -> DataFrame:
     """Split, then both scores as INFO fields."""
-    scored = annotate_cadd(split_multiallelic(sites), cadd)
+    scored = annotate_cadd(split_multiallelic(sites), cadd, unique)
     return with_info(scored, ["CADD_raw_score", "CADD_PHRED_score"])
 
 

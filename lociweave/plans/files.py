@@ -8,10 +8,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lociweave.model import with_scan_row_id
+from lociweave.model import VARIANT_KEY, with_scan_row_id
 from lociweave.operators import headers as hd
 from lociweave.operators.genotypes import fix_haploid
 from lociweave.operators.intervals import filter_intervals, filter_overlapping
+from lociweave.operators.lookup import write_lookup
 from lociweave.operators.normalize import rename_contigs
 from lociweave.operators.samples import (
     drop_first_sample,
@@ -50,8 +51,10 @@ def names_of(samples: DataFrame) -> list[str]:
     return [r["s"] for r in samples.orderBy("idx").collect()]
 
 
-def load_resources(spark: SparkSession, build: str = "GRCh38", **paths: str | None) -> an.Resources:
-    """Open the lookup tables of a run; keys are the fields of ``Resources``."""
+def load_resources(
+    spark: SparkSession, build: str = "GRCh38", unique: tuple[str, ...] = (), **paths: str | None
+) -> an.Resources:
+    """Open the lookup tables of a run; keys are the fields of ``Resources``, ``unique`` names prepared tables."""
     paths = {k: v for k, v in paths.items() if given(v)}
     tables: dict = {}
     for name in ("mpc", "splice", "loeuf_v2", "loeuf_v4"):
@@ -69,7 +72,12 @@ def load_resources(spark: SparkSession, build: str = "GRCh38", **paths: str | No
         tables["gene_list"] = (genes, paths["gene_list"].rstrip("/").split("/")[-1])
     if "gene_lists" in paths:
         tables["gene_lists"] = tb.read_gene_lists(spark, paths["gene_lists"])
-    return an.Resources(**tables)
+    return an.Resources(**tables, unique=unique)
+
+
+def prepare_scores(spark: SparkSession, table: str, values: list[str], out: str) -> str:
+    """Store a variant-keyed table with one row for each variant, to be passed as ``unique``."""
+    return write_lookup(tb.read_store(spark, table), VARIANT_KEY, values, out)
 
 
 def prepare_splice(spark: SparkSession, table: str, out: str) -> str:
@@ -183,14 +191,16 @@ def annotate_inheritance(
     return export_vcf(df, _with_csq(v.headers, columns), out, v.sample_names, build)
 
 
-def annotate_cadd_table(spark: SparkSession, table: str, cadd: str, out: str) -> str:
-    df = an.annotate_cadd(tb.read_store(spark, table), tb.read_store(spark, cadd))
+def annotate_cadd_table(spark: SparkSession, table: str, cadd: str, out: str, unique: bool = False) -> str:
+    df = an.annotate_cadd(tb.read_store(spark, table), tb.read_store(spark, cadd), unique)
     return write_store(df, out, overwrite=True)
 
 
-def annotate_cadd_vcf(spark: SparkSession, vcf: str, cadd: str, out: str, build: str = "GRCh38") -> str:
+def annotate_cadd_vcf(
+    spark: SparkSession, vcf: str, cadd: str, out: str, build: str = "GRCh38", unique: bool = False
+) -> str:
     v = read_vcf(spark, vcf, build)
-    df = an.annotate_cadd_vcf(v.sites, tb.read_store(spark, cadd))
+    df = an.annotate_cadd_vcf(v.sites, tb.read_store(spark, cadd), unique)
     texts = {"CADD_raw_score": "raw_score", "CADD_PHRED_score": "PHRED_score"}
     headers = hd.upsert_info(
         v.headers, {k: ("Float", f"{field} field from the CADD table.") for k, field in texts.items()}

@@ -502,3 +502,44 @@ def test_nothing_runs_while_a_plan_is_made(spark):
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) == 0
+
+
+def test_sample_files_merge_in_natural_order_with_all_cells(spark, tmp_path):
+    declared = DECLARED + '##FORMAT=<ID=GT,Number=1,Type=String,Description="">\n##FORMAT=<ID=DP,Number=1,Type=Integer,Description="">\n'
+    ten = ["chr1\t5\trs9\tA\tC\t7\tq10\tAC=2;SC=0.5\tGT:DP\t0/1:3", "chr1\t9\t.\tA\tC\t1\tPASS\tDB\tGT\t1/1"]
+    two = ["chr1\t5\trs1\tA\tC\t50\tPASS\tAC=1\tGT:DP\t0/0:8", "chr1\t5\trs1\tA\tC\t50\tPASS\tAC=1\tGT:DP\t0/1:9"]
+    a = plain_vcf(tmp_path, "x.10.vcf", ten, declared, "s1")
+    b = plain_vcf(tmp_path, "x.2.vcf", two, declared + '##INFO=<ID=TWO,Number=1,Type=String,Description="">\n', "s1")
+    out = files.merge_sample_files(spark, [a, b], str(tmp_path / "out"))
+    lines = lines_of(out)
+    assert [x for x in lines if x.startswith("#CHROM")][0].split("\t")[9:] == ["s1", "2:s1"]
+    assert any("ID=TWO" in x for x in lines) and any("KI270706v1" in x for x in lines)
+    rows = [x.split("\t") for x in records(out)]
+    assert [r[1] for r in rows] == ["5", "5", "9"]
+    both = next(r for r in rows if r[1] == "5" and r[2] == "rs1;rs9")
+    assert both[5:7] == ["50", "q10"] and set(both[7].split(";")) == {"AC=3", "SC=0.5"} and both[10] == "0/1:3"
+    alone = next(r for r in rows if r[1] == "5" and r[2] == "rs1")
+    assert alone[7] == "AC=1" and alone[10] == "./.:." and {both[9], alone[9]} == {"0/0:8", "0/1:9"}
+    assert rows[2][7] == "DB" and rows[2][9:] == ["./.:.", "1/1:."]
+
+
+def test_prepared_tables_serve_a_run(spark, vcf, tmp_path):
+    paths = resources(spark, tmp_path)
+    scores = "contig string, pos int, alleles array<string>, SYMBOL string, SpliceAI string"
+    rows = [("chr10", 5, ["A", "C"], "G1", f"SpliceAI=C|G1|0.{i}|0.0|0.0|0.0|1|2|3|4") for i in (1, 7)]
+    paths["splice"] = str(tmp_path / "splice")
+    spark.createDataFrame(rows, scores).write.parquet(paths["splice"])
+    plain = files.load_resources(spark, mpc=paths["mpc"], splice=paths["splice"])
+    mpc = files.prepare_scores(spark, paths["mpc"], ["mpc"], str(tmp_path / "mpc_ready"))
+    splice = files.prepare_splice(spark, paths["splice"], str(tmp_path / "splice_ready"))
+    ready = files.load_resources(spark, unique=("mpc",), mpc=mpc, splice=splice)
+    outs = [records(files.annotate_extra(spark, vcf, r, str(tmp_path / n))) for n, r in (("p", plain), ("r", ready))]
+    assert outs[0] == outs[1] and len(outs[0]) == 4
+
+
+def test_ranges_hold_about_as_many_rows_as_asked(spark):
+    from lociweave.operators.shards import into_ranges
+
+    df = spark.range(1000).select(F.lit("chr1").alias("contig"), F.col("id").cast("int").alias("pos"), F.array(F.lit("A")).alias("alleles"))
+    sizes = into_ranges(df, 250).rdd.mapPartitions(lambda rows: [[r.pos for r in rows]]).collect()
+    assert len(sizes) == 4 and all(a[-1] < b[0] for a, b in zip(sizes, sizes[1:])) and all(150 < len(x) < 350 for x in sizes)
