@@ -345,7 +345,8 @@ def test_stores_and_lists(spark, vcf, tmp_path):
     shards = Path(files.scatter_store(spark, store, str(tmp_path / "sh"), 3))
     assert sorted(p.name for p in shards.glob("shard=*")) == ["shard=0", "shard=1"]
     rest = files.drop_first(spark, vcf, str(tmp_path / "d"))
-    assert [x.split("\t")[9:] for x in records(rest)][2] == ["0|0:.:.", "./.:1,2:3"]
+    # a run that works row by row keeps the order of its input
+    assert [x.split("\t")[9:] for x in records(rest)][0] == ["0|0:.:.", "./.:1,2:3"]
     (tmp_path / "paths").write_text("".join(f"f{i}.vcf\n" for i in range(5)))
     listed = Path(files.chunk_file_list(spark, str(tmp_path / "paths"), str(tmp_path / "cl"), 2))
     assert {p.parent.name: p.read_text().split() for p in listed.glob("chunk=*/*.txt")} == {"chunk=0000": ["f0.vcf", "f1.vcf"], "chunk=0001": ["f2.vcf", "f3.vcf"], "chunk=0002": ["f4.vcf"]}
