@@ -6,9 +6,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lociweave.functions.genotypes import allele_calls
-from lociweave.model import VARIANT_KEY
+from lociweave.model import VARIANT_KEY, with_row_id
 from lociweave.operators.genotypes import fix_haploid
-from lociweave.operators.lookup import grouped_by_hash, lookup_left
+from lociweave.operators.lookup import lookup_left
 from lociweave.operators.normalize import entry_names
 from lociweave.operators.shards import number_rows
 
@@ -82,15 +82,25 @@ def attach_genotypes(
 ) -> DataFrame:
     """Rows of the left whose variant has genotypes on the right, entries of both sides in order.
 
-    Row fields come from the left.  A variant repeated on the right counts once (its smallest
-    entries), so copies on both sides never form pairs; ``unique`` promises there are none.
+    Row fields come from the left.  A variant repeated on the right counts once (the copy whose entries have the
+    smallest hash), so copies on both sides never form pairs; ``unique`` promises there are none.  Which copy
+    counts is found on narrow rows, so the entries are neither aggregated nor moved more than once.
     """
-    right = genotyped.select(*VARIANT_KEY, "entries")
-    joined = lookup_left(annotated, right, VARIANT_KEY, {"_right": "entries"}, unique=unique)
+    if unique:
+        right = genotyped.select(*VARIANT_KEY, "entries")
+        joined = lookup_left(annotated, right, VARIANT_KEY, {"_right": "entries"}, unique=True)
+        joined = joined.where(F.col("_right").isNotNull())
+    else:
+        right = with_row_id(genotyped)
+        best = F.min(F.struct(F.xxhash64("entries").alias("h"), "row_id"))
+        chosen = right.where(F.col("entries").isNotNull()).groupBy(*VARIANT_KEY).agg(best["row_id"].alias("_place"))
+        found = lookup_left(annotated, chosen, VARIANT_KEY, {"_place": "_place"}, unique=True)
+        arrays = right.select(F.col("row_id").alias("_right_place"), F.col("entries").alias("_right"))
+        joined = found.join(arrays, F.col("_place") == F.col("_right_place")).drop("_place", "_right_place")
     entries = F.col("_right")
     if "entries" in annotated.columns:
         entries = F.concat("entries", "_right")
-    return joined.where(F.col("_right").isNotNull()).withColumn("entries", entries).drop("_right")
+    return joined.withColumn("entries", entries).drop("_right")
 
 
 def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:

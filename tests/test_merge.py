@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociweave.operators import lookup as lk
-from lociweave.operators.samples import merge_samples
+from lociweave.operators.samples import attach_genotypes, merge_samples
 from lociweave.operators.shards import into_shards, number_genome
 from lociweave.operators.transcripts import splice_by_variant, splice_records
 
@@ -94,3 +94,14 @@ def test_splice_records_are_grouped_once(spark):
     assert plan(records).count("Exchange hashpartitioning") == 1
     assert [[tuple(x) for x in r.splice] for r in records.collect()] == [[(None, "m"), ("G1", "a"), ("G2", "b")]]
     assert splice_by_variant(records).unique and splice_by_variant(records).table is records
+
+
+def test_attached_genotypes_count_a_repeated_variant_once(spark):
+    right = spark.createDataFrame([site(1, "x", 1.0, [], 1, 1, "r", d) for d in (5, 6, 6)] + [site(2, "x", 1.0, [], 1, 1, "r", 9)], SITES)
+    left = spark.createDataFrame([("chr1", p, ["A", "C"], n) for p, n in ((1, "a"), (1, "b"), (3, "c"), (2, "d"))], "contig string, pos int, alleles array<string>, n string")
+    got = sorted((r.n, r.entries[0].DP) for r in attach_genotypes(left, right.repartition(3)).collect())
+    assert [n for n, _ in got] == ["a", "b", "d"] and got[0][1] == got[1][1] in (5, 6) and got[2][1] == 9
+    both = attach_genotypes(attach_genotypes(left, right), right.where("pos = 2"), unique=True).collect()
+    assert [(r.n, [e.DP for e in r.entries]) for r in both] == [("d", [9, 9])]
+    text = plan(attach_genotypes(left, right))
+    assert not any("Aggregate" in x and "entries" in x and "xxhash64" not in x for x in text.splitlines())
