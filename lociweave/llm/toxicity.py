@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lociweave.llm.common import fold, slices, utf8
+from lociweave.llm.common import cut_lineage, fold, slices, utf8
 from lociweave.llm.labelled import SAMPLE_ROWS, fit_logistic, labelled_documents, sampled_labels
 
 FOLDS, HELD_OUT = 5, 0
@@ -196,19 +196,28 @@ def log_odds(n0: float, n1: float, d0: int, d1: int, prior: float = 0.0) -> floa
 
 
 def build_lexicon(counts: DataFrame, d0: int, d1: int) -> Lexicon:
-    """The ``LEXICON_TERMS`` words and as many beginnings with the strongest evidence, collected to the driver."""
-    lean = F.col("n1") / d1 - F.col("n0") / d0
-    ranked = counts.where((F.col("n1") >= 2) & (lean > 0)).orderBy(F.desc(lean), "term")
-    starts = ranked.where(F.col("term").startswith(" ")).limit(LEXICON_TERMS).collect()
+    """The ``LEXICON_TERMS`` words and as many beginnings with the strongest evidence, collected to the driver.
+
+    Only terms that can reach ``EVIDENCE`` leave the executors: by themselves, or by a beginning that does.
+    """
+    share = d1 / (d0 + d1)
+    toxic = (F.col("n1") + PRIOR_DOCS * share) / d1
+    counts = counts.withColumn("odds", F.log(toxic / ((F.col("n0") + PRIOR_DOCS * (1 - share)) / d0)))
+    counts = counts.where("n1 >= 2")
+    starts = counts.where(F.col("term").startswith(" ") & (F.col("odds") >= EVIDENCE))
+    starts = starts.orderBy(F.desc("odds"), "term").limit(LEXICON_TERMS).collect()
     beginnings = {r["term"][1:]: log_odds(r["n0"], r["n1"], d0, d1) for r in starts}
-    words = {}
-    for r in ranked.where(~F.col("term").startswith(" ")).limit(LEXICON_TERMS).collect():
-        prior = max(0.0, beginnings.get(r["term"][:BEGINNING], 0.0)) if len(r["term"]) > BEGINNING else 0.0
-        words[r["term"]] = log_odds(r["n0"], r["n1"], d0, d1, prior)
-    return Lexicon(
-        {w: s for w, s in words.items() if s >= EVIDENCE or beginnings.get(w[:BEGINNING], 0.0) >= EVIDENCE},
-        {b: s for b, s in beginnings.items() if s >= EVIDENCE},
+    known = counts.sparkSession.createDataFrame([(b,) for b in beginnings], "beginning string")
+    # at most LEXICON_TERMS short strings
+    words = counts.where(~F.col("term").startswith(" ")).join(
+        F.broadcast(known), F.substring("term", 1, BEGINNING) == F.col("beginning"), "left"
     )
+    words = words.where((F.col("odds") >= EVIDENCE) | F.col("beginning").isNotNull())
+    found = {}
+    for r in words.orderBy(F.desc("odds"), "term").limit(LEXICON_TERMS).collect():
+        prior = max(0.0, beginnings.get(r["term"][:BEGINNING], 0.0)) if len(r["term"]) > BEGINNING else 0.0
+        found[r["term"]] = log_odds(r["n0"], r["n1"], d0, d1, prior)
+    return Lexicon(found, beginnings)
 
 
 def background_rate(sums: np.ndarray, n_words: float) -> float:
@@ -261,7 +270,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxici
     sizes = {r["label"]: r["count"] for r in lexicon_docs.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return ToxicityModel(Lexicon({}, {}), constant=NO_MODEL)
-    lexicon = build_lexicon(count_terms(lexicon_docs), sizes[0], sizes[1])
+    # looked through twice, and far smaller than the texts it comes from
+    lexicon = build_lexicon(cut_lineage(count_terms(lexicon_docs)), sizes[0], sizes[1])
     return calibrate(labelled.where(~lexicon_part()), lexicon)
 
 
