@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociweave.llm import bpe, decontaminate, quality, simhash, toxicity
+from lociweave.llm import bpe, decontaminate, nearcopies, quality, toxicity
 from lociweave.llm.common import table
 
 
@@ -17,8 +17,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-copies."""
-    return simhash.keep_one_of_each(docs)
+    """The document with the smallest id of each group of near-copies, by SimHash or five-word similarity."""
+    return nearcopies.keep_one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

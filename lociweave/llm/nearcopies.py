@@ -1,0 +1,193 @@
+"""Near-copies of a corpus: SimHash links, and every pair of texts with a word-shingle similarity of 0.8 or more.
+
+At a Jaccard similarity of 0.8 two fingerprints differ in about ten of 64 bits, so a distance that SimHash can index
+does not find such pairs.  They come from a prefix filter, which misses none: put all shingles in one order; two sets
+with at least four fifths in common share one of the first ``n - ceil(4n/5) + 1`` of each.  Any order is exact; here
+shingles that a sample of the texts shows to be common come last, the rest go by hash, so lists of texts that share
+a prefix shingle stay short.
+
+Only connected groups are asked for, so texts already in one group are not compared.  Large groups grow in
+``LEADER_ROUNDS`` rounds, in which every text is compared with one leader of its lists; then all pairs that share a
+list and are still in different groups are compared, word for word.
+
+Defined results: words are as in ``simhash``; a text of fewer than five words is one shingle; null and empty texts are
+copies of each other; null ids and repeated rows as in ``simhash.keep_one_of_each``.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
+
+from lociweave.llm import simhash
+from lociweave.llm.common import cut_lineage, slices, small_side, utf8
+
+WORDS = 5
+SHARE = (4, 5)  # least Jaccard similarity
+SAMPLE, COMMON, MOST_COMMON = 32, 4, 200_000
+LEADER_ROUNDS = 2
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingles(data: bytes) -> set[tuple[bytes, ...]]:
+    """The distinct shingles of a text."""
+    parts = data.lower().split()
+    if len(parts) < WORDS:
+        return {tuple(parts)} if parts else set()
+    return set(zip(*[parts[i:] for i in range(WORDS)]))
+
+
+def are_similar(a: set, b: set) -> bool:
+    common = len(a & b)
+    return SHARE[1] * common >= SHARE[0] * (len(a) + len(b) - common)
+
+
+def shingle_hashes(data: bytes) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a text."""
+    parts = data.lower().split()
+    words = np.frombuffer(b"".join(map(xxhash.xxh64_digest, parts)), np.uint64)
+    width = min(WORDS, len(parts))
+    hashes = np.full(len(parts) - width + 1 if parts else 0, width, np.uint64)
+    for i in range(width):
+        hashes = (hashes ^ words[i : i + len(hashes)]) * FACTOR
+        hashes ^= hashes >> np.uint64(29)
+    return np.unique(hashes.view(np.int64))
+
+
+def prefix(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """As many first shingles as a similar text has to share one of; common ones come last."""
+    late = np.isin(hashes, common)
+    first = len(hashes) - -(-SHARE[0] * len(hashes) // SHARE[1]) + 1
+    return np.concatenate([hashes[~late], hashes[late]])[:first]
+
+
+def marks(docs: DataFrame) -> DataFrame:
+    """``row``, ``fp`` and ``words``, a hash of the words, of every row."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            texts = part["text"].to_pylist()
+            fps = np.array([simhash.fingerprint(x) for x in texts], np.uint64)
+            words = np.array([xxhash.xxh3_64_intdigest(b" ".join(x.lower().split())) for x in texts], np.uint64)
+            columns = [part["row"], pa.array(fps.view(np.int64)), pa.array(words.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "fp", "words"])
+
+    row = docs.schema["row"].dataType.simpleString()
+    return docs.select("row", utf8("text").alias("text")).mapInArrow(work, f"row {row}, fp long, words long")
+
+
+def common_shingles(docs: DataFrame) -> np.ndarray:
+    """Hashes of shingles that several texts of a sample have; they only decide on the order."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            for data in part["text"].to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(data))], ["shingle"])
+
+    sample = docs.where(F.pmod(F.xxhash64("at"), F.lit(SAMPLE)) == 0).select(utf8("text").alias("text"))
+    counts = sample.mapInArrow(work, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    rows = counts.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).collect()
+    return np.sort(np.array([r["shingle"] for r in rows], np.int64))
+
+
+def postings(docs: DataFrame) -> DataFrame:
+    """``shingle``, ``at`` and ``n``, the number of shingles of the text, for each shingle of its prefix."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            sets = [shingle_hashes(x) for x in part["text"].to_pylist()]
+            firsts = [prefix(s, common.value) if len(s) else s for s in sets]
+            sizes = [len(x) for x in firsts]
+            at = np.repeat(part["at"].to_numpy(zero_copy_only=False), sizes)
+            n = np.repeat(np.array([len(s) for s in sets], np.int32), sizes)
+            columns = [pa.array(np.concatenate(firsts)), pa.array(at), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["shingle", "at", "n"])
+
+    return docs.select("at", utf8("text").alias("text")).mapInArrow(work, "shingle long, at long, n int")
+
+
+def similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` of places whose texts are similar; compared word for word."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [are_similar(shingles(x.as_py()), shingles(y.as_py())) for x, y in zip(batch["x"], batch["y"])]
+            found = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch[c].filter(found) for c in "ab"], ["a", "b"])
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct()
+    texts = docs.join(small_side(cut_lineage(ends)), "at", "left_semi").select("at", utf8("text").alias("text"))
+    both = pairs.join(texts.select(F.col("at").alias("a"), F.col("text").alias("x")), "a")
+    both = both.join(texts.select(F.col("at").alias("b"), F.col("text").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
+
+
+def pairs_to_compare(entries: DataFrame, homes: DataFrame, leader_round: int | None) -> DataFrame:
+    """Pairs of texts that share a list, may be similar by their sizes, and are in different groups.
+
+    In a leader round each text has one pair at most, with the leader that it shares most lists with.
+    """
+    now = entries.join(homes.select("row.at", "root"), "at")
+    order = F.xxhash64("at", F.lit(leader_round or 0))
+    lead = F.min(F.struct(order.alias("o"), "at", "n", "root"))
+    mixed = now.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), lead.alias("lead"))
+    mixed = mixed.where("low <> high").select(
+        "shingle", F.col("lead.at").alias("other"), F.col("lead.n").alias("m"), F.col("lead.root").alias("other_root")
+    )
+    sizes = F.expr(f"{SHARE[1]} * least(n, m) >= {SHARE[0]} * greatest(n, m)")
+    if leader_round is not None:
+        met = now.join(mixed, "shingle").where("root <> other_root").where(sizes)
+        shared = met.groupBy("at", "other").agg(F.count("*").alias("k"))
+        best = shared.groupBy("at").agg(F.max(F.struct("k", "other"))["other"].alias("other"))
+        return best.select(F.col("at").alias("a"), F.col("other").alias("b"))
+    here = cut_lineage(now.join(mixed.select("shingle"), "shingle"))
+    there = here.select("shingle", F.col("at").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root"))
+    met = here.join(there, "shingle").where("at < other and root <> other_root").where(sizes)
+    return met.select(F.col("at").alias("a"), F.col("other").alias("b")).distinct()
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """``row`` and ``root``, equal for all rows of a group, for rows ``row`` (with its place ``at``) and ``text``."""
+    rows = cut_lineage(marks(docs))
+    roots = simhash.with_roots(rows.select("fp").distinct(), simhash.MAX_BITS, simhash.LONG_LIST)
+    homes = cut_lineage(rows.join(roots, "fp").select("row", "root"))
+
+    # texts of equal words are posted once
+    firsts = rows.groupBy("fp", "words").agg(F.min("row.at").alias("first"), F.count("*").alias("k")).where("k > 1")
+    copies = rows.join(firsts, ["fp", "words"]).where("row.at <> first").select("row.at")
+    texts = docs.select("row.at", "text")
+    alone = texts.join(small_side(cut_lineage(copies)), "at", "left_anti")
+    posted = postings(alone)
+    lists = posted.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1").select("shingle")
+    entries = cut_lineage(posted.join(lists, "shingle"))
+
+    for leader_round in [*range(LEADER_ROUNDS), None]:
+        pairs = cut_lineage(pairs_to_compare(entries, homes, leader_round))
+        if pairs.isEmpty():
+            break
+        found = similar_pairs(pairs, alone)
+        place = homes.select("row.at", "root")
+        links = found.join(place.withColumnsRenamed({"at": "a", "root": "u"}), "a")
+        links = links.join(place.withColumnsRenamed({"at": "b", "root": "v"}), "b")
+        moved = simhash.connected(links.select(F.col("u").alias("a"), F.col("v").alias("b")))
+        moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+        homes = cut_lineage(homes.join(moved, "root", "left").select("row", F.coalesce("to", "root").alias("root")))
+    return homes
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The row with the smallest id of each group, with all its columns; of repeated rows one stays.
+
+    As in ``simhash.keep_one_of_each``, ``docs`` has to come in the same order whenever it is read.
+    """
+    place = next(n for n in (f"row_place_{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    placed_docs = docs.withColumn(place, F.monotonically_increasing_id())
+    row = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.col(place).alias("at"))
+    homes = grouped(placed_docs.select(row.alias("row"), "text"))
+    heads = homes.groupBy("root").agg(F.min("row").alias("head"))
+    gone = homes.join(heads, "root").where("row.at <> head.at").select(F.col("row.at").alias("gone_at"))
+    gone = small_side(cut_lineage(gone))
+    return placed_docs.join(gone, F.col(place) == F.col("gone_at"), "left_anti").drop(place)

@@ -1,0 +1,64 @@
+"""Near-copies of the pipeline against brute-force similarity of all pairs."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from lociweave.llm import nearcopies
+from tests.llm.test_simhash import linked, plain_fingerprint
+
+
+def plain_shingles(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def plain_kept(rows):
+    """Smallest ids of the groups that either rule connects."""
+    fps, sets = [plain_fingerprint(t) for _, t in rows], [plain_shingles(t) for _, t in rows]
+    heads = linked([i for i, _ in rows], fps)
+    root = {h: h for h in heads}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((find(heads[i]), find(heads[j])))
+                root[b] = a
+    return sorted({find(h) for h in heads}), sorted(set(heads))
+
+
+def texts():
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(900)]
+    line = " ".join(rnd.choice(words) for _ in range(12))
+    base = [" ".join(rnd.choice(words) for _ in range(rnd.randint(40, 260))) + " " + line for _ in range(40)]
+    rows = list(base)
+    for b in base[:25]:
+        for _ in range(6):
+            parts = b.split()
+            for _ in range(rnd.randint(1, 2 + len(parts) // 30)):
+                parts[rnd.randrange(len(parts))] = rnd.choice(words)
+            rows.append(" ".join(parts[rnd.randint(0, 9) :]))
+    rows += [line, line + " end", "", None, " \t", "one two", "ONE\ttwo", "one two three four five", base[3].upper(), base[3]]
+    rnd.shuffle(rows)
+    return list(enumerate(rows, 10))
+
+
+@pytest.mark.parametrize("sample,rounds", [(32, 2), (1, 0)])
+def test_every_similar_pair_is_in_one_group(spark, make_docs, no_docs, monkeypatch, sample, rounds):
+    monkeypatch.setattr(nearcopies, "SAMPLE", sample)
+    monkeypatch.setattr(nearcopies, "LEADER_ROUNDS", rounds)
+    rows = texts()
+    want, by_simhash = plain_kept(rows)
+    assert len(want) < len(by_simhash) - 20
+    docs = make_docs(rows)
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == want
+    assert nearcopies.keep_one_of_each(no_docs).collect() == []
