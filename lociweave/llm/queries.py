@@ -2,7 +2,21 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lociweave.llm import bpe, decontaminate, lm, quality, shards, simhash, tokencount, topk, toxicity, urlfilter
+from lociweave.llm import (
+    bpe,
+    decontaminate,
+    lm,
+    maintext,
+    quality,
+    shards,
+    simhash,
+    spelling,
+    tokencount,
+    topk,
+    toxicity,
+    urlfilter,
+    whitening,
+)
 from lociweave.llm.common import table
 
 
@@ -46,6 +60,18 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extracted(table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_url_filter": op2_url_filter,
@@ -57,6 +83,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_lm": op10_lm,
+    "op11_html_text": op11_html_text,
+    "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
