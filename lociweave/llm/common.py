@@ -1,5 +1,6 @@
 """Helpers shared by the operators of this subpackage."""
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +33,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write the rows as Parquet to the shared checkpoint folder and read them from there.
+
+    For wide rows that are read several times: the files are compressed, and each later pass reads its columns only.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """Marked for broadcast if it has at most ``BROADCAST_ROWS`` rows; else left to a shuffled join.
 
