@@ -1,5 +1,7 @@
 """Genotype arithmetic on ``GT: struct<alleles: array<int>, phased: boolean>`` and its companions."""
 
+import json
+
 from pyspark.sql import Column, functions as F
 
 
@@ -90,3 +92,35 @@ def allele_counts(calls: Column, n_alleles: Column) -> Column:
     return F.transform(
         F.sequence(F.lit(0), n_alleles - 1), lambda k: F.size(F.filter(calls, lambda a: a == k))
     )
+
+
+# --- calls as text: FORMAT and sample cells of a line, tab by tab; what is not a call stays as it is
+
+
+def without_first_sample(calls: Column) -> Column:
+    """The cells without those of the first sample."""
+    return F.regexp_replace(calls, r"^([^\t]*)\t[^\t]*", "$1")
+
+
+def sample_cells(cells: Column, places: list[int]) -> Column:
+    """FORMAT, then the cells of the samples at these places; missing where a line has too few."""
+    index = F.from_json(F.lit(json.dumps([0, *[p + 1 for p in places]])), "array<int>")
+    return F.transform(index, lambda i: F.get(cells, i))
+
+
+def has_call(cells: Column) -> Column:
+    """Does FORMAT begin with GT?  A call is always the first field."""
+    return F.substring_index(F.get(cells, F.lit(0)), ":", 1) == "GT"
+
+
+def carries(cells: Column, any_alt: bool = False) -> Column:
+    """True if a sample's call names the first alternate (or any); a call with a missing allele names none."""
+    wanted = "[1-9][0-9]*" if any_alt else "1"
+    pattern = rf"^([0-9]+[/|])*{wanted}([/|][0-9]+)*(:|$)"
+    return F.coalesce(has_call(cells) & F.exists(F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0))), lambda c: c.rlike(pattern)), F.lit(False))
+
+
+def diploid_cells(cells: Column) -> Column:
+    """A haploid call ``a`` becomes ``a/a`` in place, whatever follows it."""
+    fixed = F.transform(cells, lambda c: F.regexp_replace(c, r"^([0-9]+)(:|$)", "$1/$1$2"))
+    return F.when(has_call(cells), fixed).otherwise(cells)

@@ -1,11 +1,14 @@
-"""Header definitions: a small table ``headers(section, id, number, type, description)``.
+"""Header definitions: a small table ``headers(section, id, number, type, description, line, place)``.
 
-Its size is set by the file header and not by the records.
+Its size is set by the file header and not by the records.  ``line`` is the line as it was read and ``place`` its
+number in the file; a definition that a run adds or edits has no line and is printed anew, an edited one in
+its old place.  Lines that define nothing have a section and a line only.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
 HEADER_COLUMNS = ["section", "id", "number", "type", "description"]
+HEADER_SCHEMA = ", ".join(f"{c} string" for c in HEADER_COLUMNS) + ", line string, place int"
 
 
 def csq_columns(headers: DataFrame) -> list[str]:
@@ -32,17 +35,30 @@ def csq_description(columns: list[str]) -> str:
 
 def upsert(headers: DataFrame, definitions: list[tuple[str, str, str, str, str]]) -> DataFrame:
     """Add or replace definitions, given as rows of the header table."""
-    new = headers.sparkSession.createDataFrame(definitions, headers.schema)
+    new = headers.sparkSession.createDataFrame(definitions, ", ".join(f"{c} string" for c in HEADER_COLUMNS))
     return replace_definitions(headers, new)
 
 
+def with_lines(headers: DataFrame) -> DataFrame:
+    """The whole header table, for definitions that come without lines."""
+    if "line" in headers.columns:
+        return headers
+    return headers.select(*HEADER_COLUMNS, F.lit(None).cast("string").alias("line"), F.lit(None).cast("int").alias("place"))
+
+
 def replace_definitions(headers: DataFrame, new: DataFrame) -> DataFrame:
-    return headers.join(new, ["section", "id"], "left_anti").unionByName(new)
+    """Put the definitions in the places of those of the same name; others come last."""
+    headers, key = with_lines(headers), ["section", "id"]
+    places = headers.groupBy(*key).agg(F.min("place").alias("place"))
+    placed = new.select(*HEADER_COLUMNS, F.lit(None).cast("string").alias("line")).join(places, key, "left")
+    return headers.join(new, key, "left_anti").unionByName(placed)
 
 
 def add_missing(headers: DataFrame, more: DataFrame) -> DataFrame:
-    """Add the definitions that are not there yet."""
-    return headers.unionByName(more.join(headers, ["section", "id"], "left_anti"))
+    """Add the definitions that are not there yet, as their file has them."""
+    headers = with_lines(headers)
+    new = with_lines(more).where("id is not null").join(headers, ["section", "id"], "left_anti")
+    return headers.unionByName(new.withColumn("place", F.lit(None).cast("int")))
 
 
 def upsert_info(headers: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:

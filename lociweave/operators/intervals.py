@@ -150,3 +150,21 @@ def filter_overlapping(sites: DataFrame, intervals: DataFrame) -> DataFrame:
     )
     last = F.col("pos") + F.length(F.get("alleles", F.lit(0))) - 1
     return marked.where(F.col("_covered") | (F.col("_next") < last)).drop("_covered", "_next")
+
+
+def interval_regions(intervals: DataFrame) -> list[tuple[str, int, int]]:
+    """Runs of 16 kb windows that hold all intervals (0-based, half-open), as 1-based, closed regions.
+
+    The windows reach the driver, at most one for each 16 kb of the genome, however many intervals there are.
+    """
+    spans = intervals.where("end0 > start0").select(
+        "contig", F.explode(F.sequence(F.shiftright("start0", BIN_BITS), F.shiftright(F.col("end0") - 1, BIN_BITS))).alias("window")
+    )
+    regions: list[tuple[str, int, int]] = []
+    for contig, window in sorted(tuple(r) for r in spans.distinct().collect()):
+        first, last = (window << BIN_BITS) + 1, (window + 1) << BIN_BITS
+        if regions and regions[-1][0] == contig and regions[-1][2] + 1 == first:
+            regions[-1] = contig, regions[-1][1], last
+        else:
+            regions.append((contig, first, last))
+    return regions

@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lociweave.functions.genotypes import allele_calls
+from lociweave.functions.genotypes import allele_calls, carries, diploid_cells, sample_cells, without_first_sample
 from lociweave.model import VARIANT_KEY, with_row_id
 from lociweave.operators.genotypes import fix_haploid
 from lociweave.operators.lookup import lookup_left
@@ -70,6 +70,31 @@ def drop_first_sample(df: DataFrame, samples: DataFrame) -> tuple[DataFrame, Dat
     )
 
 
+def drop_first_cells(df: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``drop_first_sample`` on sample cells that are still text (``calls``): no other cell changes."""
+    rest = samples.where("idx > 0").withColumn("idx", F.col("idx") - 1)
+    return df.withColumn("calls", without_first_sample(F.col("calls"))), rest
+
+
+def subset_cells(
+    df: DataFrame, samples: DataFrame, wanted: DataFrame, any_alt: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """As ``subset_samples`` on sample cells that are still text: of a kept sample only a haploid call changes."""
+    places = _kept_places(samples, wanted)
+    # split first: a lambda would do it again for every sample
+    cells = df.withColumn("_all", F.split("calls", "\t")).withColumn("_cells", sample_cells(F.col("_all"), places)).drop("_all")
+    carried = cells.where(carries(F.col("_cells"), any_alt))
+    text = F.concat_ws("\t", diploid_cells(F.col("_cells")))
+    return carried.withColumn("calls", text).drop("_cells"), _renumbered(samples, places)
+
+
+def fix_haploid_cells(df: DataFrame) -> DataFrame:
+    """As ``fix_haploid`` on sample cells that are still text; nothing to do without samples."""
+    if "calls" not in df.columns:
+        return df
+    return df.withColumn("calls", F.concat_ws("\t", diploid_cells(F.split("calls", "\t"))))
+
+
 def strip_format(df: DataFrame, keep: list[str] = MERGE_FIELDS) -> DataFrame:
     """Keep only the listed genotype fields."""
     names = [n for n in keep if n in entry_names(df)]

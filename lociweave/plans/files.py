@@ -8,29 +8,34 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lociweave.functions.bins import LIMIT as POSITION_LIMIT
 from lociweave.model import VARIANT_KEY, with_scan_row_id
 from lociweave.operators import headers as hd
 from lociweave.operators.genotypes import fix_haploid
-from lociweave.operators.intervals import filter_intervals, filter_overlapping
+from lociweave.operators.intervals import filter_intervals, filter_overlapping, interval_regions
 from lociweave.operators.lookup import write_lookup
 from lociweave.operators.normalize import rename_contigs
 from lociweave.operators.samples import (
-    drop_first_sample,
+    drop_first_cells,
     family_chunks,
+    fix_haploid_cells,
     merge_samples,
     sample_chunk_pairs,
     strip_format,
-    subset_samples,
+    subset_cells,
 )
-from lociweave.operators.shards import chunk_files, chunk_rows, contig_shards, into_shards
+from lociweave.operators.shards import chunk_files, chunk_rows, contig_counts, contig_shards, into_shards
 from lociweave.operators.transcripts import splice_records
 from lociweave.operators.unions import concat_shards, natural_order, union_by_position, union_outer, union_rows
 from lociweave.plans import annotate as an
+from lociweave.sinks.bgzf import concat_blocks
 from lociweave.sinks.tables import write_lists, write_store, write_tsv, write_tsv_chunks
-from lociweave.sinks.vcf import export_vcf, export_vcf_shards
+from lociweave.sinks.vcf import calls_text, export_vcf, export_vcf_shards, is_indexed_name
 from lociweave.sources import tables as tb
+from lociweave.sources.tabix import has_index, indexed_counts
 from lociweave.sources.vcf import (
     Vcf,
+    is_blocked,
     read_header_lines,
     read_vcf,
     sample_names,
@@ -90,6 +95,14 @@ def _open(spark: SparkSession, path: str, build: str, edit: bool = False) -> Vcf
     return read_vcf(spark, path, build, genotypes=True if edit else "text", row_id=True)
 
 
+def _narrow(v: Vcf) -> tuple[DataFrame, DataFrame | None]:
+    """The sites without their sample cells, and these apart (None without samples): two scans of the file, each of its
+    own columns.  They meet again when the records are printed."""
+    if "calls" not in v.sites.columns:
+        return v.sites, None
+    return v.sites.drop("calls"), v.sites.select(*VARIANT_KEY, "row_id", "calls")
+
+
 def _with_csq(headers: DataFrame, columns: list[str]) -> DataFrame:
     return hd.upsert_info(headers, {"CSQ": ("String", hd.csq_description(columns))})
 
@@ -104,8 +117,13 @@ def annotate_vcf(
     recount: bool = False,
 ) -> str:
     v = _open(spark, vcf, build, edit=True)
-    df = an.annotate_vcf(fix_haploid(v.sites), tb.read_store(spark, consequences), recount)
-    return export_vcf(df, _with_csq(v.headers, csq_columns), out, v.sample_names, build)
+    split = an.prepare_cohort(fix_haploid(v.sites), recount)
+    wide = None
+    if "entries" in split.columns:
+        # split, and printed, apart from the lookup
+        wide = split.select(*VARIANT_KEY, "row_id", "a_index", calls_text(split).alias("calls"))
+    df = an.attach_consequences(split.drop("entries"), tb.read_store(spark, consequences))
+    return export_vcf(df, _with_csq(v.headers, csq_columns), out, v.sample_names, build, wide=wide)
 
 
 def annotate_matrix(spark: SparkSession, sites: str, consequences: str, out: str) -> str:
@@ -140,8 +158,9 @@ def annotate_extra(
 ) -> str:
     """``clinvar`` is the clinical VCF again, for the definitions of its fields."""
     v = _open(spark, vcf, build)
+    sites, wide = _narrow(v)
     fields = options.get("clinvar_fields", an.CLINVAR_FIELDS[:3])
-    df, columns = an.annotate_extra(v.sites, hd.csq_columns(v.headers), resources, build, **options)
+    df, columns = an.annotate_extra(sites, hd.csq_columns(v.headers), resources, build, **options)
     headers = _with_csq(v.headers, columns)
     if resources.revel is not None:
         headers = hd.upsert_info(headers, {"REVEL": ("String", REVEL_TEXT)})
@@ -149,7 +168,7 @@ def annotate_extra(
         headers = hd.upsert_info(headers, {"PREDICTED_NONCODING": ("String", NONCODING_TEXT)})
     if given(clinvar) and build == "GRCh38":
         headers = hd.copy_info(headers, read_vcf(spark, clinvar, build).headers, list(fields))
-    return export_vcf(df, headers, out, v.sample_names, build)
+    return export_vcf(df, headers, out, v.sample_names, build, wide=wide)
 
 
 def release_suffix(spark: SparkSession, path: str) -> str:
@@ -167,12 +186,13 @@ def annotate_clinvar(
     build: str = "GRCh38",
 ) -> str:
     v = _open(spark, vcf, build)
+    sites, wide = _narrow(v)
     if build != "GRCh38":
-        return export_vcf(v.sites, v.headers, out, v.sample_names, build)
+        return export_vcf(sites, v.headers, out, v.sample_names, build, wide=wide)
     release = read_vcf(spark, clinvar, build, invalid="skip")
-    df = an.annotate_clinvar(v.sites, release.sites, fields, build)
+    df = an.annotate_clinvar(sites, release.sites, fields, build)
     headers = hd.copy_info(v.headers, release.headers, fields, release_suffix(spark, clinvar))
-    return export_vcf(df, headers, out, v.sample_names, build)
+    return export_vcf(df, headers, out, v.sample_names, build, wide=wide)
 
 
 def annotate_inheritance(
@@ -184,11 +204,12 @@ def annotate_inheritance(
     build: str = "GRCh38",
 ) -> str:
     v = _open(spark, vcf, build)
+    sites, wide = _narrow(v)
     lists = tb.read_gene_lists(spark, gene_lists) if given(gene_lists) else None
     df, columns = an.annotate_inheritance(
-        v.sites, hd.csq_columns(v.headers), tb.read_tsv(spark, inheritance), lists
+        sites, hd.csq_columns(v.headers), tb.read_tsv(spark, inheritance), lists
     )
-    return export_vcf(df, _with_csq(v.headers, columns), out, v.sample_names, build)
+    return export_vcf(df, _with_csq(v.headers, columns), out, v.sample_names, build, wide=wide)
 
 
 def annotate_cadd_table(spark: SparkSession, table: str, cadd: str, out: str, unique: bool = False) -> str:
@@ -226,8 +247,8 @@ def annotate_somatic(
 
 
 def drop_first(spark: SparkSession, vcf: str, out: str, build: str = "GRCh38") -> str:
-    v = read_vcf(spark, vcf, build, genotypes=True)
-    df, samples = drop_first_sample(v.sites, v.samples)
+    v = read_vcf(spark, vcf, build, genotypes="text", invalid="keep")
+    df, samples = drop_first_cells(v.sites, v.samples) if v.sample_names else (v.sites, v.samples)
     return export_vcf(df, v.headers, out, names_of(samples), build, sort=False)
 
 
@@ -240,10 +261,9 @@ def scatter(
     build: str = "GRCh38",
 ) -> str | None:
     """Sharded VCFs with a header each; nothing is written for an input without rows."""
-    v = read_vcf(spark, vcf, build, genotypes=True, find_replace=("nan", "."))
-    df = fix_haploid(v.sites)
+    v = read_vcf(spark, vcf, build, genotypes="text", find_replace=("nan", "."))
     return export_vcf_shards(
-        df, v.headers, out, records_per_shard, v.sample_names, build, by_contig=by_contig
+        fix_haploid_cells(v.sites), v.headers, out, records_per_shard, v.sample_names, build, by_contig=by_contig
     )
 
 
@@ -269,7 +289,17 @@ def merge_shards(
     build: str = "GRCh38",
     allow_overlaps: bool = False,
 ) -> str:
-    """Concatenate in natural file order, as the rows come; sorted only if asked, or for overlapping shards."""
+    """Concatenate in natural file order, as the rows come; sorted only if asked, or for overlapping shards.
+
+    Block-gzipped shards with equal headers go to a ``.bgz`` path block by block, without a look at their records.
+    """
+    if is_indexed_name(out) and not (sort or allow_overlaps) and all(is_blocked(p) for p in vcfs):
+        ordered = [vcfs[i] for i in natural_order(spark, vcfs)]
+        heads = [read_header_lines(spark, p) for p in ordered]
+        if len({tuple(sample_names(h)) for h in heads}) > 1:
+            raise ValueError("the shards list different samples")
+        if all(h == heads[0] for h in heads):
+            return concat_blocks(spark, ordered, out)
     opened = [read_vcf(spark, path, build, genotypes="text", invalid="keep") for path in vcfs]
     df = concat_shards(
         [(p, v.sites, v.sample_names) for p, v in zip(vcfs, opened)], naive=not allow_overlaps, allow_overlaps=allow_overlaps, build=build
@@ -288,8 +318,10 @@ def merge_sample_files(spark: SparkSession, vcfs: list[str], out: str, build: st
 def subset_sample_file(
     spark: SparkSession, vcf: str, samples: str, out: str, build: str = "GRCh38", any_alt: bool = False
 ) -> str:
-    v = read_vcf(spark, vcf, build, genotypes=True)
-    df, kept = subset_samples(v.sites, v.samples, tb.read_sample_list(spark, samples), any_alt)
+    v = read_vcf(spark, vcf, build, genotypes="text")
+    if not v.sample_names:
+        raise ValueError(f"{vcf} has no samples to choose from")
+    df, kept = subset_cells(v.sites, v.samples, tb.read_sample_list(spark, samples), any_alt)
     return export_vcf(df, v.headers, out, names_of(kept), build, sort=False)
 
 
@@ -302,10 +334,30 @@ def subset_intervals_vcf(
     spark: SparkSession, vcf: str, bed: str, out: str, overlap: bool = False, build: str = "GRCh38"
 ) -> str:
     """By position, or with ``overlap`` by the span of the reference allele."""
-    v = read_vcf(spark, vcf, build, genotypes="text", invalid="keep")
+    intervals = tb.read_intervals(spark, bed)
+    # with an index, only blocks near the intervals are read; the exact filter follows
+    near = interval_regions(intervals) if is_blocked(vcf) and has_index(vcf) else None
+    v = read_vcf(spark, vcf, build, genotypes="text", invalid="keep", near=near)
     keep = filter_overlapping if overlap else filter_intervals
-    df = keep(v.sites, tb.read_intervals(spark, bed))
-    return export_vcf(df, v.headers, out, v.sample_names, build)
+    return export_vcf(keep(v.sites, intervals), v.headers, out, v.sample_names, build)
+
+
+def extract_regions(
+    spark: SparkSession, vcf: str, regions: list[tuple[str, int, int]], out: str, build: str = "GRCh38"
+) -> str:
+    """The records that touch a region (contig, first and last position), cells as they are; read through the index."""
+    v = read_vcf(spark, vcf, build, genotypes="text", invalid="keep", regions=regions)
+    return export_vcf(v.sites, v.headers, out, v.sample_names, build)
+
+
+def extract_contig(spark: SparkSession, vcf: str, contig: str, out: str, build: str = "GRCh38") -> str:
+    return extract_regions(spark, vcf, [(contig, 1, POSITION_LIMIT)], out, build)
+
+
+def record_counts(spark: SparkSession, vcf: str, build: str = "GRCh38") -> DataFrame:
+    """``contig``, ``n``: from the index if there is one, else counted."""
+    counts = indexed_counts(spark, vcf) if is_blocked(vcf) and has_index(vcf) else None
+    return counts if counts is not None else contig_counts(read_vcf(spark, vcf, build, invalid="keep").sites)
 
 
 def normalise_clinvar(spark: SparkSession, vcf: str, out_folder: str) -> str:

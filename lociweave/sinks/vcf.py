@@ -4,11 +4,15 @@ Parts are written in order, so the part files joined by name are one valid VCF;
 whole output.
 """
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.genotypes import call_text
 from lociweave.model import CONTIG_LENGTHS, genome_order
+from lociweave.operators.headers import with_lines
 from lociweave.operators.shards import contig_shards, into_shards
+from lociweave.sinks.bgzf import write_blocks
 from lociweave.sources.vcf import info_pairs
 
 VCF_TYPES = {"int": "Integer", "bigint": "Integer", "double": "Float", "float": "Float"}
@@ -87,6 +91,11 @@ def format_fields(df: DataFrame) -> list:
     return sorted(fields, key=lambda f: f.name != "GT")
 
 
+def calls_text(df: DataFrame) -> Column:
+    """FORMAT and sample cells as one text."""
+    return F.concat_ws("\t", F.lit(":".join(f.name for f in format_fields(df))), entry_text(df))
+
+
 def entry_text(df: DataFrame) -> Column:
     fields = format_fields(df)
 
@@ -123,7 +132,7 @@ def record_lines(df: DataFrame) -> Column:
         info_text(df) if "info" in df.columns else F.lit("."),
     ]
     if "entries" in df.columns:
-        cells += [F.lit(":".join(f.name for f in format_fields(df))), entry_text(df)]
+        cells.append(calls_text(df))
     elif "calls" in df.columns:
         cells.append(F.coalesce("calls", F.lit(".")))
     return F.concat_ws("\t", *cells)
@@ -160,44 +169,70 @@ def default_definitions(df: DataFrame, headers: DataFrame) -> list[tuple]:
 
 
 def header_lines(df: DataFrame, headers: DataFrame, samples: list[str], build: str) -> list[str]:
-    """All lines above the records; their number is set by the header, not by the data."""
-    rows = [tuple(r) for r in headers.select("section", "id", "number", "type", "description").collect()]
-    rows += default_definitions(df, headers)
-    lines = ["##fileformat=VCFv4.2"]
-    for section in ("FILTER", "FORMAT", "INFO"):
-        for sec, name, number, kind, text in sorted(rows, key=lambda r: r[1] or ""):
-            if sec != section:
-                continue
-            typed = "" if section == "FILTER" else f"Number={number},Type={kind},"
-            lines.append(f'##{section}=<ID={name},{typed}Description="{text or ""}">')
-    contigs = {r[1]: r[4] for r in rows if r[0] == "contig"} or CONTIG_LENGTHS[build]
-    lines += [f"##contig=<ID={c}" + (f",length={n}>" if n else ">") for c, n in contigs.items()]
+    """All lines above the records; their number is set by the header, not by the data.
+
+    Lines that were read come as they were and in their order, edited definitions in their old place; new ones follow.
+    """
+    columns = ["section", "id", "number", "type", "description", "line", "place"]
+    rows = [tuple(r) for r in with_lines(headers).select(*columns).collect()]
+    rows += [(*d, None, None) for d in default_definitions(df, headers)]
+    sections = ["FILTER", "FORMAT", "INFO", "contig"]
+
+    def order(row: tuple) -> tuple:
+        section, name, *_, place = row
+        if place is not None:
+            return 0, place, 0, ""
+        rank = sections.index(section) if section in sections else len(sections)
+        return 1, 0, rank, "" if section == "contig" else name or ""
+
+    printed = [line or definition_line(*rest) for *rest, line, _ in sorted(rows, key=order)]
+    versions = [line for line in printed if line.startswith("##fileformat=")][:1] or ["##fileformat=VCFv4.2"]
+    lines = versions + [line for line in printed if line and not line.startswith("##fileformat=")]
+    if not any(r[0] == "contig" for r in rows):
+        lines += [f"##contig=<ID={c},length={n}>" for c, n in CONTIG_LENGTHS[build].items()]
     columns = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
     if "entries" in df.columns or "calls" in df.columns:
         columns += ["FORMAT", *samples]
     return [*lines, "#" + "\t".join(columns)]
 
 
-def ordered_lines(df: DataFrame, headers: DataFrame, samples: list[str] = (), build: str = "GRCh38", sort: bool = True) -> DataFrame:
-    """All lines of a VCF in order, header first.
+def definition_line(section: str, name: str | None, number: str | None, kind: str | None, text: str | None) -> str:
+    """A definition as a header line; empty for a row that defines nothing."""
+    if name is None:
+        return ""
+    if section == "contig":
+        return f"##contig=<ID={name}" + (f",length={text}>" if text else ">")
+    typed = "" if section == "FILTER" else f"Number={number},Type={kind},"
+    return f'##{section}=<ID={name},{typed}Description="{text or ""}">'
+
+
+def ordered_records(df: DataFrame, build: str = "GRCh38", sort: bool = True) -> DataFrame:
+    """The record lines (``value``), by locus and alleles; ``sort=False`` keeps the order in which the rows come.
 
     Rows are sorted by locus, alleles and a hash of their line: the line itself takes no part in the range exchange,
-    whose samples and bounds would otherwise hold whole records.  ``sort=False`` keeps the rows' own order, for
-    rows that come in order.
+    whose samples and bounds would otherwise hold whole records.
     """
-    head = header_lines(df, headers, samples, build)
     if not sort:
-        top = df.sparkSession.createDataFrame([(line,) for line in head], "value string").coalesce(1)
-        return top.unionByName(df.select(record_lines(df).alias("value")))
+        return df.select(record_lines(df).alias("value"))
     order = genome_order(build)
     names = [f"_o{i}" for i in range(len(order))]
     records = df.select(*[o.alias(n) for o, n in zip(order, names)], record_lines(df).alias("value"))
-    top = df.sparkSession.createDataFrame(
-        [(-1, "", i, [], line) for i, line in enumerate(head)],
-        "_o0 int, _o1 string, _o2 int, _o3 array<string>, value string",
-    )
-    lines = top.unionByName(records).withColumn("_hash", F.xxhash64("value"))
-    return lines.orderBy(*names, "_hash").select("value")
+    return records.withColumn("_hash", F.xxhash64("value")).orderBy(*names, "_hash").select("value")
+
+
+def ordered_lines(df: DataFrame, headers: DataFrame, samples: list[str] = (), build: str = "GRCh38", sort: bool = True) -> DataFrame:
+    """All lines of a VCF in order, header first."""
+    return below_header(ordered_records(df, build, sort), header_lines(df, headers, samples, build))
+
+
+def below_header(records: DataFrame, head: list[str]) -> DataFrame:
+    """The header's partition comes before those of the records, which keep their order."""
+    top = records.sparkSession.createDataFrame([(line,) for line in head], "value string").coalesce(1)
+    return top.unionByName(records)
+
+
+def is_indexed_name(path: str) -> bool:
+    return path.endswith(".bgz")
 
 
 def export_vcf(
@@ -206,15 +241,83 @@ def export_vcf(
     path: str,
     samples: list[str] = (),
     build: str = "GRCh38",
-    compression: str = "gzip",
+    compression: str | None = None,
     sort: bool = True,
+    wide: DataFrame | None = None,
 ) -> str:
-    """Write VCF text; the header is in the first part."""
-    lines = ordered_lines(df, headers, samples, build, sort)
-    lines.write.mode("overwrite").text(path, compression=compression)
+    """Write VCF text as a folder of parts; joined by name they are one file, the header first.
+
+    A path that ends with ``.bgz`` is written in blocks; sorted records get an index beside it (``path.tbi``).  Other
+    paths are gzip text, or what ``compression`` says.  ``wide`` brings the sample cells to ``df`` at the very
+    end (see ``joined_late``).
+    """
+    shape = df if wide is None else df.withColumn("calls", F.lit(""))
+    head = header_lines(shape, headers, samples, build)
+    records = ordered_records(df, build, sort) if wide is None else joined_late(df, wide, build)
+    if compression is None and is_indexed_name(path):
+        return write_blocks(records, head, path, index=sort)
+    below_header(records, head).write.mode("overwrite").text(path, compression=compression or "gzip")
     return path
 
 
+# --- sample cells that join their records at the very end
+
+KEYS_A_BUCKET = 32  # sampled for the bounds of the output's parts
+
+
+def joined_late(df: DataFrame, wide: DataFrame, build: str = "GRCh38") -> DataFrame:
+    """Record lines in genome order; the wide cells move once, straight to the part in which they are printed.
+
+    ``df`` are finished rows without samples, ``wide`` the sample cells (``calls``) with the same ``row_id`` (after a split
+    with ``a_index``) and variant key, which a row keeps through the run.  Both sides are dealt to the same ranges of
+    the genome, so the join and the order need no further exchange.  Rows of one variant come in the order of their ids.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = genome_bounds(wide, n, build)
+    ids = [c for c in ("row_id", "a_index") if c in wide.columns]
+    left = df.select(range_number(order_key(build), bounds).alias("_range"), *ids, *order_columns(build), record_lines(df).alias("_head"))
+    names = {c: f"_wide_{c}" for c in ["_range", *ids]}
+    right = wide.select(range_number(order_key(build), bounds).alias("_range"), *ids, "calls").withColumnsRenamed(names)
+    left, right = left.repartitionById(n, "_range"), right.repartitionById(n, "_wide__range")
+    joined = left.join(right.hint("merge"), [F.col(a) == F.col(b) for a, b in names.items()])
+    line = F.concat_ws("\t", "_head", F.coalesce("calls", F.lit(".")))
+    return joined.sortWithinPartitions(*ORDER, *ids).select(line.alias("value"))
+
+
+ORDER = ["r", "c", "p", "a"]
+
+
+def order_columns(build: str) -> list[Column]:
+    return [o.alias(n) for o, n in zip(genome_order(build), ORDER)]
+
+
+def order_key(build: str) -> Column:
+    return F.struct(*order_columns(build), F.col("row_id").alias("i"))
+
+
+def genome_bounds(rows: DataFrame, n: int, build: str) -> Column:
+    """Keys that cut the rows into about ``n`` equal ranges, as one literal; a hot variant is cut by its row ids.
+
+    Found from ``KEYS_A_BUCKET * n`` keys with the smallest hashes of all, whatever the size of the table.
+    """
+    keys = rows.select(*order_columns(build), F.col("row_id").alias("i"))
+    some = keys.orderBy(F.xxhash64("i", "p")).limit(KEYS_A_BUCKET * n).collect()
+    ordered = sorted(tuple(r) for r in some)
+    cuts = [ordered[len(ordered) * i // n] for i in range(1, n)] if ordered else []
+    text = json.dumps([dict(zip([*ORDER, "i"], c)) for c in cuts])
+    return F.from_json(F.lit(text), "array<struct<r:int,c:string,p:int,a:array<string>,i:bigint>>")
+
+
+def range_number(key: Column, bounds: Column) -> Column:
+    """How many bounds are not above the key; found by halving."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(20))])
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further)
+
+
 def export_vcf_shards(
     df: DataFrame,
     headers: DataFrame,

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lociweave.session import conf_bytes
+from lociweave.sources.files import located, parts_of
 
 READ_BYTES = 4 << 20
 BATCH_BYTES = 16 << 20
@@ -38,35 +39,32 @@ def bgzf_lines(spark: SparkSession, paths: list[str], split_bytes: int | None =
 
 
 def head_lines(path: str, mark: str = "#") -> list[str]:
-    """The lines at the top of a block-gzipped file that begin with ``mark``, however many there are."""
+    """The lines at the top of a block-gzipped file or folder that begin with ``mark``, however many there are."""
     lines = []
-    with _open(path) as file:
-        for line in _split_lines(file, 0, None):
-            text = _text(line)
-            if not text.startswith(mark):
-                break
-            lines.append(text)
+    for part, _ in parts_of(path):
+        with open_file(part) as file:
+            for line in _split_lines(file, 0, None):
+                text = _text(line)
+                if not text.startswith(mark):
+                    return lines
+                lines.append(text)
     return lines
 
 
 def is_block_gzip(path: str) -> bool:
-    """True if a file starts with a block header."""
-    with _open(path) as file:
-        return _block_size(file.read(64), 0) is not None
+    """True if a file, or the first part of a folder, starts with a block header."""
+    for part, _ in parts_of(path)[:1]:
+        with open_file(part) as file:
+            return block_size(file.read(64), 0) is not None
+    return False
 
 
-def _open(path: str):
-    from pyarrow import fs
-
-    if path.startswith("/"):
-        path = "file://" + path
-    elif path.startswith("file:/") and not path.startswith("file://"):
-        path = path.replace("file:/", "file:///", 1)
-    system, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+def open_file(path: str):
+    system, name = located(path)
     return system.open_input_file(name)
 
 
-def _block_size(data: bytes, at: int) -> int | None:
+def block_size(data: bytes, at: int) -> int | None:
     """Size of the block at ``at``, or None if no block header is there."""
     if data[at : at + 4] != MAGIC or len(data) < at + 18:
         return None
@@ -80,42 +78,50 @@ def _block_size(data: bytes, at: int) -> int | None:
     return None
 
 
-def _first_block(data: bytes, at_end: bool) -> int | None:
+def first_block(data: bytes, at_end: bool) -> int | None:
     """Offset of the first block; a candidate counts if another block, or the end, follows it."""
     at = data.find(MAGIC)
     while at >= 0:
-        size = _block_size(data, at)
+        size = block_size(data, at)
         if size is not None:
             after = at + size
-            if _block_size(data, after) is not None or (at_end and after == len(data)):
+            if block_size(data, after) is not None or (at_end and after == len(data)):
                 return at
         at = data.find(MAGIC, at + 1)
     return None
 
 
-def _blocks(file, start: int) -> Iterator[tuple[int, bytes]]:
-    """``(offset, inflated bytes)`` of the blocks from the first one at or after ``start``."""
+def blocks_of(file, start: int, exact: bool = False) -> Iterator[tuple[int, bytes]]:
+    """``(offset, inflated bytes)`` of the blocks from the first one at or after ``start``; ``exact`` if one is there."""
+    for offset, raw in raw_blocks(file, start, exact):
+        yield offset, zlib.decompress(raw, wbits=31)
+
+
+def raw_blocks(file, start: int, exact: bool = False) -> Iterator[tuple[int, bytes]]:
+    """``(offset, block)`` as they are in the file."""
     file.seek(start)
-    data, base, at = file.read(READ_BYTES), start, None
+    data, base, at = file.read(READ_BYTES), start, 0 if exact else None
     while data:
         if at is None:
             more = file.read(1 << 17)
             data += more
-            at = _first_block(data, not more)
+            at = first_block(data, not more)
             if at is None:
                 # keep a block's worth of bytes, in case a header is cut in two
                 base, data = base + max(0, len(data) - (1 << 17)), data[-(1 << 17) :]
                 if not more:
                     return
                 continue
-        size = _block_size(data, at)
+        size = block_size(data, at)
         if size is None or at + size > len(data):
             more = file.read(READ_BYTES)
             base, data, at = base + at, data[at:] + more, 0
-            if not more and (size := _block_size(data, 0)) is None:
+            if not more:
+                if data:
+                    raise ValueError(f"the file ends within the block at {base}")
                 return
             continue
-        yield base + at, zlib.decompress(data[at : at + size], wbits=31)
+        yield base + at, data[at : at + size]
         at += size
 
 
@@ -123,7 +129,7 @@ def _split_lines(file, start: int, stop: int | None) -> Iterator[bytes]:
     """Lines of a range: a line belongs to the range before the boundary it crosses or touches."""
     pieces: list[bytes] = []  # of a line that goes on in the next block
     skipping = start > 0
-    for offset, text in _blocks(file, start):
+    for offset, text in blocks_of(file, start):
         last = stop is not None and offset >= stop
         if skipping:
             if last:
@@ -149,6 +155,31 @@ def _split_lines(file, start: int, stop: int | None) -> Iterator[bytes]:
         yield b"".join(pieces)
 
 
+def placed_lines(file, start: int, stop: int) -> Iterator[tuple[int, int, bytes]]:
+    """``(begin, end, line)`` with virtual offsets; lines belong to ranges as in ``_split_lines``."""
+    pieces, begin, skipping = [], None, start > 0
+    for offset, text in blocks_of(file, start):
+        at = 0
+        while at < len(text):
+            cut = text.find(b"\n", at)
+            after = len(text) if cut < 0 else cut + 1
+            if skipping:
+                if offset >= stop:
+                    return
+                skipping = cut < 0
+            else:
+                begin = offset << 16 | at if begin is None else begin
+                pieces.append(text[at:after])
+                if cut >= 0:
+                    yield begin, offset << 16 | after, b"".join(pieces)[:-1]
+                    pieces, begin = [], None
+            at = after
+            if offset >= stop and not pieces and not skipping:
+                return
+    if pieces:
+        yield begin, offset << 16 | len(text), b"".join(pieces)
+
+
 def _text(line: bytes) -> str:
     return line.removesuffix(b"\r").decode()
 
@@ -157,7 +188,7 @@ def _range_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # in a fixed order, so that a re-run task numbers its lines the same way
     ranges = sorted((r["path"], r["start"], r["stop"]) for b in batches for r in b.to_pylist())
     for path, start, stop in ranges:
-        with _open(path) as file:
+        with open_file(path) as file:
             lines: list[str] = []
             held = 0
             for line in _split_lines(file, start, stop):

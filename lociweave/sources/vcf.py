@@ -7,13 +7,15 @@ its FORMAT and sample cells.  The sink prints them as they were wherever the val
 import json
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lociweave.functions.genotypes import parse_call
 from lociweave.model import CONTIG_LENGTHS
-from lociweave.operators.headers import HEADER_COLUMNS
+from lociweave.operators.headers import HEADER_SCHEMA
 from lociweave.sources.bgzf import bgzf_lines, head_lines, is_block_gzip
+from lociweave.sources.tabix import has_index, in_regions, region_lines
 
 TYPES = {"Integer": "int", "Float": "double", "String": "string", "Character": "string"}
 FIXED_COLUMNS = 9
@@ -35,7 +37,7 @@ def _as_list(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _is_blocked(path: str, force_bgz: bool) -> bool:
+def is_blocked(path: str, force_bgz: bool = False) -> bool:
     return path.endswith(".bgz") or (path.endswith(".gz") and (force_bgz or is_block_gzip(path)))
 
 
@@ -45,7 +47,7 @@ def vcf_lines(spark: SparkSession, paths: str | list[str], force_bgz: bool = Fal
     A ``.gz`` file counts as block-gzipped if it starts like one, or without a look if ``force_bgz`` is set.
     """
     paths = _as_list(paths)
-    blocked = [p for p in paths if _is_blocked(p, force_bgz)]
+    blocked = [p for p in paths if is_blocked(p, force_bgz)]
     plain = [p for p in paths if p not in blocked]
     parts = []
     if plain:
@@ -55,9 +57,29 @@ def vcf_lines(spark: SparkSession, paths: str | list[str], force_bgz: bool = Fal
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def lines_near(
+    spark: SparkSession, paths: str | list[str], regions: list[tuple[str, int, int]], force_bgz: bool = False
+) -> DataFrame:
+    """Raw lines of all records that may touch a region, and others beside them; files without an index are read whole."""
+    paths = _as_list(paths)
+    indexed = [p for p in paths if is_blocked(p, force_bgz) and has_index(p)]
+    rest = [p for p in paths if p not in indexed]
+    parts = [region_lines(spark, p, regions) for p in indexed] + ([vcf_lines(spark, rest, force_bgz)] if rest else [])
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def last_position(sites: DataFrame) -> Column:
+    """Where a record ends: at its INFO field END if it has one, else with its reference allele."""
+    end = F.col("pos") + F.length(F.get("alleles", F.lit(0))) - 1
+    if "END" in sites.schema["info"].dataType.names:
+        given = F.col("info.END").try_cast("int")
+        end = F.when(given >= F.col("pos"), given).otherwise(end)
+    return end
+
+
 def read_header_lines(spark: SparkSession, path: str, force_bgz: bool = False) -> list[str]:
     """The ``#`` lines at the top of one file, to the last of them; reads no further than that."""
-    if _is_blocked(path, force_bgz):
+    if is_blocked(path, force_bgz):
         return head_lines(path)
     lines = spark.read.text(path)
     n = 512
@@ -81,6 +103,16 @@ def parse_header(lines: list[str]) -> list[tuple[str, str, str | None, str | Non
     return rows
 
 
+def header_rows(lines: list[str]) -> list[tuple]:
+    """Every line above the columns as a row of the header table, in order and as it was read."""
+    rows = []
+    for place, line in enumerate(lines):
+        if line.startswith("##"):
+            found = parse_header([line]) or [(line[2:].partition("=")[0], None, None, None, None)]
+            rows.append((*found[0], line, place))
+    return rows
+
+
 def column_line(lines: list[str]) -> str:
     """The ``#CHROM`` line; a file without one is not read as if it had no samples."""
     for line in lines:
@@ -100,7 +132,8 @@ def contig_lengths(definitions: list[tuple], build: str) -> dict[str, int | None
 
 
 def headers_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in HEADER_COLUMNS))
+    """The header table from definitions, or from rows with their line and place."""
+    return spark.createDataFrame([r if len(r) == 7 else (*r, None, None) for r in rows], HEADER_SCHEMA)
 
 
 def samples_table(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -108,7 +141,7 @@ def samples_table(spark: SparkSession, names: list[str]) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str, force_bgz: bool = False) -> DataFrame:
-    return headers_table(spark, parse_header(read_header_lines(spark, path, force_bgz)))
+    return headers_table(spark, header_rows(read_header_lines(spark, path, force_bgz)))
 
 
 def _typed(text: Column, number: str | None, kind: str | None) -> Column:
@@ -209,13 +242,17 @@ def read_vcf(
     invalid: str = "error",
     force_bgz: bool = False,
     row_id: bool = False,
+    regions: list[tuple[str, int, int]] | None = None,
+    near: list[tuple[str, int, int]] | None = None,
 ) -> Vcf:
     """Read VCF files that share one header: with other definitions or samples in one of them it fails.
 
     ``genotypes`` parses the sample cells into ``entries``; as ``"text"`` they travel as one text, ``calls``; without
     it they are left out.  The tail of a line is split only for entries.  ``find_replace`` is a pattern and its
     replacement, applied to the raw data lines.  Valid contigs are those the header declares, or else the build's.
-    ``row_id`` numbers the lines at the scan.
+    ``row_id`` numbers the lines at the scan.  ``regions`` (contig, first and last position) keeps the records that
+    touch one of them; of a block-gzipped file with an index only the blocks that may hold them are read.  ``near`` reads
+    as little, but leaves the records beside the regions in.
     """
     paths = _as_list(paths)
     header_lines = read_header_lines(spark, paths[0], force_bgz)
@@ -227,15 +264,18 @@ def read_vcf(
             raise ValueError(f"{path} lists other samples than {paths[0]}")
         if sorted(map(str, parse_header(other))) != sorted(map(str, definitions)):
             raise ValueError(f"{path} has other definitions than {paths[0]}")
-    lines = vcf_lines(spark, paths, force_bgz)
+    around = near if regions is None else regions
+    lines = vcf_lines(spark, paths, force_bgz) if around is None else lines_near(spark, paths, around, force_bgz)
     if row_id:
         lines = lines.withColumn("row_id", F.monotonically_increasing_id())
     if n_partitions:
         lines = lines.repartition(n_partitions)
     genotypes = genotypes if names else False
     sites = parse_sites(lines, definitions, len(names) if genotypes else 0, genotypes, find_replace, raw=True)
+    if regions is not None:
+        sites = sites.where(in_regions(F.col("contig"), F.col("pos"), last_position(sites), regions))
     sites = check_loci(sites, contig_lengths(definitions, build), invalid)
-    return Vcf(sites, headers_table(spark, definitions), samples_table(spark, names), names)
+    return Vcf(sites, headers_table(spark, header_rows(header_lines)), samples_table(spark, names), names)
 
 
 def parse_sites(

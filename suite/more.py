@@ -110,7 +110,7 @@ def header_edits(x: Inputs) -> DataFrame:
     more = base_headers(x).withColumn("description", F.concat(F.lit("other "), "description"))
     headers = hd.copy_info(headers, more, ["F2", "F3", "F0"], " [stamp]")
     extra = base_headers(x).withColumn("id", F.concat("id", F.when(F.length("id") % 2 == 0, "x").otherwise("")))
-    return hd.add_missing(headers, extra)
+    return hd.add_missing(headers, extra).select(*hd.HEADER_COLUMNS)
 
 
 def header_csq(x: Inputs) -> DataFrame:

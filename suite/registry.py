@@ -7,9 +7,10 @@ from suite.more import MORE
 from suite.more_oracles import MORE_ORACLES
 from suite.oracles import ORACLES as FIRST_ORACLES
 from suite.queries import QUERIES as FIRST
+from suite.stored import STORED, STORED_ORACLES
 
-QUERIES = FIRST | MORE
-ORACLES = FIRST_ORACLES | MORE_ORACLES
+QUERIES = FIRST | MORE | STORED
+ORACLES = FIRST_ORACLES | MORE_ORACLES | STORED_ORACLES
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
