@@ -20,12 +20,14 @@ HASH = "_hash"
 class Lookup:
     """A right side: its table and the columns to bring over, as ``{output: source column}``.
 
-    ``unique`` promises one row for each variant, as ``write_lookup`` stores it.
+    ``unique`` promises one row for each variant, as ``write_lookup`` stores it.  ``buckets`` is given for a variant
+    store (see ``stores``).
     """
 
     table: DataFrame
     values: dict[str, str]
     unique: bool = False
+    buckets: int = 0
 
 
 def _source(name: str) -> Column:

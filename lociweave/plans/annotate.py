@@ -4,7 +4,7 @@ Each run is one lazy plan.  All variant-keyed lookups share one join and all tra
 lookups share one explode and regroup.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,6 +21,7 @@ from lociweave.operators.intervals import annotate_intervals
 from lociweave.operators.lookup import HASH, Lookup, lookup_left, lookup_variants
 from lociweave.operators.normalize import score_table_key, split_multiallelic
 from lociweave.operators.samples import drop_first_sample
+from lociweave.operators.stores import matched, with_matches
 from lociweave.operators.transcripts import (
     add_gene_list,
     add_gene_lists,
@@ -46,7 +47,8 @@ class Resources:
     ``mpc(contig, pos, alleles, mpc)``; ``clinvar`` are unsplit sites with ``info``; ``revel`` is the
     raw score table; ``splice(contig, pos, alleles, SYMBOL, SpliceAI)``; ``noncoding`` are intervals
     with ``target``; ``gene_list(list_name, symbol)``; ``gene_lists(list_name, list_order, symbol)``.
-    ``unique`` names tables with one row for each variant.  ``merge`` asks for sort-merge joins whatever the sizes.
+    ``unique`` names tables with one row for each variant.  ``buckets`` gives the number of buckets of those that are
+    variant stores.  ``merge`` asks for sort-merge joins whatever the sizes.
     """
 
     mpc: DataFrame | None = None
@@ -61,6 +63,7 @@ class Resources:
     gene_lists: DataFrame | None = None
     noncoding: DataFrame | None = None
     unique: tuple[str, ...] = ()
+    buckets: dict[str, int] = field(default_factory=dict)
     merge: bool = False
 
 
@@ -108,13 +111,13 @@ def variant_lookups(res: Resources, build: str, clinvar_fields: list[str]) -> li
     """The given variant-keyed tables; the clinical one exists for one build only."""
     lookups = []
     if res.mpc is not None:
-        lookups.append(Lookup(res.mpc, {"MPC": "mpc"}, unique="mpc" in res.unique))
+        lookups.append(Lookup(res.mpc, {"MPC": "mpc"}, "mpc" in res.unique, res.buckets.get("mpc", 0)))
     if res.clinvar is not None and build == "GRCh38":
         lookups.append(clinvar_lookup(res.clinvar, clinvar_fields))
     if res.revel is not None:
         lookups.append(Lookup(score_table_key(res.revel, build), {"REVEL": "REVEL"}))
     if res.splice is not None:
-        lookups.append(splice_by_variant(res.splice))
+        lookups.append(replace(splice_by_variant(res.splice), buckets=res.buckets.get("splice", 0)))
     return lookups
 
 
@@ -155,7 +158,7 @@ def _annotated(
     wide rows are shuffled once in the whole run.
     """
     numbered = "row_id" in df.columns
-    lookups = variant_lookups(res, build, clinvar_fields)
+    lookups = with_matches(df, variant_lookups(res, build, clinvar_fields))
     if consequences is not None:
         found = lookups + [Lookup(consequences, {"_packed": "csq"})]
         df = lookup_variants(df, found, keep_hash=True, merge=res.merge)
@@ -232,15 +235,16 @@ def annotate_inheritance(
     return annotate_extra(sites, columns, res)
 
 
-def annotate_cadd(df: DataFrame, cadd: DataFrame, unique: bool = False) -> DataFrame:
-    """Both scores as top-level columns; ``unique`` promises one row for each variant."""
+def annotate_cadd(df: DataFrame, cadd: DataFrame, unique: bool = False, buckets: int = 0) -> DataFrame:
+    """Both scores as top-level columns; ``unique`` promises one row for each variant, ``buckets`` says it is a store."""
     values = {"CADD_raw_score": "raw_score", "CADD_PHRED_score": "PHRED_score"}
-    return lookup_left(df, cadd, VARIANT_KEY, values, unique=unique)
+    table = matched(df, cadd, buckets) if buckets else cadd
+    return lookup_left(df, table, VARIANT_KEY, values, unique=unique and not buckets)
 
 
-def annotate_cadd_vcf(sites: DataFrame, cadd: DataFrame, unique: bool = False) -> DataFrame:
+def annotate_cadd_vcf(sites: DataFrame, cadd: DataFrame, unique: bool = False, buckets: int = 0) -> DataFrame:
     """Split, then both scores as INFO fields."""
-    scored = annotate_cadd(split_multiallelic(sites), cadd, unique)
+    scored = annotate_cadd(split_multiallelic(sites), cadd, unique, buckets)
     return with_info(scored, ["CADD_raw_score", "CADD_PHRED_score"])
 
 

@@ -4,6 +4,7 @@ A path that is ``None``, empty or ``"NA"`` is not given.  Genotypes stay with th
 whole run, so they need no join at the end.  Every function returns the path it wrote.
 """
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,8 +14,8 @@ from lociweave.model import VARIANT_KEY, with_scan_row_id
 from lociweave.operators import headers as hd
 from lociweave.operators.genotypes import fix_haploid
 from lociweave.operators.intervals import filter_intervals, filter_overlapping, interval_regions
-from lociweave.operators.lookup import write_lookup
-from lociweave.operators.normalize import rename_contigs
+from lociweave.operators.lookup import one_row_per_key, write_lookup
+from lociweave.operators.normalize import rename_contigs, split_multiallelic
 from lociweave.operators.samples import (
     drop_first_cells,
     family_chunks,
@@ -25,6 +26,7 @@ from lociweave.operators.samples import (
     subset_cells,
 )
 from lociweave.operators.shards import chunk_files, chunk_rows, contig_counts, contig_shards, into_shards
+from lociweave.operators.stores import is_variant_store, open_variant_store, span_filter, write_variant_store
 from lociweave.operators.transcripts import splice_records
 from lociweave.operators.unions import concat_shards, natural_order, union_by_position, union_outer, union_rows
 from lociweave.plans import annotate as an
@@ -62,8 +64,11 @@ def load_resources(
     """Open the lookup tables of a run; keys are the fields of ``Resources``, ``unique`` names prepared tables."""
     paths = {k: v for k, v in paths.items() if given(v)}
     tables: dict = {}
+    buckets = {}
     for name in ("mpc", "splice", "loeuf_v2", "loeuf_v4"):
-        if name in paths:
+        if name in paths and is_variant_store(paths[name]):
+            tables[name], buckets[name] = open_variant_store(spark, paths[name])
+        elif name in paths:
             tables[name] = tb.read_store(spark, paths[name])
     for name in ("revel", "omim", "inheritance"):
         if name in paths:
@@ -77,17 +82,32 @@ def load_resources(
         tables["gene_list"] = (genes, paths["gene_list"].rstrip("/").split("/")[-1])
     if "gene_lists" in paths:
         tables["gene_lists"] = tb.read_gene_lists(spark, paths["gene_lists"])
-    return an.Resources(**tables, unique=unique)
+    return an.Resources(**tables, unique=unique, buckets=buckets)
+
 
+def prepare_scores(spark: SparkSession, table: str, values: list[str], out: str, buckets: int = 0) -> str:
+    """Store a variant-keyed table with one row for each variant, to be passed as ``unique``.
 
-def prepare_scores(spark: SparkSession, table: str, values: list[str], out: str) -> str:
-    """Store a variant-keyed table with one row for each variant, to be passed as ``unique``."""
-    return write_lookup(tb.read_store(spark, table), VARIANT_KEY, values, out)
+    With ``buckets`` it becomes a variant store, which ``load_resources`` knows by its files and no run moves.
+    """
+    rows = tb.read_store(spark, table)
+    if buckets:
+        return write_variant_store(one_row_per_key(rows, VARIANT_KEY, values), out, buckets)
+    return write_lookup(rows, VARIANT_KEY, values, out)
 
 
-def prepare_splice(spark: SparkSession, table: str, out: str) -> str:
+def prepare_splice(spark: SparkSession, table: str, out: str, buckets: int = 0) -> str:
     """Store the splice scores as one row for each variant, so that runs need not group them again."""
-    return write_store(splice_records(tb.read_store(spark, table)), out)
+    records = splice_records(tb.read_store(spark, table))
+    return write_variant_store(records, out, buckets) if buckets else write_store(records, out)
+
+
+def _near(resources: an.Resources, sites: DataFrame) -> an.Resources:
+    """Variant stores cut to the positions that the sites span; one pass over two columns if there is a store."""
+    if not resources.buckets:
+        return resources
+    span = span_filter(sites)
+    return replace(resources, **{name: getattr(resources, name).where(span) for name in resources.buckets})
 
 
 def _open(spark: SparkSession, path: str, build: str, edit: bool = False) -> Vcf:
@@ -142,7 +162,7 @@ def annotate_table(
 ) -> str:
     found = tb.read_store(spark, consequences) if given(consequences) else None
     rows = with_scan_row_id(tb.read_store(spark, table))
-    df, fields = an.annotate_table(rows, csq_columns, resources, found, build)
+    df, fields = an.annotate_table(rows, csq_columns, _near(resources, rows), found, build)
     df = df.drop("row_id").withColumn("vep_csq_header", F.lit(hd.csq_description(fields)))
     return write_store(df, out)
 
@@ -160,7 +180,7 @@ def annotate_extra(
     v = _open(spark, vcf, build)
     sites, wide = _narrow(v)
     fields = options.get("clinvar_fields", an.CLINVAR_FIELDS[:3])
-    df, columns = an.annotate_extra(sites, hd.csq_columns(v.headers), resources, build, **options)
+    df, columns = an.annotate_extra(sites, hd.csq_columns(v.headers), _near(resources, sites), build, **options)
     headers = _with_csq(v.headers, columns)
     if resources.revel is not None:
         headers = hd.upsert_info(headers, {"REVEL": ("String", REVEL_TEXT)})
@@ -212,8 +232,18 @@ def annotate_inheritance(
     return export_vcf(df, _with_csq(v.headers, columns), out, v.sample_names, build, wide=wide)
 
 
+def _scores_near(spark: SparkSession, path: str, sites: DataFrame) -> tuple[DataFrame, int]:
+    """A score table and its buckets; of a store the part that the sites span."""
+    if not is_variant_store(path):
+        return tb.read_store(spark, path), 0
+    store, buckets = open_variant_store(spark, path)
+    return store.where(span_filter(sites)), buckets
+
+
 def annotate_cadd_table(spark: SparkSession, table: str, cadd: str, out: str, unique: bool = False) -> str:
-    df = an.annotate_cadd(tb.read_store(spark, table), tb.read_store(spark, cadd), unique)
+    rows = tb.read_store(spark, table)
+    scores, buckets = _scores_near(spark, cadd, rows)
+    df = an.annotate_cadd(rows, scores, unique, buckets)
     return write_store(df, out, overwrite=True)
 
 
@@ -221,7 +251,8 @@ def annotate_cadd_vcf(
     spark: SparkSession, vcf: str, cadd: str, out: str, build: str = "GRCh38", unique: bool = False
 ) -> str:
     v = read_vcf(spark, vcf, build)
-    df = an.annotate_cadd_vcf(v.sites, tb.read_store(spark, cadd), unique)
+    scores, buckets = _scores_near(spark, cadd, split_multiallelic(v.sites))
+    df = an.annotate_cadd_vcf(v.sites, scores, unique, buckets)
     texts = {"CADD_raw_score": "raw_score", "CADD_PHRED_score": "PHRED_score"}
     headers = hd.upsert_info(
         v.headers, {k: ("Float", f"{field} field from the CADD table.") for k, field in texts.items()}

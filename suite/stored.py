@@ -5,8 +5,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lociweave.model import VARIANT_KEY
 from lociweave.operators import headers as hd
 from lociweave.operators import samples as sm
+from lociweave.operators.lookup import Lookup, lookup_variants, one_row_per_key
+from lociweave.operators.stores import open_variant_store, span_filter, with_matches, write_variant_store
 from lociweave.sinks.bgzf import concat_blocks, write_blocks
 from lociweave.sinks.vcf import export_vcf, record_lines
 from lociweave.session import ensure_checkpoint_dir
@@ -89,8 +92,19 @@ def edited_headers(x: Inputs) -> DataFrame:
     return bgzf_lines(x.spark, [out]).where("value like '##%' and value not like '##contig%'")
 
 
+def stored_lookups(x: Inputs) -> DataFrame:
+    """Two variant stores written, opened and looked up; neither is exchanged, and only the span of the sites is read."""
+    sites, lookups = x.variants(), []
+    for table, values in (("fx_score", {"MPC": "mpc"}), ("fx_cadd", {"raw": "raw_score", "phred": "phred_score"})):
+        rows = one_row_per_key(x.keyed(table), VARIANT_KEY, list(values.values()))
+        store, buckets = open_variant_store(x.spark, write_variant_store(rows, scratch(x.spark, table), 8))
+        lookups.append(Lookup(store.where(span_filter(sites)), values, buckets=buckets))
+    out = lookup_variants(sites, with_matches(sites, lookups))
+    return out.select("contig", "pos", q.joined(), "MPC", "raw", "phred")
+
+
 STORED: dict[str, Callable[[Inputs], DataFrame]] = {
-    f.__name__: f for f in [indexed_regions, contig_index_counts, joined_blocks, dropped_sample, subset_text, edited_headers]
+    f.__name__: f for f in [indexed_regions, contig_index_counts, joined_blocks, dropped_sample, subset_text, edited_headers, stored_lookups]
 }
 
 _SITES = """s as (select contig, pos, ref, coalesce(list_sort(list_distinct(list(alt) filter (alt is not null))), []) as alts
@@ -113,4 +127,8 @@ union all {_TOP.format(_COLUMNS + ", 'b')")}""",
     "edited_headers": """select unnest(['##fileformat=VCFv4.2', '##a=1', '##INFO=<ID=DB,Number=.,Type=Flag,Description="new">', '##b=2',
   '##INFO=<ID=ZZ,Number=.,Type=Integer,Description="more">']) as value""",
 }
+_STORED["stored_lookups"] = """with s as (select contig, pos, ref, alt, min(mpc) as mpc from fx_score group by all),
+c as (select contig, pos, ref, alt, min(struct_pack(a := raw_score, b := phred_score)) as v from fx_cadd group by all)
+select contig, pos, concat(ref, ',', alt) as alleles, mpc as MPC, v.a as raw, v.b as phred from fx_alts
+left join s using (contig, pos, ref, alt) left join c using (contig, pos, ref, alt)"""
 STORED_ORACLES = {name: with_inputs(sql) for name, sql in _STORED.items()}
