@@ -38,7 +38,7 @@ HIDDEN = 12
 WINDOW = 32
 TRAIN_LANES = 256
 LEAST_LANES = 32
-SCORE_LANES = 256
+SCORE_LANES = 2048
 ROUNDS = 1
 LEAST_UPDATES, MOST_PASSES = 150, 6
 LEARNING_RATE = 0.02
@@ -154,14 +154,35 @@ class Network:
     def members(self, k: int) -> slice:
         return slice(k * self.width, min((k + 1) * self.width, self.n))
 
-    def step(self, h: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state; with it what the way back needs."""
-        x, g = self.p["inputs"][symbols], h @ self.p["recurrent"]
-        gates = sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-        keep, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        own = g[:, 2 * HIDDEN :]
-        new = np.tanh(x[:, 2 * HIDDEN :] + reset * own)
-        return new + keep * (h - new), gates, own, new
+    def run(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray) -> "Window":
+        """The states of a window, from the state before it and its symbols by time and lane.
+
+        Nothing is allocated step by step, and the inputs' rows are fetched for the whole window at once.
+        """
+        steps, active = inputs.shape
+        window = Window.empty(steps, active)
+        given, recurrent = self.p["inputs"][inputs], self.p["recurrent"]
+        mixed, begins = np.empty((active, 3 * HIDDEN), np.float32), fresh.any(axis=1)
+        for i in range(steps):
+            before, gates, new, state = window.befores[i], window.gates[i], window.new[i], window.states[i]
+            before[:] = h
+            if begins[i]:
+                before[fresh[i]] = 0
+            np.dot(before, recurrent, out=mixed)
+            np.add(given[i, :, : 2 * HIDDEN], mixed[:, : 2 * HIDDEN], out=gates)
+            gates *= 0.5  # the logistic curve by way of tanh
+            np.tanh(gates, out=gates)
+            gates += 1
+            gates *= 0.5
+            window.own[i] = mixed[:, 2 * HIDDEN :]
+            np.multiply(gates[:, HIDDEN:], window.own[i], out=new)
+            new += given[i, :, 2 * HIDDEN :]
+            np.tanh(new, out=new)
+            np.subtract(before, new, out=state)
+            state *= gates[:, :HIDDEN]
+            state += new
+            h = state
+        return window
 
     def log_probability(self, states: np.ndarray, targets: np.ndarray, back: dict | None = None) -> np.ndarray:
         """Natural logarithm of each target's probability; with ``back`` also the gradients of their sum."""
@@ -188,6 +209,22 @@ class Network:
         return result
 
 
+@dataclass
+class Window:
+    """What the steps of a window leave behind, by time and lane."""
+
+    befores: np.ndarray
+    gates: np.ndarray  # how much of the state is kept, and how much of it the new one sees
+    own: np.ndarray
+    new: np.ndarray
+    states: np.ndarray
+
+    @classmethod
+    def empty(cls, steps: int, active: int) -> "Window":
+        widths = (HIDDEN, 2 * HIDDEN, HIDDEN, HIDDEN, HIDDEN)
+        return cls(*[np.empty((steps, active, w), np.float32) for w in widths])
+
+
 def chosen(logits: np.ndarray, places: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
     """Log probability of one place of each row and, if asked for, its gradient; works in ``logits`` itself."""
     rows = np.arange(len(logits))
@@ -269,13 +306,9 @@ def score_texts(net: Network, texts: list[np.ndarray]) -> np.ndarray:
     values = np.zeros(len(lanes.flat), np.float32)
     h = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
     for window, active in lanes.windows(64):
-        h = h[:active]
         at, real, targets, inputs, fresh = lanes.view(window, active)
-        states = np.empty((len(at), active, HIDDEN), np.float32)
-        for i in range(len(at)):
-            if fresh[i].any():
-                h = np.where(fresh[i][:, None], np.float32(0), h)
-            h = states[i] = net.step(h, inputs[i])[0]
+        states = net.run(h[:active], inputs, fresh).states
+        h = states[-1]
         values[at[real]] = net.log_probability(states[real], targets[real])
     result = np.zeros(len(texts))
     result[lanes.order] = np.add.reduceat(values, lanes.places, dtype=np.float64)
@@ -306,16 +339,11 @@ def train_texts(net: Network, texts: list[np.ndarray]) -> None:
 
 def window_gradient(net: Network, lanes: Lanes, window: slice, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradient of the window's mean log probability, cut off at its beginning, and the state at its end."""
-    active, steps = len(h), range(window.start, window.stop)
+    active = len(h)
     _, real, targets, inputs, fresh = lanes.view(window, active)
-    kept, states = [], np.empty((len(steps), active, HIDDEN), np.float32)
-    befores = np.empty_like(states)
-    begins = fresh.any(axis=1)
-    for i in range(len(steps)):
-        befores[i] = np.where(fresh[i][:, None], np.float32(0), h) if begins[i] else h
-        h, *parts = net.step(befores[i], inputs[i])
-        kept.append(parts)
-        states[i] = h
+    ran = net.run(h, inputs, fresh)
+    befores, gates, own, new, states = ran.befores, ran.gates, ran.own, ran.new, ran.states
+    steps, begins = len(states), fresh.any(axis=1)
     flat = np.zeros_like(net.flat)
     at, back = 0, {}
     for name, value in net.p.items():
@@ -325,16 +353,15 @@ def window_gradient(net: Network, lanes: Lanes, window: slice, h: np.ndarray) ->
     outer = np.zeros_like(states)
     outer[real] = back.pop("states")
     # what does not depend on the way back is worked out for the whole window at once
-    gates, own, new = (np.stack(parts) for parts in zip(*kept))
     keep, reset = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
     to_new = (1 - keep) * (1 - new * new)
     to_keep = (befores - new) * keep * (1 - keep)
     to_reset = own * reset * (1 - reset)
-    carried = np.zeros((active, HIDDEN), np.float32)
-    slopes = np.empty((len(steps), active, 3 * HIDDEN), np.float32)
+    carried, returned = np.zeros((active, HIDDEN), np.float32), np.empty((active, HIDDEN), np.float32)
+    slopes = np.empty((steps, active, 3 * HIDDEN), np.float32)
     through = np.empty_like(slopes)
     weights = net.p["recurrent"].T.copy()
-    for i in reversed(range(len(steps))):
+    for i in reversed(range(steps)):
         carried += outer[i]
         slope = slopes[i]
         on_new = slope[:, 2 * HIDDEN :]
@@ -343,16 +370,18 @@ def window_gradient(net: Network, lanes: Lanes, window: slice, h: np.ndarray) ->
         np.multiply(on_new, to_reset[i], out=slope[:, HIDDEN : 2 * HIDDEN])
         through[i] = slope
         through[i, :, 2 * HIDDEN :] *= reset[i]
-        carried = carried * keep[i]
-        carried += through[i] @ weights
+        carried *= keep[i]
+        np.dot(through[i], weights, out=returned)
+        carried += returned
         if begins[i]:
-            carried = np.where(fresh[i][:, None], np.float32(0), carried)
+            carried[fresh[i]] = 0
     back["recurrent"] += befores.reshape(-1, HIDDEN).T @ through.reshape(-1, 3 * HIDDEN)
     inputs = inputs.ravel()
     order = np.argsort(inputs, kind="stable")
     starts = np.flatnonzero(np.r_[True, np.diff(inputs[order]) > 0])
     back["inputs"][inputs[order][starts]] = np.add.reduceat(slopes.reshape(-1, 3 * HIDDEN)[order], starts)
-    return flat / max(int(real.sum()), 1), h
+    flat /= max(int(real.sum()), 1)
+    return flat, states[-1]
 
 
 def train(docs: DataFrame, lexicon: Lexicon) -> np.ndarray:
