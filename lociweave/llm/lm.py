@@ -1,9 +1,10 @@
 """Language-model scores of whole documents by a gated recurrent network in numpy.
 
 Word counts of all training documents give the base score.  Their ``SHORTLIST`` most frequent words (and the end of
-a text) are predicted by the network; all other words are one more class, within which a word has its share
-of the base distribution.  So every word, seen or not, has a probability, and they add up to one.  The output is
-factored: a softmax over classes, then one over the words of the class.
+a text) are predicted by the network one by one.  All other words fall into ``BANDS`` bands of equal mass by their
+frequency, the last of them for rare and unseen words; a band is predicted like a word, and within it a word has its
+share of the base distribution.  So every word, seen or not, has a probability, and they add up to one.  The output is
+factored: a softmax over classes and bands, then one over the words of a class.
 
 Training runs on Spark: every task trains a copy of the network on its documents by backpropagation through windows
 of ``WINDOW`` words, the state being carried from window to window, and the copies are averaged by the
@@ -27,18 +28,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lociweave.llm.common import cut_lineage, fold, slices, utf8
-from lociweave.llm.labelled import sigmoid
 
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"  # no word holds white space
 HEAD_WORDS = 200_000
 SHORTLIST = 1024
 CLASSES = 32
-HIDDEN = 12
+BANDS = 8
+HIDDEN = 16
 WINDOW = 32
 TRAIN_LANES = 256
 LEAST_LANES = 32
-SCORE_LANES = 2048
+SCORE_LANES = 512
 ROUNDS = 1
 LEAST_UPDATES, MOST_PASSES = 150, 6
 LEARNING_RATE = 0.02
@@ -89,12 +90,18 @@ class Lexicon:
     total: int
     types: int
     short: int
+    bands: np.ndarray  # places at which the bands of all other words begin
 
     @classmethod
     def of(cls, head: list[tuple[bytes, int]], total: int, types: int) -> "Lexicon":
         head = sorted(head, key=lambda x: x[0] != END)  # the end comes first
         counts = np.array([n for _, n in head], np.int64)
-        return cls({w: i for i, (w, _) in enumerate(head)}, counts, total, types, min(SHORTLIST, len(head)))
+        short = min(SHORTLIST, len(head))
+        bands = np.array([short])
+        if len(head) > short:
+            outside = total + types + 1 - (counts[:short] + 1).sum()
+            bands = short + np.searchsorted(np.cumsum(counts[short:] + 1), outside * np.arange(BANDS) / BANDS)
+        return cls({w: i for i, (w, _) in enumerate(head)}, counts, total, types, short, bands)
 
     @property
     def space(self) -> int:
@@ -104,35 +111,42 @@ class Lexicon:
         """log10 base probability of each frequent word."""
         return np.log10((self.counts + 1) / self.space)
 
-    def rest(self) -> float:
-        """Base probability of all words outside the shortlist, unseen ones included."""
-        return (self.space - float((self.counts[: self.short] + 1).sum())) / self.space
+    def rest(self) -> np.ndarray:
+        """Base probability of each band; the last holds all words that are not frequent, unseen ones included."""
+        sums = np.concatenate([[0], np.cumsum(self.counts + 1)])[[*self.bands, len(self.counts)]]
+        masses = np.diff(sums).astype(float)
+        masses[-1] += self.space - sums[-1]
+        return masses / self.space
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         """Places of the words, -1 for those that are not frequent."""
         return np.fromiter(map(self.place.get, words, repeat(-1)), np.int32, len(words))
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
-        """Places in the shortlist; all other words are the symbol after it."""
-        return np.where((codes < 0) | (codes >= self.short), np.int32(self.short), codes)
+        """Places in the shortlist; all other words are the symbol of their band, after it."""
+        bands = np.searchsorted(self.bands, codes, "right") - 1
+        bands[codes < 0] = len(self.bands) - 1
+        outside = (codes < 0) | (codes >= self.short)
+        return np.where(outside, self.short + bands, codes).astype(np.int32)
 
 
 # --- the network
 
 
 class Network:
-    """Parameters as named arrays; symbols are the shortlist, then one for every other word."""
+    """Parameters as named arrays; symbols are the shortlist, then the bands."""
 
     def __init__(self, lexicon: Lexicon, flat: np.ndarray | None = None):
         n = lexicon.short
-        self.n, self.symbols = n, n + 1
+        bands = len(lexicon.bands)
+        self.n, self.symbols = n, n + bands
         self.classes = min(CLASSES, max(n, 1))
         self.width = -(-n // self.classes) if n else 0  # words of a class
         shapes = {
             "inputs": (self.symbols + 1, 3 * HIDDEN),  # the last row stands for the beginning of a text
             "recurrent": (HIDDEN, 3 * HIDDEN),
-            "class_w": (HIDDEN, self.classes + 1),
-            "class_b": (self.classes + 1,),
+            "class_w": (HIDDEN, self.classes + bands),
+            "class_b": (self.classes + bands,),
             "word_w": (n, HIDDEN),
             "word_b": (n,),
         }
@@ -148,7 +162,7 @@ class Network:
             by_class = np.add.reduceat(masses, np.arange(0, n, self.width)) if n else np.zeros(0)
             filled = np.full(self.classes, 1e-12)
             filled[: len(by_class)] = by_class
-            self.p["class_b"][:] = np.log(np.r_[filled, max(lexicon.rest(), 1e-12)])
+            self.p["class_b"][:] = np.log(np.r_[filled, np.maximum(lexicon.rest(), 1e-12)])
             self.p["word_b"][:] = np.log(masses)
 
     def members(self, k: int) -> slice:
@@ -186,7 +200,7 @@ class Network:
 
     def log_probability(self, states: np.ndarray, targets: np.ndarray, back: dict | None = None) -> np.ndarray:
         """Natural logarithm of each target's probability; with ``back`` also the gradients of their sum."""
-        kind = np.where(targets < self.n, targets // max(self.width, 1), self.classes)
+        kind = np.where(targets < self.n, targets // max(self.width, 1), self.classes + targets - self.n)
         result, slope = chosen(states @ self.p["class_w"] + self.p["class_b"], kind, back is not None)
         if back is not None:
             back["class_w"] += states.T @ slope
@@ -439,7 +453,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, flat = shared.value
         net, base, task, row = Network(lex, flat), lex.base(), TaskContext.get().partitionId(), 0
-        rest = float(np.log10(max(lex.rest(), 1e-300)))
+        rest = np.log10(np.maximum(lex.rest(), 1e-300))
         for part in slices(batches, "text", TEXT_BYTES):
             texts, out = [], {name: [] for name in names}
             heads = []
@@ -449,8 +463,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 known, symbols = codes[codes >= 0], lex.symbols(codes)
                 rare = [words[i] for i in np.flatnonzero(codes < 0).tolist()]
                 texts.append(symbols)
-                # a word outside the shortlist has its share of what the network leaves to all of them
-                share = float(base[known[known >= lex.short]].sum()) - rest * int((symbols == lex.short).sum())
+                # a word outside the shortlist has its share of what the network gives to its band
+                in_bands = np.bincount(symbols[symbols >= lex.short] - lex.short, minlength=len(rest))
+                share = float(base[known[known >= lex.short]].sum()) - float(rest @ in_bands)
                 heads.append((len(codes), len(known), float(base[known].sum()), share, rare))
             network = score_texts(net, texts) / np.log(10)
             for i, (n, known, head_base, share, rare) in enumerate(heads):

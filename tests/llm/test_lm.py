@@ -38,10 +38,37 @@ def test_probabilities_add_up_to_one():
     net = lm.Network(lexicon)
     net.flat += np.random.default_rng(1).normal(0, 0.5, len(net.flat)).astype(np.float32)
     state = np.random.default_rng(2).normal(0, 1, (1, lm.HIDDEN)).astype(np.float32)
-    symbols = np.arange(lexicon.short + 1)
+    symbols = np.arange(lexicon.short + len(lexicon.bands))
     total = np.exp(net.log_probability(np.repeat(state, len(symbols), 0), symbols)).sum()
     assert total == pytest.approx(1, abs=1e-5)
-    assert lexicon.rest() + ((lexicon.counts[: lexicon.short] + 1) / lexicon.space).sum() == pytest.approx(1)
+    assert lexicon.rest().sum() + ((lexicon.counts[: lexicon.short] + 1) / lexicon.space).sum() == pytest.approx(1)
+
+
+def plain_step(net, h, symbol):
+    """The next state by the equations of the unit."""
+    x, g, k = net.p["inputs"][symbol], h @ net.p["recurrent"], lm.HIDDEN
+    keep, reset = (1 / (1 + np.exp(-(x[a : a + k] + g[:, a : a + k]))) for a in (0, k))
+    new = np.tanh(x[2 * k :] + reset * g[:, 2 * k :])
+    return (keep * h + (1 - keep) * new).astype(np.float32)
+
+
+def test_bands_share_the_words_outside_the_shortlist(monkeypatch):
+    monkeypatch.setattr(lm, "SHORTLIST", 5)
+    head = [(b"w%03d" % i, 400 // (i + 1) + 1) for i in range(200)] + [(lm.END, 900)]
+    total, types = sum(n for _, n in head) + 70, 260
+    lexicon = lm.Lexicon.of(head, total, types)
+    codes = lexicon.codes([w for w, _ in head] + [b"rare", b"unseen"])
+    symbols = lexicon.symbols(codes)
+    assert set(symbols) == set(range(5 + lm.BANDS)) and symbols[-1] == symbols[-2] == 4 + lm.BANDS
+    masses = lexicon.rest()
+    seen = {}
+    for code, symbol in zip(codes[:-2], symbols[:-2]):
+        seen[symbol] = seen.get(symbol, 0) + (lexicon.counts[code] + 1) / lexicon.space
+    for band in range(lm.BANDS - 1):
+        assert masses[band] == pytest.approx(seen[5 + band])
+    rest = 1 - sum(seen.values())
+    assert masses[-1] == pytest.approx(seen.get(4 + lm.BANDS, 0) + rest)
+    assert masses.max() < 2.5 * masses.min()
 
 
 def test_states_are_carried_through_whole_texts(monkeypatch):
@@ -54,7 +81,7 @@ def test_states_are_carried_through_whole_texts(monkeypatch):
         h, total = np.zeros((1, lm.HIDDEN), np.float32), 0.0
         before = net.symbols
         for symbol in text:
-            h = net.step(h, np.array([before]))[0]
+            h = plain_step(net, h, before)
             total += float(net.log_probability(h, np.array([symbol]))[0])
             before = symbol
         assert score == pytest.approx(total, rel=1e-4)
