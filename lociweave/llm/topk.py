@@ -13,9 +13,9 @@ equal queries are asked once.
 
 Defined results: null vectors and those with null or non-finite components take no part; vectors of different
 length are only compared with their like; ties go to the smaller id; of repeated rows of one id and vector one
-counts; fewer candidates than k are all returned; an empty table gives an empty result.  Rows without an id and
-vectors with a component of ``LARGEST`` or more, whose scores a long could not hold, take no part.  Other
-columns are left out.
+counts; fewer candidates than k are all returned; an empty table gives an empty result.  Rows without an id take no
+part, nor do vectors with a component of 2**54 or more in size, whose whole number a long could not hold.  A score that a
+long cannot hold is the long nearest to it.  Other columns are left out.
 """
 
 from collections.abc import Iterator
@@ -32,7 +32,7 @@ DEPTH = 16
 GROUP_ROWS = 4096
 SLICE_ROWS = 16384
 EXACT = 2**53
-LARGEST = 65536.0
+LARGEST = float(2**54)
 
 
 def integer_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -52,13 +52,20 @@ def smallest_ids(vectors: DataFrame, keep: int) -> DataFrame:
 
 
 def local_scores(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
-    """Scores of all queries and vectors in each list of dimensions."""
+    """Scores of all queries and vectors in each list of dimensions, exact whatever their size."""
     bounds = np.linspace(0, q.shape[1], LISTS + 1).astype(int)
     parts = [(q[:, a:b], x[:, a:b]) for a, b in zip(bounds, bounds[1:])]
     largest = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(q.shape[1], 1)
     if largest < EXACT:  # sums of whole numbers are exact in doubles
         return [np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64) for a, b in parts]
-    return [a @ b.T for a, b in parts]
+    if largest < 2**62:
+        return [a @ b.T for a, b in parts]
+    return [a.astype(object) @ b.astype(object).T for a, b in parts]
+
+
+def held(scores: np.ndarray) -> np.ndarray:
+    """As longs; the nearest one where a score is beyond them."""
+    return scores if scores.dtype == np.int64 else np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64)
 
 
 class Leaders:
@@ -147,14 +154,14 @@ def search_cells(rows: DataFrame, depth: int | None) -> DataFrame:
             lists = local_scores(q, x)
             if depth is not None:
                 _, leaders = block["leaders"].setdefault(size, (q_ids, [Leaders(len(q), depth) for _ in lists]))
-                full = sum(lists)
+                full = held(sum(lists))
                 for each, local in zip(leaders, lists):
-                    each.add(local, x_ids, full)
+                    each.add(held(local), x_ids, full)
                 continue
             tau = block["tau"][q_at]
             cutoff = -(-tau // LISTS)
-            rows, columns = np.nonzero(np.logical_or.reduce([local >= cutoff[:, None] for local in lists]))
-            score = sum(local[rows, columns] for local in lists)
+            rows, columns = np.nonzero(np.any([(local >= cutoff[:, None]).astype(bool) for local in lists], axis=0))
+            score = held(sum(local[rows, columns] for local in lists))
             reach = score >= tau[rows]
             yield table(q_ids[rows[reach]], x_ids[columns[reach]], score[reach])
 

@@ -21,18 +21,19 @@ def vectors():
     rows += [(400 + i, rows[0][1]) for i in range(60)] + [(500 + i, rows[7][1]) for i in range(30)]
     rows += [(1000, None), (1050, [None] * 8), (1100, [float("nan")] * 8), (1150, [float("inf")] + [0.0] * 7), (1151, [1e9] * 8)]
     rows += [(1200, [0.5] * 3), (1201, [0.25] * 3), (1250, []), (50, rows[50][1]), (None, rows[3][1]), (1300, [-0.001] * 8), (1350, [0.0] * 8)]
+    rows += [(1400, [1e12] * 8), (1401, [-3e15] + [70000.0] * 7), (1450, [2.0**50, -(2.0**50)] * 4), (1451, [1e30] * 8)]
     return rows
 
 
 def brute_top(rows, k=5):
     usable = {}
     for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(x) < 65536 for x in v):
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(x) < 2**54 for x in v):
             usable[i] = [math.floor(256 * x) for x in np.array(v, np.float32).astype(float)]
     out = set()
     for q, v in usable.items():
         if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable.items() if i != q and len(w) == len(v))
+            scored = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), i) for i, w in usable.items() if i != q and len(w) == len(v))
             out |= {(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)}
     return out
 
@@ -53,6 +54,9 @@ def test_top_k_of_few_rows(spark):
     got = sorted(map(tuple, topk.top_k(frame).collect()))
     assert got == [(0, 1, 1, 131072), (0, 2, 50, -65536), (50, 1, 0, -65536), (50, 2, 1, -131072)]
     assert topk.top_k(frame.limit(0)).collect() == []
+    wide = spark.createDataFrame([(0, [1.0, 0.0]), (50, [70000.0, 1.0]), (1, [2.0, 2.0])], "vec_id long, embedding array<float>")
+    got = {(r.query_id, r.vec_id): r.score for r in topk.top_k(wide).collect()}
+    assert got == {(0, 50): 256 * 256 * 70000, (0, 1): 131072, (50, 0): 256 * 256 * 70000, (50, 1): 256 * 256 * 140002}
 
 
 # --- shards
