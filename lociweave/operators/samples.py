@@ -6,11 +6,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lociweave.functions.genotypes import allele_calls, carries, diploid_cells, sample_cells, without_first_sample
-from lociweave.model import VARIANT_KEY, with_row_id
+from lociweave.model import VARIANT_KEY
 from lociweave.operators.genotypes import fix_haploid
-from lociweave.operators.lookup import lookup_left
+from lociweave.operators.lookup import HASH, Lookup, lookup_left, lookup_variants
 from lociweave.operators.normalize import entry_names
-from lociweave.operators.shards import number_rows
+from lociweave.operators.shards import COPY_SPREAD, copy_bucket, copy_offsets, number_rows, stable_rows
 
 # Genotype fields kept when sample files are merged.
 MERGE_FIELDS = ["GT", "AD", "DP", "GQ", "PL"]
@@ -107,33 +107,67 @@ def attach_genotypes(
 ) -> DataFrame:
     """Rows of the left whose variant has genotypes on the right, entries of both sides in order.
 
-    Row fields come from the left.  A variant repeated on the right counts once (the copy whose entries have the
-    smallest hash), so copies on both sides never form pairs; ``unique`` promises there are none.  Which copy
-    counts is found on narrow rows, so the entries are neither aggregated nor moved more than once.
+    Row fields come from the left.  Copies of a variant are numbered on both sides and meet by number; where one side has
+    fewer, its copies are used again from the first.  So every left row and every genotype record is there, a variant
+    has as many rows as the side with more copies, and copies never form all pairs.  ``unique`` promises that the right
+    has no copies.  Partners are found on narrow rows, so neither the row fields nor the entries are aggregated; a side
+    that was not numbered at its scan (``row_id``) is written once to the shared checkpoint folder.
     """
     if unique:
         right = genotyped.select(*VARIANT_KEY, "entries")
         joined = lookup_left(annotated, right, VARIANT_KEY, {"_right": "entries"}, unique=True)
         joined = joined.where(F.col("_right").isNotNull())
     else:
-        right = with_row_id(genotyped)
-        best = F.min(F.struct(F.xxhash64("entries").alias("h"), "row_id"))
-        chosen = right.where(F.col("entries").isNotNull()).groupBy(*VARIANT_KEY).agg(best["row_id"].alias("_place"))
-        found = lookup_left(annotated, chosen, VARIANT_KEY, {"_place": "_place"}, unique=True)
-        arrays = right.select(F.col("row_id").alias("_right_place"), F.col("entries").alias("_right"))
-        joined = found.join(arrays, F.col("_place") == F.col("_right_place")).drop("_place", "_right_place")
+        own = "row_id" in annotated.columns
+        left = stable_rows(annotated).withColumn("_left_id", F.col("row_id"))
+        kept = ["row_id"] if "row_id" in genotyped.columns else []
+        right = stable_rows(genotyped.select(*VARIANT_KEY, "entries", *kept).where("entries is not null"))
+        pairs = _copy_pairs(
+            left.select(*VARIANT_KEY, F.col("_left_id").alias("id"), F.xxhash64("_left_id").alias("tie")),
+            right.select(*VARIANT_KEY, F.col("row_id").alias("id"), F.xxhash64("entries", "row_id").alias("tie")),
+        )
+        arrays = right.select(F.col("row_id").alias("_right_id"), F.col("entries").alias("_right"))
+        joined = left.join(pairs, F.col("_left_id") == F.col("_pair_left")).drop("_left_id", "_pair_left")
+        joined = joined.join(arrays, F.col("_pair_right") == F.col("_right_id")).drop("_pair_right", "_right_id")
+        joined = joined if own else joined.drop("row_id")
     entries = F.col("_right")
     if "entries" in annotated.columns:
         entries = F.concat("entries", "_right")
     return joined.withColumn("entries", entries).drop("_right")
 
 
+def _copy_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``_pair_left``, ``_pair_right``: ids of rows of one variant, each side's copies used in turn until both are through.
+
+    Both sides are ``(*VARIANT_KEY, id, tie)``.  Rows are dealt by variant and bucket, then by variant and number, so the
+    copies of one variant never have to be in one task.
+    """
+
+    def turns(rows: DataFrame, others: DataFrame) -> DataFrame:
+        keys = [*VARIANT_KEY, "_bucket"]
+        dealt = rows.withColumn("_bucket", copy_bucket(F.col("tie")))
+        offsets = copy_offsets(dealt, VARIANT_KEY, "_bucket")
+        partners = others.groupBy(*VARIANT_KEY).agg(F.count("*").alias("partners"))
+        offsets = offsets.join(partners, VARIANT_KEY)
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("tie", "id"))
+        numbered = dealt.join(offsets, keys).withColumn("number", F.col("offset") + place - 1)
+        last = F.greatest("copies", "partners") - 1
+        return numbered.select(*VARIANT_KEY, "id", F.explode(F.sequence("number", last, F.col("copies"))).alias("turn"))
+
+    met = turns(left, right).withColumnRenamed("id", "_pair_left").join(
+        turns(right, left).withColumnRenamed("id", "_pair_right"), [*VARIANT_KEY, "turn"]
+    )
+    return met.select("_pair_left", "_pair_right")
+
+
 def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
     """Merge ``(sites, samples)`` files with different samples on the variant, full outer.
 
     The files are stacked in long form, one row for each record, and brought together by variant in one
     exchange.  Records that repeat a variant within a file are numbered (by content) and merge with the
-    records of the same number.  A merged record has one entry array for each file, missing entries for samples
+    records of the same number.  Copies are counted by bucket on narrow rows first, and a record learns from a
+    lookup by variant how many copies come before its bucket; so where adaptive execution splits a hot variant, its
+    copies are numbered bucket by bucket and grouped number by number, each group with one record of each file at most.  A merged record has one entry array for each file, missing entries for samples
     of files that lack it, all ids, the largest quality, all filters, and each INFO field of the first file that
     has it; ``AC`` and ``AN`` are added up, ``DP`` too.  A sample name seen before is prefixed by its file's number.
     """
@@ -165,10 +199,15 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
         )
 
     stacked = reduce(lambda a, b: a.unionByName(b), [long_rows(i, df) for i, (df, _) in enumerate(files)])
-    stacked = stacked.repartition(*VARIANT_KEY)
     content = F.xxhash64("rsid", "qual", "filters", F.to_json("_info") if info_types else F.lit(0), "_entries")
-    repeats = Window.partitionBy(*VARIANT_KEY, "_file").orderBy(content)
-    grouped = stacked.withColumn("_repeat", F.row_number().over(repeats)).groupBy(*VARIANT_KEY, "_repeat")
+    stacked = stacked.withColumn("_tie", content)
+    stacked = stacked.withColumn("_bucket", copy_bucket(F.col("_tie")))
+    offsets = Lookup(_repeat_offsets(stacked), {"_places": "places", "_offsets": "offsets"})
+    stacked = lookup_variants(stacked, [offsets], keep_hash=True)
+    keys = [HASH, *VARIANT_KEY] if HASH in stacked.columns else VARIANT_KEY
+    in_bucket = F.row_number().over(Window.partitionBy(*keys, "_file", "_bucket").orderBy("_tie"))
+    before = F.get("_offsets", F.array_position("_places", _bucket_place()) - 1)
+    grouped = stacked.withColumn("_repeat", F.coalesce(before, F.lit(0)) + in_bucket).groupBy(*keys, "_repeat")
 
     def in_order(value: Column) -> Column:
         """Values of the files that have one, in file order: at most one for each file."""
@@ -201,7 +240,7 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
             for i, size in enumerate(sizes)
         ]
     )
-    merged = merged.withColumn("entries", entries).drop("_by_file", "_repeat")
+    merged = merged.withColumn("entries", entries).drop("_by_file", "_repeat", HASH)
 
     offsets = [sum(sizes[:i]) for i in range(len(sizes))]
     listed = reduce(
@@ -218,6 +257,23 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
     return merged, listed.join(first, "s").select("idx", label.alias("s"))
 
 
+def _repeat_offsets(stacked: DataFrame) -> DataFrame:
+    """For variants that a file repeats: the copies in the buckets before (``offsets``) by file and bucket (``places``).
+
+    There is an entry for each bucket of copies of each file, so the arrays are bounded whatever the number of copies.
+    """
+    keys = [*VARIANT_KEY, "_file"]
+    offsets = copy_offsets(stacked.select(*keys, "_bucket"), keys, "_bucket").where("copies > 1 and offset > 0")
+    entries = F.collect_list(F.struct(_bucket_place().alias("at"), "offset"))
+    return offsets.groupBy(*VARIANT_KEY).agg(entries.alias("_e")).select(
+        *VARIANT_KEY, F.col("_e.at").alias("places"), F.col("_e.offset").alias("offsets")
+    )
+
+
+def _bucket_place() -> Column:
+    return F.col("_file") * COPY_SPREAD + F.col("_bucket")
+
+
 def _field_types(structs: list) -> dict[str, str]:
     """Types of all fields by name; the first struct that has a field decides."""
     types: dict[str, str] = {}

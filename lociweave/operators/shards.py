@@ -104,6 +104,35 @@ def number_genome(df: DataFrame, build: str = "GRCh38") -> DataFrame:
     return numbered.select(*df.columns, "row_number", "contig_row")
 
 
+def stable_rows(df: DataFrame) -> DataFrame:
+    """Rows numbered so that two uses of them agree.
+
+    Numbers given at a scan (``row_id``) do.  Other rows are numbered and written once to the shared checkpoint folder:
+    adaptive execution may deal the two uses of a shuffle out differently.
+    """
+    if "row_id" in df.columns:
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.withColumn("row_id", F.monotonically_increasing_id()).checkpoint()
+
+
+def copy_offsets(rows: DataFrame, keys: list[str], bucket: str) -> DataFrame:
+    """For each key and bucket of its copies the number of copies in the buckets before (``offset``) and in all (``copies``).
+
+    Rows are counted before they move.  The window holds one row for each bucket of one key, so at most as many as
+    there are buckets, however many copies a key has.
+    """
+    counts = rows.groupBy(*keys, bucket).agg(F.count("*").alias("_n"))
+    of_key = Window.partitionBy(*keys)
+    before = of_key.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*keys, bucket, _running("_n", before).alias("offset"), F.sum("_n").over(of_key).alias("copies"))
+
+
+def copy_bucket(tie: Column) -> Column:
+    """One of ``COPY_SPREAD`` buckets, in the order of the tie (a hash)."""
+    return F.shiftright(tie, 64 - COPY_SPREAD.bit_length() + 1).cast("int")
+
+
 def _running(column: str, window: Window) -> Column:
     return F.coalesce(F.sum(column).over(window), F.lit(0))
 

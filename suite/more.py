@@ -239,6 +239,19 @@ def merge_repeats(x: Inputs) -> DataFrame:
     )
 
 
+def attach_repeats(x: Inputs) -> DataFrame:
+    """Copies on both sides meet by number: every row of the left and every record of the right is there."""
+    joined = sm.attach_genotypes(repeated_records(x, False).drop("entries"), repeated_records(x, True))
+    depth = F.get("entries", F.lit(0))["DP"]
+    return joined.groupBy("contig", "pos").agg(
+        F.count("*").alias("records"),
+        F.min(depth).alias("least"),
+        F.max(depth).alias("most"),
+        F.count_distinct(depth).alias("depths"),
+        F.count_distinct("qual").alias("quals"),
+    )
+
+
 # --- sort-merge twins
 
 
@@ -266,6 +279,6 @@ MORE: dict[str, Callable[[Inputs], DataFrame]] = {
     for f in [
         vcf_lines, untouched_lines, valid_loci, bed_intervals, header_edits, header_csq, release_dates, natural_names,
         concat_places, genome_shards, file_chunks, one_contig, other_build, union_by_place, split_depths, text_qualities,
-        merge_repeats, interval_annotate_merge, lookup_many_merge, annotate_extra_dev_merge,
+        merge_repeats, attach_repeats, interval_annotate_merge, lookup_many_merge, annotate_extra_dev_merge,
     ]
 }

@@ -63,6 +63,11 @@ select 'chr1' as contig, pos, greatest(coalesce(a.n, 0), coalesce(b.n, 0)) as re
   cast(coalesce(a.ac, 0) + coalesce(b.ac, 0) as bigint) as ac, cast(coalesce(a.dp, 0) + coalesce(b.dp, 0) as bigint) as dp,
   cast(greatest(coalesce(a.qual, 0), coalesce(b.qual, 0)) as double) as qual, cast(coalesce(a.n, 0) as bigint) as from_a,
   cast(coalesce(a.n, 0) + coalesce(b.n, 0) as bigint) as ids from a full join b using (pos)""",
+    "attach_repeats": """with a as (select cast(o_orderkey % 500 as int) as pos, count(*) as n, count(distinct o_orderkey % 50) as quals
+  from orders group by 1), b as (select cast(o_custkey % 700 as int) as pos, count(*) as n, min(o_custkey % 40) as least,
+  max(o_custkey % 40) as most, count(distinct o_custkey % 40) as depths from orders group by 1)
+select 'chr1' as contig, pos, greatest(a.n, b.n) as records, cast(least as int) as least, cast(most as int) as most, depths, quals
+from a join b using (pos)""",
     "interval_annotate_merge": _ORACLES["interval_annotate"],
     "lookup_many_merge": _ORACLES["lookup_many"],
     "annotate_extra_dev_merge": _ORACLES["annotate_extra_dev"],

@@ -40,7 +40,41 @@ def test_merge_moves_rows_once(spark):
     a = spark.createDataFrame([site(1, "x", 3.0, [], 1, 4, "a", 10)], SITES)
     one = spark.createDataFrame([(0, "s")], "idx int, s string")
     merged, _ = merge_samples([(a, one), (a, one)])
-    assert plan(merged).count("Exchange hashpartitioning") == 1
+    lines = plan(merged).splitlines()
+    below = [lines[i + 1] for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    # the rows with their entries are stacked right below one exchange, the others carry keys and counts
+    assert sum("Union" in x for x in below) == 1 and not any("_entries" in x for x in below if "Union" not in x)
+
+
+def test_merge_splits_a_hot_variant(spark):
+    """A third of all records repeat one variant in one file; they are numbered and merged in several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [site(1 if i % 3 == 0 else i, f"r{i}", 1.0, [], 1, 1, "a", i % 90) for i in range(9000)]
+        a = spark.createDataFrame(rows, SITES).repartition(6)
+        b = spark.createDataFrame([site(1, "b", 2.0, [], 1, 1, "b", 7)] * 5, SITES)
+        names = [spark.createDataFrame([(0, s)], "idx int, s string") for s in "xy"]
+        merged, _ = merge_samples([(a, names[0]), (b, names[1])])
+        got = merged.collect()
+        text = plan(merged)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in text
+    hot = [r for r in got if r.pos == 1]
+    assert len(got) == 9000 and len(hot) == 3000 + sum(i == 1 for i in range(9000) if i % 3)
+    assert sorted(r.entries[0].DP for r in hot) == sorted(i % 90 for i in range(9000) if i % 3 == 0 or i == 1)
+    assert sum(r.entries[1] is not None and r.entries[1].DP == 7 for r in got) == 5
 
 
 @pytest.fixture()
@@ -96,12 +130,27 @@ def test_splice_records_are_grouped_once(spark):
     assert splice_by_variant(records).unique and splice_by_variant(records).table is records
 
 
-def test_attached_genotypes_count_a_repeated_variant_once(spark):
+LEFT = "contig string, pos int, alleles array<string>, n string"
+
+
+def test_attached_genotypes_keep_every_copy_of_both_sides(spark):
     right = spark.createDataFrame([site(1, "x", 1.0, [], 1, 1, "r", d) for d in (5, 6, 6)] + [site(2, "x", 1.0, [], 1, 1, "r", 9)], SITES)
-    left = spark.createDataFrame([("chr1", p, ["A", "C"], n) for p, n in ((1, "a"), (1, "b"), (3, "c"), (2, "d"))], "contig string, pos int, alleles array<string>, n string")
+    left = spark.createDataFrame([("chr1", p, ["A", "C"], n) for p, n in ((1, "a"), (1, "b"), (3, "c"), (2, "d"), (2, "e"), (2, "f"))], LEFT)
     got = sorted((r.n, r.entries[0].DP) for r in attach_genotypes(left, right.repartition(3)).collect())
-    assert [n for n, _ in got] == ["a", "b", "d"] and got[0][1] == got[1][1] in (5, 6) and got[2][1] == 9
+    assert got[-3:] == [("d", 9), ("e", 9), ("f", 9)]
+    assert sorted(d for _, d in got[:3]) == [5, 6, 6] and {n for n, _ in got[:3]} == {"a", "b"} and len(got) == 6
     both = attach_genotypes(attach_genotypes(left, right), right.where("pos = 2"), unique=True).collect()
-    assert [(r.n, [e.DP for e in r.entries]) for r in both] == [("d", [9, 9])]
+    assert sorted((r.n, [e.DP for e in r.entries]) for r in both) == [(n, [9, 9]) for n in "def"]
     text = plan(attach_genotypes(left, right))
     assert not any("Aggregate" in x and "entries" in x and "xxhash64" not in x for x in text.splitlines())
+
+
+def test_attached_genotypes_of_a_hot_variant(spark):
+    right = spark.createDataFrame([site(1, "x", 1.0, [], 1, 1, "r", d % 50) for d in range(700)] + [site(2, "x", 1.0, [], 1, 1, "r", 3)], SITES)
+    left = spark.createDataFrame([("chr1", 1 if i < 500 else 2, ["A", "C"], str(i)) for i in range(600)], LEFT)
+    got = attach_genotypes(left, right.repartition(5)).collect()
+    assert len(got) == 800 and {r.n for r in got} == {str(i) for i in range(600)}
+    hot = [r.entries[0].DP for r in got if r.pos == 1]
+    assert sorted(hot) == sorted(d % 50 for d in range(700))
+    again = spark.createDataFrame([("chr1", 1, ["A", "C"], str(i)) for i in range(1500)], LEFT)
+    assert attach_genotypes(again, right).count() == 1500 and attach_genotypes(again, right.where("pos > 5")).count() == 0
