@@ -1,6 +1,6 @@
 """Genotype and cohort-count operators; all but the field choice are row-local."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.genotypes import allele_calls, allele_counts, diploid
 from lociweave.model import info_names
@@ -49,34 +49,42 @@ def recount_cohort(df: DataFrame) -> DataFrame:
     return counted.withColumn("info", info).drop("AC", "AN", "AF")
 
 
+ALLELE_MARK = "AS_"
+
+
 def allele_specific_pairs(df: DataFrame) -> list[tuple[str, str]]:
-    """Pairs ``(AS_x, x)`` of INFO fields that are both present."""
-    names = info_names(df)
-    pairs = [(n, n.split("_")[1]) for n in names if "AS_" in n]
-    return [(a, plain) for a, plain in pairs if plain in names]
+    """INFO fields that hold values by allele, with the plain field that each stands in for.
+
+    A field says so by the mark ``AS_`` in its name; the plain one is called like the second word of that name.
+    """
+    present = info_names(df)
+    words = {name: name.split("_") for name in present if ALLELE_MARK in name}
+    return [(name, parts[1]) for name, parts in words.items() if parts[1] in present]
 
 
 def prefer_allele_specific(df: DataFrame, coalesce: bool = False) -> DataFrame:
     """Replace INFO ``x`` by this allele's element of ``AS_x`` where ``AS_x`` is missing less often.
 
-    All missing counts come from one aggregate, which returns a single row.  The whole column is
-    replaced; ``coalesce`` keeps the old value where the new one is missing.
+    The whole column is replaced; ``coalesce`` keeps the old value where the new one is missing.  Nothing runs while the
+    plan is made: all missing counts come from one aggregate of a single row, a scalar subquery that reads the fields it
+    counts and no genotypes.
     """
     pairs = allele_specific_pairs(df)
     if not pairs:
         return df
-    fields = sorted({name for pair in pairs for name in pair})
-    missing = df.agg(
-        *[F.count_if(F.col("info")[name].isNull()).alias(name) for name in fields]
-    ).first()
+
+    def missing(name: str) -> Column:
+        return F.count_if(F.col("info")[name].isNull())
+
+    choices = df.agg(F.struct(*[(missing(a) < missing(x)).alias(x) for a, x in pairs]).alias("choices")).scalar()
+    df = df.withColumn("_choices", choices)
     info = F.col("info")
     for specific, plain in pairs:
-        if missing[specific] < missing[plain]:
-            value = F.get(F.col("info")[specific], F.col("a_index") - 1)
-            if coalesce:
-                value = F.coalesce(value, F.col("info")[plain])
-            info = info.withField(plain, value)
-    return df.withColumn("info", info)
+        value = F.get(F.col("info")[specific], F.col("a_index") - 1)
+        if coalesce:
+            value = F.coalesce(value, F.col("info")[plain])
+        info = info.withField(plain, F.when(F.col("_choices")[plain], value).otherwise(F.col("info")[plain]))
+    return df.withColumn("info", info).drop("_choices")
 
 
 def split_keep_sum(df: DataFrame, per_alt: tuple[str, ...] = ("AC", "AF")) -> DataFrame:

@@ -91,3 +91,18 @@ def file_date(lines: DataFrame):
     return lines.where("value like '##fileDate=%'").select(
         F.date_format(day.try_cast("date"), "yyyyMMdd").alias("release")
     )
+
+
+# --- the header of a table: metadata of its columns, which Parquet keeps; no row holds it
+
+
+def with_table_header(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """Attach a text to columns of a table, beside what they have already."""
+    for name, text in texts.items():
+        df = df.withMetadata(name, {**df.schema[name].metadata, "header": text})
+    return df
+
+
+def table_header(df: DataFrame) -> dict[str, str]:
+    """The texts of all columns that have one; read from the schema, no job is run."""
+    return {f.name: f.metadata["header"] for f in df.schema.fields if "header" in f.metadata}

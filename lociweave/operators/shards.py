@@ -182,6 +182,16 @@ def into_ranges(df: DataFrame, per_shard: int, build: str = "GRCh38") -> DataFra
     return df.repartitionByRange(n, *genome_order(build))
 
 
+def dealt_by_shard(df: DataFrame, shard: str = "shard", contig: str | None = None, build: str = "GRCh38") -> DataFrame:
+    """Rows in tasks by the number of their shard: neighbouring shards go to different tasks, and none is left without
+    while another has two, as hashes would have it.  With a contig its rank moves the beginning."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = F.col(shard).cast("long")
+    if contig is not None:
+        number = number + contig_rank(contig, build) * F.lit(7)
+    return df.withColumn("_task", F.pmod(number, F.lit(n)).cast("int")).repartitionById(n, "_task").drop("_task")
+
+
 def contig_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("contig").agg(F.count("*").alias("n"))
 

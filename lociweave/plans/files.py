@@ -24,14 +24,15 @@ from lociweave.operators.samples import (
     sample_chunk_pairs,
     strip_format,
     subset_cells,
+    subset_samples,
 )
-from lociweave.operators.shards import chunk_files, chunk_rows, contig_counts, contig_shards, into_shards
+from lociweave.operators.shards import chunk_files, chunk_rows, contig_counts, contig_shards, dealt_by_shard, into_shards
 from lociweave.operators.stores import is_variant_store, open_variant_store, span_filter, write_variant_store
 from lociweave.operators.transcripts import splice_records
 from lociweave.operators.unions import concat_shards, natural_order, union_by_position, union_outer, union_rows
 from lociweave.plans import annotate as an
 from lociweave.sinks.bgzf import concat_blocks
-from lociweave.sinks.tables import write_lists, write_store, write_tsv, write_tsv_chunks
+from lociweave.sinks.tables import SAMPLES_A_BLOCK, write_lists, write_matrix, write_store, write_tsv, write_tsv_chunks
 from lociweave.sinks.vcf import calls_text, export_vcf, export_vcf_shards, is_indexed_name
 from lociweave.sources import tables as tb
 from lociweave.sources.tabix import has_index, indexed_counts
@@ -163,7 +164,7 @@ def annotate_table(
     found = tb.read_store(spark, consequences) if given(consequences) else None
     rows = with_scan_row_id(tb.read_store(spark, table))
     df, fields = an.annotate_table(rows, csq_columns, _near(resources, rows), found, build)
-    df = df.drop("row_id").withColumn("vep_csq_header", F.lit(hd.csq_description(fields)))
+    df = hd.with_table_header(df.drop("row_id"), {"csq": hd.csq_description(fields)})
     return write_store(df, out)
 
 
@@ -303,7 +304,8 @@ def scatter_store(spark: SparkSession, sites: str, out: str, records_per_shard:
     df = tb.read_store(spark, sites)
     sharded = contig_shards(df, records_per_shard) if by_contig else into_shards(df, records_per_shard)
     parts = ["contig", "shard"] if by_contig else ["shard"]
-    sharded.repartition(*parts).write.mode("overwrite").partitionBy(*parts).parquet(out)
+    dealt = dealt_by_shard(sharded, contig="contig" if by_contig else None)
+    dealt.write.mode("overwrite").partitionBy(*parts).parquet(out)
     return out
 
 
@@ -356,6 +358,20 @@ def subset_sample_file(
     return export_vcf(df, v.headers, out, names_of(kept), build, sort=False)
 
 
+def store_matrix(spark: SparkSession, vcf: str, out: str, per_block: int = SAMPLES_A_BLOCK, build: str = "GRCh38") -> str:
+    """A VCF with its genotypes as a matrix store in blocks of samples."""
+    v = read_vcf(spark, vcf, build, genotypes=True)
+    return write_matrix(v.sites.drop("raw"), v.samples, out, per_block)
+
+
+def subset_matrix(spark: SparkSession, matrix: str, samples: str, out: str, any_alt: bool = False) -> str:
+    """The rows of a matrix store in which a listed sample carries the alternate; reads the blocks of those samples only."""
+    wanted = tb.read_sample_list(spark, samples)
+    df, names = tb.read_matrix(spark, matrix, wanted)
+    kept, names = subset_samples(df, names, wanted, any_alt)
+    return write_matrix(kept, names, out)
+
+
 def subset_intervals_store(spark: SparkSession, sites: str, bed: str, out: str) -> str:
     df = filter_intervals(tb.read_store(spark, sites), tb.read_intervals(spark, bed))
     return write_store(df, out)

@@ -11,6 +11,26 @@ def write_store(df: DataFrame, path: str, overwrite: bool = False) -> str:
     return path
 
 
+SAMPLES_A_BLOCK = 500
+ROWS, SAMPLES, BLOCK = "rows", "samples", "entries_{:06d}"
+
+
+def write_matrix(df: DataFrame, samples: DataFrame, path: str, per_block: int = SAMPLES_A_BLOCK) -> str:
+    """Sites with ``entries`` as ``path/rows``, a column for each block of samples, and ``path/samples(idx, s, block, place)``.
+
+    A reader that wants some samples reads the columns of their blocks and no others.
+    """
+    if per_block <= 0:
+        raise ValueError("per_block must be positive")
+    n = samples.count()  # the sample list is a header's, not the data's
+    starts = range(0, n, per_block)
+    blocks = [F.slice("entries", i + 1, per_block).alias(BLOCK.format(k)) for k, i in enumerate(starts)]
+    df.select(*[F.col(f"`{c}`") for c in df.columns if c != "entries"], *blocks).write.mode("overwrite").parquet(f"{path}/{ROWS}")
+    block, place = F.expr(f"cast(idx div {per_block} as int)"), F.expr(f"cast(idx % {per_block} as int)")
+    samples.select("idx", "s", block.alias("block"), place.alias("place")).coalesce(1).write.mode("overwrite").parquet(f"{path}/{SAMPLES}")
+    return path
+
+
 def write_tsv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").csv(path, sep="\t", header=True)
     return path

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lociweave.functions.genotypes import call_text
 from lociweave.model import CONTIG_LENGTHS, genome_order
 from lociweave.operators.headers import with_lines
-from lociweave.operators.shards import contig_shards, into_shards
+from lociweave.operators.shards import contig_shards, dealt_by_shard, into_shards
 from lociweave.sinks.bgzf import write_blocks
 from lociweave.sources.vcf import info_pairs
 
@@ -356,8 +356,7 @@ def export_vcf_shards(
     head = head.select(*parts, "h.*")
     # a shard is bounded by per_shard rows, so it fits one sorted task
     ordered = (
-        head.unionByName(records)
-        .repartition(*parts)
+        dealt_by_shard(head.unionByName(records), contig="contig" if by_contig else None, build=build)
         .sortWithinPartitions(*parts, *names, F.xxhash64("value"))
     )
     ordered.select(*parts, "value").write.mode("overwrite").partitionBy(*parts).text(

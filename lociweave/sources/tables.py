@@ -1,10 +1,12 @@
 """Delimited tables, intervals, gene lists, sample lists and pedigrees."""
 
+import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lociweave.model import CONTIG_LENGTHS
+from lociweave.sinks.tables import BLOCK, ROWS, SAMPLES
 
 PEDIGREE_COLUMNS = ["family_id", "sample_id", "paternal_id", "maternal_id", "sex", "phenotype"]
 
@@ -33,6 +35,39 @@ def read_tsv_shards(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     return [_quoted_tsv(spark, p, '"') for p in paths]
 
 
+def read_matrix(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Sites and ``samples(idx, s)`` of a matrix store; with ``wanted`` (``s``) only these samples, in the store's order.
+
+    Only the columns of the blocks that hold a wanted sample are read.
+    """
+    samples = spark.read.parquet(f"{path}/{SAMPLES}")
+    if wanted is not None:
+        samples = samples.join(wanted.select("s").distinct(), "s", "left_semi")
+    places: dict[int, list[int]] = {}
+    names = []
+    for row in samples.orderBy("idx").collect():
+        places.setdefault(row["block"], []).append(row["place"])
+        names.append((len(names), row["s"]))
+    rows = spark.read.parquet(f"{path}/{ROWS}")
+    blocks = [c for c in rows.columns if c.startswith(BLOCK[:8])]
+    picked = []
+    for block, at in sorted(places.items()):
+        column = BLOCK.format(block)
+        if at == list(range(len(at))):
+            picked.append(F.slice(column, 1, len(at)))
+        else:
+            picked.append(_picked(column, at))
+    kind = rows.schema[blocks[0]].dataType.simpleString() if blocks else "array<string>"
+    entries = F.concat(*picked) if picked else F.array().cast(kind)
+    return rows.withColumn("entries", entries).drop(*blocks), spark.createDataFrame(names, "idx int, s string")
+
+
+def _picked(column: str, places: list[int]) -> Column:
+    # one literal however many samples there are
+    index = F.from_json(F.lit(json.dumps(places)), "array<int>")
+    return F.transform(index, lambda i: F.get(F.col(column), i))
+
+
 def _headerless(spark: SparkSession, path: str | list[str], n_columns: int) -> DataFrame:
     schema = ", ".join(f"c{i} string" for i in range(n_columns))
     return spark.read.csv(path, sep="\t", header=False, schema=schema, quote="")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociweave.model import VARIANT_KEY
+from lociweave.operators.headers import table_header
 from lociweave.plans import files
 from lociweave.sinks.vcf import export_vcf
 from lociweave.sources import tables as tb
@@ -339,7 +340,7 @@ def test_stores_and_lists(spark, vcf, tmp_path):
     got = {r["pos"]: r for r in table.collect()}
     assert got[5]["MPC"] == 1.5 and got[5]["CLNSIG"] == ["Pathogenic"] and got[3]["csq"] is None
     assert [(t["Feature"], t["LOEUF_v2"], t["inheritance_code"]) for t in got[5]["csq"]] == [("T1", "0.3", "AD")]
-    assert got[5]["vep_csq_header"].endswith("|inheritance_code|genCC_classification")
+    assert table_header(table)["csq"].endswith("|inheritance_code|genCC_classification")
     text = tb.read_tsv(spark, files.merge_tables_to_tsv(spark, [split, store], str(tmp_path / "tsv")))
     assert text.count() == 8 and "info" in text.columns
     shards = Path(files.scatter_store(spark, store, str(tmp_path / "sh"), 3))
