@@ -11,14 +11,17 @@ from lociweave.operators import samples as sm
 from lociweave.operators.lookup import Lookup, lookup_variants, one_row_per_key
 from lociweave.operators.stores import open_variant_store, span_filter, with_matches, write_variant_store
 from lociweave.sinks.bgzf import concat_blocks, write_blocks
+from lociweave.sinks.tables import write_matrix
 from lociweave.sinks.vcf import export_vcf, record_lines
 from lociweave.session import ensure_checkpoint_dir
 from lociweave.sources.bgzf import bgzf_lines
+from lociweave.sources.tables import read_matrix
 from lociweave.sources.tabix import indexed_counts
 from lociweave.sources.vcf import headers_table, parse_sites, read_vcf
 from suite import queries as q
 from suite.inputs import Inputs, with_inputs
 from suite.more import TEXT_HEADERS, text_sites
+from suite.oracles import CELLS
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -103,8 +106,15 @@ def stored_lookups(x: Inputs) -> DataFrame:
     return out.select("contig", "pos", q.joined(), "MPC", "raw", "phred")
 
 
+def matrix_blocks(x: Inputs) -> DataFrame:
+    """Two samples of a matrix store that has three to a block."""
+    path = write_matrix(x.matrix(), x.matrix_samples(), scratch(x.spark, "matrix"), 3)
+    df, _ = read_matrix(x.spark, path, x.matrix_samples().where("s in ('s2', 's5')"))
+    return q.long_entries(df).select("contig", "pos", "alleles", "smp", F.col("e.DP").alias("dp"))
+
+
 STORED: dict[str, Callable[[Inputs], DataFrame]] = {
-    f.__name__: f for f in [indexed_regions, contig_index_counts, joined_blocks, dropped_sample, subset_text, edited_headers, stored_lookups]
+    f.__name__: f for f in [indexed_regions, contig_index_counts, joined_blocks, dropped_sample, subset_text, edited_headers, stored_lookups, matrix_blocks]
 }
 
 _SITES = """s as (select contig, pos, ref, coalesce(list_sort(list_distinct(list(alt) filter (alt is not null))), []) as alts
@@ -131,4 +141,8 @@ _STORED["stored_lookups"] = """with s as (select contig, pos, ref, alt, min(mpc)
 c as (select contig, pos, ref, alt, min(struct_pack(a := raw_score, b := phred_score)) as v from fx_cadd group by all)
 select contig, pos, concat(ref, ',', alt) as alleles, mpc as MPC, v.a as raw, v.b as phred from fx_alts
 left join s using (contig, pos, ref, alt) left join c using (contig, pos, ref, alt)"""
+_STORED["matrix_blocks"] = f"""with {CELLS}, places as (select distinct contig, pos, alleles from cells),
+grid as (select contig, pos, alleles, unnest([1, 2]) as smp from places),
+own as (select contig, pos, alleles, case smp when 2 then 1 else 2 end as smp, cast(sk % 60 as int) as dp from cells where smp in (2, 5))
+select contig, pos, alleles, cast(smp as int) as smp, dp from grid left join own using (contig, pos, alleles, smp)"""
 STORED_ORACLES = {name: with_inputs(sql) for name, sql in _STORED.items()}
