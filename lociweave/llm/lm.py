@@ -45,6 +45,7 @@ LEAST_UPDATES, MOST_PASSES = 150, 6
 LEARNING_RATE = 0.02
 SLICE = 4096
 TEXT_BYTES = 32 << 20
+CODE_BYTES, SYMBOL_BYTES = 4 << 20, 10 << 20  # as many words in a slice of symbols as in TEXT_BYTES of text
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -398,10 +399,56 @@ def window_gradient(net: Network, lanes: Lanes, window: slice, h: np.ndarray) ->
     return flat, states[-1]
 
 
-def train(docs: DataFrame, lexicon: Lexicon) -> np.ndarray:
-    """Parameters after ``ROUNDS`` rounds of training in every task and averaging."""
-    spark = docs.sparkSession
-    training = docs.where(fold("doc_id", FOLDS) != HELD_OUT).select(utf8("text").alias("text"))
+def coded(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Every text split and coded once: its ``symbols`` (two bytes each), its words that are not frequent (``rare``, each
+    once, with its ``times``), and what the frequent ones add to its scores.
+
+    ``task`` and ``row`` name a text; the rows have to be written before they are used twice.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex = shared.value
+        base, rest = lex.base(), np.log10(np.maximum(lex.rest(), 1e-300))
+        task, row = TaskContext.get().partitionId(), 0
+        for part in slices(batches, "text", CODE_BYTES):
+            out = {name: [] for name in ("n_tokens", "n_known", "head_base", "share", "symbols", "rare", "times")}
+            for data in part["text"].to_pylist():
+                words = words_of(data)
+                codes = lex.codes(words)
+                known, symbols = codes[codes >= 0], lex.symbols(codes)
+                in_bands = np.bincount(symbols[symbols >= lex.short] - lex.short, minlength=len(rest))
+                out["n_tokens"].append(len(codes))
+                out["n_known"].append(len(known))
+                out["head_base"].append(float(base[known].sum()))
+                # a word outside the shortlist has its share of what the network gives to its band
+                out["share"].append(float(base[known[known >= lex.short]].sum()) - float(rest @ in_bands))
+                out["symbols"].append(symbols.astype(np.uint16).tobytes())
+                rare = Counter([words[i] for i in np.flatnonzero(codes < 0).tolist()])
+                out["rare"].append(list(rare))
+                out["times"].append(list(rare.values()))
+            n = part.num_rows
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+            columns = [part["id"], part["training"], pa.array([task] * n, pa.int32()), pa.array(range(row, row + n), pa.int64())]
+            columns += [pa.array(values, kind) for values, kind in zip(out.values(), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "training", "task", "row", *out])
+            row += n
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, training boolean, task int, row long, n_tokens long, n_known long, head_base double, share double"
+    training = (fold("doc_id", FOLDS) != HELD_OUT).alias("training")
+    rows = docs.select(F.col("doc_id").alias("id"), training, utf8("text").alias("text"))
+    return rows.mapInArrow(work, f"{schema}, symbols binary, rare array<binary>, times array<int>")
+
+
+def symbols_of(part: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint16).astype(np.int32) for x in part["symbols"].to_pylist()]
+
+
+def train(texts: DataFrame, lexicon: Lexicon) -> np.ndarray:
+    """Parameters after ``ROUNDS`` rounds of training in every task and averaging; ``texts`` are coded."""
+    spark = texts.sparkSession
+    training = texts.where("training").select("symbols")
     flat = Network(lexicon).flat
     if not lexicon.short:
         return flat
@@ -410,9 +457,9 @@ def train(docs: DataFrame, lexicon: Lexicon) -> np.ndarray:
         shared = spark.sparkContext.broadcast(flat)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            net, lex, words = Network(shared_lexicon.value, shared.value.copy()), shared_lexicon.value, 0
-            for part in slices(batches, "text", TEXT_BYTES):
-                texts = [lex.symbols(lex.codes(words_of(data))) for data in part["text"].to_pylist()]
+            net, words = Network(shared_lexicon.value, shared.value.copy()), 0
+            for part in slices(batches, "symbols", SYMBOL_BYTES):
+                texts = symbols_of(part)
                 train_texts(net, texts)
                 words += sum(map(len, texts))
             if words:
@@ -447,64 +494,38 @@ def score_documents(docs: DataFrame) -> DataFrame:
     counts = cut_lineage(word_counts(docs))
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("types")).first()
     lexicon = Lexicon.of(frequent_words(counts), sums["total"], sums["types"])
-    flat = train(docs, lexicon)
+    texts = cut_lineage(coded(docs, lexicon))
+    flat = train(texts, lexicon)
     shared = spark.sparkContext.broadcast((lexicon, flat))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, flat = shared.value
-        net, base, task, row = Network(lex, flat), lex.base(), TaskContext.get().partitionId(), 0
-        rest = np.log10(np.maximum(lex.rest(), 1e-300))
-        for part in slices(batches, "text", TEXT_BYTES):
-            texts, out = [], {name: [] for name in names}
-            heads = []
-            for data in part["text"].to_pylist():
-                words = words_of(data)
-                codes = lex.codes(words)
-                known, symbols = codes[codes >= 0], lex.symbols(codes)
-                rare = [words[i] for i in np.flatnonzero(codes < 0).tolist()]
-                texts.append(symbols)
-                # a word outside the shortlist has its share of what the network gives to its band
-                in_bands = np.bincount(symbols[symbols >= lex.short] - lex.short, minlength=len(rest))
-                share = float(base[known[known >= lex.short]].sum()) - float(rest @ in_bands)
-                heads.append((len(codes), len(known), float(base[known].sum()), share, rare))
-            network = score_texts(net, texts) / np.log(10)
-            for i, (n, known, head_base, share, rare) in enumerate(heads):
-                entries = Counter(rare) or {b" %d %d" % (task, row): 0}  # white space: no word
-                more = len(entries) - 1  # the text's own figures go with its first entry
-                out["i"] += [i] * (more + 1)
-                out["row"] += [row] * (more + 1)
-                out["word"] += entries.keys()
-                out["times"] += entries.values()
-                out["n_tokens"] += [n] + [0] * more
-                out["n_known"] += [known] + [0] * more
-                out["base_score"] += [head_base] + [0.0] * more
-                out["score"] += [float(network[i]) + share] + [0.0] * more
-                row += 1
-            ids = part["id"].take(pa.array(out.pop("i"), pa.int32()))
-            columns = [ids, pa.array([task] * len(ids), pa.int32())] + [pa.array(out[c], types[c]) for c in names[1:]]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "task", *names[1:]])
-
-    names = ["i", "row", "word", "times", "n_tokens", "n_known", "base_score", "score"]
-    types = dict(zip(names[1:], [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, task int, row long, word binary, times long, n_tokens long, n_known long, base_score double, score double"
-    rows = docs.select(F.col("doc_id").alias("id"), utf8("text").alias("text")).mapInArrow(work, schema)
-    joined = rows.join(counts, "word", "left")
-    rare = F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(lexicon.space)))
-    grouped = joined.groupBy("task", "row", "doc_id").agg(
-        F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("n_known") + F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0))).alias("n_known"),
-        (F.sum("base_score") + F.sum(rare)).alias("base_score"),
-        (F.sum("score") + F.sum(rare)).alias("score"),
+        net = Network(*shared.value)
+        for part in slices(batches, "symbols", SYMBOL_BYTES):
+            network = score_texts(net, symbols_of(part)) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*[part[c] for c in kept], pa.array(network)], [*kept, "network"])
+
+    kept = ["doc_id", "task", "row", "n_tokens", "n_known", "head_base", "share"]
+    schema = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in kept) + ", network double"
+    scored = texts.select(*kept, "symbols").mapInArrow(work, schema)
+    # a text's words that are not frequent get their counts by a join, each word once a text
+    words = texts.select("task", "row", F.explode(F.arrays_zip("rare", "times")).alias("e"))
+    words = words.select("task", "row", F.col("e.rare").alias("word"), F.col("e.times").cast("long").alias("times"))
+    found = words.join(counts, "word", "left")
+    logs = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(lexicon.space)))
+    rare = found.groupBy(F.col("task").alias("_task"), F.col("row").alias("_row")).agg(
+        F.sum(F.col("times") * logs).alias("rare"),
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum("times").alias("n_rare"),
     )
-    return grouped.select(
+    joined = scored.join(rare, (F.col("task") == F.col("_task")) & (F.col("row") == F.col("_row")), "left")
+    none = F.lit(0).cast("long")
+    return joined.select(
         "doc_id",
         (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"),
         "n_tokens",
-        "n_known",
+        (F.col("n_known") + F.coalesce("rare_known", none)).alias("n_known"),
         F.lit(lexicon.total).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
-        "n_rare",
+        (F.col("head_base") + F.coalesce("rare", F.lit(0.0))).alias("base_score"),
+        (F.col("network") + F.col("share") + F.coalesce("rare", F.lit(0.0))).alias("score"),
+        F.coalesce("n_rare", none).alias("n_rare"),
     )
