@@ -141,8 +141,8 @@ _STORED["stored_lookups"] = """with s as (select contig, pos, ref, alt, min(mpc)
 c as (select contig, pos, ref, alt, min(struct_pack(a := raw_score, b := phred_score)) as v from fx_cadd group by all)
 select contig, pos, concat(ref, ',', alt) as alleles, mpc as MPC, v.a as raw, v.b as phred from fx_alts
 left join s using (contig, pos, ref, alt) left join c using (contig, pos, ref, alt)"""
-_STORED["matrix_blocks"] = f"""with {CELLS}, places as (select distinct contig, pos, alleles from cells),
-grid as (select contig, pos, alleles, unnest([1, 2]) as smp from places),
+_STORED["matrix_blocks"] = f"""with {CELLS}, every as (select distinct contig, pos, alleles from cells),
+pairs as (select contig, pos, alleles, unnest([1, 2]) as smp from every),
 own as (select contig, pos, alleles, case smp when 2 then 1 else 2 end as smp, cast(sk % 60 as int) as dp from cells where smp in (2, 5))
-select contig, pos, alleles, cast(smp as int) as smp, dp from grid left join own using (contig, pos, alleles, smp)"""
+select contig, pos, alleles, cast(smp as int) as smp, dp from pairs left join own using (contig, pos, alleles, smp)"""
 STORED_ORACLES = {name: with_inputs(sql) for name, sql in _STORED.items()}
