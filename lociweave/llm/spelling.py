@@ -29,7 +29,7 @@ from lociweave.llm.common import cut_lineage, slices, utf8
 LETTERS = re.compile("[a-zÀ-ÿ]+")
 DELETE_EVERY = 199
 LEAST_LENGTH, LEAST_COUNT, RATIO = 6, 5, 5
-SYMBOLS = 12
+SYMBOLS = 8
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 INVERSE = pow(BASE, -1, 1 << 64)
 FLUSH_WORDS = 200_000
