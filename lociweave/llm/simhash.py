@@ -139,12 +139,12 @@ def connected(links: DataFrame, max_rounds: int = 60) -> DataFrame:
             return edges.select(F.col("v").alias("node"), F.col("u").alias("root"))
         both = edges.select("v", "u").unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         lowest = both.groupBy("v").agg(F.least("v", F.min("u")).alias("m"))
-        large = both.where("u > v").join(lowest, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+        large = to_groups(both.where("u > v"), lowest, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         handed = F.array(
             F.struct(F.col("v").alias("v"), F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u"))
         )
-        small = large.join(least, "v").select(F.explode(handed).alias("e")).select("e.v", "e.u")
+        small = to_groups(large, least, "v").select(F.explode(handed).alias("e")).select("e.v", "e.u")
         edges = cut_lineage(small.where("u < v").distinct())
     raise RuntimeError(f"components are not settled after {max_rounds} rounds")
 
@@ -161,8 +161,24 @@ def near_duplicates(
     rows = cut_lineage(fingerprints(docs, id_col, text_col, words))
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min(id_col).alias("smallest")))
     placed = with_roots(nodes, max_bits, long_list)
-    heads = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    return rows.join(placed.join(heads, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+    heads = with_head(placed, "smallest", "component_id").select("fp", "component_id")
+    return rows.join(heads, "fp").select(id_col, "fp", "component_id")
+
+
+def with_head(placed: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds the smallest ``value`` of each component, by its ``root``, to every row as ``name``."""
+    return to_groups(placed, placed.groupBy("root").agg(F.min(value).alias(name)), "root")
+
+
+def to_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Rows with the columns of their group.
+
+    Groups come out of their aggregate dealt by the key, and Spark can split a large one's rows only where both sides of
+    a join come straight from an exchange; joining on a hash of the key as well asks for that.
+    """
+    named = groups.withColumnRenamed(key, "group_key").withColumn("group_hash", F.xxhash64("group_key"))
+    same = (F.xxhash64(key) == F.col("group_hash")) & (F.col(key) == F.col("group_key"))
+    return rows.join(named, same).drop("group_key", "group_hash")
 
 
 def with_roots(nodes: DataFrame, max_bits: int, long_list: int) -> DataFrame:
@@ -185,8 +201,7 @@ def keep_one_of_each(
     rows = cut_lineage(fingerprints(keyed, "row", "text", words))
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min("row").alias("first")))
     placed = with_roots(nodes, max_bits, long_list)
-    heads = placed.groupBy("root").agg(F.min("first").alias("head"))
-    members = placed.join(heads, "root").select("fp", "head")
+    members = with_head(placed, "first", "head").select("fp", "head")
     gone = rows.join(members, "fp").where("row.at <> head.at").select(F.col("row.at").alias("gone_at"))
     gone = small_side(cut_lineage(gone))
     return placed_docs.join(gone, F.col(place) == F.col("gone_at"), "left_anti").drop(place)

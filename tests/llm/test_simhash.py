@@ -69,6 +69,36 @@ def test_fingerprints_and_components(make_docs, no_docs, rows):
     assert simhash.fingerprint_table(no_docs).collect() == []
 
 
+def test_a_very_long_text():
+    rnd = random.Random(5)
+    text = " ".join(f"w{rnd.randrange(5000)}" for _ in range(70_000))
+    assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+def test_a_large_component_is_split(spark):
+    """Half of all rows in one component: the join to its head is dealt out over several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(40_000).selectExpr("id as fp", "if(id % 2 = 0, 0L, id) as root", "id + 5 as smallest").repartition(7)
+        placed = simhash.with_head(rows, "smallest", "head")
+        got = placed.collect()
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert len(got) == 40_000 and all(r["head"] == (5 if r.fp % 2 == 0 else r.fp + 5) for r in got)
+
+
 def test_crowds_link_the_same(spark, make_docs, rows):
     usual = simhash.near_duplicates(make_docs(rows))
     crowds = simhash.near_duplicates(make_docs(rows), long_list=1)
