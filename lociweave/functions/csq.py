@@ -72,6 +72,14 @@ def has_any_term(terms: Column, wanted: list[str]) -> Column:
     return F.coalesce(F.arrays_overlap(terms, F.array(*[F.lit(w) for w in wanted])), F.lit(False))
 
 
+def may_have_term(packed: Column, wanted: list[str]) -> Column:
+    """False only if a packed transcript names none of the terms anywhere; a look at the text, before it is parsed."""
+    found = F.lit(False)
+    for term in wanted:
+        found = found | F.contains(packed, F.lit(term))
+    return F.coalesce(found, F.lit(False))
+
+
 def splice_tokens(raw: Column) -> Column:
     """Cells of ``name=ALLELE|SYMBOL|...``."""
     return F.split(F.get(F.split(raw, "="), F.lit(1)), r"\|")

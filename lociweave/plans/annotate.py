@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lociweave.functions.csq import SPLICE_TERMS, pack_csq, parse_csq
+from lociweave.functions.csq import SPLICE_TERMS, may_have_term, pack_csq, parse_csq
 from lociweave.model import VARIANT_KEY, with_info, with_row_id
 from lociweave.operators.genotypes import (
     cohort_counts,
@@ -158,7 +158,12 @@ def _annotated(
     wide rows are shuffled once in the whole run.
     """
     numbered = "row_id" in df.columns
-    lookups = with_matches(df, variant_lookups(res, build, clinvar_fields))
+    lookups = variant_lookups(res, build, clinvar_fields)
+    if gate and packed is not None:
+        # a splice store is asked for variants only that may pass the gate
+        passing = df.where(F.exists(packed, lambda t: may_have_term(t, gate)))
+        lookups = [with_matches(passing, [x])[0] if "_splice" in x.values else x for x in lookups]
+    lookups = with_matches(df, lookups)
     if consequences is not None:
         found = lookups + [Lookup(consequences, {"_packed": "csq"})]
         df = lookup_variants(df, found, keep_hash=True, merge=res.merge)

@@ -26,7 +26,7 @@ from lociweave.operators.samples import (
     subset_cells,
     subset_samples,
 )
-from lociweave.operators.shards import chunk_files, chunk_rows, contig_counts, contig_shards, dealt_by_shard, into_shards
+from lociweave.operators.shards import chunk_files, contig_counts, contig_shards, dealt_by_shard, into_shards, number_scan
 from lociweave.operators.stores import is_variant_store, open_variant_store, span_filter, write_variant_store
 from lociweave.operators.transcripts import splice_records
 from lociweave.operators.unions import concat_shards, natural_order, union_by_position, union_outer, union_rows
@@ -440,8 +440,11 @@ def merge_tsvs(spark: SparkSession, paths: list[str], out: str, by_position: boo
 
 
 def chunk_tsv(spark: SparkSession, path: str, out: str, rows_per_chunk: int) -> str:
-    table = tb.read_tsv(spark, path).withColumn("_line", F.monotonically_increasing_id())
-    return write_tsv_chunks(chunk_rows(table, rows_per_chunk, [F.col("_line")]).drop("_line"), out)
+    if rows_per_chunk <= 0:
+        raise ValueError("rows_per_chunk must be positive")
+    numbered = number_scan(tb.read_tsv(spark, path))
+    chunk = F.expr(f"cast((row_number - 1) div {rows_per_chunk} as int)")
+    return write_tsv_chunks(numbered.withColumn("chunk", chunk), out, "row_number")
 
 
 def chunk_file_list(spark: SparkSession, path: str, out: str, files_per_chunk: int) -> str:

@@ -4,6 +4,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from lociweave.operators.shards import dealt_by_shard
+
 
 def write_store(df: DataFrame, path: str, overwrite: bool = False) -> str:
     """Sites or tables as Parquet; without ``overwrite`` an existing path is an error."""
@@ -31,16 +33,19 @@ def write_matrix(df: DataFrame, samples: DataFrame, path: str, per_block: int =
     return path
 
 
+# cells as they are: a quote is a character like any other, and an empty text is an empty cell
+TSV = {"sep": "\t", "header": True, "quote": "", "escape": "", "emptyValue": ""}
+
+
 def write_tsv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").csv(path, sep="\t", header=True)
+    df.write.mode("overwrite").csv(path, **TSV)
     return path
 
 
-def write_tsv_chunks(chunked: DataFrame, path: str) -> str:
-    """``path/chunk=N/`` tables, each with the header; needs the ``chunk`` column."""
-    chunked.repartition("chunk").write.mode("overwrite").partitionBy("chunk").csv(
-        path, sep="\t", header=True
-    )
+def write_tsv_chunks(chunked: DataFrame, path: str, order: str) -> str:
+    """``path/chunk=N/`` tables, each with the header and its rows in order; needs the columns ``chunk`` and ``order``."""
+    dealt = dealt_by_shard(chunked, "chunk").sortWithinPartitions("chunk", order).drop(order)
+    dealt.write.mode("overwrite").partitionBy("chunk").csv(path, **TSV)
     return path
 
 

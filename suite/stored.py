@@ -11,16 +11,18 @@ from lociweave.operators import samples as sm
 from lociweave.operators.lookup import Lookup, lookup_variants, one_row_per_key
 from lociweave.operators.stores import open_variant_store, span_filter, with_matches, write_variant_store
 from lociweave.sinks.bgzf import concat_blocks, write_blocks
-from lociweave.sinks.tables import write_matrix
-from lociweave.sinks.vcf import export_vcf, record_lines
+from lociweave.plans.files import chunk_tsv
+from lociweave.sinks.tables import write_lists, write_matrix, write_store, write_tsv
+from lociweave.sinks.vcf import export_vcf, export_vcf_shards, record_lines
 from lociweave.session import ensure_checkpoint_dir
 from lociweave.sources.bgzf import bgzf_lines
-from lociweave.sources.tables import read_matrix
+from lociweave.sources.tables import read_gene_lists, read_matrix, read_pedigree, read_store, read_tsv
 from lociweave.sources.tabix import indexed_counts
 from lociweave.sources.vcf import headers_table, parse_sites, read_vcf
 from suite import queries as q
 from suite.inputs import Inputs, with_inputs
 from suite.more import TEXT_HEADERS, text_sites
+from suite.more_oracles import MORE_ORACLES
 from suite.oracles import CELLS
 
 
@@ -113,9 +115,64 @@ def matrix_blocks(x: Inputs) -> DataFrame:
     return q.long_entries(df).select("contig", "pos", "alleles", "smp", F.col("e.DP").alias("dp"))
 
 
+# --- stores, tables and lists
+
+
+def store_round_trip(x: Inputs) -> DataFrame:
+    back = read_store(x.spark, write_store(x.variants(), scratch(x.spark, "sites")))
+    return back.select("contig", "pos", q.joined(), "pk", "sk")
+
+
+def tsv_round_trip(x: Inputs) -> DataFrame:
+    """A table with missing values and quotes as tab-separated text and back; a missing value is NA or empty."""
+    rows = x.table("part").select(
+        F.col("p_partkey").alias("key"), F.when(F.col("p_size") % 3 == 0, "NA").otherwise(F.concat(F.lit('a "'), "p_name")).alias("name")
+    )
+    return read_tsv(x.spark, write_tsv(rows, scratch(x.spark, "part.tsv")))
+
+
+def tsv_chunks(x: Inputs) -> DataFrame:
+    """A table cut into chunks of consecutive rows: the chunk of each row, and its place there."""
+    rows = x.table("orders").select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("customer")).orderBy("key")
+    path = write_tsv(rows, scratch(x.spark, "orders.tsv"))
+    out = chunk_tsv(x.spark, path, scratch(x.spark, "chunks"), 700)
+    back = x.spark.read.csv(out, sep="\t", header=True, schema="key long, customer long, chunk int")
+    return back.select("key", "customer", "chunk")
+
+
+def vcf_shards(x: Inputs) -> DataFrame:
+    """All lines of a sharded export, each shard with its header."""
+    out = export_vcf_shards(text_sites(x), headers_table(x.spark, TEXT_HEADERS), scratch(x.spark, "shards"), 4000)
+    return x.spark.read.text(out).select("value", F.col("shard").cast("int").alias("shard"))
+
+
+def listed_genes(x: Inputs) -> DataFrame:
+    """Gene lists written one to a file, and read through their index."""
+    lists = x.view("fx_gene_lists")
+    out = write_lists(lists, scratch(x.spark, "lists"), "list_name", "symbol")
+    names = lists.select("list_name", "list_order").distinct().orderBy("list_order").collect()
+    index = x.spark.createDataFrame([(f"{r['list_name']}\t{out}/list_name={r['list_name']}",) for r in names], "value string")
+    path = scratch(x.spark, "index.tsv")
+    index.coalesce(1).write.text(path)
+    return read_gene_lists(x.spark, path)
+
+
+def read_families(x: Inputs) -> DataFrame:
+    """A pedigree read from text, its rows numbered in file order, and the families in chunks."""
+    rows = x.view("fx_ped").orderBy("row_idx").select(
+        "family_id", "sample_id", F.lit("0").alias("father"), F.lit("0").alias("mother"), F.lit("1").alias("sex"), F.lit("2").alias("phenotype")
+    )
+    pedigree = read_pedigree(x.spark, write_tsv(rows.coalesce(1), scratch(x.spark, "x.ped")))
+    return sm.family_chunks(pedigree, 13)
+
+
 STORED: dict[str, Callable[[Inputs], DataFrame]] = {
-    f.__name__: f for f in [indexed_regions, contig_index_counts, joined_blocks, dropped_sample, subset_text, edited_headers, stored_lookups, matrix_blocks]
-}
+    f.__name__: f
+    for f in [
+        indexed_regions, contig_index_counts, joined_blocks, dropped_sample, subset_text, edited_headers, stored_lookups,
+        matrix_blocks, store_round_trip, tsv_round_trip, tsv_chunks, vcf_shards, listed_genes, read_families,
+    ]
+}
 
 _SITES = """s as (select contig, pos, ref, coalesce(list_sort(list_distinct(list(alt) filter (alt is not null))), []) as alts
   from fx_obs group by contig, pos, ref)"""
@@ -145,4 +202,18 @@ _STORED["matrix_blocks"] = f"""with {CELLS}, every as (select distinct contig, p
 pairs as (select contig, pos, alleles, unnest([1, 2]) as smp from every),
 own as (select contig, pos, alleles, case smp when 2 then 1 else 2 end as smp, cast(sk % 60 as int) as dp from cells where smp in (2, 5))
 select contig, pos, alleles, cast(smp as int) as smp, dp from pairs left join own using (contig, pos, alleles, smp)"""
-STORED_ORACLES = {name: with_inputs(sql) for name, sql in _STORED.items()}
+_STORED |= {
+    "store_round_trip": "select contig, pos, concat(ref, ',', alt) as alleles, pk, sk from fx_alts",
+    "tsv_round_trip": """select cast(p_partkey as varchar) as key, case when p_size % 3 <> 0 then concat('a "', p_name) end as name from part""",
+    "tsv_chunks": """select o_orderkey as key, o_custkey as customer,
+  cast((row_number() over (order by o_orderkey) - 1) // 700 as int) as chunk from orders""",
+    "vcf_shards": f"""with lines as ({MORE_ORACLES['vcf_lines']}), head as (select value from lines where line <= 6),
+records as (select value, cast((line - 7) // 4000 as int) as shard from lines where line > 6)
+select * from records union all select value, shard from head, (select distinct shard from records)""",
+    "listed_genes": """select list_name, cast(rank - 1 as int) as list_order, symbol
+from (select *, dense_rank() over (order by list_order) as rank from fx_gene_lists) q""",
+    "read_families": """with f as (select family_id, min(row_idx) as first from fx_ped group by family_id),
+n as (select family_id, cast((row_number() over (order by first) - 1) // 13 as int) as chunk from f)
+select chunk, family_id, sample_id from fx_ped join n using (family_id)""",
+}
+STORED_ORACLES = {name: sql if name == "vcf_shards" else with_inputs(sql) for name, sql in _STORED.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lociweave.operators import genotypes as gt
 from lociweave.operators import headers as hd
-from lociweave.operators.shards import dealt_by_shard, into_shards
+from lociweave.operators.shards import dealt_by_shard, into_shards, number_scan
 from lociweave.plans import files
 from lociweave.sinks.tables import write_matrix
 from lociweave.sources import tables as tb
@@ -106,6 +106,35 @@ def test_shards_fill_tasks_one_by_one(spark):
     assert len(held) == 10 and {r.n for r in held} == {1}
 
 
+def test_a_scan_is_numbered_in_place(spark, tmp_path):
+    for i in range(4):
+        (tmp_path / f"part-{i}.txt").write_text("".join(f"{i}-{k}\n" for k in range(5 * i)))
+    lines = spark.read.text(str(tmp_path)).repartition(1).sortWithinPartitions("value")
+    lines.write.mode("overwrite").option("maxRecordsPerFile", 4).text(f"{tmp_path}/out")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20")
+    try:
+        df, n = jobs_run(spark, lambda: number_scan(spark.read.text(f"{tmp_path}/out")))
+        got = {r.row_number: r.value for r in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert n == 0 and sorted(got) == list(range(1, 31)) and len(set(got.values())) == 30
+    final = plan.split("== Initial Plan ==")[0]
+    assert not any("Exchange" in x and "value" in y for x, y in zip(final.splitlines(), final.splitlines()[1:]))
+    assert "rangepartitioning" not in plan
+
+
+def test_chunks_keep_their_rows_in_order(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("k\tv\n" + "".join(f'{i}\t"x {i}\n' for i in range(103)))
+    out = Path(files.chunk_tsv(spark, str(tmp_path / "t.tsv"), f"{tmp_path}/c", 10))
+    texts = {p.parent.name: p.read_text() for p in out.glob("chunk=*/*.csv")}
+    assert texts == {
+        f"chunk={c}": "k\tv\n" + "".join(f'{i}\t"x {i}\n' for i in range(10 * c, min(10 * c + 10, 103))) for c in range(11)
+    }
+    with pytest.raises(ValueError, match="positive"):
+        files.chunk_tsv(spark, str(tmp_path / "t.tsv"), f"{tmp_path}/d", 0)
+
+
 def jobs_run(spark, action):
     spark.sparkContext.setJobGroup("counted", "counted")
     try:

@@ -135,4 +135,9 @@ def test_runs_take_stores(spark, scores, tmp_path):
     assert res.buckets == {"mpc": 4, "splice": 4}
     want = records_of(files.annotate_extra(spark, str(tmp_path / "in.vcf"), plain, f"{tmp_path}/a.vcf.bgz", gate=None))
     got = records_of(files.annotate_extra(spark, str(tmp_path / "in.vcf"), res, f"{tmp_path}/b.vcf.bgz", gate=None))
+    kinds = ["missense_variant", "splice_region_variant&intron_variant", "splice_donor_variant"]
+    mixed = [x.replace("missense_variant", kinds[i % 3]) for i, x in enumerate(text)]
+    (tmp_path / "mixed.vcf").write_text(CSQ_HEAD.replace("ID=chr7", "ID=chr3") + "\n".join(mixed) + "\n")
+    gated = [records_of(files.annotate_extra(spark, str(tmp_path / "mixed.vcf"), r, f"{tmp_path}/{k}.vcf.bgz")) for k, r in (("c", plain), ("d", res))]
+    assert gated[0] == gated[1] and 0 < sum("|0.3|" in x for x in gated[0]) < len(mixed)
     assert got == want and all(f"MPC={2 * (p - 1)};" in x or f"MPC={2 * (p - 1)}\t" in x for x, (_, p, _) in zip(got, lines))
