@@ -12,6 +12,8 @@ from lociweave.operators.lookup import HASH, Lookup, lookup_left, lookup_variant
 from lociweave.operators.normalize import entry_names
 from lociweave.operators.shards import COPY_SPREAD, copy_bucket, copy_offsets, number_rows, stable_rows
 
+HOT_COPIES = 4096  # of one variant in one file; more are numbered bucket by bucket
+
 # Genotype fields kept when sample files are merged.
 MERGE_FIELDS = ["GT", "AD", "DP", "GQ", "PL"]
 
@@ -205,6 +207,8 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
     offsets = Lookup(_repeat_offsets(stacked), {"_places": "places", "_offsets": "offsets"})
     stacked = lookup_variants(stacked, [offsets], keep_hash=True)
     keys = [HASH, *VARIANT_KEY] if HASH in stacked.columns else VARIANT_KEY
+    # copies of a variant that is not hot are numbered together
+    stacked = stacked.withColumn("_bucket", F.when(F.col("_places").isNotNull(), F.col("_bucket")).otherwise(0))
     in_bucket = F.row_number().over(Window.partitionBy(*keys, "_file", "_bucket").orderBy("_tie"))
     before = F.get("_offsets", F.array_position("_places", _bucket_place()) - 1)
     grouped = stacked.withColumn("_repeat", F.coalesce(before, F.lit(0)) + in_bucket).groupBy(*keys, "_repeat")
@@ -258,14 +262,17 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
 
 
 def _repeat_offsets(stacked: DataFrame) -> DataFrame:
-    """For variants that a file repeats: the copies in the buckets before (``offsets``) by file and bucket (``places``).
+    """For variants that a file repeats more than ``HOT_COPIES`` times: the copies in the buckets before (``offsets``) by
+    file and bucket (``places``).
 
-    There is an entry for each bucket of copies of each file, so the arrays are bounded whatever the number of copies.
+    Hot variants are found on the keys alone; there is at most one for ``HOT_COPIES`` rows, so they are broadcast, and
+    where there is none, nothing else of this runs.  The arrays have an entry for each bucket of copies of each file.
     """
     keys = [*VARIANT_KEY, "_file"]
-    offsets = copy_offsets(stacked.select(*keys, "_bucket"), keys, "_bucket").where("copies > 1 and offset > 0")
+    hot = stacked.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_COPIES).select(*VARIANT_KEY).distinct()
+    rows = stacked.select(*keys, "_bucket").join(F.broadcast(hot), VARIANT_KEY, "left_semi")
     entries = F.collect_list(F.struct(_bucket_place().alias("at"), "offset"))
-    return offsets.groupBy(*VARIANT_KEY).agg(entries.alias("_e")).select(
+    return copy_offsets(rows, keys, "_bucket").groupBy(*VARIANT_KEY).agg(entries.alias("_e")).select(
         *VARIANT_KEY, F.col("_e.at").alias("places"), F.col("_e.offset").alias("offsets")
     )
 

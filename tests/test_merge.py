@@ -46,8 +46,9 @@ def test_merge_moves_rows_once(spark):
     assert sum("Union" in x for x in below) == 1 and not any("_entries" in x for x in below if "Union" not in x)
 
 
-def test_merge_splits_a_hot_variant(spark):
+def test_merge_splits_a_hot_variant(spark, monkeypatch):
     """A third of all records repeat one variant in one file; they are numbered and merged in several tasks."""
+    monkeypatch.setattr("lociweave.operators.samples.HOT_COPIES", 100)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
