@@ -30,13 +30,13 @@ class Lookup:
     buckets: int = 0
 
 
-def _source(name: str) -> Column:
+def source_column(name: str) -> Column:
     return F.col(name if "`" in name or "." not in name else f"`{name}`")
 
 
 def one_row_per_key(table: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Reduce to one row per key: the smallest value tuple, combined on the map side."""
-    best = F.min(F.struct(*[_source(v).alias(v) for v in values])).alias("_best")
+    best = F.min(F.struct(*[source_column(v).alias(v) for v in values])).alias("_best")
     reduced = grouped_by_hash(table, keys).agg(best)
     return reduced.select(*keys, *[F.col("_best")[v].alias(v) for v in values])
 
@@ -59,8 +59,8 @@ def grouped_by_hash(right: DataFrame, keys: list[str]) -> GroupedData:
 def _reduced(right: DataFrame, pairs: list[tuple], values: dict[str, str], unique: bool):
     keys = [f"_k{i}" for i in range(len(pairs))]
     right = right.select(
-        *[_source(source).alias(k) for k, (_, source) in zip(keys, pairs)],
-        F.struct(*[_source(v).alias(out) for out, v in values.items()]).alias("_match"),
+        *[source_column(source).alias(k) for k, (_, source) in zip(keys, pairs)],
+        F.struct(*[source_column(v).alias(out) for out, v in values.items()]).alias("_match"),
     ).where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     if not unique:
         right = grouped_by_hash(right, keys).agg(F.min("_match").alias("_match")).drop("_sort")
@@ -73,7 +73,6 @@ def _join_reduced(
     left_keys: list[Column],
     keys: list[str],
     unique: bool = False,
-    hash_name: str = "_left_hash",
     merge: bool = False,
 ) -> DataFrame:
     """Left join to a reduced right side; a sort-merge join leaves its hash column behind.
@@ -89,9 +88,9 @@ def _join_reduced(
         # The reduction leaves the right side partitioned by the key, and Spark can split a hot
         # left partition only where both join inputs come straight from an exchange.  Joining on
         # a hash of the key as well asks for that exchange; it moves reduced rows only.
-        left = left.withColumn(hash_name, F.xxhash64(*left_keys))
+        left = left.withColumn("_left_hash", F.xxhash64(*left_keys))
         right = right.withColumn("_right_hash", F.xxhash64(*keys))
-        condition = [F.col(hash_name) == F.col("_right_hash"), *condition]
+        condition = [F.col("_left_hash") == F.col("_right_hash"), *condition]
     return left.join(right, condition, "left").drop(*keys, "_right_hash")
 
 
@@ -103,17 +102,19 @@ def lookup_left(
     default: str | None = None,
     unique: bool = False,
     merge: bool = False,
+    reduced: bool = False,
 ) -> DataFrame:
     """Add ``values`` from the matching right row.
 
     ``on`` pairs left expressions with right columns.  ``default`` fills rows without a match; a
     matched row whose value is missing stays missing.  ``unique`` promises one right row per key.
     A right side within Spark's broadcast threshold is broadcast, a larger one is sort-merged.
+    ``reduced`` says that ``right`` has just been grouped by the key, so it is partitioned like that already.
     """
     pairs = [(p, p) if isinstance(p, str) else p for p in on]
-    reduced, keys = _reduced(right, pairs, values, unique)
+    right, keys = _reduced(right, pairs, values, unique)
     left_keys = [F.col(lk) if isinstance(lk, str) else lk for lk, _ in pairs]
-    joined = _join_reduced(left, reduced, left_keys, keys, unique, merge=merge)
+    joined = _join_reduced(left, right, left_keys, keys, unique and not reduced, merge=merge)
     outputs = {}
     for out in values:
         value = F.col("_match")[out]
@@ -146,33 +147,43 @@ def _stacked_lookup(sites: DataFrame, lookups: list[Lookup], merge: bool) -> Dat
         return sites
     stacked = []
     for i, lookup in enumerate(lookups):
-        match = F.struct(*[_source(v).alias(out) for out, v in lookup.values.items()])
+        match = F.struct(*[source_column(v).alias(out) for out, v in lookup.values.items()])
         stacked.append(lookup.table.select(*VARIANT_KEY, match.alias(f"_m{i}")))
     right = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
     matches = [f"_m{i}" for i in range(len(lookups))]
     keys = [f"_k{i}" for i in range(len(VARIANT_KEY))]
     right = right.select(*[F.col(c).alias(k) for c, k in zip(VARIANT_KEY, keys)], *matches)
     right = right.where("_k0 is not null and _k1 is not null and _k2 is not null")
-    right = grouped_by_hash(right, keys).agg(*[F.min(m).alias(m) for m in matches]).drop("_sort")
-    own = [F.col(c) for c in VARIANT_KEY]
-    joined = _join_reduced(sites, right, own, keys, hash_name=HASH, merge=merge)
+    # by position first: a sort on a number spares most comparisons of strings, and rows near each other pack well
+    right = right.groupBy("_k1", "_k0", "_k2").agg(*[F.min(m).alias(m) for m in matches])
+    joined = _join_variants(sites, right, merge or not fits_broadcast(right), merge)
     outputs = {out: F.col(m)[out] for m, lookup in zip(matches, lookups) for out in lookup.values}
     return joined.withColumns(outputs).drop(*matches)
 
 
 def _unique_lookup(left: DataFrame, lookup: Lookup, merge: bool) -> DataFrame:
     """Join a table with one row for each variant: one exchange on its side, no aggregate."""
-    right, keys = _reduced(lookup.table, [(c, c) for c in VARIANT_KEY], lookup.values, unique=True)
+    right, _ = _reduced(lookup.table, [(c, c) for c in VARIANT_KEY], lookup.values, unique=True)
+    joined = _join_variants(left, right, merge or not fits_broadcast(right), merge)
+    return joined.withColumns({out: F.col("_match")[out] for out in lookup.values}).drop("_match")
+
+
+def _join_variants(left: DataFrame, right: DataFrame, moved: bool, merge: bool) -> DataFrame:
+    """Left join of variants to the keys ``_k0, _k1, _k2``; if rows move, both sides carry a byte of the key's hash.
+
+    With it both inputs come straight from an exchange (see ``_join_reduced``), and further lookups and groupings find
+    the rows partitioned by it.  It is a byte only because a whole hash does not pack; the sort goes by position.
+    """
+    keys = [f"_k{i}" for i in range(len(VARIANT_KEY))]
     own = [F.col(c) for c in VARIANT_KEY]
-    condition = [lk == F.col(k) for lk, k in zip(own, keys)]
-    if merge or not fits_broadcast(right):
-        # both sides carry the hash, so further lookups and groupings find the rows partitioned by it
+    condition = [F.col("pos") == F.col("_k1")]
+    if moved:
         if HASH not in left.columns:
-            left = left.withColumn(HASH, F.xxhash64(*own))
-        right = right.withColumn("_right_hash", F.xxhash64(*keys))
-        condition = [F.col(HASH) == F.col("_right_hash"), *condition]
+            left = left.withColumn(HASH, F.shiftright(F.xxhash64(*own), 56))
+        right = right.withColumn("_right_hash", F.shiftright(F.xxhash64(*keys), 56))
+        condition.append(F.col(HASH) == F.col("_right_hash"))
         right = right.hint("merge") if merge else right
     else:
         right = F.broadcast(right)
-    joined = left.join(right, condition, "left").drop(*keys, "_right_hash")
-    return joined.withColumns({out: F.col("_match")[out] for out in lookup.values}).drop("_match")
+    condition += [F.col("contig") == F.col("_k0"), F.col("alleles") == F.col("_k2")]
+    return left.join(right, condition, "left").drop(*keys, "_right_hash")

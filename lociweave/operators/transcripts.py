@@ -1,6 +1,8 @@
 """Transcript-level enrichment of the consequence array ``csq``."""
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,7 +15,7 @@ from lociweave.functions.csq import (
     splice_values,
 )
 from lociweave.model import VARIANT_KEY, with_row_id
-from lociweave.operators.lookup import HASH, Lookup, lookup_left
+from lociweave.operators.lookup import HASH, Lookup, grouped_by_hash, lookup_left, source_column
 
 
 def explode_transcripts(df: DataFrame, column: str = "csq") -> DataFrame:
@@ -35,7 +37,7 @@ def regroup_transcripts(exploded: DataFrame, keys: list[str], column: str = "csq
 
 
 def enrich_transcripts(
-    df: DataFrame, enrich: Callable[[DataFrame], DataFrame], column: str = "csq"
+    df: DataFrame, enrich: Callable[[DataFrame], DataFrame], column: str = "csq", moved: bool = False
 ) -> DataFrame:
     """Apply ``enrich`` to the exploded rows and put the transcripts back into their own row.
 
@@ -45,10 +47,11 @@ def enrich_transcripts(
     stays and its array is missing.
 
     Rows that come from a sort-merge variant lookup are grouped by its keys too.  They are
-    partitioned by those already, so the regroup needs no shuffle of its own.
+    partitioned by those already, so the regroup needs no shuffle of its own.  Where the tables are so large that the
+    transcripts move (``moved``), that is lost, and the key travels with the first transcript like all else.
     """
     numbered = with_row_id(df)
-    keys = ["row_id", *([HASH, *VARIANT_KEY] if HASH in df.columns else [])]
+    keys = ["row_id", *([HASH, *VARIANT_KEY] if HASH in df.columns and not moved else [])]
     others = [c for c in numbered.columns if c != column and c not in keys]
     exploded = numbered.select(
         *keys,
@@ -79,59 +82,93 @@ def with_tc_fields(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     return df.withColumn("tc", tc)
 
 
-def _lookup_into_tc(exploded: DataFrame, field: str, right: DataFrame, key: str, values: dict):
-    """Look up one transcript field and store the values in ``tc``, ``''`` if unmatched."""
-    names = {f"_t_{out}": source for out, source in values.items()}
-    on = [(F.col("tc")[field], key)]
-    joined = lookup_left(exploded, right, on, names, default="")
-    fields = {out: F.col(f"_t_{out}") for out in values}
-    return with_tc_fields(joined, fields).drop(*names)
+@dataclass(frozen=True)
+class TranscriptLookup:
+    """A table that is looked up by one transcript field, with the fields it adds as ``{output: source column}``."""
+
+    field: str
+    table: DataFrame
+    key: str
+    values: dict[str, str]
+
+
+def add_transcript_lookups(exploded: DataFrame, lookups: list[TranscriptLookup]) -> DataFrame:
+    """Add the values of all lookups to ``tc``, in their order, ``''`` if unmatched.
+
+    Tables that are looked up by the same field are stacked, reduced together and joined at once, so the wide rows move
+    once for each field and not for each table.
+    """
+    joined = exploded
+    for field in dict.fromkeys(x.field for x in lookups):
+        places = [i for i, x in enumerate(lookups) if x.field == field]
+        matches = [f"_t{i}" for i in places]
+        stacked = reduce(
+            lambda a, b: a.unionByName(b, allowMissingColumns=True),
+            [
+                lookups[i].table.select(
+                    F.col(lookups[i].key).alias("_t_key"),
+                    F.struct(*[source_column(v).alias(out) for out, v in lookups[i].values.items()]).alias(f"_t{i}"),
+                )
+                for i in places
+            ],
+        ).where("_t_key is not null")
+        right = grouped_by_hash(stacked, ["_t_key"]).agg(*[F.min(m).alias(m) for m in matches]).drop("_sort")
+        joined = lookup_left(joined, right, [(F.col("tc")[field], "_t_key")], {m: m for m in matches}, unique=True, reduced=True)
+    fields = {}
+    for i, lookup in enumerate(lookups):
+        for out in lookup.values:
+            fields[out] = F.when(F.col(f"_t{i}").isNull(), F.lit("")).otherwise(F.col(f"_t{i}")[out])
+    return with_tc_fields(joined, fields).drop(*[f"_t{i}" for i in range(len(lookups))])
+
+
+def loeuf_v2(loeuf: DataFrame) -> TranscriptLookup:
+    return TranscriptLookup("Feature", loeuf, "transcript", {"LOEUF_v2": "oe_lof_upper", "LOEUF_v2_decile": "oe_lof_upper_bin"})
+
+
+def loeuf_v4(loeuf: DataFrame) -> TranscriptLookup:
+    values = {"LOEUF_v4": "lof.oe_ci.upper", "LOEUF_v4_decile": "lof.oe_ci.upper_bin_decile"}
+    return TranscriptLookup("Feature", loeuf, "transcript", values)
+
+
+def omim(table: DataFrame) -> TranscriptLookup:
+    values = {"OMIM_MIM_number": "mimNumber", "OMIM_inheritance_code": "inheritance_code"}
+    return TranscriptLookup("SYMBOL", table, "approvedGeneSymbol", values)
+
+
+def inheritance(table: DataFrame) -> TranscriptLookup:
+    values = {"inheritance_code": "inheritance_code", "genCC_classification": "genCC_classification"}
+    return TranscriptLookup("SYMBOL", table, "approvedGeneSymbol", values)
+
+
+def gene_list(genes: DataFrame, list_name: str) -> TranscriptLookup:
+    """``gene_list`` is the list's name if it holds the symbol, else ``''``."""
+    named = genes.select("symbol", F.lit(list_name).alias("list_name"))
+    return TranscriptLookup("SYMBOL", named, "symbol", {"gene_list": "list_name"})
+
+
+def gene_lists(lists: DataFrame) -> TranscriptLookup:
+    """``gene_list`` is the join of the names of all lists that hold the symbol, else ``''``."""
+    return TranscriptLookup("SYMBOL", joined_gene_lists(lists), "symbol", {"gene_list": "gene_list"})
 
 
 def add_loeuf_v2(exploded: DataFrame, loeuf: DataFrame) -> DataFrame:
-    return _lookup_into_tc(
-        exploded,
-        "Feature",
-        loeuf,
-        "transcript",
-        {"LOEUF_v2": "oe_lof_upper", "LOEUF_v2_decile": "oe_lof_upper_bin"},
-    )
+    return add_transcript_lookups(exploded, [loeuf_v2(loeuf)])
 
 
 def add_loeuf_v4(exploded: DataFrame, loeuf: DataFrame) -> DataFrame:
-    return _lookup_into_tc(
-        exploded,
-        "Feature",
-        loeuf,
-        "transcript",
-        {"LOEUF_v4": "lof.oe_ci.upper", "LOEUF_v4_decile": "lof.oe_ci.upper_bin_decile"},
-    )
+    return add_transcript_lookups(exploded, [loeuf_v4(loeuf)])
 
 
-def add_omim(exploded: DataFrame, omim: DataFrame) -> DataFrame:
-    return _lookup_into_tc(
-        exploded,
-        "SYMBOL",
-        omim,
-        "approvedGeneSymbol",
-        {"OMIM_MIM_number": "mimNumber", "OMIM_inheritance_code": "inheritance_code"},
-    )
+def add_omim(exploded: DataFrame, table: DataFrame) -> DataFrame:
+    return add_transcript_lookups(exploded, [omim(table)])
 
 
-def add_inheritance(exploded: DataFrame, inheritance: DataFrame) -> DataFrame:
-    return _lookup_into_tc(
-        exploded,
-        "SYMBOL",
-        inheritance,
-        "approvedGeneSymbol",
-        {"inheritance_code": "inheritance_code", "genCC_classification": "genCC_classification"},
-    )
+def add_inheritance(exploded: DataFrame, table: DataFrame) -> DataFrame:
+    return add_transcript_lookups(exploded, [inheritance(table)])
 
 
 def add_gene_list(exploded: DataFrame, genes: DataFrame, list_name: str) -> DataFrame:
-    """``gene_list`` is the list's name if it holds the symbol, else ``''``."""
-    named = genes.select("symbol", F.lit(list_name).alias("list_name"))
-    return _lookup_into_tc(exploded, "SYMBOL", named, "symbol", {"gene_list": "list_name"})
+    return add_transcript_lookups(exploded, [gene_list(genes, list_name)])
 
 
 def joined_gene_lists(gene_lists: DataFrame) -> DataFrame:
@@ -149,11 +186,8 @@ def joined_gene_lists(gene_lists: DataFrame) -> DataFrame:
     )
 
 
-def add_gene_lists(exploded: DataFrame, gene_lists: DataFrame) -> DataFrame:
-    """``gene_list`` is the join of the names of all lists that hold the symbol, else ``''``."""
-    return _lookup_into_tc(
-        exploded, "SYMBOL", joined_gene_lists(gene_lists), "symbol", {"gene_list": "gene_list"}
-    )
+def add_gene_lists(exploded: DataFrame, lists: DataFrame) -> DataFrame:
+    return add_transcript_lookups(exploded, [gene_lists(lists)])
 
 
 def splice_records(splice: DataFrame) -> DataFrame:

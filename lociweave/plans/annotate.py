@@ -23,18 +23,21 @@ from lociweave.operators.normalize import score_table_key, split_multiallelic
 from lociweave.operators.samples import drop_first_sample
 from lociweave.operators.stores import matched, with_matches
 from lociweave.operators.transcripts import (
-    add_gene_list,
-    add_gene_lists,
+    TranscriptLookup,
     add_hgvs_symbol,
-    add_inheritance,
-    add_loeuf_v2,
-    add_loeuf_v4,
-    add_omim,
     add_splice_scores,
+    add_transcript_lookups,
     enrich_transcripts,
+    gene_list,
+    gene_lists,
+    inheritance,
+    loeuf_v2,
+    loeuf_v4,
+    omim,
     splice_by_variant,
     transcript_fields,
 )
+from lociweave.session import fits_broadcast
 
 # Clinical fields taken over by default.
 CLINVAR_FIELDS = ["CLNSIG", "CLNREVSTAT", "CLNSIGCONF", "GENEINFO"]
@@ -121,21 +124,16 @@ def variant_lookups(res: Resources, build: str, clinvar_fields: list[str]) -> li
     return lookups
 
 
-def enrich_exploded(exploded: DataFrame, res: Resources) -> DataFrame:
+def transcript_lookups(res: Resources) -> list[TranscriptLookup]:
     """All transcript- and gene-keyed lookups, in the order of their output fields."""
-    if res.loeuf_v2 is not None:
-        exploded = add_loeuf_v2(exploded, res.loeuf_v2)
-    if res.loeuf_v4 is not None:
-        exploded = add_loeuf_v4(exploded, res.loeuf_v4)
-    if res.omim is not None:
-        exploded = add_omim(exploded, res.omim)
-    if res.inheritance is not None:
-        exploded = add_inheritance(exploded, res.inheritance)
-    if res.gene_list is not None:
-        exploded = add_gene_list(exploded, *res.gene_list)
-    if res.gene_lists is not None:
-        exploded = add_gene_lists(exploded, res.gene_lists)
-    return exploded
+    return [
+        *([loeuf_v2(res.loeuf_v2)] if res.loeuf_v2 is not None else []),
+        *([loeuf_v4(res.loeuf_v4)] if res.loeuf_v4 is not None else []),
+        *([omim(res.omim)] if res.omim is not None else []),
+        *([inheritance(res.inheritance)] if res.inheritance is not None else []),
+        *([gene_list(*res.gene_list)] if res.gene_list is not None else []),
+        *([gene_lists(res.gene_lists)] if res.gene_lists is not None else []),
+    ]
 
 
 def _annotated(
@@ -171,7 +169,11 @@ def _annotated(
         df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True, merge=res.merge)
     df = with_row_id(df)
     df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
-    df = enrich_transcripts(df, lambda x: enrich_exploded(x, res)).drop(HASH)
+    found = transcript_lookups(res)
+    moved = not all(fits_broadcast(x.table) for x in found)
+    if moved:
+        df = df.drop(HASH)
+    df = enrich_transcripts(df, lambda x: add_transcript_lookups(x, found), moved=moved).drop(HASH)
     if not numbered:
         df = df.drop("row_id")
     if res.splice is not None:
@@ -199,9 +201,11 @@ def annotate_extra(
             sites, res.noncoding, {"PREDICTED_NONCODING": "target"}, not only_noncoding, res.merge
         )
         sites = with_info(sites, ["PREDICTED_NONCODING"])
-    df, names = _annotated(
-        sites, csq_strings(sites), columns, res, build, clinvar_fields, gate, overall
-    )
+    packed = csq_strings(sites)
+    # the packed texts travel once: the field is written anew at the end
+    old = F.lit(None).cast(sites.select("info.CSQ").schema["CSQ"].dataType)
+    sites = sites.withColumns({"_packed": packed, "info": F.col("info").withField("CSQ", old)})
+    df, names = _annotated(sites, F.col("_packed"), columns, res, build, clinvar_fields, gate, overall)
     fields = transcript_fields(df)
     df = with_info(df, names)
     csq = pack_csq(F.col("csq"), fields)

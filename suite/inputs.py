@@ -222,18 +222,20 @@ class Inputs:
 
     def consequences(self) -> DataFrame:
         """``csq``: packed strings per variant, in transcript order."""
+        return self._packed().withColumn("alleles", F.array("ref", "alt")).select("contig", "pos", "alleles", "csq")
+
+    def _packed(self) -> DataFrame:
+        """Grouped by the columns by which the transcripts are numbered, so their rows move once."""
         packed = F.sort_array(F.collect_list(F.struct("tx_idx", "csq")))
-        return (
-            self.keyed("fx_csq")
-            .groupBy("contig", "pos", "alleles")
-            .agg(F.transform(packed, lambda x: x["csq"]).alias("csq"))
-        )
+        grouped = self.view("fx_csq").groupBy("contig", "pos", "ref", "alt")
+        return grouped.agg(F.transform(packed, lambda x: x["csq"]).alias("csq"))
 
     def annotated(self) -> DataFrame:
         """Variants with ``info.CSQ`` (missing for those without a consequence)."""
-        csq = self.consequences().withColumnRenamed("csq", "CSQ")
-        joined = self.variants().join(csq, ["contig", "pos", "alleles"], "left")
-        return joined.withColumn("info", F.struct("CSQ")).drop("CSQ")
+        csq = self._packed().withColumnRenamed("csq", "CSQ")
+        # both sides are dealt by these four columns already
+        joined = self.view("fx_alts").join(csq, ["contig", "pos", "ref", "alt"], "left")
+        return joined.select("contig", "pos", F.array("ref", "alt").alias("alleles"), "pk", "sk", F.struct("CSQ").alias("info"))
 
     def matrix(self) -> DataFrame:
         """Genotypes: a site per order, a sample per line number, haploid on chrY, holes in every field."""

@@ -3,7 +3,16 @@ from pyspark.sql import functions as F
 
 from lociweave.model import VARIANT_KEY
 from lociweave.operators.lookup import Lookup, lookup_left, lookup_variants, write_lookup
-from lociweave.operators.transcripts import add_loeuf_v2, enrich_transcripts
+from lociweave.operators.transcripts import (
+    add_loeuf_v2,
+    add_transcript_lookups,
+    enrich_transcripts,
+    gene_list,
+    loeuf_v2,
+    loeuf_v4,
+    omim,
+)
+from lociweave.plans import annotate as an
 
 
 @pytest.fixture(params=["broadcast", "sort-merge"])
@@ -89,3 +98,33 @@ def test_enrich_keeps_copies_and_rows_without_transcripts(spark, joins):
     assert out.columns == df.columns and [r["pos"] for r in got] == [1, 1, 1, 2, 3]
     assert [tuple(t) for t in got[0]["csq"]] == [("x", "1", "2"), ("y", "", ""), ("z", None, "3")]
     assert got[0]["csq"] == got[1]["csq"] == got[2]["csq"] and got[3]["csq"] is None and got[4]["csq"] is None
+
+
+def test_lookups_by_one_field_share_a_join(spark, joins):
+    """Two tables by feature and two by symbol are two joins; nulls, repeats and missing keys as in single lookups."""
+    rows = [("x", "g"), ("y", "h"), (None, None), ("z", "g")]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "tx_idx int, tc struct<Feature: string, SYMBOL: string>")
+    two = spark.createDataFrame([("x", "2", "b"), ("x", "1", "c"), ("z", None, "d"), (None, "9", "9")], "transcript string, oe_lof_upper string, oe_lof_upper_bin string")
+    four = spark.createDataFrame([("y", "5", "6")], "transcript string, `lof.oe_ci.upper` string, `lof.oe_ci.upper_bin_decile` string")
+    mim = spark.createDataFrame([("h", "7", None)], "approvedGeneSymbol string, mimNumber string, inheritance_code string")
+    genes = spark.createDataFrame([("g",), ("g",)], "symbol string")
+    out = add_transcript_lookups(df, [loeuf_v2(two), omim(mim), loeuf_v4(four), gene_list(genes, "l")])
+    got = [tuple(r["tc"])[2:] for r in out.orderBy("tx_idx").collect()]
+    assert got == [("1", "c", "", "", "", "", "l"), ("", "", "7", None, "5", "6", ""), ("", "", "", "", "", "", ""), (None, "d", "", "", "", "", "l")]
+    assert out.columns == df.columns
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2
+
+
+def test_packed_consequences_move_once(spark, monkeypatch):
+    """The old packed field is not carried beside the parsed one, and the new one has its place."""
+    t = "contig string, pos int, alleles array<string>, info struct<CSQ: string, DP: int>"
+    df = spark.createDataFrame([("chr1", 1, ["A", "C"], ("C|x|G|T||", 5))], t)
+    columns = ["Allele", "Consequence", "SYMBOL", "Feature", "HGVSc", "HGVSp"]
+    genes = spark.createDataFrame([("G", "AD", "D")], "approvedGeneSymbol string, inheritance_code string, genCC_classification string")
+    carried = []
+    monkeypatch.setattr(an, "enrich_transcripts", lambda x, *a, **b: carried.append(x) or enrich_transcripts(x, *a, **b))
+    out, _ = an.annotate_inheritance(df, columns, genes)
+    assert [tuple(r) for r in out.select("info.*").collect()] == [("C|x|G|T|||AD|D", 5)]
+    assert out.schema["info"].dataType.names == ["CSQ", "DP"]
+    assert [r["CSQ"] for r in carried[0].select("info.CSQ").collect()] == [None]
