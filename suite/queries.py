@@ -241,7 +241,9 @@ def hgvsc_symbol(x: Inputs) -> DataFrame:
 
 
 def spliceai(gated: bool, x: Inputs) -> DataFrame:
-    df = lk.lookup_variants(parsed(x), [tx.splice_by_variant(splice(x))])
+    # packed texts move, and are parsed where they are
+    df = lk.lookup_variants(x.annotated(), [tx.splice_by_variant(splice(x))])
+    df = df.select(*VARIANT_KEY, "_splice", parse_csq(F.col("info.CSQ"), CSQ_COLUMNS).alias("csq"))
     scored = tx.add_splice_scores(df) if gated else tx.add_splice_scores(df, gate=None)
     out = tx.explode_transcripts(scored)
     names = [*SPLICE_FIELDS, "spliceAI_score"]
