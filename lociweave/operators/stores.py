@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lociweave.model import VARIANT_KEY
 from lociweave.operators.lookup import Lookup
+from lociweave.session import parts_for
 from lociweave.sources.files import exists, located
 
 SIDE_FILE = "_variant_store.json"
@@ -28,9 +29,13 @@ def _name(path: str) -> str:
 
 
 def write_variant_store(table: DataFrame, path: str, buckets: int = 256) -> str:
-    """Store a table with one row for each variant; a null in the key matches nothing, so such rows are left out."""
+    """Store a table with one row for each variant; a null in the key matches nothing, so such rows are left out.
+
+    ``buckets`` is the least number of buckets: a task holds and sorts a bucket, so a larger table has more of them.
+    """
     spark, name = table.sparkSession, _name(path)
     rows = table.where(" and ".join(f"{c} is not null" for c in VARIANT_KEY))
+    buckets = parts_for(rows, buckets)
     spark.sql(f"drop table if exists {name}")
     dealt = rows.repartition(buckets, *VARIANT_KEY)  # one bucket to a task, so one file each
     writer = dealt.write.format("parquet").mode("overwrite").bucketBy(buckets, *VARIANT_KEY).sortBy("contig", "pos")

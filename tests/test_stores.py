@@ -141,3 +141,13 @@ def test_runs_take_stores(spark, scores, tmp_path):
     gated = [records_of(files.annotate_extra(spark, str(tmp_path / "mixed.vcf"), r, f"{tmp_path}/{k}.vcf.bgz")) for k, r in (("c", plain), ("d", res))]
     assert gated[0] == gated[1] and 0 < sum("|0.3|" in x for x in gated[0]) < len(mixed)
     assert got == want and all(f"MPC={2 * (p - 1)};" in x or f"MPC={2 * (p - 1)}\t" in x for x, (_, p, _) in zip(got, lines))
+
+
+def test_a_large_store_has_more_buckets(spark, scores, tmp_path, monkeypatch):
+    """A task sorts a bucket, so the number asked for is the least."""
+    monkeypatch.setattr("lociweave.session.TASK_BYTES", 1 << 20)
+    path = st.write_variant_store(scores, f"{tmp_path}/large", 2)
+    opened, buckets = st.open_variant_store(spark, path)
+    assert buckets > 8 and opened.count() == N
+    sites = scores.where("pos % 5 = 0").select(*VARIANT_KEY)
+    assert st.matched(sites, opened, buckets).count() == sites.count()
