@@ -157,26 +157,30 @@ def _typed(text: Column, number: str | None, kind: str | None) -> Column:
     return F.when(text != ".", F.transform(F.split(text, ","), one))
 
 
-def info_pairs(text: Column) -> Column:
-    """INFO cells by name."""
+def info_names_of(text: Column) -> Column:
+    """Names of the INFO cells in their order."""
+    return F.transform(F.split(text, ";"), lambda part: F.substring_index(part, "=", 1))
+
+
+def info_pairs(text: Column, names: Column | None = None) -> Column:
+    """INFO cells by name; ``names`` may be a column that holds ``info_names_of`` the text."""
     parts = F.split(text, ";")
+    names = info_names_of(text) if names is None else names
 
     def name(part: Column) -> Column:
         return F.substring_index(part, "=", 1)
 
-    names = F.transform(parts, name)
     firsts = F.filter(parts, lambda part, i: F.array_position(names, name(part)) == i + 1)
     repeated = F.size(F.array_distinct(names)) < F.size(names)
     once = F.when(repeated, F.array_join(firsts, ";")).otherwise(text)
     return F.str_to_map(once, F.lit(";"), F.lit("="))
 
 
-def parse_info(text: Column, definitions: list[tuple]) -> Column:
-    """The ``info`` struct; flags are booleans, fields the header does not define are not read.
+def parse_info(pairs: Column, definitions: list[tuple]) -> Column:
+    """The ``info`` struct of ``info_pairs``; flags are booleans, fields the header does not define are not read.
 
     Of a field that is given more than once the first counts.
     """
-    pairs = info_pairs(text)
     fields = []
     for _, name, number, kind, _ in definitions:
         if kind == "Flag" or number == "0":
@@ -290,17 +294,21 @@ def parse_sites(
 
     ``raw`` keeps the quality and INFO cells as text too.
     """
-    lines = lines.where(~F.col("value").rlike("^(#|$)"))
+    carried = [c for c in lines.columns if c != "value"]
+    # a filter moves below a projection and would work out a printed line a second time; below a generator it cannot
+    lines = lines.select(F.explode_outer(F.array("value")).alias("value"), *carried).where(~F.col("value").rlike("^(#|$)"))
     text = F.col("value")
     if find_replace:
         text = F.regexp_replace(text, find_replace[0], find_replace[1])
-    carried = [c for c in lines.columns if c != "value"]
     # the ninth piece is all that follows the eight fixed cells, as one text
     cells = lines.select(F.split(text, "\t", FIXED_COLUMNS).alias("_c"), *carried)
 
     def cell(i: int) -> Column:
         return F.get("_c", F.lit(i))
 
+    # columns of their own: each field below would take the cell apart again
+    cells = cells.withColumn("_names", info_names_of(cell(7)))
+    cells = cells.withColumn("_info", info_pairs(cell(7), F.col("_names")))
     alts = F.when(cell(4) == ".", F.array().cast("array<string>")).otherwise(F.split(cell(4), ","))
     filters = F.when(cell(6) == "PASS", F.array().cast("array<string>")).when(
         cell(6) != ".", F.split(cell(6), ";")
@@ -312,7 +320,7 @@ def parse_sites(
         F.nullif(cell(2), F.lit(".")).alias("rsid"),
         cell(5).try_cast("double").alias("qual"),
         filters.alias("filters"),
-        parse_info(cell(7), [d for d in definitions if d[0] == "INFO"]).alias("info"),
+        parse_info(F.col("_info"), [d for d in definitions if d[0] == "INFO"]).alias("info"),
     ]
     if raw:
         columns.append(F.struct(cell(5).alias("qual"), cell(7).alias("info")).alias("raw"))
