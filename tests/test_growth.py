@@ -1,0 +1,38 @@
+"""Steps whose work or share of a task must not grow with the table."""
+
+from pyspark.sql import functions as F
+
+from lociweave.operators.shards import number_rows, sort_genome
+from lociweave.sources.vcf import parse_sites
+
+DEFINITIONS = [("INFO", "AC", "A", "Integer", ""), ("INFO", "SC", "1", "Float", ""), ("INFO", "DB", "0", "Flag", "")]
+
+
+def test_a_printed_line_is_worked_out_once(spark):
+    """The filter on lines stays above the printing, and the cells of INFO are taken apart once for all fields."""
+    cells = [F.lit("chr1"), F.col("id").cast("string"), *[F.lit(x) for x in (".", "A", "C", ".", "PASS")], F.lit("AC=1,.;SC=2;AC=9;DB")]
+    lines = spark.range(5).select(F.when(F.col("id") == 4, "#x").otherwise(F.concat_ws("\t", *cells)).alias("value"), F.col("id").alias("row"))
+    sites = parse_sites(lines, DEFINITIONS)
+    plan = sites._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws") == 1 and plan.count("str_to_map") == 1
+    assert [tuple(r) for r in sites.orderBy("row").select("pos", "row", "info.*").collect()] == [(i, i, [1, None], 2.0, True) for i in range(4)]
+    odd = spark.createDataFrame([("#h",), ("",), (None,), ("chr2\t7\t.\tA\t.\t.\t.\t.",)], "value string")
+    assert [r["pos"] for r in parse_sites(odd, []).collect()] == [7]
+
+
+def test_large_tables_are_sorted_in_more_parts(spark, monkeypatch):
+    monkeypatch.setattr("lociweave.session.TASK_BYTES", 1 << 16)
+    n, usual = 20_000, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(n).select(
+        F.concat(F.lit("chr"), (F.col("id") % 3 + 1).cast("string")).alias("contig"),
+        ((F.col("id") * 7919) % n).cast("int").alias("pos"),
+        F.array(F.lit("A"), F.lit("C")).alias("alleles"),
+    )
+    placed = sort_genome(df)
+    assert placed.rdd.getNumPartitions() > 2 * usual
+    rows = [(r["contig"], r["pos"]) for r in placed.collect()]
+    assert rows == sorted(rows) and len(rows) == n
+    numbered = number_rows(df, [F.col("pos"), F.col("contig")])
+    assert numbered.rdd.getNumPartitions() > 2 * usual
+    got = [(r["pos"], r["contig"]) for r in numbered.orderBy("row_number").collect()]
+    assert got == sorted(got) and numbered.agg(F.max("row_number")).first()[0] == n
