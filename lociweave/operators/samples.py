@@ -59,9 +59,13 @@ def subset_samples(
     any entry is rewritten.
     """
     places = _kept_places(samples, wanted)
-    carried = df.where(is_carried(_picked(places), any_alt))
-    picked = carried.withColumn("entries", _picked(places))
-    return fix_haploid(picked), _renumbered(samples, places)
+    # the filter would move below the projection that makes the entries and work them out for every place; below a
+    # generator it cannot
+    rows = df.select(*[c for c in df.columns if c != "entries"], F.explode_outer(F.array("entries")).alias("entries"))
+    picked = rows.select(*df.columns).withColumn("entries", _picked(places))
+    rows = picked.select(*[c for c in df.columns if c != "entries"], F.explode_outer(F.array("entries")).alias("entries"))
+    carried = rows.select(*df.columns).where(is_carried(F.col("entries"), any_alt))
+    return fix_haploid(carried), _renumbered(samples, places)
 
 
 def drop_first_sample(df: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lociweave.operators.samples import subset_samples
 from lociweave.operators.shards import number_rows, sort_genome
 from lociweave.sources.vcf import parse_sites
 
@@ -20,6 +21,18 @@ def test_a_printed_line_is_worked_out_once(spark):
     assert [r["pos"] for r in parse_sites(odd, []).collect()] == [7]
 
 
+def test_entries_are_made_once_for_a_subset(spark):
+    """The filter on carriers stays above what makes the entries: below it, they would be made anew for every sample."""
+    calls = [F.struct(F.struct(F.array(F.col("id").cast("int"), F.lit(k)).alias("alleles"), F.lit(False).alias("phased")).alias("GT"),
+                      F.hex(F.col("id") + k).alias("X")) for k in (0, 1, 0)]
+    df = spark.range(3).select(F.lit("chr1").alias("contig"), F.col("id").cast("int").alias("pos"), F.array(*calls).alias("entries"))
+    samples = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "idx int, s string")
+    out, names = subset_samples(df, samples, samples.where("s <> 'b'"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("hex(") == 3
+    got = [(r["pos"], [e["X"] for e in r["entries"]]) for r in out.collect()]
+    assert got == [(1, ["1", "1"])] and [r["s"] for r in names.orderBy("idx").collect()] == ["a", "c"]
+
+
 def test_large_tables_are_sorted_in_more_parts(spark, monkeypatch):
     monkeypatch.setattr("lociweave.session.TASK_BYTES", 1 << 16)
     n, usual = 20_000, int(spark.conf.get("spark.sql.shuffle.partitions"))
