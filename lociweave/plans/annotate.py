@@ -76,9 +76,12 @@ def csq_strings(df: DataFrame, value: str = "info.CSQ") -> Column:
     return F.col(value) if kind == "array" else F.split(F.col(value), ",")
 
 
-def attach_consequences(df: DataFrame, consequences: DataFrame, into_info: bool = True) -> DataFrame:
-    """Bring ``csq`` (packed strings per transcript) from a precomputed consequence table."""
-    joined = lookup_left(df, consequences, VARIANT_KEY, {"vep": "csq"})
+def attach_consequences(df: DataFrame, consequences: DataFrame, into_info: bool = True, unique: bool = False) -> DataFrame:
+    """Bring ``csq`` (packed strings per transcript) from a precomputed consequence table.
+
+    ``unique`` promises one row for each variant, as a table grouped by variant has it; its rows then move once.
+    """
+    joined = lookup_left(df, consequences, VARIANT_KEY, {"vep": "csq"}, unique=unique)
     if into_info:
         return joined.withColumn("info", F.col("info").withField("CSQ", F.col("vep"))).drop("vep")
     return joined
@@ -90,18 +93,20 @@ def prepare_cohort(sites: DataFrame, recount: bool = False) -> DataFrame:
     return prefer_allele_specific(recount_cohort(split) if recount else split)
 
 
-def annotate_vcf(sites: DataFrame, consequences: DataFrame, recount: bool = False) -> DataFrame:
-    return attach_consequences(prepare_cohort(sites, recount), consequences)
+def annotate_vcf(
+    sites: DataFrame, consequences: DataFrame, recount: bool = False, unique: bool = False
+) -> DataFrame:
+    return attach_consequences(prepare_cohort(sites, recount), consequences, unique=unique)
 
 
-def annotate_matrix(sites: DataFrame, consequences: DataFrame) -> DataFrame:
+def annotate_matrix(sites: DataFrame, consequences: DataFrame, unique: bool = False) -> DataFrame:
     """As ``annotate_vcf`` for stored sites: split only if unsplit, an earlier ``vep`` is kept."""
     if "num_alleles" not in sites.columns:
         sites = split_multiallelic(sites)
     sites = cohort_counts(sites)
     if "vep" in sites.columns:
         sites = sites.withColumnRenamed("vep", "original_vep")
-    joined = attach_consequences(sites, consequences, into_info=False)
+    joined = attach_consequences(sites, consequences, into_info=False, unique=unique)
     return joined.withColumn("info", F.col("info").withField("CSQ", F.col("vep")))
 
 

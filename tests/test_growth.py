@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lociweave.operators.samples import subset_samples
 from lociweave.operators.shards import number_rows, sort_genome
+from lociweave.plans.annotate import annotate_matrix, annotate_vcf
 from lociweave.sources.vcf import parse_sites
 
 DEFINITIONS = [("INFO", "AC", "A", "Integer", ""), ("INFO", "SC", "1", "Float", ""), ("INFO", "DB", "0", "Flag", "")]
@@ -33,6 +34,20 @@ def test_entries_are_made_once_for_a_subset(spark):
     assert got == [(1, ["1", "1"])] and [r["s"] for r in names.orderBy("idx").collect()] == ["a", "c"]
 
 
+def test_unique_consequences_are_not_reduced_again(spark):
+    """A consequence table with one row for each variant is joined as it is: its rows are not exchanged for an aggregate."""
+    rows = [("chr1", 5, ["A", "C", "G"], ([1, 2], [0.1, 0.2])), ("chr1", 9, ["T", "C"], ([3], None)), (None, 9, ["T", "C"], (None, None))]
+    sites = spark.createDataFrame(rows, "contig string, pos int, alleles array<string>, info struct<AC: array<int>, AF: array<double>>")
+    found = [("chr1", 5, ["A", "G"], ["x", "y"]), ("chr1", 9, ["T", "C"], ["z"]), (None, 9, ["T", "C"], ["n"]), ("chr2", 1, ["A", "C"], ["o"])]
+    csq = spark.createDataFrame(found, "contig string, pos int, alleles array<string>, csq array<string>")
+    for run in (annotate_vcf, annotate_matrix):
+        out = run(sites, csq, unique=True)
+        assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r["contig"], r["pos"], r["alleles"][1]): r["info"]["CSQ"] for r in out.collect()}
+        assert got == {("chr1", 5, "C"): None, ("chr1", 5, "G"): ["x", "y"], ("chr1", 9, "C"): ["z"], (None, 9, "C"): None}
+        assert sorted(map(str, out.collect())) == sorted(map(str, run(sites, csq).collect()))
+
+
 def test_large_tables_are_sorted_in_more_parts(spark, monkeypatch):
     monkeypatch.setattr("lociweave.session.TASK_BYTES", 1 << 16)
     n, usual = 20_000, int(spark.conf.get("spark.sql.shuffle.partitions"))
