@@ -3,6 +3,8 @@
 All intervals are 0-based and half-open.
 """
 
+import numpy as np
+
 SMALLEST_SHIFT, LEVELS, LEVEL_BITS = 14, 5, 3
 LIMIT = 1 << (SMALLEST_SHIFT + LEVELS * LEVEL_BITS)
 # Fixed value: the pseudo-bin in which an index keeps the extent and the number of records of a contig.
@@ -30,6 +32,19 @@ def bin_of(begin: int, end: int) -> int:
     raise AssertionError("the whole range is one bin")
 
 
+def bins_of(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``bin_of`` for many intervals."""
+    lasts = np.maximum(ends - 1, begins)
+    if len(lasts) and lasts.max() >= LIMIT:
+        i = int(np.argmax(lasts >= LIMIT))
+        bin_of(int(begins[i]), int(ends[i]))  # fails
+    numbers = np.zeros_like(begins)
+    for level in range(LEVELS + 1):
+        shift = level_shift(level)
+        numbers = np.where(begins >> shift == lasts >> shift, level_start(level) + (begins >> shift), numbers)
+    return numbers
+
+
 def bins_over(begin: int, end: int) -> list[range]:
     """The bins that may hold records of an interval, a range for each level."""
     last = min(max(end - 1, begin), LIMIT - 1)

@@ -15,11 +15,12 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lociweave.functions.bins import COUNT_BIN, SMALLEST_SHIFT, bin_of
+from lociweave.functions.bins import COUNT_BIN, SMALLEST_SHIFT, bin_of, bins_of
 from lociweave.session import conf_bytes
 from lociweave.sources.bgzf import blocks_of, head_lines, open_file, placed_lines, raw_blocks
 from lociweave.sources.files import exists, located, parts_of
@@ -41,12 +42,13 @@ def block(data: bytes, level: int = 6) -> bytes:
 
 
 class BlockWriter:
-    """Text to blocks; ``place`` is the virtual offset: of the block, then within it."""
+    """Text to blocks, all of them full but the last."""
 
     def __init__(self, stream):
         self.stream, self.held, self.written = stream, bytearray(), 0
+        self.starts = [0]  # of each block, that of the next one last
 
-    def add(self, data: bytes) -> None:
+    def add(self, data: bytes | memoryview) -> None:
         at = 0
         while at < len(data):
             room = BLOCK_BYTES - len(self.held)
@@ -55,14 +57,16 @@ class BlockWriter:
             if len(self.held) == BLOCK_BYTES:
                 self.flush()
 
-    def place(self) -> int:
-        return self.written << 16 | len(self.held)
+    def places(self, at: np.ndarray) -> np.ndarray:
+        """Virtual offsets (of the block, then within it) of places in the text that was added."""
+        return np.array(self.starts, np.int64)[at // BLOCK_BYTES] << 16 | at % BLOCK_BYTES
 
     def flush(self) -> None:
         if self.held:
             data = block(bytes(self.held))
             self.stream.write(data)
             self.written += len(data)
+            self.starts.append(self.written)
             self.held.clear()
 
 
@@ -97,6 +101,43 @@ class PartIndex:
         for window in range(first >> SMALLEST_SHIFT, (max(stop - 1, first) >> SMALLEST_SHIFT) + 1):
             windows.setdefault(window, begin)
 
+    def add_lines(self, data: np.ndarray, edges: np.ndarray, places: np.ndarray) -> None:
+        """As ``add`` for many lines: line ``i`` is ``data[edges[i]:edges[i + 1]]``, its line feed included."""
+        if self.disorder:
+            return
+        cells = plain_cells(data, edges)
+        if cells is None:
+            for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                line = data[a : b - 1].tobytes()
+                if not line.startswith(b"#"):
+                    self.add(line, int(places[i]), int(places[i + 1]))
+            return
+        starts, names, first, stop = cells
+        windows = first >> SMALLEST_SHIFT, np.maximum(stop - 1, first) >> SMALLEST_SHIFT
+        for a, b in runs(*names):
+            contig = data[starts[a] : starts[a] + names[0][a]].tobytes()
+            known = self.contigs.get(contig)
+            before = first[a] if known is None else self.last[1] if self.last[0] == contig else LAST
+            falls = np.flatnonzero(first[a:b] < np.r_[before, first[a : b - 1]])
+            if len(falls):
+                self.disorder = f"{contig.decode()}:{first[a + falls[0]] + 1}"
+                return
+            if known is None:
+                known = self.contigs[contig] = {"bins": {}, "windows": {}, "n": 0, "begin": int(places[a]), "first": int(first[a])}
+            self.last = contig, int(first[b - 1])
+            known["n"], known["end"], known["last"] = known["n"] + b - a, int(places[b]), self.last[1]
+            numbers = bins_of(first[a:b], stop[a:b])
+            for i, j in runs(numbers):
+                begin, end = int(places[a + i]), int(places[a + j])
+                chunks = known["bins"].setdefault(int(numbers[i]), [])
+                if chunks and chunks[-1][1] == begin:
+                    chunks[-1][1] = end
+                else:
+                    chunks.append([begin, end])
+            for i, _ in runs(windows[0][a:b], windows[1][a:b]):
+                for window in range(int(windows[0][a + i]), int(windows[1][a + i]) + 1):
+                    known["windows"].setdefault(window, int(places[a + i]))
+
     def rows(self) -> Iterator[tuple]:
         """Kind, contig and three numbers of each entry; of a part out of order only where that is."""
         if self.disorder:
@@ -126,23 +167,77 @@ def record_end(first: int, reference: bytes, rest: bytes) -> int:
     return first + max(len(reference), 1)
 
 
+TAB, LAST = 9, 1 << 62
+
+
+def runs(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Where rows that agree in all columns begin and end."""
+    changes = np.zeros(max(len(columns[0]) - 1, 0), bool)
+    for column in columns:
+        changes |= column[1:] != column[:-1]
+    cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), len(columns[0])]
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
+def plain_cells(data: np.ndarray, edges: np.ndarray) -> tuple | None:
+    """Of each line its begin, length and letters of its contig (a column for each), position and end; None if a line is a
+    header line, lacks cells or has a position that is not of digits only."""
+    starts, tabs = edges[:-1], np.flatnonzero(data == TAB)
+    at = np.searchsorted(tabs, starts)
+    if (np.searchsorted(tabs, edges[1:]) - at < 4).any() or (data[starts] == ord("#")).any():
+        return None
+    name_end, position_end, reference, reference_end = tabs[at], tabs[at + 1], tabs[at + 2] + 1, tabs[at + 3]
+    width, first = position_end - name_end - 1, np.zeros(len(starts), np.int64)
+    if width.min() < 1 or width.max() > 18:
+        return None
+    for k in range(int(width.max())):
+        inside = k < width
+        digit = data[np.where(inside, name_end + 1 + k, name_end)].astype(np.int64) - ord("0")
+        if ((digit < 0) | (digit > 9))[inside].any():
+            return None
+        first = np.where(inside, first * 10 + digit, first)
+    first -= 1
+    stop = first + np.maximum(reference_end - reference, 1)
+    text = data.tobytes()
+    ended = text.find(b"END=")
+    while ended >= 0:
+        i = int(np.searchsorted(edges, ended, "right")) - 1
+        line = text[reference[i] : edges[i + 1] - 1].split(b"\t", 1)
+        stop[i] = record_end(int(first[i]), *line)
+        ended = text.find(b"END=", int(edges[i + 1]))
+    size = name_end - starts
+    letters = [np.where(k < size, data[np.minimum(starts + k, name_end)], 0) for k in range(int(size.max()))]
+    return starts, (size, *letters), first, stop
+
+
 def _write_part(path: str, index: bool):
-    """The task: lines (as bytes) to one part file, its index entries as rows."""
+    """The task: lines (as bytes, with their line feeds) to one part file, its index entries as rows.
+
+    A batch's lines lie end to end in one buffer, which goes to the blocks as it is; nothing is done line by line.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         writer, name, found, n, stream = None, f"part-{part:05d}-{uuid.uuid4().hex}.bgz", PartIndex(), 0, None
+        size = 0  # of the text so far
         for batch in batches:
-            for line in batch["value"].to_pylist():
-                if writer is None:
-                    system, folder = located(path)
-                    stream = system.open_output_stream(f"{folder}/{name}", compression=None)
-                    writer = BlockWriter(stream)
-                begin = writer.place()
-                writer.add(line + b"\n")
-                n += 1
-                if index and not line.startswith(b"#"):
-                    found.add(line, begin, writer.place())
+            lines = batch["value"]
+            if not len(lines):
+                continue
+            if lines.null_count:
+                raise ValueError("a line is missing")
+            if writer is None:
+                system, folder = located(path)
+                stream = system.open_output_stream(f"{folder}/{name}", compression=None)
+                writer = BlockWriter(stream)
+            _, ends, buffer = lines.buffers()
+            edges = np.frombuffer(ends, np.int32, len(lines) + 1, lines.offset * 4).astype(np.int64)
+            data = np.frombuffer(buffer, np.uint8)[edges[0] : edges[-1]]
+            edges -= edges[0]
+            writer.add(memoryview(data))
+            if index:
+                found.add_lines(data, edges, writer.places(edges + size))
+            n, size = n + len(lines), size + len(data)
         if writer is not None:
             writer.flush()
             stream.close()
@@ -163,7 +258,8 @@ def write_blocks(lines: DataFrame, head: list[str], path: str, index: bool = Tru
     Without ``index`` the records may come in any order.
     """
     open_folder(path)
-    rows = lines.selectExpr("cast(value as binary) as value").mapInArrow(_write_part(path, index), ENTRY_SCHEMA).collect()
+    ended = lines.select(F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("value"))
+    rows = ended.mapInArrow(_write_part(path, index), ENTRY_SCHEMA).collect()
     top = close_folder(path, head, {r["name"] for r in rows})
     if index:
         problem = write_index_file(path, rows, top)

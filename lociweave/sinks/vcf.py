@@ -9,11 +9,11 @@ import json
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.genotypes import call_text
-from lociweave.model import CONTIG_LENGTHS, genome_order
+from lociweave.model import CONTIG_LENGTHS, CONTIGS, contig_rank, genome_order
 from lociweave.operators.headers import with_lines
 from lociweave.operators.shards import contig_shards, dealt_by_shard, into_shards
 from lociweave.sinks.bgzf import write_blocks
-from lociweave.sources.vcf import info_pairs
+from lociweave.sources.vcf import FEW_FIELDS, info_cells
 
 VCF_TYPES = {"int": "Integer", "bigint": "Integer", "double": "Float", "float": "Float"}
 
@@ -57,24 +57,24 @@ def info_text(df: DataFrame) -> Column:
     """
     fields = [f for f in df.schema["info"].dataType.fields if f.dataType.typeName() != "void"]
     kept = F.col("raw.info") if "raw" in df.columns else None
-    cells = info_pairs(kept) if kept is not None else None
+    given_text, is_given = info_cells(kept, len(fields) <= FEW_FIELDS) if kept is not None else (None, None)
     parts, same = [], F.lit(True)
     for field in fields:
         value = F.col("info")[field.name]
         if field.dataType.typeName() == "boolean":
             parts.append(F.when(value, F.lit(field.name)))
-            if cells is not None:
-                same &= value.eqNullSafe(F.map_contains_key(cells, field.name))
+            if kept is not None:
+                same &= value.eqNullSafe(is_given(field.name))
             continue
         text = _cell(value, field.dataType)
-        if cells is not None:
-            given = F.try_element_at(cells, F.lit(field.name))
+        if kept is not None:
+            given = given_text(field.name)
             unchanged = _read_back(given, field.dataType).eqNullSafe(value)
             text = F.when(unchanged, given).otherwise(text)
             same &= unchanged
         # a missing value makes the whole part missing, and missing parts are skipped
         parts.append(F.concat(F.lit(field.name + "="), text))
-    if cells is not None:
+    if kept is not None:
         known = F.array(*[F.lit(f.name) for f in fields]) if fields else F.array().cast("array<string>")
         others = F.filter(F.split(kept, ";"), lambda p: ~F.array_contains(known, F.substring_index(p, "=", 1)) & (p != "."))
         parts.append(F.nullif(F.array_join(others, ";"), F.lit("")))
@@ -220,6 +220,19 @@ def ordered_records(df: DataFrame, build: str = "GRCh38", sort: bool = True) ->
     return records.withColumn("_hash", F.xxhash64("value")).orderBy(*names, "_hash").select("value")
 
 
+def scanned_records(df: DataFrame, build: str = "GRCh38") -> DataFrame:
+    """As ``ordered_records`` for rows that come straight from a file (``raw``).
+
+    The bounds of the parts come from a pass over the keys alone; a range exchange would take apart and print every line for
+    them.  Rows of one variant come in the order of a hash of their cells as they were read.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tied = df.withColumn("row_id", F.xxhash64("raw.qual", "raw.info", *[c for c in ("calls",) if c in df.columns]))
+    cuts = genome_cuts(tied, n, build, F.xxhash64("_at"))
+    lines = with_range(tied, cuts, build).select("_range", *order_columns(build), "row_id", record_lines(df).alias("value"))
+    return lines.repartitionById(n, "_range").sortWithinPartitions(*ORDER, "row_id", "value").select("value")
+
+
 def ordered_lines(df: DataFrame, headers: DataFrame, samples: list[str] = (), build: str = "GRCh38", sort: bool = True) -> DataFrame:
     """All lines of a VCF in order, header first."""
     return below_header(ordered_records(df, build, sort), header_lines(df, headers, samples, build))
@@ -244,16 +257,21 @@ def export_vcf(
     compression: str | None = None,
     sort: bool = True,
     wide: DataFrame | None = None,
+    scanned: bool = False,
 ) -> str:
     """Write VCF text as a folder of parts; joined by name they are one file, the header first.
 
     A path that ends with ``.bgz`` is written in blocks; sorted records get an index beside it (``path.tbi``).  Other
     paths are gzip text, or what ``compression`` says.  ``wide`` brings the sample cells to ``df`` at the very
-    end (see ``joined_late``).
+    end (see ``joined_late``).  ``scanned`` says that the rows have not been joined or grouped since they were read (see
+    ``scanned_records``).
     """
     shape = df if wide is None else df.withColumn("calls", F.lit(""))
     head = header_lines(shape, headers, samples, build)
-    records = ordered_records(df, build, sort) if wide is None else joined_late(df, wide, build)
+    if wide is not None:
+        records = joined_late(df, wide, build)
+    else:
+        records = scanned_records(df, build) if scanned and sort else ordered_records(df, build, sort)
     if compression is None and is_indexed_name(path):
         return write_blocks(records, head, path, index=sort)
     below_header(records, head).write.mode("overwrite").text(path, compression=compression or "gzip")
@@ -273,11 +291,11 @@ def joined_late(df: DataFrame, wide: DataFrame, build: str = "GRCh38") -> DataFr
     the genome, so the join and the order need no further exchange.  Rows of one variant come in the order of their ids.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = genome_bounds(wide, n, build)
+    cuts = genome_cuts(wide, n, build)
     ids = [c for c in ("row_id", "a_index") if c in wide.columns]
-    left = df.select(range_number(order_key(build), bounds).alias("_range"), *ids, *order_columns(build), record_lines(df).alias("_head"))
+    left = with_range(df, cuts, build).select("_range", *ids, *order_columns(build), record_lines(df).alias("_head"))
     names = {c: f"_wide_{c}" for c in ["_range", *ids]}
-    right = wide.select(range_number(order_key(build), bounds).alias("_range"), *ids, "calls").withColumnsRenamed(names)
+    right = with_range(wide, cuts, build).select("_range", *ids, "calls").withColumnsRenamed(names)
     left, right = left.repartitionById(n, "_range"), right.repartitionById(n, "_wide__range")
     joined = left.join(right.hint("merge"), [F.col(a) == F.col(b) for a, b in names.items()])
     line = F.concat_ws("\t", "_head", F.coalesce("calls", F.lit(".")))
@@ -295,22 +313,59 @@ def order_key(build: str) -> Column:
     return F.struct(*order_columns(build), F.col("row_id").alias("i"))
 
 
-def genome_bounds(rows: DataFrame, n: int, build: str) -> Column:
-    """Keys that cut the rows into about ``n`` equal ranges, as one literal; a hot variant is cut by its row ids.
+def genome_cuts(rows: DataFrame, n: int, build: str, pick: Column | None = None) -> list[tuple]:
+    """Keys (``order_key``) that cut the rows into about ``n`` equal ranges; a hot variant is cut by its row ids.
 
-    Found from ``KEYS_A_BUCKET * n`` keys with the smallest hashes of all, whatever the size of the table.
+    Found from ``KEYS_A_BUCKET * n`` keys with the smallest hashes of all (or the smallest ``pick``, which may name the
+    place of a row in its scan, ``_at``), whatever the size of the table.
     """
     keys = rows.select(*order_columns(build), F.col("row_id").alias("i"))
-    some = keys.orderBy(F.xxhash64("i", "p")).limit(KEYS_A_BUCKET * n).collect()
-    ordered = sorted(tuple(r) for r in some)
-    cuts = [ordered[len(ordered) * i // n] for i in range(1, n)] if ordered else []
-    text = json.dumps([dict(zip([*ORDER, "i"], c)) for c in cuts])
-    return F.from_json(F.lit(text), "array<struct<r:int,c:string,p:int,a:array<string>,i:bigint>>")
+    if pick is not None:
+        keys = keys.withColumn("_at", F.monotonically_increasing_id())
+    some = keys.orderBy(F.xxhash64("i", "p") if pick is None else pick).limit(KEYS_A_BUCKET * n)
+    # in Spark's order, which has a place for missing values
+    ordered = [tuple(r) for r in some.select(*ORDER, "i").orderBy(*ORDER, "i").collect()]
+    return [ordered[len(ordered) * i // n] for i in range(1, n)] if ordered else []
+
 
+def with_range(df: DataFrame, cuts: list[tuple], build: str) -> DataFrame:
+    """Add ``_range``, how many cuts are not above the row's key.
+
+    The locus as one number decides for nearly all rows, by comparisons that Spark compiles; only a row at the locus of a
+    cut (or on a contig outside the build, if a cut is) is compared with the cuts' whole keys.
+    """
+    numbers = sorted({_locus_number(r, p, build) for r, _, p, *_ in cuts})
+    below = [sum(_locus_number(r, p, build) < x for r, _, p, *_ in cuts) for x in [*numbers, 1 << 62]]
 
-def range_number(key: Column, bounds: Column) -> Column:
-    """How many bounds are not above the key; found by halving."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(20))])
+    def halved(a: int, b: int) -> Column:
+        if a == b:
+            return F.lit(below[a])
+        at = (a + b) // 2
+        return F.when(F.col("_locus") < numbers[at], halved(a, at)).otherwise(halved(at + 1, b))
+
+    rank = contig_rank("contig", build)
+    place = F.when(rank <= len(CONTIGS[build]), F.coalesce(F.col("pos").cast("bigint"), F.lit(NO_POSITION))).otherwise(NO_POSITION)
+    placed = df.withColumn("_locus", rank.cast("bigint") * RANK_STEP + place)
+    number = halved(0, len(numbers))
+    if numbers:
+        number = F.when(F.col("_locus").isin(numbers), range_number(order_key(build), cuts)).otherwise(number)
+    # never missing, or a join would infer a filter on it that moves below the parsing and works the line out again
+    return placed.withColumn("_range", F.coalesce(number, F.lit(0))).drop("_locus")
+
+
+RANK_STEP, NO_POSITION = 1 << 33, -(1 << 31) - 1
+
+
+def _locus_number(rank: int, pos: int | None, build: str) -> int:
+    """The locus in genome order; contigs outside the build share one number."""
+    return rank * RANK_STEP + (NO_POSITION if pos is None or rank > len(CONTIGS[build]) else pos)
+
+
+def range_number(key: Column, cuts: list[tuple]) -> Column:
+    """How many cuts are not above the key; found by halving."""
+    text = json.dumps([dict(zip([*ORDER, "i"], c)) for c in cuts])
+    bounds = F.from_json(F.lit(text), "array<struct<r:int,c:string,p:int,a:array<string>,i:bigint>>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range((len(cuts) + 1).bit_length()))])
 
     def further(at: Column, step: Column) -> Column:
         return F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at)

@@ -32,9 +32,11 @@ def bgzf_lines(spark: SparkSession, paths: list[str], split_bytes: int | None =
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
     ranges = files.where("length > 0").select("path", F.explode(starts).alias("start"))
     ranges = ranges.withColumn("stop", F.col("start") + split_bytes)
-    # One range per task.  The number is explicit: adaptive execution would otherwise merge the
-    # tiny range rows, and with them all the reading, into one task.
-    ranges = ranges.repartition(max(1, ranges.count()))
+    # One range per task.  A number and not a hash or a turn deals them out: with those some tasks had several ranges and
+    # others none, and adaptive execution would merge the tiny range rows, and with them all the reading, into one task.
+    rows = [(i, *r) for i, r in enumerate(sorted(map(tuple, ranges.collect())))]
+    numbered = spark.createDataFrame(rows, "part int, path string, start long, stop long")
+    ranges = numbered.repartitionById(max(1, len(rows)), "part").drop("part")
     return ranges.mapInArrow(_range_lines, "value string")
 
 

@@ -6,6 +6,7 @@ its FORMAT and sample cells.  The sink prints them as they were wherever the val
 
 import json
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -176,17 +177,42 @@ def info_pairs(text: Column, names: Column | None = None) -> Column:
     return F.str_to_map(once, F.lit(";"), F.lit("="))
 
 
-def parse_info(pairs: Column, definitions: list[tuple]) -> Column:
-    """The ``info`` struct of ``info_pairs``; flags are booleans, fields the header does not define are not read.
+FEW_FIELDS = 8
+
+
+def info_cells(text: Column, few: bool, pairs: Column | None = None) -> tuple[Callable[[str], Column], Callable[[str], Column]]:
+    """Two functions of a name: the text of its INFO cell (missing without ``=``), and whether there is one.
+
+    A ``few`` fields are looked for in the text itself, which takes no array and no map; ``pairs`` are used for more.
+    """
+    if not few:
+        pairs = info_pairs(text) if pairs is None else pairs
+        return lambda name: F.try_element_at(pairs, F.lit(name)), lambda name: F.map_contains_key(pairs, name)
+    closed = F.concat(F.lit(";"), text, F.lit(";"))
+
+    def place(name: str, after: str) -> Column:
+        return F.instr(closed, F.lit(f";{name}{after}"))
+
+    def value(name: str) -> Column:
+        given, bare = place(name, "="), place(name, ";")
+        rest = F.substring(closed, given + len(name) + 2, F.length(closed))
+        # of a field that is given more than once the first counts
+        return F.when((given > 0) & ((bare == 0) | (given < bare)), F.substring_index(rest, ";", 1))
+
+    return value, lambda name: (place(name, "=") > 0) | (place(name, ";") > 0)
+
+
+def parse_info(value: Callable[[str], Column], present: Callable[[str], Column], definitions: list[tuple]) -> Column:
+    """The ``info`` struct of ``info_cells``; flags are booleans, fields the header does not define are not read.
 
     Of a field that is given more than once the first counts.
     """
     fields = []
     for _, name, number, kind, _ in definitions:
         if kind == "Flag" or number == "0":
-            fields.append(F.map_contains_key(pairs, name).alias(name))
+            fields.append(present(name).alias(name))
         else:
-            fields.append(_typed(F.try_element_at(pairs, F.lit(name)), number, kind).alias(name))
+            fields.append(_typed(value(name), number, kind).alias(name))
     return F.struct(*fields) if fields else F.struct(F.lit(None).cast("string").alias("_none"))
 
 
@@ -306,9 +332,12 @@ def parse_sites(
     def cell(i: int) -> Column:
         return F.get("_c", F.lit(i))
 
-    # columns of their own: each field below would take the cell apart again
-    cells = cells.withColumn("_names", info_names_of(cell(7)))
-    cells = cells.withColumn("_info", info_pairs(cell(7), F.col("_names")))
+    defined = [d for d in definitions if d[0] == "INFO"]
+    few = len(defined) <= FEW_FIELDS
+    if not few:
+        # columns of their own: each field below would take the cell apart again
+        cells = cells.withColumn("_names", info_names_of(cell(7)))
+        cells = cells.withColumn("_info", info_pairs(cell(7), F.col("_names")))
     alts = F.when(cell(4) == ".", F.array().cast("array<string>")).otherwise(F.split(cell(4), ","))
     filters = F.when(cell(6) == "PASS", F.array().cast("array<string>")).when(
         cell(6) != ".", F.split(cell(6), ";")
@@ -320,7 +349,7 @@ def parse_sites(
         F.nullif(cell(2), F.lit(".")).alias("rsid"),
         cell(5).try_cast("double").alias("qual"),
         filters.alias("filters"),
-        parse_info(F.col("_info"), [d for d in definitions if d[0] == "INFO"]).alias("info"),
+        parse_info(*info_cells(cell(7), few, F.col("_info")), defined).alias("info"),
     ]
     if raw:
         columns.append(F.struct(cell(5).alias("qual"), cell(7).alias("info")).alias("raw"))

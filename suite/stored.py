@@ -93,7 +93,7 @@ def edited_headers(x: Inputs) -> DataFrame:
                         scratch(x.spark, "h.vcf.bgz"), index=False)
     v = read_vcf(x.spark, path, genotypes="text", invalid="keep")
     headers = hd.upsert_info(v.headers, {"DB": ("Flag", "new"), "ZZ": ("Integer", "more")})
-    out = export_vcf(v.sites, headers, scratch(x.spark, "e.vcf.bgz"), v.sample_names)
+    out = export_vcf(v.sites, headers, scratch(x.spark, "e.vcf.bgz"), v.sample_names, scanned=True)
     return bgzf_lines(x.spark, [out]).where("value like '##%' and value not like '##contig%'")
 
 

@@ -15,6 +15,7 @@ from lociweave.plans import annotate as an
 from lociweave.plans import files
 from lociweave.sinks import bgzf as out_blocks
 from lociweave.sinks.vcf import export_vcf, joined_late
+from lociweave.sinks.bgzf import write_blocks
 from lociweave.sources import tabix
 from lociweave.sources.bgzf import bgzf_lines, blocks_of, open_file
 from lociweave.sources.files import parts_of
@@ -361,3 +362,68 @@ def test_split_cells_move_once(spark, tmp_path):
             calls = [["0/1", "0/1", ["0/0", "1/1", "0/0"][p % 3]], ["0/0", "0/1", ["0/0", "0/0", "1/1"][p % 3]]][k]
             fields = [dict(zip(cells[8].split(":"), c.split(":"))) for c in cells[9:]]
             assert [f["GT"] for f in fields] == calls and [f["AD"] for f in fields] == [["7,1", "4,4", "4,2"], ["6,2", "4,4", "3,3"]][k]
+
+
+def test_index_entries_of_many_lines_are_those_line_by_line():
+    import numpy as np
+
+    from lociweave.sinks.bgzf import PartIndex
+
+    def both(lines):
+        edges = np.cumsum([0, *[len(x) + 1 for x in lines]])
+        data = np.frombuffer(b"".join(x + b"\n" for x in lines), np.uint8)
+        found = PartIndex(), PartIndex()
+        for i, x in enumerate(lines):
+            if not x.startswith(b"#"):
+                found[0].add(x, int(edges[i]) * 3, int(edges[i + 1]) * 3)
+        cut = len(lines) // 2  # two batches
+        found[1].add_lines(data[: edges[cut]], edges[: cut + 1], edges[: cut + 1] * 3)
+        found[1].add_lines(data[edges[cut] :], edges[cut:] - edges[cut], edges[cut:] * 3)
+        a, b = [list(x.rows()) for x in found]
+        assert a == b and a
+        return a
+
+    plain = [b"chr%d\t%d\t.\t%s\tC\t.\t.\tX=1" % (c, p * p * 900 + 1, b"A" * (1 + p % 9 * 4000)) for c in (1, 2, 10) for p in range(300)]
+    both(plain)
+    both([b"1\t5\t.\tA\tC\t.\t.\tEND=40000;X", b"1\t9\t.\tA\tC\t.\t.\tBEND=7;END=70000", b"1\t9\t.\tA\tC\t.\t.\tEND=x\tGT\tEND=9", b"#x", b"1\t+20\t.\tA\tC"])
+    assert both([*plain[:20], plain[3], plain[900 - 1]])[0][0] == "disorder"
+    assert both([plain[0], plain[300], plain[1], plain[2]])[0][0] == "disorder"
+
+
+def test_every_task_reads_one_range(spark, tmp_path):
+    lines = spark.range(4000).selectExpr("concat('line ', id) as value").repartition(23)
+    path = write_blocks(lines, ["#h"], f"{tmp_path}/r.bgz", index=False)
+    ranges = bgzf_lines(spark, [path])
+    sizes = ranges.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert ranges.rdd.getNumPartitions() == 25 and sum(r["count"] for r in sizes) == 4001
+    assert len(sizes) == 24  # all but the one whose range is the block that ends the file
+
+
+def test_scanned_export_prints_each_line_once_and_in_order(spark, tmp_path):
+    rows = [("chrUn_b", 5), ("chr2", 7), ("chr2", 7), ("chr10", 1), ("chrUn_a", 9), ("chr1", 3), ("chr2", 1), ("chrX", 2)] * 40
+    rows += [("chr2", 7 + i % 3) for i in range(500)]
+    lines = spark.createDataFrame([(f"{c}\t{p}\t.\tA\t{'C' * (i % 3 + 1)}\t.\t.\tDB;ZZ={i % 17}\tGT\t0/{i % 2}",) for i, (c, p) in enumerate(rows)], "value string")
+    head = ['##INFO=<ID=DB,Number=0,Type=Flag,Description="d">', "#" + "\t".join(["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "s"])]
+    v = read_vcf(spark, write_blocks(lines, head, f"{tmp_path}/in.vcf.bgz", index=False), genotypes="text", invalid="keep")
+    from lociweave.sinks import vcf as sink
+
+    records = sink.scanned_records(v.sites)
+    assert "rangepartitioning" not in records._jdf.queryExecution().toString().lower()
+    got = [r["value"].split("\t") for r in bgzf_lines(spark, [export_vcf(v.sites, v.headers, f"{tmp_path}/out.vcf.bgz", v.sample_names, scanned=True)]).collect()]
+    got = [x for x in got if not x[0].startswith("#")]
+    rank = {"chr1": 0, "chr2": 1, "chr10": 2, "chrX": 3, "chrUn_a": 4, "chrUn_b": 5}
+    key = [(rank[x[0]], int(x[1]), x[4]) for x in got]
+    assert key == sorted(key)
+    assert sorted("\t".join(x) for x in got) == sorted(r["value"] for r in lines.collect())
+
+
+def test_few_info_fields_are_read_as_many_are(spark):
+    from lociweave.sources.vcf import info_cells
+
+    texts = ["A=1;B", "B;A=1;A=2", "A;A=3", "A=4;A", "XA=1;AX=2", "", ".", None, "A=x=y;;B=", "A=", "B=1;C=é;A=é5;D"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    columns = []
+    for few in (True, False):
+        value, present = info_cells(F.col("t"), few)
+        columns.append(F.array(*[f(n).cast("string") for n in ("A", "B", "D") for f in (value, present)]))
+    assert all(r[0] == r[1] for r in df.select(*columns).collect())
