@@ -9,9 +9,10 @@ import json
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lociweave.functions.genotypes import call_text
-from lociweave.model import CONTIG_LENGTHS, CONTIGS, contig_rank, genome_order
+from lociweave.model import CONTIG_LENGTHS, CONTIGS, VARIANT_KEY, contig_rank, genome_order
 from lociweave.operators.headers import with_lines
-from lociweave.operators.shards import contig_shards, dealt_by_shard, into_shards
+from lociweave.operators.shards import all_shards, contig_shards, dealt_by_shard, into_shards
+from lociweave.session import written
 from lociweave.sinks.bgzf import write_blocks
 from lociweave.sources.vcf import FEW_FIELDS, info_cells
 
@@ -387,15 +388,15 @@ def export_vcf_shards(
 
     Nothing is written for an input without rows.
     """
-    if df.isEmpty():
-        return None
     split = contig_shards if by_contig else into_shards
     parts = ["contig", "shard"] if by_contig else ["shard"]
     order = genome_order(build)
     names = [f"_o{i}" for i in range(len(order))]
-    records = split(df, per_shard, build).select(
-        *parts, *[o.alias(n) for o, n in zip(order, names)], record_lines(df).alias("value")
-    )
+    # printed and written once: counts, numbers and headers are all made from what is there
+    printed = written(df.select(*VARIANT_KEY, record_lines(df).alias("value")))
+    if printed.isEmpty():
+        return None
+    records = split(printed, per_shard, build).select(*parts, *[o.alias(n) for o, n in zip(order, names)], "value")
     lines = [
         F.struct(
             F.lit(-1).alias("_o0"),
@@ -407,7 +408,10 @@ def export_vcf_shards(
         for i, line in enumerate(header_lines(df, headers, samples, build))
     ]
     # every shard repeats the header
-    head = records.select(*parts).distinct().select(*parts, F.explode(F.array(*lines)).alias("h"))
+    # every shard up to the last has a row, unless rows without a locus are lost on the way
+    whole = printed.where("contig is null or pos is null").isEmpty()
+    shards = all_shards(printed, per_shard, build, by_contig) if whole else records.select(*parts).distinct()
+    head = shards.select(*parts, F.explode(F.array(*lines)).alias("h"))
     head = head.select(*parts, "h.*")
     # a shard is bounded by per_shard rows, so it fits one sorted task
     ordered = (

@@ -156,3 +156,29 @@ def test_the_fallback_is_chosen_without_a_job(spark):
     assert got == {i: (i / 2 if i % 2 == 0 else None, 3.0) for i in range(40)}
     kept = gt.prefer_allele_specific(df, coalesce=True).where("info.VQ is null").count()
     assert kept == 20
+
+
+def test_sharded_export_works_its_input_out_once(spark, tmp_path):
+    from lociweave.operators.shards import all_shards
+    from lociweave.sinks.vcf import export_vcf_shards
+    from lociweave.sources.vcf import headers_table
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        seen.add(1)
+        return f"chr{i % 3 + 1}", i % 40 + 1, ["A", "C"]
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(500), 3).map(row), "contig string, pos int, alleles array<string>")
+    for by_contig, parts in ((False, ["shard"]), (True, ["contig", "shard"])):
+        begun = seen.value
+        out = export_vcf_shards(df, headers_table(spark, []), f"{tmp_path}/{by_contig}", 30, by_contig=by_contig)
+        assert seen.value - begun == 500
+        lines = spark.read.text(out)
+        records = lines.where("value not like '#%'").groupBy(*parts).count()
+        heads = lines.where("value like '#CHROM%'").groupBy(*parts).count()
+        assert records.count() == heads.count() == all_shards(df, 30, by_contig=by_contig).count() == (18 if by_contig else 17)
+        assert records.agg(F.sum("count")).first()[0] == 500 and records.agg(F.max("count")).first()[0] == 30
+        assert heads.agg(F.max("count")).first()[0] == 1
+    assert export_vcf_shards(df.limit(0), headers_table(spark, []), f"{tmp_path}/none", 30) is None
+    assert all_shards(df.limit(0), 30).count() == 0
