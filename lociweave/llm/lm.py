@@ -24,6 +24,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -53,16 +54,36 @@ def words_of(data: bytes) -> list[bytes]:
     return [*data.lower().split(), END]
 
 
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as ``words_of`` has them, without the ends, and where each text's begin and the last one's end."""
+    texts = texts.cast(pa.binary())
+    # as text without a look at its encoding: only ASCII letters and white space matter
+    text = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    words, edges = lists.values, lists.offsets.to_numpy()
+    real = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return words.filter(real), before[edges]
+
+
+def as_text(words: list[bytes]) -> pa.Array:
+    array = pa.array(words, pa.binary())
+    return pa.Array.from_buffers(pa.string(), len(array), array.buffers())
+
+
+def as_bytes(words: pa.Array) -> pa.Array:
+    return words.cast(pa.binary())
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` and ``n``, its count over all training documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", TEXT_BYTES):
-            counts: Counter = Counter()
-            for data in part["text"].to_pylist():
-                counts.update(words_of(data))
-            columns = [pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
+            counts = pc.value_counts(tokens(part["text"])[0])
+            words = pa.concat_arrays([as_bytes(counts.field("values")), pa.array([END], pa.binary())])
+            times = pa.concat_arrays([counts.field("counts").cast(pa.int64()), pa.array([part.num_rows], pa.int64())])
+            yield pa.RecordBatch.from_arrays([words, times], ["word", "n"])
 
     training = docs.where(fold("doc_id", FOLDS) != HELD_OUT).select(utf8("text").alias("text"))
     return training.mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -411,11 +432,17 @@ def coded(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         lex = shared.value
         base, rest = lex.base(), np.log10(np.maximum(lex.rest(), 1e-300))
         task, row = TaskContext.get().partitionId(), 0
+        known_words = as_text(list(lex.place))
+        end = np.int32(lex.place.get(END, -1))
         for part in slices(batches, "text", CODE_BYTES):
+            words, edges = tokens(part["text"])
+            places = pc.fill_null(pc.index_in(words, value_set=known_words), -1).to_numpy().astype(np.int32)
+            unknown = np.flatnonzero(places < 0)
+            rare_words = as_bytes(words.take(pa.array(unknown))).to_pylist()
+            rare_edges = np.searchsorted(unknown, edges)
             out = {name: [] for name in ("n_tokens", "n_known", "head_base", "share", "symbols", "rare", "times")}
-            for data in part["text"].to_pylist():
-                words = words_of(data)
-                codes = lex.codes(words)
+            for i in range(part.num_rows):
+                codes = np.append(places[edges[i] : edges[i + 1]], end)
                 known, symbols = codes[codes >= 0], lex.symbols(codes)
                 in_bands = np.bincount(symbols[symbols >= lex.short] - lex.short, minlength=len(rest))
                 out["n_tokens"].append(len(codes))
@@ -424,7 +451,9 @@ def coded(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
                 # a word outside the shortlist has its share of what the network gives to its band
                 out["share"].append(float(base[known[known >= lex.short]].sum()) - float(rest @ in_bands))
                 out["symbols"].append(symbols.astype(np.uint16).tobytes())
-                rare = Counter([words[i] for i in np.flatnonzero(codes < 0).tolist()])
+                rare = Counter(rare_words[rare_edges[i] : rare_edges[i + 1]])
+                if end < 0:
+                    rare[END] = 1
                 out["rare"].append(list(rare))
                 out["times"].append(list(rare.values()))
             n = part.num_rows

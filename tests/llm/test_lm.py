@@ -155,3 +155,13 @@ def test_training_lanes_are_full(monkeypatch):
     monkeypatch.setattr(lm.Lanes, "pack", lambda *given: packed.append(pack(*given)) or packed[-1])
     lm.train_texts(lm.Network(small_lexicon()), [np.ones(n, np.int32) for n in (400, *[20] * 1000)])
     assert packed[0].lengths.sum() >= 0.9 * packed[0].lengths.max() * len(packed[0].lengths)
+
+
+def test_words_of_a_slice_are_those_of_each_text():
+    import pyarrow as pa
+
+    texts = [b"The  quick\tBROWN\x0bfox\x0c \r\n", b"", b"   ", "É Ünï  x y \x1c z\x85".encode(), b"a", b"\xff\xfe bad \x80", b"x" * 10]
+    for given in (pa.array(texts, pa.binary()), pa.array([b"zz", *texts], pa.binary()).slice(1), pa.array([], pa.binary())):
+        words, edges = lm.tokens(given)
+        words = lm.as_bytes(words).to_pylist()
+        assert [[*words[a:b], lm.END] for a, b in zip(edges[:-1], edges[1:])] == [lm.words_of(t) for t in given.to_pylist()]
