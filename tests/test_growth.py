@@ -1,8 +1,10 @@
 """Steps whose work or share of a task must not grow with the table."""
 
+import itertools
+
 from pyspark.sql import functions as F
 
-from lociweave.operators.samples import subset_samples
+from lociweave.operators.samples import sample_chunk_pairs, subset_samples
 from lociweave.operators.shards import number_rows, sort_genome
 from lociweave.plans.annotate import annotate_matrix, annotate_vcf
 from lociweave.sources.vcf import parse_sites
@@ -64,3 +66,17 @@ def test_large_tables_are_sorted_in_more_parts(spark, monkeypatch):
     assert numbered.rdd.getNumPartitions() > 2 * usual
     got = [(r["pos"], r["contig"]) for r in numbered.orderBy("row_number").collect()]
     assert got == sorted(got) and numbered.agg(F.max("row_number")).first()[0] == n
+
+
+def test_chunk_pairs_are_not_listed(spark):
+    """Rows come from samples and the number of chunks: no list of pairs is made in one task and joined."""
+    for n, per_chunk in ((7, 2), (3, 5), (9, 3)):
+        names = [f"n{i}" for i in range(n - 1)] + [None]
+        out = sample_chunk_pairs(spark.createDataFrame([(s,) for s in names], "s string"), per_chunk)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+        names.sort(key=lambda s: (s is not None, s))
+        chunks = [names[i : i + per_chunk] for i in range(0, n, per_chunk)]
+        pairs = list(itertools.combinations(range(len(chunks)), 2)) or [(0, None)]
+        want = [(i, a, b, s) for i, (a, b) in enumerate(pairs) for c in (a, b) if c is not None for s in chunks[c]]
+        assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.collect())
+    assert sample_chunk_pairs(spark.createDataFrame([], "s string"), 2).collect() == []
