@@ -213,9 +213,11 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
     keys = [HASH, *VARIANT_KEY] if HASH in stacked.columns else VARIANT_KEY
     # copies of a variant that is not hot are numbered together
     stacked = stacked.withColumn("_bucket", F.when(F.col("_places").isNotNull(), F.col("_bucket")).otherwise(0))
-    in_bucket = F.row_number().over(Window.partitionBy(*keys, "_file", "_bucket").orderBy("_tie"))
+    # the arrays of a variant end here: rows are numbered and grouped without them
     before = F.get("_offsets", F.array_position("_places", _bucket_place()) - 1)
-    grouped = stacked.withColumn("_repeat", F.coalesce(before, F.lit(0)) + in_bucket).groupBy(*keys, "_repeat")
+    stacked = stacked.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_places", "_offsets")
+    in_bucket = F.row_number().over(Window.partitionBy(*keys, "_file", "_bucket").orderBy("_tie"))
+    grouped = stacked.withColumn("_repeat", F.col("_before") + in_bucket).groupBy(*keys, "_repeat")
 
     def in_order(value: Column) -> Column:
         """Values of the files that have one, in file order: at most one for each file."""

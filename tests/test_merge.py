@@ -155,3 +155,13 @@ def test_attached_genotypes_of_a_hot_variant(spark):
     assert sorted(hot) == sorted(d % 50 for d in range(700))
     again = spark.createDataFrame([("chr1", 1, ["A", "C"], str(i)) for i in range(1500)], LEFT)
     assert attach_genotypes(again, right).count() == 1500 and attach_genotypes(again, right.where("pos > 5")).count() == 0
+
+
+def test_merged_rows_drop_the_arrays_of_a_hot_variant(spark):
+    """A record learns its offset and drops the arrays of all buckets at once; it is sorted and numbered without them."""
+    a = spark.createDataFrame([site(1, "x", 3.0, [], 1, 4, "a", 10)], SITES)
+    one = spark.createDataFrame([(0, "s")], "idx int, s string")
+    merged, _ = merge_samples([(a, one), (a, one)])
+    above, below = merged._jdf.queryExecution().optimizedPlan().toString().split("Window [row_number()", 1)
+    numbered = below.splitlines()[1]
+    assert "_offsets" not in above and " AS _before" in numbered and " AS _offsets" not in numbered
