@@ -37,6 +37,12 @@ def parse_csq(packed: Column, columns: list[str]) -> Column:
     return F.transform(F.transform(packed, lambda s: F.split(s, r"\|")), fields)
 
 
+def csq_cells(packed: Column, columns: list[str], name: str) -> Column:
+    """One text field of each transcript as ``parse_csq`` gives it, without the others."""
+    cell = lambda tokens: F.when(F.size(tokens) > 1, F.get(tokens, F.lit(columns.index(name))))
+    return F.transform(F.transform(packed, lambda s: F.split(s, r"\|")), cell)
+
+
 def pack_transcripts(transcripts: Column, columns: list[str]) -> Column:
     """``array<struct>`` back to ``array<string>``; a missing field is written as ``''``."""
 

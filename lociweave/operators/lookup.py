@@ -14,20 +14,25 @@ from lociweave.session import fits_broadcast
 
 
 HASH = "_hash"
+# by position first: a sort on a number spares most comparisons of strings, and rows near each other pack well
+GROUP_KEY = ["contig", "pos", "alleles"]
 
 
 @dataclass(frozen=True)
 class Lookup:
     """A right side: its table and the columns to bring over, as ``{output: source column}``.
 
-    ``unique`` promises one row for each variant, as ``write_lookup`` stores it.  ``buckets`` is given for a variant
-    store (see ``stores``).
+    ``unique`` promises one row for each variant, as ``write_lookup`` stores it; ``grouped`` says besides that the table
+    has just been grouped by ``GROUP_KEY``, so it is partitioned like that already.  ``own`` says that the table was made
+    from the sites, so all its variants are wanted.  ``buckets`` is given for a variant store (see ``stores``).
     """
 
     table: DataFrame
     values: dict[str, str]
     unique: bool = False
     buckets: int = 0
+    grouped: bool = False
+    own: bool = False
 
 
 def source_column(name: str) -> Column:
@@ -87,9 +92,10 @@ def _join_reduced(
     elif not unique:
         # The reduction leaves the right side partitioned by the key, and Spark can split a hot
         # left partition only where both join inputs come straight from an exchange.  Joining on
-        # a hash of the key as well asks for that exchange; it moves reduced rows only.
-        left = left.withColumn("_left_hash", F.xxhash64(*left_keys))
-        right = right.withColumn("_right_hash", F.xxhash64(*keys))
+        # a hash of the key as well asks for that exchange; it moves reduced rows only.  Two bytes
+        # spare most comparisons of a sort, and a whole hash does not pack.
+        left = left.withColumn("_left_hash", F.shiftright(F.xxhash64(*left_keys), 48))
+        right = right.withColumn("_right_hash", F.shiftright(F.xxhash64(*keys), 48))
         condition = [F.col("_left_hash") == F.col("_right_hash"), *condition]
     return left.join(right, condition, "left").drop(*keys, "_right_hash")
 
@@ -125,40 +131,74 @@ def lookup_left(
 
 
 def lookup_variants(
-    sites: DataFrame, lookups: list[Lookup], keep_hash: bool = False, merge: bool = False
+    sites: DataFrame,
+    lookups: list[Lookup],
+    keep_hash: bool = False,
+    merge: bool = False,
+    asked: DataFrame | None = None,
+    ask: bool = True,
 ) -> DataFrame:
     """Add the values of several variant-keyed lookups; the wide left rows move once however many there are.
 
-    The right sides that may repeat a variant are stacked, reduced together and joined at once.  Those that are
-    ``unique`` are then joined one by one as they are: the rows are partitioned and sorted by the variant
-    already, so that takes no further exchange of them.  ``keep_hash`` keeps the hash column of a sort-merge
-    join, so a later grouping can reuse its partitioning.
+    The right sides that may repeat a variant are stacked and reduced together.  Where rows move, the distinct variants of
+    ``asked`` (``sites`` if not given; it may hold more variants, with fewer columns) meet these and the ``grouped``
+    tables where they were grouped, so only rows that some site wants move again, all values of a variant in one row, to
+    be joined at once.  ``ask`` turns that off, for sites that are dear to work out twice.  Tables that are ``unique`` but
+    not grouped are then joined one by one as they are: the rows are partitioned and sorted by the variant already, so
+    that takes no further exchange of them.  ``keep_hash`` keeps the hash column of a sort-merge join, so a later grouping
+    can reuse its partitioning.
     """
-    df = _stacked_lookup(sites, [x for x in lookups if not x.unique], merge)
+    sites = sites.drop(HASH)
+    wanted = (sites if asked is None else asked) if ask else None
+    df = _gathered_lookup(sites, [x for x in lookups if not x.unique or x.grouped], wanted, merge)
     for lookup in lookups:
-        if lookup.unique:
+        if lookup.unique and not lookup.grouped:
             df = _unique_lookup(df, lookup, merge)
     return df if keep_hash else df.drop(HASH)
 
 
-def _stacked_lookup(sites: DataFrame, lookups: list[Lookup], merge: bool) -> DataFrame:
-    sites = sites.drop(HASH)
+def _gathered_lookup(sites: DataFrame, lookups: list[Lookup], wanted: DataFrame | None, merge: bool) -> DataFrame:
     if not lookups:
         return sites
-    stacked = []
-    for i, lookup in enumerate(lookups):
-        match = F.struct(*[source_column(v).alias(out) for out, v in lookup.values.items()])
-        stacked.append(lookup.table.select(*VARIANT_KEY, match.alias(f"_m{i}")))
-    right = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    matches = [f"_m{i}" for i in range(len(lookups))]
-    keys = [f"_k{i}" for i in range(len(VARIANT_KEY))]
-    right = right.select(*[F.col(c).alias(k) for c, k in zip(VARIANT_KEY, keys)], *matches)
+    named = {f"_m{i}": x for i, x in enumerate(lookups)}
+    stacked = {m: x for m, x in named.items() if not x.grouped}
+    tables = [(list(stacked), _stacked(stacked))] if stacked else []
+    tables += [([m], _keyed(x, m)) for m, x in named.items() if x.grouped]
+    moved = merge or not all(fits_broadcast(table) for _, table in tables)
+    if moved and wanted is not None and not all(x.own for x in lookups):
+        tables = [(list(named), _wanted_rows(wanted, tables, merge))]
+    # values travel as plain columns, which take less room than structs
+    values = {f"_v{m}_{i}": F.col(m)[out] for m, x in named.items() for i, out in enumerate(x.values)}
+    outputs = {out: F.col(f"_v{m}_{i}") for m, x in named.items() for i, out in enumerate(x.values)}
+    joined = sites
+    for matches, table in tables:
+        own = [value.alias(v) for v, value in values.items() if v[2:].rpartition("_")[0] in matches]
+        joined = _join_variants(joined, table.select(*_GROUP_KEYS, *own), moved, merge)
+    return joined.withColumns(outputs).drop(*values)
+
+
+def _keyed(lookup: Lookup, match: str) -> DataFrame:
+    values = F.struct(*[source_column(v).alias(out) for out, v in lookup.values.items()])
+    return lookup.table.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(VARIANT_KEY)], values.alias(match))
+
+
+def _stacked(lookups: dict[str, Lookup]) -> DataFrame:
+    """The tables on top of each other, the smallest values of each left for every variant."""
+    right = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_keyed(x, m) for m, x in lookups.items()])
     right = right.where("_k0 is not null and _k1 is not null and _k2 is not null")
-    # by position first: a sort on a number spares most comparisons of strings, and rows near each other pack well
-    right = right.groupBy("_k1", "_k0", "_k2").agg(*[F.min(m).alias(m) for m in matches])
-    joined = _join_variants(sites, right, merge or not fits_broadcast(right), merge)
-    outputs = {out: F.col(m)[out] for m, lookup in zip(matches, lookups) for out in lookup.values}
-    return joined.withColumns(outputs).drop(*matches)
+    return right.groupBy(*_GROUP_KEYS).agg(*[F.min(m).alias(m) for m in lookups])
+
+
+_GROUP_KEYS = [f"_k{VARIANT_KEY.index(c)}" for c in GROUP_KEY]
+
+
+def _wanted_rows(wanted: DataFrame, tables: list[tuple[list[str], DataFrame]], merge: bool) -> DataFrame:
+    """One row for each variant that is wanted and found in some table; all inputs are grouped by the same columns."""
+    # nulls are not left out here: they match nothing, and a filter would be pushed into the plan of the sites
+    rows = wanted.select(*[F.col(c).alias(f"_k{VARIANT_KEY.index(c)}") for c in GROUP_KEY]).distinct()
+    for _, table in tables:
+        rows = rows.join(table.hint("merge") if merge else table, _GROUP_KEYS, "left")
+    return rows.where(reduce(lambda a, b: a | b, [F.col(m).isNotNull() for names, _ in tables for m in names]))
 
 
 def _unique_lookup(left: DataFrame, lookup: Lookup, merge: bool) -> DataFrame:

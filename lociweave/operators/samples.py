@@ -209,7 +209,7 @@ def merge_samples(files: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame,
     stacked = stacked.withColumn("_tie", content)
     stacked = stacked.withColumn("_bucket", copy_bucket(F.col("_tie")))
     offsets = Lookup(_repeat_offsets(stacked), {"_places": "places", "_offsets": "offsets"})
-    stacked = lookup_variants(stacked, [offsets], keep_hash=True)
+    stacked = lookup_variants(stacked, [offsets], keep_hash=True, ask=False)
     keys = [HASH, *VARIANT_KEY] if HASH in stacked.columns else VARIANT_KEY
     # copies of a variant that is not hot are numbered together
     stacked = stacked.withColumn("_bucket", F.when(F.col("_places").isNotNull(), F.col("_bucket")).otherwise(0))

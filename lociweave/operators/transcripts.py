@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lociweave.functions.csq import (
     SPLICE_TERMS,
     best_splice_score,
+    csq_cells,
     has_any_term,
     hgvs_symbol,
     splice_tokens,
     splice_values,
 )
 from lociweave.model import VARIANT_KEY, with_row_id
-from lociweave.operators.lookup import HASH, Lookup, grouped_by_hash, lookup_left, source_column
+from lociweave.operators.lookup import GROUP_KEY, HASH, Lookup, grouped_by_hash, lookup_left, source_column
 
 
 def explode_transcripts(df: DataFrame, column: str = "csq") -> DataFrame:
@@ -37,7 +38,7 @@ def regroup_transcripts(exploded: DataFrame, keys: list[str], column: str = "csq
 
 
 def enrich_transcripts(
-    df: DataFrame, enrich: Callable[[DataFrame], DataFrame], column: str = "csq", moved: bool = False
+    df: DataFrame, enrich: Callable[[DataFrame], DataFrame], column: str = "csq", exploded: bool = True
 ) -> DataFrame:
     """Apply ``enrich`` to the exploded rows and put the transcripts back into their own row.
 
@@ -47,11 +48,13 @@ def enrich_transcripts(
     stays and its array is missing.
 
     Rows that come from a sort-merge variant lookup are grouped by its keys too.  They are
-    partitioned by those already, so the regroup needs no shuffle of its own.  Where the tables are so large that the
-    transcripts move (``moved``), that is lost, and the key travels with the first transcript like all else.
+    partitioned by those already, so the regroup needs no shuffle of its own.  ``exploded=False`` is for an ``enrich`` that
+    works on the array of each row, as ``add_transcript_answers``: nothing is exploded, and nothing moves.
     """
+    if not exploded:
+        return enrich(df)
     numbered = with_row_id(df)
-    keys = ["row_id", *([HASH, *VARIANT_KEY] if HASH in df.columns and not moved else [])]
+    keys = ["row_id", *([HASH, *VARIANT_KEY] if HASH in df.columns else [])]
     others = [c for c in numbered.columns if c != column and c not in keys]
     exploded = numbered.select(
         *keys,
@@ -100,27 +103,80 @@ def add_transcript_lookups(exploded: DataFrame, lookups: list[TranscriptLookup])
     """
     joined = exploded
     for field in dict.fromkeys(x.field for x in lookups):
-        places = [i for i, x in enumerate(lookups) if x.field == field]
-        matches = [f"_t{i}" for i in places]
-        stacked = reduce(
-            lambda a, b: a.unionByName(b, allowMissingColumns=True),
-            [
-                lookups[i].table.select(
-                    F.col(lookups[i].key).alias("_t_key"),
-                    F.struct(*[source_column(v).alias(out) for out, v in lookups[i].values.items()]).alias(f"_t{i}"),
-                )
-                for i in places
-            ],
-        ).where("_t_key is not null")
-        right = grouped_by_hash(stacked, ["_t_key"]).agg(*[F.min(m).alias(m) for m in matches]).drop("_sort")
+        right, matches = _stacked_by_field(lookups, field)
         joined = lookup_left(joined, right, [(F.col("tc")[field], "_t_key")], {m: m for m in matches}, unique=True, reduced=True)
     fields = {}
     for i, lookup in enumerate(lookups):
         for out in lookup.values:
-            fields[out] = F.when(F.col(f"_t{i}").isNull(), F.lit("")).otherwise(F.col(f"_t{i}")[out])
+            fields[out] = _value(i, out)
     return with_tc_fields(joined, fields).drop(*[f"_t{i}" for i in range(len(lookups))])
 
 
+def _value(i: int, out: str) -> Column:
+    return F.when(F.col(f"_t{i}").isNull(), F.lit("")).otherwise(F.col(f"_t{i}")[out])
+
+
+def _stacked_by_field(lookups: list[TranscriptLookup], field: str) -> tuple[DataFrame, list[str]]:
+    """The tables that are looked up by a field on top of each other, one row for each ``_t_key``, and their match columns."""
+    places = [i for i, x in enumerate(lookups) if x.field == field]
+    matches = [f"_t{i}" for i in places]
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            lookups[i].table.select(
+                F.col(lookups[i].key).alias("_t_key"),
+                F.struct(*[source_column(v).alias(out) for out, v in lookups[i].values.items()]).alias(f"_t{i}"),
+            )
+            for i in places
+        ],
+    ).where("_t_key is not null")
+    return grouped_by_hash(stacked, ["_t_key"]).agg(*[F.min(m).alias(m) for m in matches]).drop("_sort"), matches
+
+
+def transcript_answers(df: DataFrame, packed: Column, columns: list[str], lookups: list[TranscriptLookup]) -> list[Lookup]:
+    """What the tables hold for the transcripts of each variant, as one variant-keyed lookup ``_t_<field>`` for each field.
+
+    For tables that are too large to broadcast: a variant asks once for every value of the field among its transcripts,
+    only these narrow rows move to the tables, and only what is found moves back.  An answer depends on the field's value
+    alone, so copies of a variant can share the list of answers.  ``df`` has no nulls in its keys.
+    """
+    answers = []
+    for field in dict.fromkeys(x.field for x in lookups):
+        right, matches = _stacked_by_field(lookups, field)
+        cells = F.array_distinct(csq_cells(packed, columns, field))
+        # the outer form, and the filter on what it makes: others would be pushed down and work the texts out twice
+        asked = df.select(*VARIANT_KEY, F.explode_outer(cells).alias("_asked")).where("_asked is not null")
+        found = lookup_left(asked, right, [("_asked", "_t_key")], {m: m for m in matches}, unique=True, reduced=True)
+        found = found.where(reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in matches]))
+        values = [_value(i, out).alias(f"{i}_{out}") for i, x in enumerate(lookups) if x.field == field for out in x.values]
+        answer = F.struct(F.col("_asked").alias("key"), *values).alias("_answer")
+        grouped = found.select(*VARIANT_KEY, answer).groupBy(*GROUP_KEY).agg(F.collect_set("_answer").alias("_answers"))
+        answers.append(Lookup(grouped, {f"_t_{field}": "_answers"}, unique=True, grouped=True, own=True))
+    return answers
+
+
+def add_transcript_answers(df: DataFrame, lookups: list[TranscriptLookup], column: str = "csq") -> DataFrame:
+    """Write the answers of ``transcript_answers`` into ``csq``, in the order of the tables, ``''`` if there is none; row-local."""
+    fields = list(dict.fromkeys(x.field for x in lookups))
+
+    def first(t: Column, field: str) -> Column:
+        return F.get(F.filter(f"_t_{field}", lambda r: r["key"] == t[field]), F.lit(0))
+
+    def found(t: Column) -> Column:
+        return F.struct(t.alias("t"), *[first(t, f).alias(f"f{i}") for i, f in enumerate(fields)])
+
+    def written(pair: Column) -> Column:
+        t = pair["t"]
+        for i, lookup in enumerate(lookups):
+            answer = pair[f"f{fields.index(lookup.field)}"]
+            for out in lookup.values:
+                t = t.withField(f"`{out}`", F.when(answer.isNull(), F.lit("")).otherwise(answer[f"{i}_{out}"]))
+        return t
+
+    transcripts = F.when(F.size(column) > 0, F.transform(F.transform(column, found), written))
+    return df.withColumn(column, transcripts).drop(*[f"_t_{f}" for f in fields])
+
+
 def loeuf_v2(loeuf: DataFrame) -> TranscriptLookup:
     return TranscriptLookup("Feature", loeuf, "transcript", {"LOEUF_v2": "oe_lof_upper", "LOEUF_v2_decile": "oe_lof_upper_bin"})
 
@@ -197,7 +253,7 @@ def splice_records(splice: DataFrame) -> DataFrame:
     smallest stays, so the table is grouped once.
     """
     records = F.sort_array(F.collect_set(F.struct("SYMBOL", F.col("SpliceAI").alias("raw"))))
-    grouped = splice.groupBy(*VARIANT_KEY).agg(records.alias("_all"))
+    grouped = splice.groupBy(*GROUP_KEY).agg(records.alias("_all"))
     first = F.filter("_all", lambda r, i: (i == 0) | ~r["SYMBOL"].eqNullSafe(F.get(F.col("_all"), i - 1)["SYMBOL"]))
     return grouped.select(*VARIANT_KEY, first.alias("splice"))
 
@@ -208,7 +264,7 @@ def splice_by_variant(splice: DataFrame) -> Lookup:
     A table that ``splice_records`` has prepared is taken as it is.
     """
     prepared = "splice" in splice.columns
-    return Lookup(splice if prepared else splice_records(splice), {"_splice": "splice"}, unique=True)
+    return Lookup(splice if prepared else splice_records(splice), {"_splice": "splice"}, unique=True, grouped=not prepared)
 
 
 def add_splice_scores(

@@ -4,6 +4,7 @@ Each run is one lazy plan.  All variant-keyed lookups share one join and all tra
 lookups share one explode and regroup.
 """
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,6 +27,7 @@ from lociweave.operators.transcripts import (
     TranscriptLookup,
     add_hgvs_symbol,
     add_splice_scores,
+    add_transcript_answers,
     add_transcript_lookups,
     enrich_transcripts,
     gene_list,
@@ -35,6 +37,7 @@ from lociweave.operators.transcripts import (
     loeuf_v4,
     omim,
     splice_by_variant,
+    transcript_answers,
     transcript_fields,
 )
 from lociweave.session import fits_broadcast
@@ -151,41 +154,64 @@ def _annotated(
     gate: list[str] | None,
     overall: bool,
     consequences: DataFrame | None = None,
+    asked: DataFrame | None = None,
+    more: Sequence[Lookup] = (),
 ) -> tuple[DataFrame, list[str]]:
     """Add variant lookups as top-level columns and the enriched ``csq``; return the new names.
 
     ``packed`` gives the packed consequences; with ``consequences`` they come from that table, in
-    the same join as the other variant lookups.
+    the same join as the other variant lookups.  ``asked`` has the variants and the columns behind ``packed`` of all
+    rows, for the keys that are asked for; it spares the plan of ``df`` a second run.  ``more`` are lookups before all others.
 
-    The variant join comes first: the regroup of transcripts then reuses its partitioning, so the
-    wide rows are shuffled once in the whole run.
+    The wide rows are shuffled once in the whole run.  Transcript and gene tables that can be broadcast are looked up by
+    exploded transcripts, whose regroup reuses the partitioning of the variant join; larger ones answer by variant, in the
+    same join as the variant lookups.
     """
-    numbered = "row_id" in df.columns
-    lookups = variant_lookups(res, build, clinvar_fields)
+    lookups = [*more, *variant_lookups(res, build, clinvar_fields)]
+    asked = df if asked is None else asked
+    found = transcript_lookups(res)
+    moved = not all(fits_broadcast(x.table) for x in found)
+    keyless = None
+    if moved:
+        # answers come by variant, so rows without a whole key keep to the other way; no lookup finds them anyway
+        known = " and ".join(f"{c} is not null" for c in VARIANT_KEY)
+        if any(df.schema[c].nullable for c in VARIANT_KEY):
+            keyless = df.where(f"not ({known})")
+        df, asked = df.where(known), asked.where(known)
     if gate and packed is not None:
         # a splice store is asked for variants only that may pass the gate
-        passing = df.where(F.exists(packed, lambda t: may_have_term(t, gate)))
+        passing = asked.where(F.exists(packed, lambda t: may_have_term(t, gate)))
         lookups = [with_matches(passing, [x])[0] if "_splice" in x.values else x for x in lookups]
-    lookups = with_matches(df, lookups)
+    lookups = with_matches(asked, lookups)
     if consequences is not None:
-        found = lookups + [Lookup(consequences, {"_packed": "csq"})]
-        df = lookup_variants(df, found, keep_hash=True, merge=res.merge)
+        answers = transcript_answers(consequences.where(known), F.col("csq"), columns, found) if moved else []
+        answers.append(Lookup(consequences, {"_packed": "csq"}))
     else:
-        df = lookup_variants(df.withColumn("_packed", packed), lookups, keep_hash=True, merge=res.merge)
-    df = with_row_id(df)
-    df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
-    found = transcript_lookups(res)
-    moved = not all(fits_broadcast(x.table) for x in found)
+        answers = transcript_answers(asked, packed, columns, found) if moved else []
+        df = df.withColumn("_packed", packed)
+    df = lookup_variants(df, lookups + answers, keep_hash=True, merge=res.merge, asked=asked)
     if moved:
-        df = df.drop(HASH)
-    df = enrich_transcripts(df, lambda x: add_transcript_lookups(x, found), moved=moved).drop(HASH)
-    if not numbered:
-        df = df.drop("row_id")
+        texts = df.schema["_packed"].dataType
+        df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
+        df = enrich_transcripts(df, lambda x: add_transcript_answers(x, found), exploded=False).drop(HASH)
+    else:
+        df = _exploded(df, columns, found)
+    if keyless is not None:
+        keyless = keyless.withColumn("_packed", packed if consequences is None else F.lit(None).cast(texts))
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in df.schema if f.name not in [*keyless.columns, "csq"]}
+        df = df.unionByName(_exploded(keyless.withColumns(empty), columns, found).select(*df.columns))
     if res.splice is not None:
         df = add_splice_scores(df, gate, overall)
     return df, [out for lookup in lookups for out in lookup.values if out != "_splice"]
 
 
+def _exploded(df: DataFrame, columns: list[str], found: list[TranscriptLookup]) -> DataFrame:
+    """``csq`` from ``_packed``, with the values of the tables for its exploded transcripts."""
+    df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")
+    out = enrich_transcripts(with_row_id(df), lambda x: add_transcript_lookups(x, found)).drop(HASH)
+    return out if "row_id" in df.columns else out.drop("row_id")
+
+
 def annotate_extra(
     sites: DataFrame,
     columns: list[str],
@@ -201,16 +227,21 @@ def annotate_extra(
     The older form takes ``clinvar_fields`` without the third field, OMIM instead of inheritance,
     one gene list, ``gate=None`` and ``overall=False``.
     """
+    asked, more = sites.withColumn("_packed", csq_strings(sites)), []
     if res.noncoding is not None:
-        sites = annotate_intervals(
-            sites, res.noncoding, {"PREDICTED_NONCODING": "target"}, not only_noncoding, res.merge
-        )
-        sites = with_info(sites, ["PREDICTED_NONCODING"])
+        values = {"PREDICTED_NONCODING": "target"}
+        if only_noncoding or sites.schema["alleles"].nullable:
+            sites = annotate_intervals(sites, res.noncoding, values, not only_noncoding, res.merge)
+            sites = with_info(sites, list(values))
+        else:
+            # the keys meet the intervals, and a variant gets its interval in the one join that moves the wide rows
+            covered = annotate_intervals(sites.select(*VARIANT_KEY), res.noncoding, values, False, res.merge)
+            more = [Lookup(covered, {out: out for out in values})]
     packed = csq_strings(sites)
     # the packed texts travel once: the field is written anew at the end
     old = F.lit(None).cast(sites.select("info.CSQ").schema["CSQ"].dataType)
     sites = sites.withColumns({"_packed": packed, "info": F.col("info").withField("CSQ", old)})
-    df, names = _annotated(sites, F.col("_packed"), columns, res, build, clinvar_fields, gate, overall)
+    df, names = _annotated(sites, F.col("_packed"), columns, res, build, clinvar_fields, gate, overall, None, asked, more)
     fields = transcript_fields(df)
     df = with_info(df, names)
     csq = pack_csq(F.col("csq"), fields)

@@ -220,9 +220,15 @@ class Inputs:
         """Split variants, one row each."""
         return self.keyed("fx_alts").select("contig", "pos", "alleles", "pk", "sk")
 
+    def _by_variant(self) -> "Inputs":
+        """The same inputs over observations that have moved to their variant, before transcripts and texts are made of them."""
+        dealt = Inputs(self.spark, self.sf_dir)
+        dealt._known["fx_obs"] = self.view("fx_obs").where("alt is not null").repartition("contig", "pos", "ref", "alt")
+        return dealt
+
     def consequences(self) -> DataFrame:
         """``csq``: packed strings per variant, in transcript order."""
-        return self._packed().withColumn("alleles", F.array("ref", "alt")).select("contig", "pos", "alleles", "csq")
+        return self._by_variant()._packed().withColumn("alleles", F.array("ref", "alt")).select("contig", "pos", "alleles", "csq")
 
     def _packed(self) -> DataFrame:
         """Grouped by the columns by which the transcripts are numbered, so their rows move once."""
@@ -232,9 +238,10 @@ class Inputs:
 
     def annotated(self) -> DataFrame:
         """Variants with ``info.CSQ`` (missing for those without a consequence)."""
-        csq = self._packed().withColumnRenamed("csq", "CSQ")
+        dealt = self._by_variant()
+        csq = dealt._packed().withColumnRenamed("csq", "CSQ")
         # both sides are dealt by these four columns already
-        joined = self.view("fx_alts").join(csq, ["contig", "pos", "ref", "alt"], "left")
+        joined = dealt.view("fx_alts").join(csq, ["contig", "pos", "ref", "alt"], "left")
         return joined.select("contig", "pos", F.array("ref", "alt").alias("alleles"), "pk", "sk", F.struct("CSQ").alias("info"))
 
     def matrix(self) -> DataFrame:
