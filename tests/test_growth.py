@@ -80,3 +80,19 @@ def test_chunk_pairs_are_not_listed(spark):
         want = [(i, a, b, s) for i, (a, b) in enumerate(pairs) for c in (a, b) if c is not None for s in chunks[c]]
         assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.collect())
     assert sample_chunk_pairs(spark.createDataFrame([], "s string"), 2).collect() == []
+
+
+def test_rows_of_a_chunk_pair_follow_each_other(spark, tmp_path):
+    """A pair's rows are written in two runs, one for each chunk, so its numbers and repeated names take next to no room."""
+    n, per_chunk = 4000, 100
+    samples = spark.range(n).select(F.when(F.col("id") > 0, F.concat(F.lit("sample"), F.col("id") + n)).alias("s"))
+    out = sample_chunk_pairs(samples, per_chunk)
+    runs = 0
+    for part in out.rdd.glom().collect():
+        keys = [(r["shard"], r["chunk_a"], r["chunk_b"]) for r in part]
+        runs += sum(1 for x, y in zip([None, *keys], keys) if x != y)
+    pairs = 40 * 39 // 2
+    assert out.count() == pairs * 2 * per_chunk and runs <= 2 * pairs
+    assert out.where("s is null").count() == 39
+    out.write.parquet(f"{tmp_path}/pairs")
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < pairs * 2 * per_chunk
