@@ -177,7 +177,8 @@ def info_pairs(text: Column, names: Column | None = None) -> Column:
     return F.str_to_map(once, F.lit(";"), F.lit("="))
 
 
-FEW_FIELDS = 8
+FEW_FIELDS = 8  # that are printed
+FEW_READ = 2
 
 
 def info_cells(text: Column, few: bool, pairs: Column | None = None) -> tuple[Callable[[str], Column], Callable[[str], Column]]:
@@ -333,7 +334,7 @@ def parse_sites(
         return F.get("_c", F.lit(i))
 
     defined = [d for d in definitions if d[0] == "INFO"]
-    few = len(defined) <= FEW_FIELDS
+    few = len(defined) <= FEW_READ
     if not few:
         # columns of their own: each field below would take the cell apart again
         cells = cells.withColumn("_names", info_names_of(cell(7)))
