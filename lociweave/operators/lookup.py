@@ -19,6 +19,8 @@ GROUP_KEY = ["contig", "pos", "alleles"]
 # Tables estimated to be smaller move whole; a set of wanted variants has this many bits at most (32 MB, in rows of 4 KB).
 FILTER_BYTES = 16 << 20
 FILTER_BITS = 28
+# A variant with more copies among the sites is joined by broadcast, so that no task gets all of them.
+HOT_COPIES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -153,14 +155,18 @@ def lookup_variants(
     """
     sites = sites.drop(HASH)
     wanted = (sites if asked is None else asked) if ask else None
-    df = _gathered_lookup(sites, [x for x in lookups if not x.unique or x.grouped], wanted, merge)
+    gathered = [x for x in lookups if not x.unique or x.grouped]
+    # nothing after this join counts on how its rows are dealt
+    free = not keep_hash and len(gathered) == len(lookups)
+    df = _gathered_lookup(sites, gathered, wanted, merge, free and any(x.grouped for x in lookups))
     for lookup in lookups:
         if lookup.unique and not lookup.grouped:
             df = _unique_lookup(df, lookup, merge)
     return df if keep_hash else df.drop(HASH)
 
 
-def _gathered_lookup(sites: DataFrame, lookups: list[Lookup], wanted: DataFrame | None, merge: bool) -> DataFrame:
+def _gathered_lookup(sites: DataFrame, lookups: list[Lookup], wanted: DataFrame | None, merge: bool, in_place: bool) -> DataFrame:
+    """``in_place`` joins the sites to the rows of wanted variants where those were put together, without moving them again."""
     if not lookups:
         return sites
     named = {f"_m{i}": x for i, x in enumerate(lookups)}
@@ -168,9 +174,10 @@ def _gathered_lookup(sites: DataFrame, lookups: list[Lookup], wanted: DataFrame
     stacked = [m for m, x in named.items() if not x.grouped]
     raw = _raw_rows({m: named[m] for m in stacked}) if stacked else None
     tables = [(stacked, _reduced_rows(raw, stacked)), *grouped] if stacked else grouped
-    moved = merge or not all(fits_broadcast(table) for _, table in tables)
+    moved, keys = merge or not all(fits_broadcast(table) for _, table in tables), None
     if moved and wanted is not None and not all(x.own for x in lookups):
-        keys = wanted.select(*[F.col(c).alias(f"_k{VARIANT_KEY.index(c)}") for c in GROUP_KEY]).where(_WHOLE_KEY).distinct()
+        # the filter drops nothing: with it the counts are worked out here as well, so that all uses share one exchange
+        keys = (_copies(wanted).where("_n > 0") if in_place else _copies(wanted)).select(*_GROUP_KEYS)
         if stacked and estimated_bytes(raw) >= FILTER_BYTES:
             tables = [(stacked, _reduced_rows(_probably_wanted(raw, keys), stacked)), *grouped]
         tables = [(list(named), _wanted_rows(keys, tables, merge))]
@@ -180,10 +187,34 @@ def _gathered_lookup(sites: DataFrame, lookups: list[Lookup], wanted: DataFrame
     joined = sites
     for matches, table in tables:
         own = [value.alias(v) for v, value in values.items() if v[2:].rpartition("_")[0] in matches]
-        joined = _join_variants(joined, table.select(*_GROUP_KEYS, *own), moved, merge)
+        table = table.select(*_GROUP_KEYS, *own)
+        if in_place and keys is not None:
+            joined = _joined_in_place(joined, table, wanted, merge)
+        else:
+            joined = _join_variants(joined, table, moved, merge)
     return joined.withColumns(outputs).drop(*values)
 
 
+def _joined_in_place(sites: DataFrame, rows: DataFrame, wanted: DataFrame, merge: bool) -> DataFrame:
+    """Left join of the sites to ``rows``, one for each variant and dealt by it already.
+
+    Such a join cannot be split where a variant is hot.  So variants with over ``HOT_COPIES`` copies (at most one for as many
+    sites) and their rows are taken out and joined by broadcast; where there is none, adaptive execution drops that branch.
+    """
+    hot = F.broadcast(_copies(wanted).where(F.col("_n") > HOT_COPIES).select(*_GROUP_KEYS))
+    same = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(VARIANT_KEY)]
+    found = rows.join(hot, _GROUP_KEYS, "left_semi")
+    cold = sites.join(hot, same, "left_anti").join(rows.hint("merge") if merge else rows, same, "left")
+    warm = sites.join(hot, same, "left_semi").join(F.broadcast(found), same, "left")
+    return cold.unionByName(warm).drop(*_GROUP_KEYS)
+
+
+def _copies(wanted: DataFrame) -> DataFrame:
+    """The distinct variants that are wanted, and how often."""
+    rows = wanted.select(*[F.col(c).alias(f"_k{VARIANT_KEY.index(c)}") for c in GROUP_KEY]).where(_WHOLE_KEY)
+    return rows.groupBy(*_GROUP_KEYS).agg(F.count("*").alias("_n"))
+
+
 def _keyed(lookup: Lookup, match: str) -> DataFrame:
     values = F.struct(*[source_column(v).alias(out) for out, v in lookup.values.items()])
     return lookup.table.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(VARIANT_KEY)], values.alias(match))

@@ -189,7 +189,7 @@ def _annotated(
     else:
         answers = transcript_answers(asked, packed, columns, found) if moved else []
         df = df.withColumn("_packed", packed)
-    df = lookup_variants(df, lookups + answers, keep_hash=True, merge=res.merge, asked=asked)
+    df = lookup_variants(df, lookups + answers, keep_hash=not moved, merge=res.merge, asked=asked)
     if moved:
         texts = df.schema["_packed"].dataType
         df = df.withColumn("csq", parse_csq(F.col("_packed"), columns)).drop("_packed")

@@ -124,3 +124,19 @@ def test_rows_of_other_variants_do_not_move(spark, no_broadcast, monkeypatch, bi
     dealt = [n for names, n in exchanged(out) if "min#" in names and "_hash" not in names]
     assert len(dealt) == 1 and (dealt[0] <= 510 if bits == 28 else dealt[0] <= 9002)
     assert sorted(map(str, out.collect())) == want and out.where("v is not null").count() == 500 + 36
+
+
+def test_hot_variants_are_joined_apart(spark, no_broadcast, monkeypatch):
+    """Rows of wanted variants are not moved again; copies of a hot variant are not gathered, and get the same values."""
+    df = sites(spark).unionByName(sites(spark).where("info.DP < 3"))
+    splice = spark.createDataFrame([("chr1", 1, ["A", "C"], "G", "SpliceAI=C|G|0.1|0.2|0.3|0.4|1|2|3|4"), ("chr2", 1, ["A", "C"], "G", "x")], KEY + ", SYMBOL string, SpliceAI string")
+    res = an.Resources(splice=splice, **tables(spark))
+    out, _ = an.annotate_extra(df, COLUMNS, res, gate=None)
+    assert not [names for names, _ in exchanged(out) if "_right_hash" in names and "_v_m" in names]
+    want = sorted(map(str, out.collect()))
+    monkeypatch.setattr(lk, "HOT_COPIES", 20)
+    hot, _ = an.annotate_extra(df, COLUMNS, res, gate=None)
+    gathered = [n for names, n in exchanged(hot) if "_packed" in names]
+    assert sorted(map(str, hot.collect())) == want and len(want) == df.count()
+    assert max(gathered) < df.where("contig = 'chr1' and pos = 1 and alleles[1] = 'C'").count()
+    assert sum("|0.4|" in x for x in want) > 0
